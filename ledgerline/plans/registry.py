@@ -113,4 +113,4 @@ def oracle_sql() -> dict[str, str]:
 
 def _load_all() -> None:
     # Importing the modules registers their queries.
-    from ledgerline.plans import q_core, q_files, q_search, q_sinks  # noqa: F401
+    from ledgerline.plans import q_core, q_files, q_monitor, q_quality, q_search, q_sinks  # noqa: F401
