@@ -140,7 +140,7 @@ def _partition_filter(partition_cols, values):
     return keys[0].isin(wanted)
 
 
-def upsert(spark: SparkSession, target: str, batch: DataFrame, key: str = DOC_KEY,
+def upsert(spark: SparkSession, target: str, batch: DataFrame, key: str | list = DOC_KEY,
            order_by=(), partition_cols=PARTITION_COLS, max_partitions: int = 100_000) -> dict:
     """K2/K6: idempotent keyed upsert; re-running a batch leaves the target equal.
 
@@ -156,13 +156,15 @@ def upsert(spark: SparkSession, target: str, batch: DataFrame, key: str = DOC_KE
     Returns counts for the run record.
     """
     pcols = list(partition_cols)
+    keys = [key] if isinstance(key, str) else list(key)
     schema = T.StructType([f for f in batch.schema.fields])
     incoming = batch.withColumn("_src", F.lit(1))
     touched: list = []
     if path_exists(spark, target):
         existing = read_table(spark, target, schema)
         if pcols:
-            moved = existing.select(key, *pcols).join(batch.select(key), key, "left_semi").select(*pcols)
+            moved = (existing.select(*keys, *pcols).join(batch.select(*keys), keys, "left_semi")
+                     .select(*pcols))
             touched_df = batch.select(*pcols).unionByName(moved).distinct()
             touched = [tuple(r) for r in touched_df.limit(max_partitions + 1).collect()]
             if len(touched) > max_partitions:
@@ -171,7 +173,7 @@ def upsert(spark: SparkSession, target: str, batch: DataFrame, key: str = DOC_KE
         else:
             old = existing
         incoming = old.withColumn("_src", F.lit(0)).unionByName(incoming)
-    merged = latest_per_key(incoming, key, ["_src", *order_by]).drop("_src")
+    merged = latest_per_key(incoming, keys, ["_src", *order_by]).drop("_src")
 
     staging = scratch_path(spark, "upsert-staging")
     writer = merged.write.mode("errorifexists")
