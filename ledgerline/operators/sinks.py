@@ -37,13 +37,17 @@ def latest_per_key(df: DataFrame, key, order_by) -> DataFrame:
     """
     keys = [key] if isinstance(key, str) else list(key)
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    rest = [c for c in df.columns if c not in keys]
+    named = {c: i for i, c in enumerate(order_by) if isinstance(c, str)}
+    # order columns travel once (as _oN); only the other columns are packed as payload
+    rest = [c for c in df.columns if c not in keys and c not in named]
     packed = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)],
                       *[F.col(f"`{c}`").alias(f"_v{i}") for i, c in enumerate(rest)])
+    out_cols = {c: F.col(f"_best._v{i}").alias(c) for i, c in enumerate(rest)}
+    out_cols.update({c: F.col(f"_best._o{i}").alias(c) for c, i in named.items() if c in df.columns})
     has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     best = (df.where(has_key).groupBy(*keys).agg(F.max(packed).alias("_best"))
-            .select(*keys, *[F.col(f"_best._v{i}").alias(c) for i, c in enumerate(rest)]))
-    return best.unionByName(df.where(~has_key).select(*keys, *rest)).select(*df.columns)
+            .select(*keys, *[out_cols[c] for c in df.columns if c not in keys]))
+    return best.unionByName(df.where(~has_key).select(*best.columns)).select(*df.columns)
 
 
 def union_last_wins(batches: list[DataFrame], key, order_by=()) -> DataFrame:

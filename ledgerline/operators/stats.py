@@ -10,13 +10,14 @@ from ledgerline.schemas import PARTITION_COLS
 
 # A window over the whole (already aggregated) result: its input is one row
 # per distinct value of a bounded-domain field, never the raw rows.
-_ALL = Window.partitionBy()
+def _all() -> Window:
+    return Window.partitionBy()
 
 
 def share(df: DataFrame, field: str) -> DataFrame:
     """Count and percent of total per value (1 decimal, half-up) plus ``%`` text."""
     counts = df.groupBy(field).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(_ALL)
+    total = F.sum("n").over(_all())
     pct = pct_rounded(F.col("n"), total, 1)
     return counts.select(field, "n", pct.alias("pct"), pct_text(pct).alias("pct_text"))
 
@@ -32,5 +33,5 @@ def partition_counts(df: DataFrame, cols=PARTITION_COLS) -> DataFrame:
     """Rows per date partition in key order, with the partition path and count of partitions."""
     counts = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_rows"))
     return (counts.select(*cols, partition_path(*cols).alias("partition_path"), "n_rows",
-                          F.count(F.lit(1)).over(_ALL).alias("n_partitions"))
+                          F.count(F.lit(1)).over(_all()).alias("n_partitions"))
             .orderBy(*cols))

@@ -121,7 +121,7 @@ def recent_runs(spark, sf_dir):
 
 
 @register("run_cost", with_base("""
-SELECT job, strftime(run_date, '%Y-%m') AS month, COUNT(*) AS n_runs, SUM(execution_seconds) AS total_seconds,
+SELECT job, strftime(run_date, '%Y-%m') AS month, COUNT(*) AS n_runs, CAST(SUM(execution_seconds) AS BIGINT) AS total_seconds,
        SUM(dpu_seconds) / 3600.0 AS dpu_hours, SUM(dpu_seconds) / 3600.0 * 0.44 AS cost_usd
 FROM runs GROUP BY ALL""", RUNS_SQL))
 def run_cost(spark, sf_dir):

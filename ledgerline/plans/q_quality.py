@@ -86,19 +86,19 @@ def dq_nulls_and_keys(spark, sf_dir):
 
 
 @register("dq_report", with_base(f"""
-SELECT * FROM (VALUES ('x', 0.0, 0.0, true)) t(check_name, value, threshold, ok) WHERE false
-UNION ALL SELECT 'volume_rows', CAST(COUNT(*) AS DOUBLE), 1000.0, COUNT(*) >= 1000 FROM enr
-UNION ALL SELECT 'distinct_accounts', CAST(COUNT(DISTINCT "numeroUnicoConta") AS DOUBLE), 20.0,
+SELECT * FROM (VALUES ('x', 0.0::DOUBLE, 0.0::DOUBLE, true)) t(check_name, value, threshold, ok) WHERE false
+UNION ALL SELECT 'volume_rows', CAST(COUNT(*) AS DOUBLE), 1000.0::DOUBLE, COUNT(*) >= 1000 FROM enr
+UNION ALL SELECT 'distinct_accounts', CAST(COUNT(DISTINCT "numeroUnicoConta") AS DOUBLE), 20.0::DOUBLE,
                  COUNT(DISTINCT "numeroUnicoConta") >= 20 FROM enr
-UNION ALL SELECT 'duplicate_ids', CAST(COUNT(*) - COUNT(DISTINCT "codigoLancamento") AS DOUBLE), 0.0,
+UNION ALL SELECT 'duplicate_ids', CAST(COUNT(*) - COUNT(DISTINCT "codigoLancamento") AS DOUBLE), 0.0::DOUBLE,
                  COUNT(*) - COUNT(DISTINCT "codigoLancamento") = 0 FROM enr
-UNION ALL SELECT 'null_ids', CAST(COUNT(*) FILTER (WHERE "codigoLancamento" IS NULL) AS DOUBLE), 0.0,
+UNION ALL SELECT 'null_ids', CAST(COUNT(*) FILTER (WHERE "codigoLancamento" IS NULL) AS DOUBLE), 0.0::DOUBLE,
                  COUNT(*) FILTER (WHERE "codigoLancamento" IS NULL) = 0 FROM enr
 UNION ALL SELECT 'tipo_out_of_domain', CAST(COUNT(*) FILTER (WHERE "tipoTransacao" IS NULL OR
-                 "tipoTransacao" NOT IN ({_in(TRANSACTION_TYPES)})) AS DOUBLE), 0.0,
+                 "tipoTransacao" NOT IN ({_in(TRANSACTION_TYPES)})) AS DOUBLE), 0.0::DOUBLE,
                  COUNT(*) FILTER (WHERE "tipoTransacao" IS NULL OR "tipoTransacao" NOT IN ({_in(TRANSACTION_TYPES)})) = 0 FROM enr
 UNION ALL SELECT 'produto_out_of_domain', CAST(COUNT(*) FILTER (WHERE "tipoProdutoTransacao" IS NULL OR
-                 "tipoProdutoTransacao" NOT IN ({_in(PRODUCT_TYPES)})) AS DOUBLE), 0.0,
+                 "tipoProdutoTransacao" NOT IN ({_in(PRODUCT_TYPES)})) AS DOUBLE), 0.0::DOUBLE,
                  COUNT(*) FILTER (WHERE "tipoProdutoTransacao" IS NULL OR "tipoProdutoTransacao" NOT IN ({_in(PRODUCT_TYPES)})) = 0 FROM enr
 UNION ALL SELECT 'unmatched_documents', CAST(COUNT(*) FILTER (WHERE "nomeTitularConta" IS NULL) AS DOUBLE),
                  NULL, NULL FROM enr

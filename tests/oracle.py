@@ -22,6 +22,11 @@ def duck(sf_dir: str):
     return con
 
 
+SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE",
+                 "timestamp": "TIMESTAMP WITH TIME ZONE", "float": "FLOAT", "smallint": "SMALLINT"}
+
+
 def _norm(v):
     if v is None:
         return None
@@ -60,6 +65,12 @@ def compare(spark, con, name, builder, sql, sf_dir):
     ok = sc == dc and sn == dn
     info = {"name": name, "ok": ok, "rows": len(srows), "oracle_rows": len(drows),
             "spark_s": round(t1 - t0, 2)}
+    stypes = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+              for f in sdf.schema.fields}
+    dtypes = {d[0]: str(d[1]) for d in res.description}
+    tmis = {c: (stypes[c], dtypes.get(c)) for c in stypes if stypes[c] != dtypes.get(c)}
+    if tmis:
+        info["type_mismatch"] = tmis
     if not ok:
         if sc != dc:
             info["cols"] = (sc, dc)
