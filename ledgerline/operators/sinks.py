@@ -9,6 +9,7 @@ lineage), then dynamically overwrite exactly those partitions from it.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 import pandas as pd
@@ -19,7 +20,7 @@ from pyspark.sql import types as T
 from ledgerline.functions import md5_bucket, money_sum, time_text
 from ledgerline.schemas import (BULK_BATCH_DOCS, DOC_KEY, PARTITION_COLS, RETENTION_DAYS,
                                 TXN_COLS)
-from ledgerline.session import delete_path, path_exists, scratch_path
+from ledgerline.session import delete_path, path_exists, rename_path, scratch_path
 
 
 # ---------------------------------------------------------------------------
@@ -60,15 +61,28 @@ def union_last_wins(batches: list[DataFrame], key, order_by=()) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Writers
 # ---------------------------------------------------------------------------
-def spread(df: DataFrame, partition_cols, key: str, files_per_partition: int) -> DataFrame:
-    """Hash-spread rows so each output partition gets at most ``files_per_partition``
-    writer tasks: bounded file count without funnelling a whole day into one task."""
-    bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(files_per_partition))
+def spread(df: DataFrame, partition_cols, key: str, files_per_partition: int | str | None) -> DataFrame:
+    """Choose how rows reach the writer tasks of a partitioned write.
+
+    * ``None`` (default): keep the input partitioning, no shuffle.  Each task
+      writes one file per partition value it holds, which for time-clustered
+      input (the normal case) is one or two files of split size.
+    * ``"range"``: range-partition on (partition columns, key) after sampling:
+      a day holding a third of the data is cut into many equal tasks.
+    * ``int``: hash (partition columns, xxhash64(key) mod n): at most n files per
+      partition value, for small inputs that should not fragment.
+    """
+    if files_per_partition is None:
+        return df
+    if files_per_partition == "range":
+        return df.repartitionByRange(*[F.col(c) for c in partition_cols], F.col(key))
+    bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(int(files_per_partition)))
     return df.repartition(*[F.col(c) for c in partition_cols], bucket)
 
 
 def write_jsonl(lines: DataFrame, base: str, partition_cols=PARTITION_COLS,
-                key: str | None = None, files_per_partition: int = 4, mode: str = "errorifexists"):
+                key: str | None = None, files_per_partition: int | str | None = None,
+                mode: str = "errorifexists"):
     """Text lines (column ``value``) partitioned into ``year=/month=/day=`` folders."""
     if key is not None:
         lines = spread(lines, partition_cols, key, files_per_partition)
@@ -93,7 +107,7 @@ def txn_line(df: DataFrame | None = None, overrides: dict | None = None):
     return F.to_json(F.struct(*cols))
 
 
-def write_partitioned_jsonl(txn: DataFrame, base: str, files_per_partition: int = 4,
+def write_partitioned_jsonl(txn: DataFrame, base: str, files_per_partition: int | str | None = None,
                             mode: str = "errorifexists") -> str:
     """K5: date-partitioned JSON Lines with zero-padded keys from the event time."""
     lines = txn.select(txn_line().alias("value"), "codigo_lancamento", *PARTITION_COLS)
@@ -154,17 +168,20 @@ def upsert(spark: SparkSession, target: str, batch: DataFrame, key: str | list =
     * touched partitions = the batch's partitions plus the partitions that
       still hold one of its keys (a document whose day moved); only those are
       read (static partition pruning) and rewritten;
-    * the merged rows go to a staging table in the shared folder first, so
-      the target is never overwritten while it is being read and a lost
-      executor recomputes from unchanged inputs.
-    Returns counts for the run record.
+    * the merged rows are written to a staging table in the shared folder
+      (this cuts the lineage: a lost executor recomputes from unchanged
+      inputs), then each touched partition directory is swapped in: the old
+      one moves aside, the staged one moves in, the old one is deleted.
+      Partitions left without documents are deleted.
+    Two Spark jobs per call: the touched-partition lookup and the staging write.
     """
     pcols = list(partition_cols)
     keys = [key] if isinstance(key, str) else list(key)
     schema = T.StructType([f for f in batch.schema.fields])
     incoming = batch.withColumn("_src", F.lit(1))
     touched: list = []
-    if path_exists(spark, target):
+    exists = path_exists(spark, target)
+    if exists:
         existing = read_table(spark, target, schema)
         if pcols:
             moved = (existing.select(*keys, *pcols).join(batch.select(*keys), keys, "left_semi")
@@ -180,17 +197,39 @@ def upsert(spark: SparkSession, target: str, batch: DataFrame, key: str | list =
     merged = latest_per_key(incoming, keys, ["_src", *order_by]).drop("_src")
 
     staging = scratch_path(spark, "upsert-staging")
-    writer = merged.write.mode("errorifexists")
-    (writer.partitionBy(*pcols) if pcols else writer).parquet(staging)
-    staged = read_table(spark, staging, schema)
-    out = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    (out.partitionBy(*pcols) if pcols else out).parquet(target)
-
-    if pcols and touched:
-        present = {tuple(r) for r in staged.select(*pcols).distinct().collect()}
-        for part in set(touched) - present:          # partitions left empty by moved documents
-            delete_path(spark, target + "/" + "/".join(f"{c}={v}" for c, v in zip(pcols, part)))
-    return {"staging": staging, "touched_partitions": len(touched)}
+    written = Observation(f"upsert_{staging.rsplit('-', 1)[-1]}")
+    if pcols:
+        merged = merged.observe(written, F.count(F.lit(1)).alias("rows"), F.collect_set(
+            F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in pcols])
+        ).alias("parts"))
+        merged.write.mode("errorifexists").partitionBy(*pcols).parquet(staging)
+    else:
+        merged = merged.observe(written, F.count(F.lit(1)).alias("rows"))
+        merged.write.mode("errorifexists").parquet(staging)
+    stats = written.get
+
+    if not pcols:
+        _swap(spark, staging, target, exists)
+        return {"staging": staging, "touched_partitions": 0, "rows": stats["rows"]}
+    staged_parts = set(stats["parts"])
+    for part in sorted(staged_parts):
+        _swap(spark, f"{staging}/{part}", f"{target}/{part}", True)
+    for values in touched:
+        part = "/".join(f"{c}={v}" for c, v in zip(pcols, values))
+        if part not in staged_parts:                # every document of it moved elsewhere
+            delete_path(spark, f"{target}/{part}")
+    return {"staging": staging, "touched_partitions": len(touched), "rows": stats["rows"]}
+
+
+def _swap(spark: SparkSession, src: str, dst: str, dst_may_exist: bool) -> None:
+    """Replace directory ``dst`` by ``src``: old moves aside first, is deleted last."""
+    aside = None
+    if dst_may_exist and path_exists(spark, dst):
+        aside = f"{dst}.__replaced_{uuid.uuid4().hex[:8]}"
+        rename_path(spark, dst, aside)
+    rename_path(spark, src, dst)
+    if aside:
+        delete_path(spark, aside)
 
 
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType, location: str,
@@ -225,15 +264,21 @@ def drop_table(spark: SparkSession, name: str, purge_location: bool = True) -> b
 # Bulk batches, write accounting, retention
 # ---------------------------------------------------------------------------
 def assign_batches(docs: DataFrame, size: int = BULK_BATCH_DOCS, within=PARTITION_COLS,
-                   buckets: int = 8, key: str = DOC_KEY) -> DataFrame:
+                   buckets: int | None = None, key: str = DOC_KEY,
+                   rows_per_group: int = 2_000_000) -> DataFrame:
     """K4: number documents into bulk batches of at most ``size``.
 
     Numbering needs an order, so it runs inside (partition, md5 bucket of the
-    id) groups: a hot day is split into ``buckets`` independent sorts instead
-    of one global window.
+    id) groups.  With ``buckets=None`` the bucket count is derived from the
+    largest partition (one small aggregate first): ceil(max rows /
+    ``rows_per_group``), so a day holding a third of all rows is split into
+    bounded sorts instead of one task sorting it all.
     """
     from pyspark.sql import Window
     within = list(within)
+    if buckets is None:
+        largest = docs.groupBy(*within).count().agg(F.max("count")).first()[0] or 0
+        buckets = max(1, -(-int(largest) // rows_per_group))
     w = Window.partitionBy(*within, "bucket").orderBy(key)
     numbered = (docs.select(key, *within, md5_bucket(key, buckets).alias("bucket"))
                 .withColumn("batch_no", F.floor((F.row_number().over(w) - 1) / F.lit(size)).cast("long")))

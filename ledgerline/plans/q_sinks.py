@@ -122,11 +122,13 @@ def bulk_ndjson(spark, sf_dir):
 SELECT year, month, day, bucket, batch_no, COUNT(*) AS n_docs FROM (
   SELECT year, month, day, bucket,
          CAST((row_number() OVER (PARTITION BY year, month, day, bucket ORDER BY "codigoLancamento") - 1) // 1000 AS BIGINT) AS batch_no
-  FROM (SELECT *, ('0x' || substr(md5("codigoLancamento"), 1, 8))::BIGINT % 4 AS bucket FROM enr))
+  FROM (SELECT *, ('0x' || substr(md5("codigoLancamento"), 1, 8))::BIGINT
+                  % (SELECT GREATEST(1, CAST(ceil(MAX(n) / 2000000.0) AS BIGINT))
+                     FROM (SELECT COUNT(*) AS n FROM enr GROUP BY year, month, day)) AS bucket FROM enr))
 GROUP BY ALL"""))
 def bulk_batches(spark, sf_dir):
-    """Bulk requests of at most 1000 documents inside (day, id bucket) groups."""
-    return K.assign_batches(docs_with_partitions(spark, sf_dir), 1000, PARTITION_COLS, buckets=4)
+    """Bulk requests of at most 1000 documents inside (day, id bucket) groups sized from the data."""
+    return K.assign_batches(docs_with_partitions(spark, sf_dir), 1000, PARTITION_COLS)
 
 
 @register("write_metrics", with_base(f"""

@@ -52,7 +52,8 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if not current:
-        configured = sc.getConf().get("spark.checkpoint.dir", None)
+        configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
+            "spark.checkpoint.dir", None)
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="ledgerline-ckpt-"))
         current = sc.getCheckpointDir()
     return current.rstrip("/")
@@ -78,3 +79,12 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     """Recursive delete through the Hadoop file system of the path."""
     fs, hpath = _fs(spark, path)
     return bool(fs.delete(hpath, True))
+
+
+def rename_path(spark: SparkSession, src: str, dst: str) -> None:
+    """Move a file or directory (parent folders created); raises when the move fails."""
+    fs, hsrc = _fs(spark, src)
+    _, hdst = _fs(spark, dst)
+    fs.mkdirs(hdst.getParent())
+    if not fs.rename(hsrc, hdst):
+        raise OSError(f"rename failed: {src} -> {dst}")
