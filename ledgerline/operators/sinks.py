@@ -184,8 +184,8 @@ def upsert(spark: SparkSession, target: str, batch: DataFrame, key: str | list =
     if exists:
         existing = read_table(spark, target, schema)
         if pcols:
-            moved = (existing.select(*keys, *pcols).join(batch.select(*keys), keys, "left_semi")
-                     .select(*pcols))
+            moved = (existing.select(*keys, *pcols)
+                     .join(batch.select(*keys).distinct(), keys, "left_semi").select(*pcols))
             touched_df = batch.select(*pcols).unionByName(moved).distinct()
             touched = [tuple(r) for r in touched_df.limit(max_partitions + 1).collect()]
             if len(touched) > max_partitions:

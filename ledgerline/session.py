@@ -25,13 +25,40 @@ SESSION_SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session we did not build ourselves."""
+    """Apply the runtime settings to a session we did not build ourselves and make
+    the package importable by its Python workers."""
     for key, value in SESSION_SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Distribute this package to the executors once per SparkContext (``addPyFile``),
+    as ``--py-files`` would: Arrow UDF closures reference its modules by name."""
+    sc = spark.sparkContext
+    ident = sc.applicationId
+    if ident in _SHIPPED:
+        return
+    import os
+    import zipfile
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    archive = os.path.join(tempfile.mkdtemp(prefix="ledgerline-code-"), "ledgerline.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _, files in os.walk(pkg_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(archive)
+    _SHIPPED.add(ident)
+
+
 def build_session(master: str = "local[8]", app: str = "ledgerline",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
     builder = (SparkSession.builder.master(master).appName(app)
