@@ -24,6 +24,29 @@ SESSION_SETTINGS = {
 }
 
 
+def cluster_settings(input_bytes: int, executors: int = 1000, cores_per_executor: int = 4) -> dict:
+    """Settings for a large cluster, sized from the bytes a job reads.
+
+    Initial shuffle partitions aim at ~256 MB per reduce task (AQE coalesces
+    down when a stage turns out smaller and splits skewed partitions), never
+    fewer than two waves of the cluster's cores; scan splits are 256 MB; the
+    broadcast threshold is the checked bound for the customer dimension.
+    """
+    target = 256 * 1024 * 1024
+    cores = executors * cores_per_executor
+    partitions = max(2 * cores, -(-int(input_bytes) // target))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.files.maxRecordsPerFile": "20000000",
+    }
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session we did not build ourselves and make
     the package importable by its Python workers."""
