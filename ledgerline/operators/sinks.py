@@ -159,7 +159,8 @@ def _partition_filter(partition_cols, values):
 
 
 def upsert(spark: SparkSession, target: str, batch: DataFrame, key: str | list = DOC_KEY,
-           order_by=(), partition_cols=PARTITION_COLS, max_partitions: int = 100_000) -> dict:
+           order_by=(), partition_cols=PARTITION_COLS, max_partitions: int = 100_000,
+           batch_metrics: dict | None = None) -> dict:
     """K2/K6: idempotent keyed upsert; re-running a batch leaves the target equal.
 
     * the batch wins over the stored row of the same key (later write);
@@ -174,6 +175,10 @@ def upsert(spark: SparkSession, target: str, batch: DataFrame, key: str | list =
       one moves aside, the staged one moves in, the old one is deleted.
       Partitions left without documents are deleted.
     Two Spark jobs per call: the touched-partition lookup and the staging write.
+    Returned counts (``rows``, ``rows_from_batch`` and one ``count_if`` per
+    ``batch_metrics`` condition over the batch's surviving rows) are observed
+    in the final write stage, which Spark counts once per partition even
+    when executors are lost and stages re-run.
     """
     pcols = list(partition_cols)
     keys = [key] if isinstance(key, str) else list(key)
@@ -194,23 +199,26 @@ def upsert(spark: SparkSession, target: str, batch: DataFrame, key: str | list =
         else:
             old = existing
         incoming = old.withColumn("_src", F.lit(0)).unionByName(incoming)
-    merged = latest_per_key(incoming, keys, ["_src", *order_by]).drop("_src")
+    merged = latest_per_key(incoming, keys, ["_src", *order_by])
 
     staging = scratch_path(spark, "upsert-staging")
     written = Observation(f"upsert_{staging.rsplit('-', 1)[-1]}")
+    from_batch = F.col("_src") == 1
+    metrics = [F.count(F.lit(1)).alias("rows"), F.count_if(from_batch).alias("rows_from_batch")]
+    metrics += [F.count_if(from_batch & F.coalesce(cond, F.lit(False))).alias(name)
+                for name, cond in (batch_metrics or {}).items()]
     if pcols:
-        merged = merged.observe(written, F.count(F.lit(1)).alias("rows"), F.collect_set(
-            F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in pcols])
-        ).alias("parts"))
-        merged.write.mode("errorifexists").partitionBy(*pcols).parquet(staging)
-    else:
-        merged = merged.observe(written, F.count(F.lit(1)).alias("rows"))
-        merged.write.mode("errorifexists").parquet(staging)
-    stats = written.get
+        metrics.append(F.collect_set(F.concat_ws(
+            "/", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in pcols])).alias("parts"))
+    merged = merged.observe(written, *metrics).drop("_src")
+    writer = merged.write.mode("errorifexists")
+    (writer.partitionBy(*pcols) if pcols else writer).parquet(staging)
+    stats = dict(written.get)
+    counts = {k: v for k, v in stats.items() if k != "parts"}
 
     if not pcols:
         _swap(spark, staging, target, exists)
-        return {"staging": staging, "touched_partitions": 0, "rows": stats["rows"]}
+        return {"staging": staging, "touched_partitions": 0, **counts}
     staged_parts = set(stats["parts"])
     for part in sorted(staged_parts):
         _swap(spark, f"{staging}/{part}", f"{target}/{part}", True)
@@ -218,7 +226,7 @@ def upsert(spark: SparkSession, target: str, batch: DataFrame, key: str | list =
         part = "/".join(f"{c}={v}" for c, v in zip(pcols, values))
         if part not in staged_parts:                # every document of it moved elsewhere
             delete_path(spark, f"{target}/{part}")
-    return {"staging": staging, "touched_partitions": len(touched), "rows": stats["rows"]}
+    return {"staging": staging, "touched_partitions": len(touched), **counts}
 
 
 def _swap(spark: SparkSession, src: str, dst: str, dst_may_exist: bool) -> None:
