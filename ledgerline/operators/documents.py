@@ -86,3 +86,14 @@ def to_bulk_ndjson(docs: DataFrame, index: str, key: str = DOC_KEY,
     pair = F.array(F.struct(F.lit(0).alias("line_no"), action_json(index, key).alias("line")),
                    F.struct(F.lit(1).alias("line_no"), doc_json(docs, date_format).alias("line")))
     return docs.select(F.col(key), F.explode(pair).alias("p")).select(key, "p.line_no", "p.line")
+
+
+def write_bulk_ndjson(docs: DataFrame, path: str, index: str, key: str = DOC_KEY,
+                      date_format: str = "epoch_millis") -> str:
+    """K3 sink: bulk request bodies as text files, one action+document pair per document.
+
+    Each task writes its own body file; pairs stay adjacent because ``explode``
+    emits them consecutively and nothing re-orders rows before the text writer.
+    """
+    to_bulk_ndjson(docs, index, key, date_format).select("line").write.text(path)
+    return path

@@ -43,30 +43,55 @@ def metric_stats(series: DataFrame, period_s: int = 300) -> DataFrame:
         money_avg("value").alias("avg_value"))
 
 
+def bucket_stats(series: DataFrame, period_s: int) -> DataFrame:
+    """Every statistic of every (metric, period bucket) in one aggregate.
+
+    Rules sharing a period build this identical subtree, so Spark reuses its
+    exchange: one scan and one shuffle per period, not per rule.
+    """
+    return _bucketed(series, period_s).agg(*[fn("value").alias(name) for name, fn in _STATS.items()])
+
+
 def evaluate_alarm(series: DataFrame, rule: str, statistic: str, period_s: int, comparison: str,
                    threshold: float, periods: int) -> DataFrame:
     """Buckets where the alarm is in ALARM.
 
     A bucket alarms when it and the ``periods - 1`` buckets before it all
     breach.  Adjacency is by bucket number, not by row: only breaching
-    buckets are kept and a range frame counts them over the last ``periods``
-    bucket numbers, so a missing bucket breaks the run (missing data is not
-    breaching).
+    buckets are kept, so a missing bucket breaks the run (missing data is
+    not breaching).
     """
-    stat = _bucketed(series, period_s).agg(_STATS[statistic]("value").alias("stat_value"))
-    breach = stat.where(_CMP[comparison](F.col("stat_value"), F.lit(threshold))).withColumn(
-        "bucket_no", F.floor(F.unix_seconds(F.col("bucket_start").cast("timestamp")) / period_s).cast("long"))
-    w = Window.partitionBy("metric").orderBy("bucket_no").rangeBetween(-(periods - 1), 0)
-    return (breach.withColumn("run", F.count(F.lit(1)).over(w)).where(F.col("run") >= periods)
-            .select(F.lit(rule).alias("rule"), "metric", "bucket_start", "stat_value"))
+    return evaluate_rules(series, {rule: (statistic, period_s, comparison, threshold, periods)})
 
 
 def evaluate_rules(series: DataFrame, rules: dict = ALARM_RULES) -> DataFrame:
-    """W2 for a set of rules (plan built per rule, unioned; no cross join)."""
-    out = None
+    """W2 for a set of rules: one scan and one aggregate per distinct period.
+
+    All rules of a period read the same bucket statistics; ``inline`` turns
+    them into (rule, bucket) rows, and gaps-and-islands on the bucket number
+    (``bucket_no - row_number`` is constant along a run of consecutive
+    breaching buckets) gives each rule its own run length in one window pass.
+    """
+    by_period: dict[int, list] = {}
     for name, (stat, period, cmp, thr, n) in rules.items():
-        r = evaluate_alarm(series, name, stat, period, cmp, thr, n)
-        out = r if out is None else out.unionByName(r)
+        by_period.setdefault(period, []).append((name, stat, cmp, thr, n))
+    out = None
+    for period, rs in by_period.items():
+        entries = F.array(*[
+            F.struct(F.lit(name).alias("rule"), F.col(stat).cast("double").alias("stat_value"),
+                     _CMP[cmp](F.col(stat), F.lit(thr)).alias("breach"), F.lit(n).alias("periods"))
+            for name, stat, cmp, thr, n in rs])
+        breaching = (bucket_stats(series, period).select("metric", "bucket_start", F.inline(entries))
+                     .where(F.col("breach"))
+                     .withColumn("bucket_no", F.floor(F.unix_seconds(F.col("bucket_start").cast("timestamp"))
+                                                      / period).cast("long")))
+        by_rule = Window.partitionBy("rule", "metric").orderBy("bucket_no")
+        island = breaching.withColumn("island", F.col("bucket_no") - F.row_number().over(by_rule))
+        in_run = Window.partitionBy("rule", "metric", "island").orderBy("bucket_no")
+        alarms = (island.withColumn("run", F.row_number().over(in_run))
+                  .where(F.col("run") >= F.col("periods"))
+                  .select("rule", "metric", "bucket_start", "stat_value"))
+        out = alarms if out is None else out.unionByName(alarms)
     return out
 
 

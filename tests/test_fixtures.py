@@ -225,3 +225,26 @@ def test_assign_batches_bounded(spark):
                        .withColumn("zip_code", F.lit(None).cast("string")), keep=PARTITION_COLS)
     b = K.assign_batches(docs, size=40, buckets=2).collect()
     assert sum(r["n_docs"] for r in b) == 250 and max(r["n_docs"] for r in b) <= 40
+
+
+def test_bulk_body_files_and_iso_dates(spark, tmp_base):
+    from ledgerline.operators.documents import write_bulk_ndjson
+    rows = [(str(i), "A", 1.0 + i, T15, "DEBITO", "PIX", "2024", "01", "15") for i in range(5)]
+    docs = to_document(enrich(txn(spark, rows), customers(spark)))
+    write_bulk_ndjson(docs.repartition(2), tmp_base, "transactions", date_format="iso")
+    lines = [r[0] for r in spark.read.text(tmp_base).collect()]
+    assert len(lines) == 10
+    for i in range(0, len(lines), 2):                   # action immediately followed by its document
+        action, doc = json.loads(lines[i]), json.loads(lines[i + 1])
+        assert action["index"]["_id"] == doc["codigoLancamento"]
+        assert doc["dataCompletaTransacao"] == "2024-01-15T10:00:00.000Z"
+        assert doc["dataNascimentoTitularConta"] == "1990-05-01T00:00:00.000Z"
+
+
+def test_record_run_appends_reports(spark, tmp_base):
+    from ledgerline.operators.monitor import record_run
+    record_run(spark, tmp_base, {"year": "2024", "month": "01", "day": "15", "status": "succeeded",
+                                 "rows_read": 3, "rows_written": 2, "seconds": 1.5})
+    record_run(spark, tmp_base, {"year": "2024", "month": "01", "day": "16", "status": "empty"})
+    got = sorted((r["run_id"], r["state"], r["rows_written"]) for r in spark.read.parquet(tmp_base).collect())
+    assert got == [("jr_20240115", "succeeded", 2), ("jr_20240116", "empty", 0)]
