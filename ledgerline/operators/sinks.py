@@ -160,7 +160,7 @@ def _partition_filter(partition_cols, values):
 
 def upsert(spark: SparkSession, target: str, batch: DataFrame, key: str | list = DOC_KEY,
            order_by=(), partition_cols=PARTITION_COLS, max_partitions: int = 100_000,
-           batch_metrics: dict | None = None) -> dict:
+           batch_metrics: dict | None = None, moved_scope=None) -> dict:
     """K2/K6: idempotent keyed upsert; re-running a batch leaves the target equal.
 
     * the batch wins over the stored row of the same key (later write);
@@ -175,6 +175,10 @@ def upsert(spark: SparkSession, target: str, batch: DataFrame, key: str | list =
       one moves aside, the staged one moves in, the old one is deleted.
       Partitions left without documents are deleted.
     Two Spark jobs per call: the touched-partition lookup and the staging write.
+    The moved-document lookup reads the key and partition columns of the whole
+    target (column-pruned); ``moved_scope`` (a predicate on partition columns,
+    e.g. the last 30 days) limits it to where corrections can land, for
+    tables whose documents only move within a bounded window.
     Returned counts (``rows``, ``rows_from_batch`` and one ``count_if`` per
     ``batch_metrics`` condition over the batch's surviving rows) are observed
     in the final write stage, which Spark counts once per partition even
@@ -189,7 +193,8 @@ def upsert(spark: SparkSession, target: str, batch: DataFrame, key: str | list =
     if exists:
         existing = read_table(spark, target, schema)
         if pcols:
-            moved = (existing.select(*keys, *pcols)
+            scope = existing if moved_scope is None else existing.where(moved_scope)
+            moved = (scope.select(*keys, *pcols)
                      .join(batch.select(*keys).distinct(), keys, "left_semi").select(*pcols))
             touched_df = batch.select(*pcols).unionByName(moved).distinct()
             touched = [tuple(r) for r in touched_df.limit(max_partitions + 1).collect()]

@@ -248,3 +248,18 @@ def test_record_run_appends_reports(spark, tmp_base):
     record_run(spark, tmp_base, {"year": "2024", "month": "01", "day": "16", "status": "empty"})
     got = sorted((r["run_id"], r["state"], r["rows_written"]) for r in spark.read.parquet(tmp_base).collect())
     assert got == [("jr_20240115", "succeeded", 2), ("jr_20240116", "empty", 0)]
+
+
+def test_moved_scope_limits_the_search(spark, tmp_base):
+    a = [("1", "A", 10.0, T15, "DEBITO", "PIX", "2024", "01", "15"),
+         ("2", "A", 11.0, T15 - dt.timedelta(days=10), "DEBITO", "PIX", "2024", "01", "05")]
+    K.upsert(spark, tmp_base, txn(spark, a), key="codigo_lancamento")
+    t16 = T15 + dt.timedelta(days=1)
+    b = [("1", "A", 10.0, t16, "DEBITO", "PIX", "2024", "01", "16"),
+         ("2", "A", 11.0, t16, "DEBITO", "PIX", "2024", "01", "16")]
+    stats = K.upsert(spark, tmp_base, txn(spark, b), key="codigo_lancamento",
+                     moved_scope=F.col("day") >= "10")            # only days 10+ may hold moved documents
+    assert stats["touched_partitions"] == 2                      # days 16 and 15; day 05 out of scope
+    got = sorted((r["codigo_lancamento"], r["day"]) for r in
+                 K.read_table(spark, tmp_base, txn(spark, b).schema).collect())
+    assert got == [("1", "16"), ("2", "05"), ("2", "16")]
