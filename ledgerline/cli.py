@@ -57,8 +57,12 @@ def cmd_load_customers(spark, a):
 
 
 def cmd_run_day(spark, a):
-    return run_day(spark, a.base, a.year, a.month, a.day, _customers(spark, a.customers), a.target,
-                   a.quarantine)
+    report = run_day(spark, a.base, a.year, a.month, a.day, _customers(spark, a.customers), a.target,
+                     a.quarantine)
+    if a.ledger:
+        from ledgerline.operators.monitor import record_run
+        record_run(spark, a.ledger, report)
+    return report
 
 
 def cmd_stream(spark, a):
@@ -105,6 +109,7 @@ def parser() -> argparse.ArgumentParser:
     for name in ("--base", "--year", "--month", "--day", "--customers", "--target"):
         rd.add_argument(name, required=True)
     rd.add_argument("--quarantine", default=None)
+    rd.add_argument("--ledger", default=None, help="append the run report to this run-ledger table")
     st = sub.add_parser("stream")
     for name in ("--base", "--customers", "--target"):
         st.add_argument(name, required=True)

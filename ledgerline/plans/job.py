@@ -39,7 +39,8 @@ def run_day(spark: SparkSession, base: str, year: str, month: str, day: str,
     good = parse_raw(tagged.where(F.col("reason").isNull()))
     bad = tagged.where(F.col("reason").isNotNull())
     if quarantine is not None:
-        bad.write.mode("overwrite").partitionBy(*PARTITION_COLS).json(quarantine)
+        (bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")   # this day only
+         .partitionBy(*PARTITION_COLS).json(quarantine))
     docs = to_document(enrich(good, customers), keep=PARTITION_COLS)
     # rows_written / rows_matched come from the upsert's final write stage (exact
     # under stage re-runs); the scan-side counts are observed on the way in.

@@ -15,7 +15,8 @@ def test_workflow(spark, tmp_base):
     assert rep["status"] == "succeeded" and rep["rows_written"] == rep["rows_read"] > 0
     assert rep["rows_matched"] == rep["rows_written"]          # every generated account exists
     again = main(["run-day", "--base", txns, "--year", "2024", "--month", "01", "--day", "15",
-                  "--customers", table, "--target", target], spark)
+                  "--customers", table, "--target", target, "--ledger", f"{tmp_base}/ledger"], spark)
+    assert spark.read.parquet(f"{tmp_base}/ledger").count() == 1
     out = main(["check", "--target", target], spark)
     assert out["documents"] == rep["rows_written"] == again["rows_written"]     # rerun: no duplicates
     assert {b["tipoTransacao"] for b in out["by_type"]} <= {"DEBITO", "CREDITO"}
