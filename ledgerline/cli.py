@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import currency, money_avg, money_sum
 from ledgerline.operators import sinks as K
-from ledgerline.operators.documents import to_document
 from ledgerline.operators.generate import gen_customers, gen_transactions
 from ledgerline.operators.quality import verify_count
 from ledgerline.operators.search import terms_agg

@@ -12,7 +12,7 @@ from ledgerline.plans import roles
 from ledgerline.plans.q_files import TXR_COLS, TXR_SQL, jsonl_tree
 from ledgerline.plans.q_sinks import DOCS_SCHEMA
 from ledgerline.plans.registry import ENR_COLS_SQL, money_sum_sql, register, with_base
-from ledgerline.schemas import CUST, ENR_COLS, PARTITION_COLS, TXN_RAW
+from ledgerline.schemas import CUST, ENR_COLS, TXN_RAW
 from ledgerline.operators.sinks import write_partitioned_jsonl
 from ledgerline.session import scratch_path
 from ledgerline.sources.json_files import parse_raw
