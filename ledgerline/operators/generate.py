@@ -1,6 +1,6 @@
 """Synthetic producers (G1, G2) as distributed jobs.
 
-The reference's generators are single-process loops over random draws.  Here
+Single-process generators draw random values in a loop.  Here
 every attribute is arithmetic on a row id, so the output is deterministic,
 reproducible in SQL, and each executor generates its own slice: the id
 DataFrame (e.g. ``spark.range(n)`` or the ids of an existing table) is the
