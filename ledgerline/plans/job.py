@@ -13,7 +13,7 @@ from ledgerline.operators.enrich import enrich
 from ledgerline.operators.sinks import upsert
 from ledgerline.schemas import PARTITION_COLS, TXN_RAW_WITH_CORRUPT
 from ledgerline.session import configure
-from ledgerline.sources.json_files import day_predicate, parse_raw, quarantine_reason, read_jsonl
+from ledgerline.sources.json_files import parse_raw, quarantine_reason, read_days
 
 
 def run_day(spark: SparkSession, base: str, year: str, month: str, day: str,
@@ -27,7 +27,7 @@ def run_day(spark: SparkSession, base: str, year: str, month: str, day: str,
     """
     configure(spark)
     started = dt.datetime.now(dt.timezone.utc)
-    raw = read_jsonl(spark, base, TXN_RAW_WITH_CORRUPT).where(day_predicate(year, month, day))
+    raw = read_days(spark, base, [(year, month, day)], TXN_RAW_WITH_CORRUPT)
     report = {"year": year, "month": month, "day": day, "status": "empty", "rows_read": 0,
               "rows_written": 0, "rows_matched": 0, "rows_quarantined": 0}
     if raw.isEmpty():

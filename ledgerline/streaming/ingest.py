@@ -26,11 +26,19 @@ DOC_ORDER = ["dataCompletaTransacao", "valorTotalTransacao"]
 
 
 def stream_source(spark: SparkSession, base: str, schema: T.StructType = TXN_RAW,
-                  max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming read of the JSON Lines tree (partition columns from directory names)."""
+                  max_files_per_trigger: int | None = None, archive_dir: str | None = None) -> DataFrame:
+    """Streaming read of the JSON Lines tree (partition columns from directory names).
+
+    The file source lists the tree every trigger; with ``archive_dir`` processed
+    files are moved there (``cleanSource=archive``; a batch's files move when the
+    next batch commits), so the listing stays the size of the backlog instead
+    of the whole history.
+    """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if "_corrupt_record" in schema.fieldNames():
         reader = reader.option("columnNameOfCorruptRecord", "_corrupt_record")
     return reader.json(base)
@@ -47,9 +55,9 @@ def _run(writer, checkpoint: str, available_now: bool = True):
 
 def stream_ingest(spark: SparkSession, base: str, target: str, checkpoint: str, customers: DataFrame,
                   quarantine: str | None = None, available_now: bool = True,
-                  max_files_per_trigger: int | None = None):
+                  max_files_per_trigger: int | None = None, archive_dir: str | None = None):
     """Run the daily job's transform on every new file batch."""
-    raw = stream_source(spark, base, TXN_RAW_WITH_CORRUPT, max_files_per_trigger)
+    raw = stream_source(spark, base, TXN_RAW_WITH_CORRUPT, max_files_per_trigger, archive_dir)
 
     def per_batch(batch: DataFrame, epoch_id: int):
         batch.persist()

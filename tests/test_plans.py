@@ -29,14 +29,22 @@ def test_projection_prunes_columns(spark):
     assert "props" not in p.split("ReadSchema")[1] and "c_acctbal" not in p and "c_mktsegment" not in p
 
 
-def test_day_scan_prunes_directories(spark):
+def test_day_scan_lists_only_its_directory(spark):
     base = jsonl_tree(spark, SF_SMALL)
     df = J.scan_day(spark, base, "2024", "01", "15")
-    p = formatted(df)
-    assert "PartitionFilters" in p and "(year#" in p and "= 2024)" in p
-    from pyspark.sql import functions as F
-    files = [r[0] for r in df.select(F.input_file_name()).distinct().collect()]
-    assert files and all("day=15" in f for f in files)
+    files = df.inputFiles()                      # the relation itself only knows day 15's files
+    assert files and all("/year=2024/month=01/day=15/" in f for f in files)
+    r = df.select("year", "month", "day").distinct().collect()
+    assert [tuple(x) for x in r] == [("2024", "01", "15")]
+    rng = J.scan_range(spark, base, "2024-01-10", "2024-01-12")
+    assert {f.split("day=")[1][:2] for f in rng.inputFiles()} == {"10", "11", "12"}
+    assert J.scan_day(spark, base, "2024", "02", "30").count() == 0
+
+
+def test_tree_filter_prunes_partitions(spark):
+    base = jsonl_tree(spark, SF_SMALL)
+    p = formatted(J.read_jsonl(spark, base).where(J.day_predicate("2024", "01", "15")))
+    assert "PartitionFilters" in p and "= 2024)" in p
 
 
 def test_no_python_on_default_path(spark):

@@ -97,3 +97,17 @@ def test_stream_equals_batch(spark):
     streamed = sorted(map(tuple, spark.read.parquet(target).drop(*PARTITION_COLS).collect()), key=str)
     batch = sorted(map(tuple, to_document(enrich(scan_tree(spark, base), dim(spark))).collect()), key=str)
     assert streamed == batch
+
+
+def test_stream_archives_processed_files(spark):
+    import glob
+    rows = [(i, "abc"[i % 3], i * 17, i % 4) for i in range(12)]
+    base = scratch_path(spark, "prop-archive-src")
+    K.write_partitioned_jsonl(make_txn(spark, rows), base)
+    archive, target = scratch_path(spark, "prop-archive"), scratch_path(spark, "prop-archive-target")
+    ST.stream_ingest(spark, base, target, scratch_path(spark, "prop-ckpt"), dim(spark), archive_dir=archive,
+                     max_files_per_trigger=4)
+    assert spark.read.parquet(target).count() == 12
+    local = lambda p: p[len("file:"):] if p.startswith("file:") else p
+    # files of a batch are archived when the next batch commits: all but the last batch's
+    assert len(glob.glob(local(archive) + "/**/*.txt", recursive=True)) >= 4
