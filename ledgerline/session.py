@@ -44,6 +44,9 @@ def cluster_settings(input_bytes: int, executors: int = 1000, cores_per_executor
         "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
         "spark.sql.files.maxRecordsPerFile": "20000000",
+        # a day of transactions against a much larger customer table: prune the
+        # customer scan with a bloom filter of that day's account keys at runtime
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     }
 
 

@@ -263,3 +263,12 @@ def test_moved_scope_limits_the_search(spark, tmp_base):
     got = sorted((r["codigo_lancamento"], r["day"]) for r in
                  K.read_table(spark, tmp_base, txn(spark, b).schema).collect())
     assert got == [("1", "16"), ("2", "05"), ("2", "16")]
+
+
+def test_failed_write_fails_the_job(spark, tmp_base):
+    base = write_day(spark, f"{tmp_base}/src", [line("1", "A")])
+    blocker = f"{tmp_base}/target"
+    spark.createDataFrame([("x",)], "v string").coalesce(1).write.text(blocker)
+    a_file = [f for f in spark.read.text(blocker).inputFiles()][0]       # a file where the target should be
+    with pytest.raises(Exception):
+        run_day(spark, base, "2024", "01", "15", customers(spark), a_file)
