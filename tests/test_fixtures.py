@@ -272,3 +272,12 @@ def test_failed_write_fails_the_job(spark, tmp_base):
     a_file = [f for f in spark.read.text(blocker).inputFiles()][0]       # a file where the target should be
     with pytest.raises(Exception):
         run_day(spark, base, "2024", "01", "15", customers(spark), a_file)
+
+
+def test_approximate_distinct_accounts_close_to_exact(spark):
+    from ledgerline.operators.enrich import distinct_accounts
+    rows = [(str(i), f"acct{i % 700}", 1.0, T15, "DEBITO", "PIX", "2024", "01", "15") for i in range(3000)]
+    df = txn(spark, rows)
+    exact = distinct_accounts(df).first()["distinct_accounts"]
+    approx = distinct_accounts(df, approx_rsd=0.02).first()["distinct_accounts"]
+    assert exact == 700 and abs(approx - exact) <= 0.06 * exact
