@@ -35,8 +35,14 @@ def _bucketed(series: DataFrame, period_s: int):
     return series.groupBy("metric", F.window("ts", f"{period_s} seconds").start.alias("bucket_start"))
 
 
-def metric_stats(series: DataFrame, period_s: int = 300) -> DataFrame:
-    """Count, sum, min, max, average per metric and tumbling period."""
+def metric_stats(series: DataFrame, period_s: int = 300, start: str | None = None,
+                 end: str | None = None) -> DataFrame:
+    """Count, sum, min, max, average per metric and tumbling period, optionally
+    over [start, end) (a time-range filter that reaches the scan)."""
+    if start is not None:
+        series = series.where(F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
+    if end is not None:
+        series = series.where(F.col("ts") < F.lit(end).cast("timestamp_ntz"))
     return _bucketed(series, period_s).agg(
         F.count(F.lit(1)).alias("n_points"), money_sum("value").alias("sum_value"),
         F.min("value").alias("min_value"), F.max("value").alias("max_value"),

@@ -281,3 +281,13 @@ def test_approximate_distinct_accounts_close_to_exact(spark):
     exact = distinct_accounts(df).first()["distinct_accounts"]
     approx = distinct_accounts(df, approx_rsd=0.02).first()["distinct_accounts"]
     assert exact == 700 and abs(approx - exact) <= 0.06 * exact
+
+
+def test_metric_stats_time_range(spark):
+    from ledgerline.operators.monitor import metric_stats
+    base = dt.datetime(2024, 1, 1)
+    pts = [("m", base + dt.timedelta(seconds=60 * i), float(i)) for i in range(30)]
+    s = spark.createDataFrame(pts, "metric string, ts timestamp_ntz, value double")
+    out = metric_stats(s, 300, "2024-01-01 00:05:00", "2024-01-01 00:15:00").orderBy("bucket_start").collect()
+    assert [(r["n_points"], r["sum_value"], r["min_value"], r["max_value"]) for r in out] == \
+        [(5, 35.0, 5.0, 9.0), (5, 60.0, 10.0, 14.0)]
