@@ -26,7 +26,7 @@ from ledgerline.session import delete_path, path_exists, rename_path, scratch_pa
 # ---------------------------------------------------------------------------
 # Last write wins
 # ---------------------------------------------------------------------------
-def latest_per_key(df: DataFrame, key, order_by) -> DataFrame:
+def latest_per_key(df: DataFrame, key, order_by, count_if: dict | None = None) -> DataFrame:
     """One row per key, the one with the greatest ``order_by`` tuple.
 
     Expressed as ``max(struct(order..., payload...))`` per key: an aggregate
@@ -35,6 +35,8 @@ def latest_per_key(df: DataFrame, key, order_by) -> DataFrame:
     in one task as a ``row_number`` window would.  Remaining columns break
     ties, which makes the choice total and deterministic.  Rows with a null
     key are not documents of one key: they pass through unchanged.
+    ``count_if`` adds, per output row, how many input rows of its key met each
+    condition (computed in the same partial/final aggregate).
     """
     keys = [key] if isinstance(key, str) else list(key)
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
@@ -46,9 +48,13 @@ def latest_per_key(df: DataFrame, key, order_by) -> DataFrame:
     out_cols = {c: F.col(f"_best._v{i}").alias(c) for i, c in enumerate(rest)}
     out_cols.update({c: F.col(f"_best._o{i}").alias(c) for c, i in named.items() if c in df.columns})
     has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    best = (df.where(has_key).groupBy(*keys).agg(F.max(packed).alias("_best"))
-            .select(*keys, *[out_cols[c] for c in df.columns if c not in keys]))
-    return best.unionByName(df.where(~has_key).select(*best.columns)).select(*df.columns)
+    counts = count_if or {}
+    best = (df.where(has_key).groupBy(*keys)
+            .agg(F.max(packed).alias("_best"), *[F.count_if(c).alias(n) for n, c in counts.items()])
+            .select(*keys, *[out_cols[c] for c in df.columns if c not in keys], *counts))
+    loose = df.where(~has_key).select(*df.columns, *[F.when(c, 1).otherwise(0).cast("long").alias(n)
+                                                     for n, c in counts.items()])
+    return best.unionByName(loose.select(*best.columns)).select(*df.columns, *counts)
 
 
 def union_last_wins(batches: list[DataFrame], key, order_by=()) -> DataFrame:
@@ -179,8 +185,9 @@ def upsert(spark: SparkSession, target: str, batch: DataFrame, key: str | list =
     target (column-pruned); ``moved_scope`` (a predicate on partition columns,
     e.g. the last 30 days) limits it to where corrections can land, for
     tables whose documents only move within a bounded window.
-    Returned counts (``rows``, ``rows_from_batch`` and one ``count_if`` per
-    ``batch_metrics`` condition over the batch's surviving rows) are observed
+    Returned counts (``rows``, ``rows_in_batch`` before de-duplication,
+    ``rows_from_batch`` after it, and one ``count_if`` per ``batch_metrics``
+    condition over the batch's surviving rows) are observed
     in the final write stage, which Spark counts once per partition even
     when executors are lost and stages re-run.
     """
@@ -204,18 +211,20 @@ def upsert(spark: SparkSession, target: str, batch: DataFrame, key: str | list =
         else:
             old = existing
         incoming = old.withColumn("_src", F.lit(0)).unionByName(incoming)
-    merged = latest_per_key(incoming, keys, ["_src", *order_by])
+    merged = latest_per_key(incoming, keys, ["_src", *order_by],
+                            count_if={"_n_batch": F.col("_src") == 1})
 
     staging = scratch_path(spark, "upsert-staging")
     written = Observation(f"upsert_{staging.rsplit('-', 1)[-1]}")
     from_batch = F.col("_src") == 1
-    metrics = [F.count(F.lit(1)).alias("rows"), F.count_if(from_batch).alias("rows_from_batch")]
+    metrics = [F.count(F.lit(1)).alias("rows"), F.count_if(from_batch).alias("rows_from_batch"),
+               F.coalesce(F.sum("_n_batch"), F.lit(0)).cast("long").alias("rows_in_batch")]
     metrics += [F.count_if(from_batch & F.coalesce(cond, F.lit(False))).alias(name)
                 for name, cond in (batch_metrics or {}).items()]
     if pcols:
         metrics.append(F.collect_set(F.concat_ws(
             "/", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in pcols])).alias("parts"))
-    merged = merged.observe(written, *metrics).drop("_src")
+    merged = merged.observe(written, *metrics).drop("_src", "_n_batch")
     writer = merged.write.mode("errorifexists")
     (writer.partitionBy(*pcols) if pcols else writer).parquet(staging)
     stats = dict(written.get)

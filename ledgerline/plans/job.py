@@ -12,7 +12,7 @@ from ledgerline.operators.documents import to_document
 from ledgerline.operators.enrich import enrich
 from ledgerline.operators.sinks import upsert
 from ledgerline.schemas import PARTITION_COLS, TXN_RAW_WITH_CORRUPT
-from ledgerline.session import configure
+from ledgerline.session import configure, scratch_path
 from ledgerline.sources.json_files import parse_raw, quarantine_reason, read_days
 
 
@@ -22,8 +22,10 @@ def run_day(spark: SparkSession, base: str, year: str, month: str, day: str,
 
     A day without rows stops before touching the target (status ``empty``).
     Bad rows are split off with a reason, never fatal; a failing write fails
-    the job (no swallowed errors, D2/D14).  Counts come from an observation
-    on the write itself, so nothing is scanned twice for the report.
+    the job (no swallowed errors, D2/D14).  Counts are observed in the final
+    stages of the quarantine and target writes: nothing is scanned twice for
+    the report, and stages re-run after a lost executor do not inflate them.
+    Quarantined rows go to ``quarantine`` (a scratch folder when not given).
     """
     configure(spark)
     started = dt.datetime.now(dt.timezone.utc)
@@ -33,21 +35,23 @@ def run_day(spark: SparkSession, base: str, year: str, month: str, day: str,
     if raw.isEmpty():
         return report
     tagged = raw.withColumn("reason", quarantine_reason())
-    seen = Observation(f"scan_{year}{month}{day}")
-    tagged = tagged.observe(seen, F.count(F.lit(1)).alias("rows_read"),
-                            F.count("reason").alias("rows_quarantined"))
     good = parse_raw(tagged.where(F.col("reason").isNull()))
     bad = tagged.where(F.col("reason").isNotNull())
-    if quarantine is not None:
-        (bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")   # this day only
-         .partitionBy(*PARTITION_COLS).json(quarantine))
+    # Quarantined rows are always kept (a dead-letter table); counting them in
+    # that write's final stage keeps the number exact when stages re-run.
+    quarantine = quarantine or scratch_path(spark, f"quarantine-{year}{month}{day}")
+    dead = Observation(f"quarantine_{year}{month}{day}")
+    (bad.observe(dead, F.count(F.lit(1)).alias("rows_quarantined"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")     # this day only
+     .partitionBy(*PARTITION_COLS).json(quarantine))
     docs = to_document(enrich(good, customers), keep=PARTITION_COLS)
-    # rows_written / rows_matched come from the upsert's final write stage (exact
-    # under stage re-runs); the scan-side counts are observed on the way in.
+    # Written / matched / read counts come from the upsert's final write stage.
     stats = upsert(spark, target, docs, order_by=["dataCompletaTransacao", "valorTotalTransacao"],
                    batch_metrics={"rows_matched": F.col("nomeTitularConta").isNotNull()})
-    report.update(status="succeeded", **seen.get, rows_written=stats["rows_from_batch"],
-                  rows_matched=stats["rows_matched"],
+    n_bad = dead.get["rows_quarantined"]
+    report.update(status="succeeded", rows_read=stats["rows_in_batch"] + n_bad, rows_quarantined=n_bad,
+                  rows_written=stats["rows_from_batch"], rows_matched=stats["rows_matched"],
+                  quarantine=quarantine,
                   seconds=(dt.datetime.now(dt.timezone.utc) - started).total_seconds())
     return report
 
