@@ -18,14 +18,21 @@ from ledgerline.schemas import CUST_KEY, LOOKUP_BATCH_KEYS, PARTITION_COLS
 DIM_COLS = ("nome_titular_conta", "data_nascimento_titular_conta", "zip_code")
 
 
-def enrich(txn: DataFrame, customers: DataFrame, key: str = CUST_KEY) -> DataFrame:
+def enrich(txn: DataFrame, customers: DataFrame, key: str = CUST_KEY,
+           dedupe_dim_by: str | None = None) -> DataFrame:
     """Every transaction kept, customer fields null when unmatched.
 
-    ``customers`` must be unique on ``key`` (the keyed upsert guarantees it).
-    A null account never matches (D11): only that row stays unenriched.
+    ``customers`` must be unique on ``key`` (the keyed upsert guarantees it);
+    for a dimension that may repeat a key, ``dedupe_dim_by`` names the column
+    whose greatest value wins (skew-safe partial aggregate) so no transaction
+    is duplicated.  A null account never matches (D11): only that row stays
+    unenriched.
     """
-    dim = customers.select(key, *DIM_COLS)
-    return txn.join(dim, on=key, how="left")
+    dim = customers
+    if dedupe_dim_by is not None:
+        from ledgerline.operators.sinks import latest_per_key
+        dim = latest_per_key(dim.select(key, *DIM_COLS, dedupe_dim_by), key, [dedupe_dim_by])
+    return txn.join(dim.select(key, *DIM_COLS), on=key, how="left")
 
 
 def lookup(customers: DataFrame, txn: DataFrame, key: str = CUST_KEY) -> DataFrame:

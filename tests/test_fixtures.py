@@ -291,3 +291,11 @@ def test_metric_stats_time_range(spark):
     out = metric_stats(s, 300, "2024-01-01 00:05:00", "2024-01-01 00:15:00").orderBy("bucket_start").collect()
     assert [(r["n_points"], r["sum_value"], r["min_value"], r["max_value"]) for r in out] == \
         [(5, 35.0, 5.0, 9.0), (5, 60.0, 10.0, 14.0)]
+
+
+def test_repeated_dimension_key_never_duplicates_transactions(spark):
+    dup = CUST_ROWS[:2] + [("A", "Ana Souza", "1990-05-01T00:00:00Z", "99999-000", "2024-01-01")]
+    valid, _ = load_customers(spark.createDataFrame(dup, CUST_RAW))
+    rows = [("1", "A", 1.0, T15, "DEBITO", "PIX", "2024", "01", "15")]
+    out = to_document(enrich(txn(spark, rows), valid, dedupe_dim_by="data_criacao_registro")).collect()
+    assert len(out) == 1 and out[0]["nomeTitularConta"] == "Ana Souza" and out[0]["zipCode"] == "99999-000"
