@@ -234,24 +234,29 @@ def upsert(spark: SparkSession, target: str, batch: DataFrame, key: str | list =
         _swap(spark, staging, target, exists)
         return {"staging": staging, "touched_partitions": 0, **counts}
     staged_parts = set(stats["parts"])
+    # replaced directories are parked under a "_"-prefixed folder of the table,
+    # which Spark's file listing ignores, so readers never see them as partitions
+    parked = f"{target}/_replaced_{uuid.uuid4().hex[:12]}"
     for part in sorted(staged_parts):
-        _swap(spark, f"{staging}/{part}", f"{target}/{part}", True)
+        _swap(spark, f"{staging}/{part}", f"{target}/{part}", f"{parked}/{part}")
     for values in touched:
         part = "/".join(f"{c}={v}" for c, v in zip(pcols, values))
         if part not in staged_parts:                # every document of it moved elsewhere
             delete_path(spark, f"{target}/{part}")
+    delete_path(spark, parked)
     return {"staging": staging, "touched_partitions": len(touched), **counts}
 
 
-def _swap(spark: SparkSession, src: str, dst: str, dst_may_exist: bool) -> None:
-    """Replace directory ``dst`` by ``src``: old moves aside first, is deleted last."""
-    aside = None
-    if dst_may_exist and path_exists(spark, dst):
-        aside = f"{dst}.__replaced_{uuid.uuid4().hex[:8]}"
-        rename_path(spark, dst, aside)
+def _swap(spark: SparkSession, src: str, dst: str, aside: str | bool) -> None:
+    """Replace directory ``dst`` by ``src``: the old one moves to ``aside`` first
+    (a sibling when ``aside`` is True) and is deleted last."""
+    moved = None
+    if aside and path_exists(spark, dst):
+        moved = aside if isinstance(aside, str) else f"{dst}.__replaced_{uuid.uuid4().hex[:8]}"
+        rename_path(spark, dst, moved)
     rename_path(spark, src, dst)
-    if aside:
-        delete_path(spark, aside)
+    if moved and not isinstance(aside, str):
+        delete_path(spark, moved)
 
 
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType, location: str,
