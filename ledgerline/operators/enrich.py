@@ -19,7 +19,8 @@ DIM_COLS = ("nome_titular_conta", "data_nascimento_titular_conta", "zip_code")
 
 
 def enrich(txn: DataFrame, customers: DataFrame, key: str = CUST_KEY,
-           dedupe_dim_by: str | None = None) -> DataFrame:
+           dedupe_dim_by: str | None = None, salt_buckets: int | None = None,
+           salt_by: str = "codigo_lancamento") -> DataFrame:
     """Every transaction kept, customer fields null when unmatched.
 
     ``customers`` must be unique on ``key`` (the keyed upsert guarantees it);
@@ -27,12 +28,23 @@ def enrich(txn: DataFrame, customers: DataFrame, key: str = CUST_KEY,
     whose greatest value wins (skew-safe partial aggregate) so no transaction
     is duplicated.  A null account never matches (D11): only that row stays
     unenriched.
+
+    ``salt_buckets`` is for plans without adaptive skew handling (streaming
+    queries run without AQE) when the dimension is too large to broadcast:
+    each transaction gets a deterministic salt in [0, n) from the hash of
+    ``salt_by`` and the dimension is replicated once per salt, so a hot
+    account's rows spread over n join tasks.  The result is unchanged.
     """
     dim = customers
     if dedupe_dim_by is not None:
         from ledgerline.operators.sinks import latest_per_key
         dim = latest_per_key(dim.select(key, *DIM_COLS, dedupe_dim_by), key, [dedupe_dim_by])
-    return txn.join(dim.select(key, *DIM_COLS), on=key, how="left")
+    dim = dim.select(key, *DIM_COLS)
+    if not salt_buckets:
+        return txn.join(dim, on=key, how="left")
+    salted = txn.withColumn("_salt", F.pmod(F.xxhash64(F.col(salt_by)), F.lit(salt_buckets)).cast("int"))
+    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+    return salted.join(copies, on=[key, "_salt"], how="left").drop("_salt")
 
 
 def lookup(customers: DataFrame, txn: DataFrame, key: str = CUST_KEY) -> DataFrame:

@@ -47,6 +47,9 @@ def cluster_settings(input_bytes: int, executors: int = 1000, cores_per_executor
         # a day of transactions against a much larger customer table: prune the
         # customer scan with a bloom filter of that day's account keys at runtime
         "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        # dedupe / window state of the streams lives in RocksDB, not the JVM heap
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
 
 

@@ -74,9 +74,14 @@ def stream_ingest(spark: SparkSession, base: str, target: str, checkpoint: str,
 
 
 def stream_enrich(spark: SparkSession, base: str, out: str, checkpoint: str, customers: DataFrame,
-                  available_now: bool = True):
-    """Stream-static left join into a partitioned parquet file sink."""
-    docs = to_document(enrich(parse_raw(stream_source(spark, base)), customers), keep=PARTITION_COLS)
+                  available_now: bool = True, salt_buckets: int | None = None):
+    """Stream-static left join into a partitioned parquet file sink.
+
+    Streaming plans run without AQE: for a customer table too large to
+    broadcast, pass ``salt_buckets`` so a hot account is spread over tasks.
+    """
+    docs = to_document(enrich(parse_raw(stream_source(spark, base)), customers,
+                              salt_buckets=salt_buckets), keep=PARTITION_COLS)
     writer = (docs.writeStream.format("parquet").outputMode("append").option("path", out)
               .partitionBy(*PARTITION_COLS))
     return _run(writer, checkpoint, available_now)

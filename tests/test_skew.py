@@ -77,3 +77,27 @@ def test_hot_key_dedupe_is_partially_aggregated(spark, skew_conf):
 def test_hot_key_semi_lookup(spark, skew_conf):
     got = lookup(dim(spark), facts(spark)).count()
     assert got == 501
+
+
+def test_salted_enrichment_equals_plain(spark, skew_conf):
+    plain = to_document(enrich(facts(spark), dim(spark)))
+    salted = to_document(enrich(facts(spark), dim(spark), salt_buckets=8))
+    a = sorted(map(tuple, plain.collect()), key=str)
+    b = sorted(map(tuple, salted.collect()), key=str)
+    assert a == b and len(b) == N
+    p = salted._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" in p
+
+
+def test_salted_stream_enrich(spark, tmp_base):
+    from ledgerline.operators import sinks as K
+    from ledgerline.session import scratch_path
+    from ledgerline.streaming.ingest import stream_enrich
+    from ledgerline.sources.json_files import scan_tree
+    rows = facts(spark).limit(2000).withColumn("year", F.lit("2024")).withColumn("month", F.lit("01")) \
+        .withColumn("day", F.lit("15"))
+    K.write_partitioned_jsonl(rows, f"{tmp_base}/src")
+    stream_enrich(spark, f"{tmp_base}/src", f"{tmp_base}/out", scratch_path(spark, "ckpt"), dim(spark),
+                  salt_buckets=4)
+    out = spark.read.parquet(f"{tmp_base}/out")
+    assert out.count() == 2000 and out.where("nomeTitularConta IS NULL").count() == 0
