@@ -247,6 +247,34 @@ def upsert(spark: SparkSession, target: str, batch: DataFrame, key: str | list =
     return {"staging": staging, "touched_partitions": len(touched), **counts}
 
 
+def insert_new(spark: SparkSession, target: str, batch: DataFrame, key: str = DOC_KEY,
+               order_by=(), partition_cols=PARTITION_COLS, max_partitions: int = 100_000) -> dict:
+    """Insert-if-absent by key (the redelivery filter of T3 as a batch step).
+
+    Copies inside the batch collapse through the partial aggregate of
+    ``latest_per_key`` (a group of copies holding a third of the rows is
+    reduced inside each task), then keys already stored in the batch's own
+    partitions are dropped (anti join against those partitions only: a
+    redelivered copy carries the same event time, hence the same day), and
+    the rest is appended.  Replaying a batch after a failure finds its rows
+    already stored, so the step is idempotent.
+    """
+    pcols = list(partition_cols)
+    schema = T.StructType([f for f in batch.schema.fields])
+    fresh = latest_per_key(batch, key, list(order_by))
+    if path_exists(spark, target):
+        days = [tuple(r) for r in batch.select(*pcols).distinct().limit(max_partitions + 1).collect()]
+        if len(days) > max_partitions:
+            raise ValueError(f"batch spans more than {max_partitions} partitions")
+        if days:
+            stored = read_table(spark, target, schema).where(_partition_filter(pcols, days)).select(key)
+            fresh = fresh.join(stored, key, "left_anti")
+    added = Observation(f"insert_{uuid.uuid4().hex[:12]}")
+    fresh.observe(added, F.count(F.lit(1)).alias("rows_added")) \
+        .write.mode("append").partitionBy(*pcols).parquet(target)
+    return dict(added.get)
+
+
 def _swap(spark: SparkSession, src: str, dst: str, aside: str | bool) -> None:
     """Replace directory ``dst`` by ``src``: the old one moves to ``aside`` first
     (a sibling when ``aside`` is True) and is deleted last."""

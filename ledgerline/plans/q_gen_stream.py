@@ -91,6 +91,17 @@ def stream_dedupe(spark, sf_dir):
     return read_table(spark, out, schema)
 
 
+@register("stream_dedupe_insert", with_base(f"SELECT {TXR_COLS} FROM txr", TXR_SQL))
+def stream_dedupe_insert(spark, sf_dir):
+    """Every file delivered twice, over several micro-batches; insert-if-absent keeps one copy."""
+    base = jsonl_tree(spark, sf_dir)
+    write_partitioned_jsonl(roles.transactions(spark, sf_dir), base, mode="append")   # redelivery
+    out = scratch_path(spark, "stream-dedupe-insert")
+    ST.stream_dedupe_into(spark, base, out, scratch_path(spark, "ckpt"), max_files_per_trigger=16)
+    schema = T.StructType([f for f in parse_raw(spark.read.schema(TXN_RAW).json(base)).schema.fields])
+    return read_table(spark, out, schema)
+
+
 @register("stream_tumbling", with_base(f"""
 SELECT tipo_transacao, time_bucket(INTERVAL '900 seconds', date_trunc('second', data_completa_transacao)) AS window_start,
        COUNT(*) AS n_transactions, {money_sum_sql('valor_total_transacao')} AS sum_valor

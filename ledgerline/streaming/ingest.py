@@ -99,6 +99,22 @@ def stream_dedupe(df: DataFrame, key: str = "codigo_lancamento", delay: str = "1
             .dropDuplicatesWithinWatermark([key]).drop("_event_time"))
 
 
+def stream_dedupe_into(spark: SparkSession, base: str, target: str, checkpoint: str,
+                       key: str = "codigo_lancamento", available_now: bool = True,
+                       max_files_per_trigger: int | None = None):
+    """T3, skew-safe form: per micro-batch, collapse copies map-side and append only
+    ids not yet stored in the batch's day partitions (``insert_new``).  No state
+    store; replayed batches are filtered by the target itself."""
+    from ledgerline.operators.sinks import insert_new
+    raw = stream_source(spark, base, TXN_RAW, max_files_per_trigger)
+
+    def per_batch(batch: DataFrame, epoch_id: int):
+        insert_new(batch.sparkSession, target, parse_raw(batch), key=key,
+                   order_by=["data_completa_transacao"])
+
+    return _run(raw.writeStream.foreachBatch(per_batch), checkpoint, available_now)
+
+
 def stream_tumbling(df: DataFrame, period: str = "900 seconds", delay: str = "1 hour",
                     by: str = "tipo_transacao", ts: str = "data_completa_transacao",
                     value: str = "valor_total_transacao") -> DataFrame:

@@ -101,3 +101,17 @@ def test_salted_stream_enrich(spark, tmp_base):
                   salt_buckets=4)
     out = spark.read.parquet(f"{tmp_base}/out")
     assert out.count() == 2000 and out.where("nomeTitularConta IS NULL").count() == 0
+
+
+def test_insert_new_collapses_hot_copies_and_is_replay_safe(spark, tmp_base):
+    from ledgerline.operators.sinks import insert_new, read_table
+    base = facts(spark).withColumn("year", F.lit("2024")).withColumn("month", F.lit("01")) \
+        .withColumn("day", F.lit("15"))
+    hot_copies = base.where("codigo_lancamento = '0'").select(
+        "*", F.explode(F.sequence(F.lit(1), F.lit(N // 2))).alias("_copy")).drop("_copy")
+    batch = base.unionByName(hot_copies)                 # id '0' holds a third of the rows
+    r1 = insert_new(spark, tmp_base, batch, key="codigo_lancamento")
+    r2 = insert_new(spark, tmp_base, batch, key="codigo_lancamento")   # replay / redelivery
+    out = read_table(spark, tmp_base, base.schema)
+    assert (r1["rows_added"], r2["rows_added"], out.count()) == (N, 0, N)
+    assert out.where("codigo_lancamento = '0'").count() == 1
