@@ -57,7 +57,7 @@ def cmd_load_customers(spark, a):
 
 def cmd_run_day(spark, a):
     report = run_day(spark, a.base, a.year, a.month, a.day, _customers(spark, a.customers), a.target,
-                     a.quarantine)
+                     a.quarantine, a.moved_within_days)
     if a.ledger:
         from ledgerline.operators.monitor import record_run
         record_run(spark, a.ledger, report)
@@ -109,6 +109,8 @@ def parser() -> argparse.ArgumentParser:
         rd.add_argument(name, required=True)
     rd.add_argument("--quarantine", default=None)
     rd.add_argument("--ledger", default=None, help="append the run report to this run-ledger table")
+    rd.add_argument("--moved-within-days", type=int, default=None,
+                    help="look for documents whose day changed only this many days back")
     st = sub.add_parser("stream")
     for name in ("--base", "--customers", "--target"):
         st.add_argument(name, required=True)

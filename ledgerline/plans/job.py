@@ -16,8 +16,17 @@ from ledgerline.session import configure, scratch_path
 from ledgerline.sources.json_files import parse_raw, quarantine_reason, read_days
 
 
+def moved_window(year: str, month: str, day: str, days: int):
+    """Partition predicate: partitions dated within ``days`` before the given day
+    (pure partition-column expression, so it prunes directories)."""
+    pdate = F.make_date(*[F.col(c).cast("int") for c in PARTITION_COLS])
+    this = F.make_date(F.lit(int(year)), F.lit(int(month)), F.lit(int(day)))
+    return pdate >= F.date_sub(this, days)
+
+
 def run_day(spark: SparkSession, base: str, year: str, month: str, day: str,
-            customers: DataFrame, target: str, quarantine: str | None = None) -> dict:
+            customers: DataFrame, target: str, quarantine: str | None = None,
+            moved_within_days: int | None = None) -> dict:
     """Process one day of ``base`` into ``target``; returns the run report.
 
     A day without rows stops before touching the target (status ``empty``).
@@ -26,6 +35,8 @@ def run_day(spark: SparkSession, base: str, year: str, month: str, day: str,
     stages of the quarantine and target writes: nothing is scanned twice for
     the report, and stages re-run after a lost executor do not inflate them.
     Quarantined rows go to ``quarantine`` (a scratch folder when not given).
+    ``moved_within_days`` bounds where a document whose event day changed is
+    looked for (default: the whole target, exact but O(table) per run).
     """
     configure(spark)
     started = dt.datetime.now(dt.timezone.utc)
@@ -46,8 +57,10 @@ def run_day(spark: SparkSession, base: str, year: str, month: str, day: str,
      .partitionBy(*PARTITION_COLS).json(quarantine))
     docs = to_document(enrich(good, customers), keep=PARTITION_COLS)
     # Written / matched / read counts come from the upsert's final write stage.
+    scope = None if moved_within_days is None else moved_window(year, month, day, moved_within_days)
     stats = upsert(spark, target, docs, order_by=["dataCompletaTransacao", "valorTotalTransacao"],
-                   batch_metrics={"rows_matched": F.col("nomeTitularConta").isNotNull()})
+                   batch_metrics={"rows_matched": F.col("nomeTitularConta").isNotNull()},
+                   moved_scope=scope)
     n_bad = dead.get["rows_quarantined"]
     report.update(status="succeeded", rows_read=stats["rows_in_batch"] + n_bad, rows_quarantined=n_bad,
                   rows_written=stats["rows_from_batch"], rows_matched=stats["rows_matched"],

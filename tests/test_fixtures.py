@@ -299,3 +299,16 @@ def test_repeated_dimension_key_never_duplicates_transactions(spark):
     rows = [("1", "A", 1.0, T15, "DEBITO", "PIX", "2024", "01", "15")]
     out = to_document(enrich(txn(spark, rows), valid, dedupe_dim_by="data_criacao_registro")).collect()
     assert len(out) == 1 and out[0]["nomeTitularConta"] == "Ana Souza" and out[0]["zipCode"] == "99999-000"
+
+
+def test_run_day_moved_window_prunes(spark, tmp_base):
+    from ledgerline.plans.job import moved_window
+    rows = [("1", "A", 1.0, T15, "DEBITO", "PIX", "2024", "01", "15"),
+            ("2", "A", 1.0, T15, "DEBITO", "PIX", "2024", "01", "02")]
+    K.write_partitioned_jsonl(txn(spark, rows), f"{tmp_base}/t")
+    df = J.read_jsonl(spark, f"{tmp_base}/t").where(moved_window("2024", "01", "16", 7))
+    assert [r["codigo_lancamento"] for r in df.collect()] == ["1"]
+    assert "PartitionFilters" in df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    base = write_day(spark, f"{tmp_base}/src", [line("1", "A")])
+    rep = run_day(spark, base, "2024", "01", "15", customers(spark), f"{tmp_base}/target", moved_within_days=30)
+    assert rep["rows_written"] == 1
