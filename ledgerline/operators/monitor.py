@@ -147,7 +147,8 @@ def run_ledger(txn: DataFrame, job: str = "transaction-enrichment", rows_per_sec
             F.timestamp_add("HOUR", hour, base)
         return [F.lit(job).alias("job"),
                 F.concat(F.lit("jr_"), *PARTITION_COLS, F.lit("_"), attempt.cast("string")).alias("run_id"),
-                run_date.alias("run_date"), attempt.cast("int").alias("attempt"), F.lit(state).alias("state"),
+                F.date_format(run_date, "yyyy-MM-dd").alias("run_date"), attempt.cast("int").alias("attempt"),
+                F.lit(state).alias("state"),
                 started.alias("started_on"), F.timestamp_add("SECOND", seconds, started).alias("completed_on"),
                 seconds.cast("int").alias("execution_seconds"),
                 (seconds.cast("double") * F.lit(float(DPU_PER_RUN))).alias("dpu_seconds"),
@@ -184,7 +185,7 @@ def recent_runs(runs: DataFrame, n: int = 5) -> DataFrame:
 
 def run_cost(runs: DataFrame, price_per_dpu_hour: float = PRICE_PER_DPU_HOUR) -> DataFrame:
     """DPU-hours and cost per job and month."""
-    return (runs.groupBy("job", F.date_format("run_date", "yyyy-MM").alias("month"))
+    return (runs.groupBy("job", F.substring("run_date", 1, 7).alias("month"))
             .agg(F.count(F.lit(1)).alias("n_runs"), F.sum("execution_seconds").alias("total_seconds"),
                  (F.sum("dpu_seconds") / F.lit(3600.0)).alias("dpu_hours"))
             .withColumn("cost_usd", F.col("dpu_hours") * F.lit(float(price_per_dpu_hour))))

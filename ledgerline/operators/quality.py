@@ -66,7 +66,11 @@ _OPS = {">=": lambda v, t: v >= t, "<=": lambda v, t: v <= t, "==": lambda v, t:
 
 def dq_report(docs: DataFrame, rejected_customers: DataFrame, min_rows: int = 1000,
               min_accounts: int = 20) -> DataFrame:
-    """Q5: one table of (check, value, threshold, ok) from two aggregates."""
+    """Q5: one table of (check, value, threshold, status) from two aggregates.
+
+    ``status`` is ``pass`` / ``fail`` for checks with a threshold and ``info``
+    for counts reported without a verdict.
+    """
     tipo_bad = ~F.coalesce(F.col("tipoTransacao").isin(list(TRANSACTION_TYPES)), F.lit(False))
     prod_bad = ~F.coalesce(F.col("tipoProdutoTransacao").isin(list(PRODUCT_TYPES)), F.lit(False))
     checks = [  # name, aggregate, comparison, threshold
@@ -80,9 +84,9 @@ def dq_report(docs: DataFrame, rejected_customers: DataFrame, min_rows: int = 10
     ]
     wide = docs.agg(*[agg.cast("double").alias(name) for name, agg, _, _ in checks])
     def row(name, value, op, thr):   # informational checks carry no threshold / verdict
+        status = (F.when(_OPS[op](value, F.lit(thr)), "pass").otherwise("fail") if op else F.lit("info"))
         return F.struct(F.lit(name).alias("check_name"), value.alias("value"),
-                        F.lit(thr).cast("double").alias("threshold"),
-                        (_OPS[op](value, F.lit(thr)) if op else F.lit(None)).cast("boolean").alias("ok"))
+                        F.lit(thr).cast("double").alias("threshold"), status.alias("status"))
 
     rows = wide.select(F.inline(F.array(*[row(n, F.col(n), op, thr) for n, _, op, thr in checks])))
     rej = rejected_customers.agg(F.count(F.lit(1)).cast("double").alias("v")).select(

@@ -184,14 +184,15 @@ def partition_key_name(spark, sf_dir):
 @register("epoch_and_iso", with_base("""
 SELECT "codigoLancamento", epoch_us("dataCompletaTransacao") // 1000 AS data_epoch_ms,
        strftime("dataCompletaTransacao", '%Y-%m-%dT%H:%M:%S.%gZ') AS data_iso,
-       epoch_us("dataNascimentoTitularConta") // 1000 AS nascimento_epoch_ms FROM enr"""))
+       CAST(epoch_us("dataNascimentoTitularConta") // 1000 AS DOUBLE) AS nascimento_epoch_ms FROM enr"""))
 def epoch_and_iso(spark, sf_dir):
     """Document dates as epoch millis (the serialiser default) and as ISO text."""
     docs = enriched(spark, sf_dir)
     return docs.select("codigoLancamento",
                        epoch_millis("dataCompletaTransacao").alias("data_epoch_ms"),
                        iso_millis("dataCompletaTransacao").alias("data_iso"),
-                       epoch_millis("dataNascimentoTitularConta").alias("nascimento_epoch_ms"))
+                       # nullable (unmatched customers): carried as an exact double
+                       epoch_millis("dataNascimentoTitularConta").cast("double").alias("nascimento_epoch_ms"))
 
 
 @register("file_inventory")

@@ -81,7 +81,8 @@ RUNS_SQL = """day_stats AS (
          make_date(CAST(year AS INTEGER), CAST(month AS INTEGER), CAST(day AS INTEGER)) AS run_date
   FROM tx GROUP BY year, month, day),
 runs AS (
-  SELECT 'transaction-enrichment' AS job, 'jr_' || year || month || day || '_1' AS run_id, run_date,
+  SELECT 'transaction-enrichment' AS job, 'jr_' || year || month || day || '_1' AS run_id,
+         strftime(run_date, '%Y-%m-%d') AS run_date,
          1 AS attempt, 'FAILED' AS state, CAST(run_date + 1 AS TIMESTAMP) + INTERVAL 2 HOUR AS started_on,
          CAST(run_date + 1 AS TIMESTAMP) + INTERVAL 2 HOUR + INTERVAL 30 SECOND AS completed_on,
          30 AS execution_seconds, 60.0::DOUBLE AS dpu_seconds, CAST(0 AS BIGINT) AS rows_processed,
@@ -89,7 +90,7 @@ runs AS (
   FROM day_stats WHERE n_error > n_purchase
   UNION ALL
   SELECT 'transaction-enrichment', 'jr_' || year || month || day || '_' || CASE WHEN n_error > n_purchase THEN 2 ELSE 1 END,
-         run_date, CASE WHEN n_error > n_purchase THEN 2 ELSE 1 END, 'SUCCEEDED',
+         strftime(run_date, '%Y-%m-%d'), CASE WHEN n_error > n_purchase THEN 2 ELSE 1 END, 'SUCCEEDED',
          CAST(run_date + 1 AS TIMESTAMP) + to_hours(CASE WHEN n_error > n_purchase THEN 3 ELSE 2 END),
          CAST(run_date + 1 AS TIMESTAMP) + to_hours(CASE WHEN n_error > n_purchase THEN 3 ELSE 2 END)
            + to_seconds(CAST(60 + ceil(n_rows / 40) AS BIGINT)),
@@ -121,7 +122,7 @@ def recent_runs(spark, sf_dir):
 
 
 @register("run_cost", with_base("""
-SELECT job, strftime(run_date, '%Y-%m') AS month, COUNT(*) AS n_runs, CAST(SUM(execution_seconds) AS BIGINT) AS total_seconds,
+SELECT job, substr(run_date, 1, 7) AS month, COUNT(*) AS n_runs, CAST(SUM(execution_seconds) AS BIGINT) AS total_seconds,
        SUM(dpu_seconds) / 3600.0 AS dpu_hours, SUM(dpu_seconds) / 3600.0 * 0.44 AS cost_usd
 FROM runs GROUP BY ALL""", RUNS_SQL))
 def run_cost(spark, sf_dir):

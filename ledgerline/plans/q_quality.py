@@ -86,24 +86,26 @@ def dq_nulls_and_keys(spark, sf_dir):
 
 
 @register("dq_report", with_base(f"""
-SELECT * FROM (VALUES ('x', 0.0::DOUBLE, 0.0::DOUBLE, true)) t(check_name, value, threshold, ok) WHERE false
-UNION ALL SELECT 'volume_rows', CAST(COUNT(*) AS DOUBLE), 1000.0::DOUBLE, COUNT(*) >= 1000 FROM enr
+SELECT 'volume_rows' AS check_name, CAST(COUNT(*) AS DOUBLE) AS value, 1000.0::DOUBLE AS threshold,
+       CASE WHEN COUNT(*) >= 1000 THEN 'pass' ELSE 'fail' END AS status FROM enr
 UNION ALL SELECT 'distinct_accounts', CAST(COUNT(DISTINCT "numeroUnicoConta") AS DOUBLE), 20.0::DOUBLE,
-                 COUNT(DISTINCT "numeroUnicoConta") >= 20 FROM enr
+                 CASE WHEN COUNT(DISTINCT "numeroUnicoConta") >= 20 THEN 'pass' ELSE 'fail' END FROM enr
 UNION ALL SELECT 'duplicate_ids', CAST(COUNT(*) - COUNT(DISTINCT "codigoLancamento") AS DOUBLE), 0.0::DOUBLE,
-                 COUNT(*) - COUNT(DISTINCT "codigoLancamento") = 0 FROM enr
+                 CASE WHEN COUNT(*) - COUNT(DISTINCT "codigoLancamento") = 0 THEN 'pass' ELSE 'fail' END FROM enr
 UNION ALL SELECT 'null_ids', CAST(COUNT(*) FILTER (WHERE "codigoLancamento" IS NULL) AS DOUBLE), 0.0::DOUBLE,
-                 COUNT(*) FILTER (WHERE "codigoLancamento" IS NULL) = 0 FROM enr
+                 CASE WHEN COUNT(*) FILTER (WHERE "codigoLancamento" IS NULL) = 0 THEN 'pass' ELSE 'fail' END FROM enr
 UNION ALL SELECT 'tipo_out_of_domain', CAST(COUNT(*) FILTER (WHERE "tipoTransacao" IS NULL OR
                  "tipoTransacao" NOT IN ({_in(TRANSACTION_TYPES)})) AS DOUBLE), 0.0::DOUBLE,
-                 COUNT(*) FILTER (WHERE "tipoTransacao" IS NULL OR "tipoTransacao" NOT IN ({_in(TRANSACTION_TYPES)})) = 0 FROM enr
+                 CASE WHEN COUNT(*) FILTER (WHERE "tipoTransacao" IS NULL OR "tipoTransacao" NOT IN ({_in(TRANSACTION_TYPES)})) = 0
+                      THEN 'pass' ELSE 'fail' END FROM enr
 UNION ALL SELECT 'produto_out_of_domain', CAST(COUNT(*) FILTER (WHERE "tipoProdutoTransacao" IS NULL OR
                  "tipoProdutoTransacao" NOT IN ({_in(PRODUCT_TYPES)})) AS DOUBLE), 0.0::DOUBLE,
-                 COUNT(*) FILTER (WHERE "tipoProdutoTransacao" IS NULL OR "tipoProdutoTransacao" NOT IN ({_in(PRODUCT_TYPES)})) = 0 FROM enr
+                 CASE WHEN COUNT(*) FILTER (WHERE "tipoProdutoTransacao" IS NULL OR "tipoProdutoTransacao" NOT IN ({_in(PRODUCT_TYPES)})) = 0
+                      THEN 'pass' ELSE 'fail' END FROM enr
 UNION ALL SELECT 'unmatched_documents', CAST(COUNT(*) FILTER (WHERE "nomeTitularConta" IS NULL) AS DOUBLE),
-                 NULL, NULL FROM enr
+                 CAST(NULL AS DOUBLE), 'info' FROM enr
 UNION ALL SELECT 'customers_rejected', CAST((SELECT COUNT(*) FROM cust_items) - (SELECT COUNT(*) FROM cust) AS DOUBLE),
-                 NULL, NULL"""))
+                 CAST(NULL AS DOUBLE), 'info'"""))
 def dq_report(spark, sf_dir):
     """All checks in one table."""
     _, rejected = load_customers(roles.customer_items(spark, sf_dir))

@@ -49,7 +49,13 @@ def normalise(cols, rows):
     return [cols[i] for i in order], sorted(out, key=repr)
 
 
-def compare(spark, con, name, builder, sql, sf_dir):
+def pandas_canon(df):
+    """Order-insensitive text form of a pandas frame (what a pandas-based hasher sees)."""
+    df = df[sorted(df.columns)]
+    return sorted(tuple(str(v) for v in r) for r in df.itertuples(index=False))
+
+
+def compare(spark, con, name, builder, sql, sf_dir, pandas_check=False):
     t0 = time.time()
     sdf = builder(spark, sf_dir)
     srows = [tuple(r) for r in sdf.collect()]
@@ -65,6 +71,8 @@ def compare(spark, con, name, builder, sql, sf_dir):
     ok = sc == dc and sn == dn
     info = {"name": name, "ok": ok, "rows": len(srows), "oracle_rows": len(drows),
             "spark_s": round(t1 - t0, 2)}
+    if pandas_check:
+        info["pandas_ok"] = pandas_canon(sdf.toPandas()) == pandas_canon(con.execute(sql).df())
     stypes = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
               for f in sdf.schema.fields}
     dtypes = {d[0]: str(d[1]) for d in res.description}

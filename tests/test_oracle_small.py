@@ -29,6 +29,7 @@ def test_registry_covers_survey_plan():
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, duck, name):
     fn, sql = registry.REGISTRY[name]
-    info = compare(spark, duck, name, fn, sql, SF_SMALL)
+    info = compare(spark, duck, name, fn, sql, SF_SMALL, pandas_check=True)
     assert info["ok"] in (True, None), info
     assert "type_mismatch" not in info, info
+    assert info.get("pandas_ok", True), info
