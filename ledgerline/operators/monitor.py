@@ -7,6 +7,8 @@ function that finds runs of breaching periods never sees raw rows.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -164,12 +166,19 @@ def run_ledger(txn: DataFrame, job: str = "transaction-enrichment", rows_per_sec
 
 
 def record_run(spark: SparkSession, ledger_path: str, report: dict, job: str = "transaction-enrichment"):
-    """O1: append one run report of ``run_day`` to the ledger table."""
-    row = (job, f"jr_{report['year']}{report['month']}{report['day']}", report["status"],
-           int(report.get("rows_read", 0)), int(report.get("rows_written", 0)),
-           float(report.get("seconds", 0.0)))
-    spark.createDataFrame([row], "job string, run_id string, state string, rows_read long, "
-                                 "rows_written long, execution_seconds double") \
+    """O1: append one ``run_day`` report to the run-ledger table (parquet, append-only)."""
+    def naive_utc(t):
+        return None if t is None else t.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    started, completed = naive_utc(report.get("started_on")), naive_utc(report.get("completed_on"))
+    row = (job, f"jr_{report['year']}{report['month']}{report['day']}",
+           f"{report['year']}-{report['month']}-{report['day']}", report["status"], started, completed,
+           float(report.get("seconds", 0.0)), int(report.get("rows_read", 0)),
+           int(report.get("rows_written", 0)), int(report.get("rows_matched", 0)),
+           int(report.get("rows_quarantined", 0)))
+    spark.createDataFrame([row], "job string, run_id string, run_date string, state string, "
+                                 "started_on timestamp_ntz, completed_on timestamp_ntz, "
+                                 "execution_seconds double, rows_read long, rows_written long, "
+                                 "rows_matched long, rows_quarantined long") \
         .write.mode("append").parquet(ledger_path)
 
 

@@ -44,6 +44,7 @@ def run_day(spark: SparkSession, base: str, year: str, month: str, day: str,
     report = {"year": year, "month": month, "day": day, "status": "empty", "rows_read": 0,
               "rows_written": 0, "rows_matched": 0, "rows_quarantined": 0}
     if raw.isEmpty():
+        report.update(started_on=started, completed_on=dt.datetime.now(dt.timezone.utc))
         return report
     tagged = raw.withColumn("reason", quarantine_reason())
     good = parse_raw(tagged.where(F.col("reason").isNull()))
@@ -62,10 +63,11 @@ def run_day(spark: SparkSession, base: str, year: str, month: str, day: str,
                    batch_metrics={"rows_matched": F.col("nomeTitularConta").isNotNull()},
                    moved_scope=scope)
     n_bad = dead.get["rows_quarantined"]
+    completed = dt.datetime.now(dt.timezone.utc)
     report.update(status="succeeded", rows_read=stats["rows_in_batch"] + n_bad, rows_quarantined=n_bad,
                   rows_written=stats["rows_from_batch"], rows_matched=stats["rows_matched"],
-                  quarantine=quarantine,
-                  seconds=(dt.datetime.now(dt.timezone.utc) - started).total_seconds())
+                  quarantine=quarantine, started_on=started, completed_on=completed,
+                  seconds=(completed - started).total_seconds())
     return report
 
 

@@ -243,11 +243,15 @@ def test_bulk_body_files_and_iso_dates(spark, tmp_base):
 
 def test_record_run_appends_reports(spark, tmp_base):
     from ledgerline.operators.monitor import record_run
+    t0 = dt.datetime(2024, 1, 16, 2, 0, tzinfo=dt.timezone.utc)
     record_run(spark, tmp_base, {"year": "2024", "month": "01", "day": "15", "status": "succeeded",
-                                 "rows_read": 3, "rows_written": 2, "seconds": 1.5})
+                                 "rows_read": 3, "rows_written": 2, "seconds": 1.5, "started_on": t0,
+                                 "completed_on": t0 + dt.timedelta(seconds=1.5)})
     record_run(spark, tmp_base, {"year": "2024", "month": "01", "day": "16", "status": "empty"})
     got = sorted((r["run_id"], r["state"], r["rows_written"]) for r in spark.read.parquet(tmp_base).collect())
     assert got == [("jr_20240115", "succeeded", 2), ("jr_20240116", "empty", 0)]
+    first = spark.read.parquet(tmp_base).where("run_id = 'jr_20240115'").first()
+    assert first["started_on"] == dt.datetime(2024, 1, 16, 2, 0) and first["run_date"] == "2024-01-15"
 
 
 def test_moved_scope_limits_the_search(spark, tmp_base):
