@@ -63,11 +63,10 @@ def text_match(spark, sf_dir):
     "AND \"dataCompletaTransacao\" BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-20 23:59:59'"))
 def range_filter(spark, sf_dir):
     """Range on a double and a date field, all hits."""
+    ts = lambda v: F.lit(v).cast("timestamp_ntz")
     rng = {"valorTotalTransacao": (50.0, 100.0),
-           "dataCompletaTransacao": ("2024-01-10 00:00:00", "2024-01-20 23:59:59")}
-    docs = enriched(spark, sf_dir)
-    rng["dataCompletaTransacao"] = tuple(F.lit(v).cast("timestamp_ntz") for v in rng["dataCompletaTransacao"])
-    return S.search(docs, range_=rng, size=None)
+           "dataCompletaTransacao": (ts("2024-01-10 00:00:00"), ts("2024-01-20 23:59:59"))}
+    return S.search(enriched(spark, sf_dir), range_=rng, size=None)
 
 
 def _terms_sql(field: str) -> str:
