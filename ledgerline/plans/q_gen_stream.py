@@ -3,21 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.operators import generate as G
 from ledgerline.operators.documents import to_document
 from ledgerline.operators.lookup_udf import ParquetKeyFetcher, batched_lookup
-from ledgerline.operators.sinks import read_table
+from ledgerline.operators.sinks import read_table, write_partitioned_jsonl
 from ledgerline.plans import roles
 from ledgerline.plans.q_files import TXR_COLS, TXR_SQL, jsonl_tree
 from ledgerline.plans.q_sinks import DOCS_SCHEMA
 from ledgerline.plans.registry import ENR_COLS_SQL, money_sum_sql, register, with_base
 from ledgerline.schemas import CUST, ENR_COLS, TXN_RAW
-from ledgerline.operators.sinks import write_partitioned_jsonl
 from ledgerline.session import scratch_path
 from ledgerline.sources.json_files import parse_raw
 from ledgerline.streaming import ingest as ST
-from pyspark.sql import types as T
 
 
 def _uuid_sql(expr: str) -> str:
