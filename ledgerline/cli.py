@@ -38,7 +38,7 @@ def _customers(spark, path):
 
 def cmd_generate(spark, a):
     cust = gen_customers(spark.range(a.customers))
-    K.write_json_array(cust, a.customers_out, num_files=max(1, a.customers // 100_000))
+    K.write_json_array(cust, a.customers_out)
     txn = gen_transactions(spark.range(a.transactions), a.customers, a.start, a.end)
     K.write_partitioned_jsonl(txn, a.transactions_out, files_per_partition=a.files_per_partition)
     return {"customers": a.customers, "transactions": a.transactions}

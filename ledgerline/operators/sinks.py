@@ -122,12 +122,18 @@ def write_partitioned_jsonl(txn: DataFrame, base: str, files_per_partition: int
     return base
 
 
-def write_json_array(df: DataFrame, path: str, num_files: int = 4) -> str:
-    """One pretty-simple JSON array per output file (the saved-customers format).
-
-    Each task streams its rows: ``[`` before the first element, ``,`` before
-    the others, ``]`` after the last; memory stays at one Arrow batch.
+def write_json_array(df: DataFrame, path: str, num_files: int | None = None,
+                     rows_per_file: int = 1_000_000) -> str:
+    """One JSON array per output file (the saved-customers format).
+
+    An array file cannot be split when read back (one task per file), so the
+    file count follows the data: ``ceil(rows / rows_per_file)`` unless
+    ``num_files`` is given.  Each task streams its rows: ``[`` before the
+    first element, ``,`` before the others, ``]`` after the last; memory stays
+    at one Arrow batch.
     """
+    if num_files is None:
+        num_files = max(1, -(-df.count() // rows_per_file))
     lines = df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("value"))
     lines = lines.repartition(num_files)
 
