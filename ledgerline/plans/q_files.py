@@ -8,6 +8,8 @@ precision, hence ``date_trunc('second', ...)`` in the oracles.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from ledgerline.functions import epoch_millis, iso_millis, partition_name, partition_path
@@ -19,7 +21,7 @@ from ledgerline.plans.job import report_frame, run_day
 from ledgerline.plans.q_core import enriched
 from ledgerline.plans.registry import register, with_base
 from ledgerline.schemas import CUST_RAW, PARTITION_COLS, TXN
-from ledgerline.session import scratch_path
+from ledgerline.session import path_exists, scratch_path
 from ledgerline.sources import json_files as J
 from ledgerline.sources.customers import parse_customers
 
@@ -31,9 +33,24 @@ TXR_COLS = ("codigo_lancamento, numero_unico_conta, valor_total_transacao, data_
             "tipo_transacao, tipo_produto_transacao, year, month, day")
 
 
-def jsonl_tree(spark, sf_dir) -> str:
-    """Write every transaction as date-partitioned JSON Lines; return the base path."""
-    return write_partitioned_jsonl(roles.transactions(spark, sf_dir), scratch_path(spark, "txn-jsonl"))
+_TREES: dict = {}
+
+
+def jsonl_tree(spark, sf_dir, fresh: bool = False) -> str:
+    """Every transaction as date-partitioned JSON Lines; returns the base path.
+
+    The landed files are written once per application and table folder and
+    then shared by the queries that only read them, as a daily job reads files
+    that already arrived; ``fresh`` writes a private tree (writer tests, or
+    queries that append redeliveries to it).
+    """
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if not fresh and key in _TREES and path_exists(spark, _TREES[key] + "/_SUCCESS"):
+        return _TREES[key]
+    path = write_partitioned_jsonl(roles.transactions(spark, sf_dir), scratch_path(spark, "txn-jsonl"))
+    if not fresh:
+        _TREES[key] = path
+    return path
 
 
 @register("day_scan", with_base(f"SELECT {TXR_COLS} FROM txr WHERE year = '2024' AND month = '01' AND day = '15'", TXR_SQL))
@@ -61,7 +78,7 @@ def tree_partition_counts(spark, sf_dir):
 @register("partitioned_write_roundtrip", with_base(f"SELECT {TXR_COLS} FROM txr", TXR_SQL))
 def partitioned_write_roundtrip(spark, sf_dir):
     """Write the tree, read all of it back."""
-    return J.scan_tree(spark, jsonl_tree(spark, sf_dir))
+    return J.scan_tree(spark, jsonl_tree(spark, sf_dir, fresh=True))
 
 
 @register("json_array_scan", with_base("SELECT * FROM cust_items"))

@@ -82,7 +82,7 @@ def stream_enrich(spark, sf_dir):
 @register("stream_dedupe", with_base(f"SELECT {TXR_COLS} FROM txr", TXR_SQL))
 def stream_dedupe(spark, sf_dir):
     """Every file delivered twice; the stream keeps one copy per transaction id."""
-    base = jsonl_tree(spark, sf_dir)
+    base = jsonl_tree(spark, sf_dir, fresh=True)
     write_partitioned_jsonl(roles.transactions(spark, sf_dir), base, mode="append")   # redelivery
     out = scratch_path(spark, "stream-dedupe")
     ST.run_append(ST.stream_dedupe(parse_raw(ST.stream_source(spark, base))), out, scratch_path(spark, "ckpt"))
@@ -93,7 +93,7 @@ def stream_dedupe(spark, sf_dir):
 @register("stream_dedupe_insert", with_base(f"SELECT {TXR_COLS} FROM txr", TXR_SQL))
 def stream_dedupe_insert(spark, sf_dir):
     """Every file delivered twice, over several micro-batches; insert-if-absent keeps one copy."""
-    base = jsonl_tree(spark, sf_dir)
+    base = jsonl_tree(spark, sf_dir, fresh=True)
     write_partitioned_jsonl(roles.transactions(spark, sf_dir), base, mode="append")   # redelivery
     out = scratch_path(spark, "stream-dedupe-insert")
     ST.stream_dedupe_into(spark, base, out, scratch_path(spark, "ckpt"), max_files_per_trigger=16)

@@ -211,13 +211,22 @@ def retention_expire(spark, sf_dir):
     return read_docs(spark, target).groupBy(*PARTITION_COLS).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+_INDEXED: dict = {}
+
+
 def _indexed_until_28(spark, sf_dir):
-    """Source tree of every day, target indexed for days 1-28 only."""
+    """Source tree of every day, target indexed for days 1-28 only (built once per
+    application; both reconciliation queries only read it)."""
+    import os
     from ledgerline.plans.q_files import jsonl_tree
     source = scan_tree(spark, jsonl_tree(spark, sf_dir))
-    target = scratch_path(spark, "docs-reconcile")
-    K.upsert(spark, target, docs_with_partitions(spark, sf_dir, end="2024-01-29 00:00:00"),
-             order_by=DOC_ORDER)
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    target = _INDEXED.get(key)
+    if target is None or not path_exists(spark, target):
+        target = scratch_path(spark, "docs-reconcile")
+        K.upsert(spark, target, docs_with_partitions(spark, sf_dir, end="2024-01-29 00:00:00"),
+                 order_by=DOC_ORDER)
+        _INDEXED[key] = target
     return source, read_docs(spark, target)
 
 
