@@ -33,7 +33,7 @@ DOCS_SCHEMA = T.StructType(ENR.fields + [T.StructField(c, T.StringType()) for c
 
 
 def _customers(spark, path):
-    return K.read_table(spark, path, CUST)
+    return K.read_bucketed(spark, path, CUST)
 
 
 def cmd_generate(spark, a):
@@ -49,7 +49,7 @@ def cmd_load_customers(spark, a):
     valid, rejected = load_customers(items)
     if a.rejected:
         rejected.write.mode("overwrite").json(a.rejected)
-    stats = K.upsert(spark, a.table, valid, key="numero_unico_conta", partition_cols=())
+    stats = K.upsert_bucketed(spark, a.table, valid, key="numero_unico_conta", buckets=a.buckets)
     check = verify_count(_customers(spark, a.table), items).first()
     return {"loaded": stats["rows_from_batch"], "expected": check["expected"], "actual": check["actual"],
             "ok": check["ok"]}
@@ -104,6 +104,8 @@ def parser() -> argparse.ArgumentParser:
     lc.add_argument("--array", action="store_true", help="items are JSON array files")
     lc.add_argument("--table", required=True)
     lc.add_argument("--rejected", default=None)
+    lc.add_argument("--buckets", type=int, default=None,
+                    help="hash buckets of the customer table (default: sized from the rows)")
     rd = sub.add_parser("run-day")
     for name in ("--base", "--year", "--month", "--day", "--customers", "--target"):
         rd.add_argument(name, required=True)

@@ -172,7 +172,8 @@ def _partition_filter(partition_cols, values):
 
 def upsert(spark: SparkSession, target: str, batch: DataFrame, key: str | list = DOC_KEY,
            order_by=(), partition_cols=PARTITION_COLS, max_partitions: int = 100_000,
-           batch_metrics: dict | None = None, moved_scope=None) -> dict:
+           batch_metrics: dict | None = None, moved_scope=None,
+           cluster_by_partition: bool = False) -> dict:
     """K2/K6: idempotent keyed upsert; re-running a batch leaves the target equal.
 
     * the batch wins over the stored row of the same key (later write);
@@ -191,6 +192,9 @@ def upsert(spark: SparkSession, target: str, batch: DataFrame, key: str | list =
     target (column-pruned); ``moved_scope`` (a predicate on partition columns,
     e.g. the last 30 days) limits it to where corrections can land, for
     tables whose documents only move within a bounded window.
+    ``cluster_by_partition`` gathers each partition's rows into one writer task
+    (one file per partition) — only for partitions of bounded size, such as
+    hash buckets; day partitions keep the parallel write.
     Returned counts (``rows``, ``rows_in_batch`` before de-duplication,
     ``rows_from_batch`` after it, and one ``count_if`` per ``batch_metrics``
     condition over the batch's surviving rows) are observed
@@ -231,6 +235,8 @@ def upsert(spark: SparkSession, target: str, batch: DataFrame, key: str | list =
         metrics.append(F.collect_set(F.concat_ws(
             "/", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in pcols])).alias("parts"))
     merged = merged.observe(written, *metrics).drop("_src", "_n_batch")
+    if cluster_by_partition and pcols:
+        merged = merged.repartition(*[F.col(c) for c in pcols])
     writer = merged.write.mode("errorifexists")
     (writer.partitionBy(*pcols) if pcols else writer).parquet(staging)
     stats = dict(written.get)
@@ -293,6 +299,39 @@ def _swap(spark: SparkSession, src: str, dst: str, aside: str | bool) -> None:
         delete_path(spark, moved)
 
 
+KEY_BUCKET = "key_bucket"
+
+
+def upsert_bucketed(spark: SparkSession, target: str, batch: DataFrame, key: str,
+                    buckets: int | None = None, order_by=(), rows_per_bucket: int = 2_000_000) -> dict:
+    """K6 for a dimension keyed by id: the table is partitioned by a hash bucket of
+    the key, so a load rewrites only the buckets its keys fall in (a 25-item load
+    touches at most 25 of them) instead of the whole table.  Each bucket is
+    written by one task (bounded size: table / buckets), one file per bucket.
+    A key whose bucket changes (a different ``buckets``) is still found by the
+    upsert's moved-key lookup, so the table stays unique.
+    ``buckets=None`` sizes the count from the data: the next power of two of
+    rows / ``rows_per_bucket`` (table rows from parquet footers when it exists,
+    else the batch), so it changes rarely and small tables stay one bucket.
+    """
+    if buckets is None:
+        if path_exists(spark, target):
+            rows = spark.read.parquet(target).count()          # footer metadata, no data pages
+        else:
+            rows = batch.count()
+        need = max(1, -(-int(rows) // rows_per_bucket))
+        buckets = 1 << (need - 1).bit_length()
+    tagged = batch.withColumn(KEY_BUCKET, F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int"))
+    return upsert(spark, target, tagged, key=key, order_by=order_by, partition_cols=(KEY_BUCKET,),
+                  cluster_by_partition=True)
+
+
+def read_bucketed(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+    """Read a table written by ``upsert_bucketed`` without its bucket column."""
+    full = T.StructType(schema.fields + [T.StructField(KEY_BUCKET, T.IntegerType())])
+    return read_table(spark, target, full).drop(KEY_BUCKET)
+
+
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType, location: str,
                  partition_cols=()) -> bool:
     """K1: create the target with a declared schema if absent; never touch an existing one.

@@ -68,14 +68,15 @@ SELECT numero_unico_conta,
             ELSE nome_titular_conta END AS nome_titular_conta,
        data_nascimento_titular_conta, zip_code, data_criacao_registro FROM cust"""))
 def customer_upsert(spark, sf_dir):
-    """Customer table put by key: a second load replaces the re-registered items."""
+    """Customer table put by key: a second load replaces the re-registered items
+    (hash-bucketed table: each load rewrites only the buckets it touches)."""
     target = scratch_path(spark, "customers")
     cust = roles.customers(spark, sf_dir)
-    K.upsert(spark, target, cust, key="numero_unico_conta", partition_cols=())
+    K.upsert_bucketed(spark, target, cust, key="numero_unico_conta")
     again = (cust.where(F.col("data_criacao_registro") >= "2023-06-01")
              .withColumn("nome_titular_conta", F.upper("nome_titular_conta")))
-    K.upsert(spark, target, again, key="numero_unico_conta", partition_cols=())
-    return K.read_table(spark, target, CUST)
+    K.upsert_bucketed(spark, target, again, key="numero_unico_conta")
+    return K.read_bucketed(spark, target, CUST)
 
 
 @register("union_last_wins", """
@@ -257,5 +258,5 @@ SELECT (SELECT COUNT(*) FROM cust_items) AS expected, (SELECT COUNT(*) FROM cust
 def verify_count(spark, sf_dir):
     """Loaded customers vs items offered (rejected items make it fail)."""
     target = scratch_path(spark, "customers-verify")
-    K.upsert(spark, target, roles.customers(spark, sf_dir), key="numero_unico_conta", partition_cols=())
-    return Q.verify_count(K.read_table(spark, target, CUST), roles.customer_items(spark, sf_dir))
+    K.upsert_bucketed(spark, target, roles.customers(spark, sf_dir), key="numero_unico_conta")
+    return Q.verify_count(K.read_bucketed(spark, target, CUST), roles.customer_items(spark, sf_dir))

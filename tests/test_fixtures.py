@@ -316,3 +316,15 @@ def test_run_day_moved_window_prunes(spark, tmp_base):
     base = write_day(spark, f"{tmp_base}/src", [line("1", "A")])
     rep = run_day(spark, base, "2024", "01", "15", customers(spark), f"{tmp_base}/target", moved_within_days=30)
     assert rep["rows_written"] == 1
+
+
+def test_bucketed_customer_load_rewrites_only_touched_buckets(spark, tmp_base):
+    valid = customers(spark)
+    K.upsert_bucketed(spark, tmp_base, valid, key="numero_unico_conta", buckets=16)
+    stats = K.upsert_bucketed(spark, tmp_base, valid.where("numero_unico_conta = 'A'")
+                              .withColumn("nome_titular_conta", F.lit("Ana Nova")), key="numero_unico_conta",
+                              buckets=16)
+    assert stats["touched_partitions"] == 1
+    got = dict(K.read_bucketed(spark, tmp_base, valid.schema).select("numero_unico_conta", "nome_titular_conta")
+               .collect())
+    assert got == {"A": "Ana Nova", "B": "Bruno Lima"}
