@@ -12,7 +12,7 @@ from ledgerline.operators.documents import to_document
 from ledgerline.operators.enrich import enrich
 from ledgerline.operators.sinks import upsert
 from ledgerline.schemas import PARTITION_COLS, TXN_RAW_WITH_CORRUPT
-from ledgerline.session import configure, scratch_path
+from ledgerline.session import configure, scratch_path, shared_dir
 from ledgerline.sources.json_files import parse_raw, quarantine_reason, read_days
 
 
@@ -46,7 +46,10 @@ def run_day(spark: SparkSession, base: str, year: str, month: str, day: str,
     if raw.isEmpty():
         report.update(started_on=started, completed_on=dt.datetime.now(dt.timezone.utc))
         return report
-    tagged = raw.withColumn("reason", quarantine_reason())
+    # Parse the day's JSON once: both writes below read this reliable checkpoint
+    # (in spark.checkpoint.dir, lineage cut) instead of parsing the files twice.
+    shared_dir(spark)
+    tagged = raw.withColumn("reason", quarantine_reason()).checkpoint(eager=True)
     good = parse_raw(tagged.where(F.col("reason").isNull()))
     bad = tagged.where(F.col("reason").isNotNull())
     # Quarantined rows are always kept (a dead-letter table); counting them in
