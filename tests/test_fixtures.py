@@ -328,3 +328,11 @@ def test_bucketed_customer_load_rewrites_only_touched_buckets(spark, tmp_base):
     got = dict(K.read_bucketed(spark, tmp_base, valid.schema).select("numero_unico_conta", "nome_titular_conta")
                .collect())
     assert got == {"A": "Ana Nova", "B": "Bruno Lima"}
+
+
+def test_cluster_settings_scale_with_input():
+    from ledgerline.session import cluster_settings
+    small, big = cluster_settings(10 * 2**30), cluster_settings(100 * 2**40)
+    assert int(small["spark.sql.shuffle.partitions"]) == 8000          # two waves of 4000 cores
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 * 2**20)
+    assert big["spark.sql.optimizer.runtime.bloomFilter.enabled"] == "true"
