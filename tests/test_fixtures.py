@@ -336,3 +336,21 @@ def test_cluster_settings_scale_with_input():
     assert int(small["spark.sql.shuffle.partitions"]) == 8000          # two waves of 4000 cores
     assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 * 2**20)
     assert big["spark.sql.optimizer.runtime.bloomFilter.enabled"] == "true"
+
+
+@pytest.mark.parametrize("size", [1, 3, 5, 10])
+def test_match_all_page_sizes(spark, size):
+    from ledgerline.operators.search import search
+    rows = [(f"{i:02d}", "A", float(i), T15, "DEBITO", "PIX", "2024", "01", "15") for i in range(12)]
+    docs = to_document(enrich(txn(spark, rows), customers(spark)))
+    got = [r["codigoLancamento"] for r in search(docs, size=size).collect()]
+    assert got == [f"{i:02d}" for i in range(size)]
+
+
+def test_failing_send_fails_the_write(spark):
+    from ledgerline.operators.lookup_udf import write_with
+
+    def send(pdf):
+        raise ConnectionError("bulk endpoint down")
+    with pytest.raises(Exception):
+        write_with(spark.range(10), send)
