@@ -1,6 +1,6 @@
 """Spark query vs DuckDB oracle comparison (row count, column names, values).
 
-Usage: python -m tests.oracle /root/testdata/sf0.01 [name ...]
+Usage: python -m tests.oracle /root/testdata/sf0.01 [--pandas] [name ...]
 """
 
 from __future__ import annotations
@@ -91,7 +91,8 @@ def compare(spark, con, name, builder, sql, sf_dir, pandas_check=False):
 
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
-    names = argv[2:]
+    pandas_check = "--pandas" in argv[2:]
+    names = [a for a in argv[2:] if a != "--pandas"]
     sys.path.insert(0, ".")
     from ledgerline.plans import registry
     from ledgerline.session import build_session
@@ -103,10 +104,10 @@ def main(argv):
         if names and name not in names:
             continue
         try:
-            info = compare(spark, con, name, fn, sql, sf_dir)
+            info = compare(spark, con, name, fn, sql, sf_dir, pandas_check=pandas_check and sql is not None)
         except Exception as e:  # report and continue
             info = {"name": name, "ok": False, "error": repr(e)[:800]}
-        bad += info.get("ok") is False
+        bad += info.get("ok") is False or info.get("pandas_ok") is False
         print(info, flush=True)
     print("FAILED" if bad else "ALL OK", bad)
 
