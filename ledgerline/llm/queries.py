@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, quality_rules, substring_dedup
+from . import chat_format, decontaminate, quality_rules, simhash_dedup, substring_dedup
 from .common import prepare, table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -20,11 +20,19 @@ def _over(name: str, operator: Callable[[DataFrame], DataFrame]) -> Builder:
     return run
 
 
+def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of ``benchmark`` inside whole ``documents``."""
+    prepare(spark)
+    return decontaminate.op8(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Builder]:
     return {
         "op1_substring_dedup": _over("documents", substring_dedup.op1),
         "op5_quality_rules": _over("documents", quality_rules.op5),
+        "op8_benchmark_decontamination": _op8,
         "op9_chat_formatting": _over("conversations", chat_format.op9),
+        "op10_simhash_near_dedup": _over("documents", simhash_dedup.op10),
     }
 
 
@@ -32,5 +40,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_substring_dedup": substring_dedup.ORACLE,
         "op5_quality_rules": quality_rules.ORACLE,
+        "op8_benchmark_decontamination": _op8,
+        "op8_benchmark_decontamination": decontaminate.ORACLE,
         "op9_chat_formatting": chat_format.ORACLE,
     }

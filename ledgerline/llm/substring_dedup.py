@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_key
+from .common import stored, text_key
 
 MIN_WORDS = 8
 UNITS = "id long, tk long, unit int, start int, stop int, digest binary"
@@ -66,6 +66,7 @@ def repeated_units(docs: DataFrame, key: str = "doc_id", text: str = "text",
     place = F.struct("id", "tk", "unit")
     first = (found.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
              .where(~F.col("first").eqNullSafe(F.col("last"))).select("digest", "first"))
+    first, _ = stored(first, "first-units")  # joined from a table, so a unit held by many documents can be split
     gone = found.join(first, "digest").where(~place.eqNullSafe(F.col("first")))
     unit = F.struct("unit", "start", "stop", F.col("first.id").alias("first_doc_id"),
                     F.col("first.unit").alias("first_unit"))
