@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.session import configure, delete_path, scratch_path
 
@@ -70,3 +73,69 @@ def slices(batch: pa.RecordBatch, text: str, most: int = BYTES_AT_ONCE):
         stop = min(max(stop, start + 1), batch.num_rows)
         yield batch.slice(start, stop - start)
         start = stop
+
+
+ARROW = {"long": (T.LongType(), pa.int64()), "int": (T.IntegerType(), pa.int32()), "double": (T.DoubleType(), pa.float64()),
+         "string": (T.StringType(), pa.string()), "boolean": (T.BooleanType(), pa.bool_()),
+         "units": (T.ArrayType(T.StructType([T.StructField("unit", T.IntegerType()), T.StructField("start", T.IntegerType()),
+                                             T.StructField("stop", T.IntegerType()), T.StructField("digest", T.BinaryType())])),
+                   pa.list_(pa.struct([("unit", pa.int32()), ("start", pa.int32()), ("stop", pa.int32()), ("digest", pa.binary())]))),
+         "ints": (T.ArrayType(T.IntegerType()), pa.list_(pa.int32()))}
+
+
+def in_parts(texts: list[str], most: int) -> Iterator[list[str]]:
+    """Runs of texts of about ``most`` characters together (one text at least)."""
+    part, size = [], 0
+    for t in texts:
+        part.append(t)
+        size += len(t)
+        if size >= most:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
+def text_map(docs: DataFrame, text: str, made: dict[str, str], setup: Callable[[], Callable[[list[str]], Sequence]],
+             carry: Sequence[str] | None = None, most: int = 2 << 20) -> DataFrame:
+    """Carried columns (default all) and new ones computed from the texts (null: empty) in a worker.
+
+    ``setup`` runs once per task and gives a function from texts to one sequence per new column."""
+    carry = list(docs.columns if carry is None else carry)
+    schema = T.StructType([docs.schema[c] for c in carry])
+    for name, kind in made.items():
+        schema = schema.add(name, ARROW[kind][0])
+    kinds = [ARROW[kind][1] for kind in made.values()]
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fn = setup()
+        for batch in batches:
+            texts = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
+            parts = [fn(part) for part in in_parts(texts, most)]
+            new = [pa.array([v for part in parts for v in part[n]], kind) for n, kind in enumerate(kinds)]
+            kept = [batch.column(batch.schema.get_field_index(c)) for c in carry]
+            yield pa.RecordBatch.from_arrays([*kept, *new], names=[*carry, *made])
+
+    return docs.select(*dict.fromkeys([*carry, text])).mapInArrow(each, schema)
+
+
+class Memory:
+    """Values computed for short keys; two generations of at most ``most`` / 2 keys, so that keys in
+    use stay.  ``fill`` makes the values of a batch's keys available in the dictionary it returns."""
+
+    def __init__(self, most: int, short: int = 40):
+        self.half, self.short, self.now, self.old = most // 2, short, {}, {}
+
+    def fill(self, keys: set, make: Callable[[list], Sequence]) -> dict:
+        old, missing = self.old, keys.difference(self.now)
+        if missing:
+            self.now.update([(k, old[k]) for k in missing if k in old])
+            new = list(missing.difference(old))
+            if new:
+                self.now.update(zip(new, make(new)))
+        out = self.now
+        if len(out) > self.half:
+            self.old, self.now = {k: v for k, v in out.items() if len(k) <= self.short} if len(out) <= 2 * self.half else {}, {}
+        elif missing and any(len(k) > self.short for k in missing):
+            self.now = {k: v for k, v in out.items() if len(k) <= self.short}
+        return out

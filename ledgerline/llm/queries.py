@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, decontaminate, quality_rules, simhash_dedup, substring_dedup
+from . import chat_format, decontaminate, quality_rules, sentencepiece_codec, simhash_dedup, substring_dedup, token_counts
 from .common import prepare, table
 
+WORD_BPE, PIECE_BPE = "word_bpe_49k.json", "piece_bpe_32k.model"
 Builder = Callable[[SparkSession, str], DataFrame]
 
 
+def tokenizer(name: str) -> str:
+    """Place of a vocabulary file; the same on the driver and on the executors."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def _over(name: str, operator: Callable[[DataFrame], DataFrame]) -> Builder:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         prepare(spark)
@@ -29,7 +37,9 @@ def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Builder]:
     return {
         "op1_substring_dedup": _over("documents", substring_dedup.op1),
+        "op2_token_counts": _over("documents", lambda docs: token_counts.op2(docs, tokenizer(WORD_BPE))),
         "op5_quality_rules": _over("documents", quality_rules.op5),
+        "op6_sentencepiece": _over("documents", lambda docs: sentencepiece_codec.op6(docs, tokenizer(PIECE_BPE))),
         "op8_benchmark_decontamination": _op8,
         "op9_chat_formatting": _over("conversations", chat_format.op9),
         "op10_simhash_near_dedup": _over("documents", simhash_dedup.op10),

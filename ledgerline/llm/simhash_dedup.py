@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_stored, stored
+from .common import drop_stored, stored, text_map
 
 SHINGLE, RADIUS, HOT, SEED = 3, 2, 1024, 42
 LANES = np.uint64(0x0101010101010101)
@@ -62,12 +62,11 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """doc_id, fp (the 64 bits as a signed long) of every row."""
 
-    def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            fps = np.array([fingerprint(t, shingle) for t in f["t"]], np.uint64).view(np.int64)
-            yield pd.DataFrame({"doc_id": f["doc_id"].astype("Int64"), "fp": fps})
+    def setup():
+        return lambda texts: [np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)]
 
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("t")).mapInPandas(each, "doc_id long, fp long")
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("t"))
+    return text_map(rows, "t", {"fp": "long"}, setup, carry=["doc_id"])
 
 
 class Planes:

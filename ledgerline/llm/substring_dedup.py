@@ -13,16 +13,14 @@ carry their original character offsets.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_key
+from .common import stored, text_key, text_map
 
 MIN_WORDS = 8
-UNITS = "id long, tk long, unit int, start int, stop int, digest binary"
 REMOVED = "array<struct<unit:int,start:int,stop:int,first_doc_id:bigint,first_unit:int>>"
 
 
@@ -49,14 +47,11 @@ def cut(text: str, removed) -> str:
 def units(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """One row per removable unit with its digest."""
 
-    def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = [(i, k, *u) for i, k, t in zip(frame["id"], frame["tk"], frame["t"]) for u in units_of(t, min_words)]
-            yield pd.DataFrame(rows, columns=["id", "tk", "unit", "start", "stop", "digest"]).astype({"id": "Int64"})
+    def setup():
+        return lambda texts: [[[(n, a, b, d) for n, a, b, d in units_of(t, min_words)] for t in texts]]
 
-    source = docs.select(F.col(key).cast("long").alias("id"), text_key(F.col(text)).alias("tk"),
-                         F.col(text).alias("t")).where(F.length("t") > 0)
-    return source.mapInPandas(each, UNITS)
+    rows = docs.select(F.col(key).cast("long").alias("id"), text_key(F.col(text)).alias("tk"), F.col(text).alias("t"))
+    return text_map(rows, "t", {"u": "units"}, setup, carry=["id", "tk"]).select("id", "tk", F.inline("u"))
 
 
 def repeated_units(docs: DataFrame, key: str = "doc_id", text: str = "text",
