@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, decontaminate, quality_rules, sentencepiece_codec, simhash_dedup, substring_dedup, token_counts
+from . import chat_format, decontaminate, quality_classifier, quality_rules, sentencepiece_codec, simhash_dedup, substring_dedup, token_counts
 from .common import prepare, table
 
 WORD_BPE, PIECE_BPE = "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -28,6 +28,12 @@ def _over(name: str, operator: Callable[[DataFrame], DataFrame]) -> Builder:
     return run
 
 
+def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of whole ``documents``, learned from ``labels``."""
+    prepare(spark)
+    return quality_classifier.op3(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of ``benchmark`` inside whole ``documents``."""
     prepare(spark)
@@ -38,6 +44,7 @@ def queries() -> dict[str, Builder]:
     return {
         "op1_substring_dedup": _over("documents", substring_dedup.op1),
         "op2_token_counts": _over("documents", lambda docs: token_counts.op2(docs, tokenizer(WORD_BPE))),
+        "op3_quality_classifier": _op3,
         "op5_quality_rules": _over("documents", quality_rules.op5),
         "op6_sentencepiece": _over("documents", lambda docs: sentencepiece_codec.op6(docs, tokenizer(PIECE_BPE))),
         "op8_benchmark_decontamination": _op8,
