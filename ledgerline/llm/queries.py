@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, decontaminate, quality_classifier, quality_rules, sentencepiece_codec, simhash_dedup, substring_dedup, token_counts
+from . import chat_format, decontaminate, language_id, quality_classifier, quality_rules, sentencepiece_codec, simhash_dedup, substring_dedup, token_counts
 from .common import prepare, table
 
 WORD_BPE, PIECE_BPE = "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -47,6 +47,7 @@ def queries() -> dict[str, Builder]:
         "op3_quality_classifier": _op3,
         "op5_quality_rules": _over("documents", quality_rules.op5),
         "op6_sentencepiece": _over("documents", lambda docs: sentencepiece_codec.op6(docs, tokenizer(PIECE_BPE))),
+        "op7_language_id": _over("documents", language_id.op7),
         "op8_benchmark_decontamination": _op8,
         "op9_chat_formatting": _over("conversations", chat_format.op9),
         "op10_simhash_near_dedup": _over("documents", simhash_dedup.op10),
