@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, decontaminate, language_id, quality_classifier, quality_rules, sentencepiece_codec, simhash_dedup, substring_dedup, token_counts
+from . import chat_format, decontaminate, language_id, quality_classifier, quality_rules, sentencepiece_codec, simhash_dedup, substring_dedup, suffix_dedup, token_counts
 from .common import prepare, table
 
 WORD_BPE, PIECE_BPE = "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -45,6 +45,7 @@ def queries() -> dict[str, Builder]:
         "op1_substring_dedup": _over("documents", substring_dedup.op1),
         "op2_token_counts": _over("documents", lambda docs: token_counts.op2(docs, tokenizer(WORD_BPE))),
         "op3_quality_classifier": _op3,
+        "op4_suffix_array_dedup": _over("documents", suffix_dedup.op4),
         "op5_quality_rules": _over("documents", quality_rules.op5),
         "op6_sentencepiece": _over("documents", lambda docs: sentencepiece_codec.op6(docs, tokenizer(PIECE_BPE))),
         "op7_language_id": _over("documents", language_id.op7),

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_stored, stored, text_map
+from .common import drop_stored, stored, text_key, text_map
 
 SHINGLE, RADIUS, HOT, SEED = 3, 2, 1024, 42
 LANES = np.uint64(0x0101010101010101)
@@ -60,13 +60,13 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long) of every row."""
+    """doc_id, tk (text key), fp (the 64 bits as a signed long) of every row."""
 
     def setup():
         return lambda texts: [np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)]
 
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("t"))
-    return text_map(rows, "t", {"fp": "long"}, setup, carry=["doc_id"])
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), text_key(F.col(text)).alias("tk"), F.col(text).alias("t"))
+    return text_map(rows, "t", {"fp": "long"}, setup, carry=["doc_id", "tk"])
 
 
 class Planes:
@@ -237,24 +237,30 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def groups(prints: DataFrame, radius: int = RADIUS, hot: int = HOT) -> DataFrame:
-    """(fp, component_id) of every distinct fingerprint of ``prints`` (doc_id, fp)."""
+    """(fp, root, component_id) of every distinct fingerprint of ``prints`` (doc_id, fp)."""
     distinct, _ = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
     stars = components(links(distinct.select("fp"), radius, hot))
     member = distinct.join(stars.withColumnRenamed("u", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("v", "fp").alias("root"))
     member, _ = stored(member, "simhash-member")
     least, _ = stored(member.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-component")
-    out, _ = stored(member.join(least, "root").select("fp", "component_id"), "simhash-groups")
+    out, _ = stored(member.join(least, "root").select("fp", "root", "component_id"), "simhash-groups")
     return out
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                     radius: int = RADIUS) -> DataFrame:
-    """doc_id, fp, component_id of every row."""
+    """doc_id, tk, fp, root (least fingerprint of the component), component_id of every row."""
     prints, _ = stored(fingerprints(docs, key, text, shingle), "simhash-prints")
     return prints.join(groups(prints, radius), "fp")
 
 
+def keepers(found: DataFrame) -> DataFrame:
+    """(doc_id, tk) of the row that stays of each component: the smallest id, nulls last, then text key."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tk")).alias("k")
+    return found.groupBy("root").agg(first).select("k.doc_id", "k.tk")
+
+
 def op10(docs: DataFrame) -> DataFrame:
     """Row per document: doc_id, fingerprint (16 lowercase hex digits), component_id."""
     return near_duplicates(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
