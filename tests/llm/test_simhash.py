@@ -8,7 +8,7 @@ from ledgerline.llm import simhash_dedup as s
 from ledgerline.llm.common import prepare
 
 
-def brute(texts, radius=2):
+def brute(texts, radius=2, passes=None):
     def fp(t):
         w = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
         for c in "\t\n\x0b\x0c\r":
@@ -21,11 +21,10 @@ def brute(texts, radius=2):
         return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
     fps = {d: fp(t) for d, t in texts.items()}
     comp = {d: d for d in texts}
-    for _ in texts:
-        for a in texts:
-            for b in texts:
-                if bin(fps[a] ^ fps[b]).count("1") <= radius:
-                    comp[a] = comp[b] = min(comp[a], comp[b])
+    near = [(a, b) for a in texts for b in texts if a < b and bin(fps[a] ^ fps[b]).count("1") <= radius]
+    for _ in range(passes or len(texts)):
+        for a, b in near:
+            comp[a] = comp[b] = min(comp[a], comp[b])
     return {d: (f"{fps[d]:016x}", comp[d]) for d in texts}
 
 
