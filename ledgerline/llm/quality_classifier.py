@@ -91,7 +91,8 @@ def labelled(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     one = labels.where(F.col("quality").isin(0, 1)).groupBy(F.col(key).alias("id")).agg(
         F.min("quality").alias("low"), F.max("quality").alias("high")).where("low = high").select(
         "id", (F.col("low") == 1).alias("good"))
-    return docs.select(F.col(key).alias("id"), F.col(text).alias("t")).join(one, "id")
+    # a sort-merge join at every size: texts move once, as they must beyond a broadcast's bound
+    return docs.select(F.col(key).alias("id"), F.col(text).alias("t")).join(one.hint("merge"), "id")
 
 
 def ratios(train: DataFrame) -> tuple[np.ndarray, int, int]:
