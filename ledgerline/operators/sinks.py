@@ -1,15 +1,8 @@
-"""Sinks (K1-K9), last-write-wins (W1, U1) and batching.
-
-The target of the daily job is a parquet directory partitioned by
-year/month/day.  Parquet has no MERGE, so the keyed upsert is: read the
-touched partitions, union with the batch, keep the latest row per key, write
-the result to a staging table in the shared folder (this also cuts the
-lineage), then dynamically overwrite exactly those partitions from it.
-"""
+"""Sinks (K1, K3-K5, K7-K9), last-write-wins union (U1) and batching; the keyed upsert (K2, K6) and
+the latest row per key (W1) are in ``operators/upsert.py`` and re-exported here."""
 
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 
 import pandas as pd
@@ -20,43 +13,14 @@ from pyspark.sql import types as T
 from ledgerline.functions import md5_bucket, money_sum, time_text
 from ledgerline.schemas import (BULK_BATCH_DOCS, DOC_KEY, PARTITION_COLS, RETENTION_DAYS,
                                 TXN_COLS)
-from ledgerline.session import delete_path, path_exists, rename_path, scratch_path
+from ledgerline.operators.upsert import (drop_target, insert_new, latest_per_key, read_bucketed, read_table,  # noqa: F401
+                                         recover, table_schema, upsert, upsert_bucketed)
+from ledgerline.session import delete_path
 
 
 # ---------------------------------------------------------------------------
 # Last write wins
 # ---------------------------------------------------------------------------
-def latest_per_key(df: DataFrame, key, order_by, count_if: dict | None = None) -> DataFrame:
-    """One row per key, the one with the greatest ``order_by`` tuple.
-
-    Expressed as ``max(struct(order..., payload...))`` per key: an aggregate
-    with a map-side partial step, so a key holding a large share of the rows
-    is reduced inside every task before the shuffle instead of being sorted
-    in one task as a ``row_number`` window would.  Remaining columns break
-    ties, which makes the choice total and deterministic.  Rows with a null
-    key are not documents of one key: they pass through unchanged.
-    ``count_if`` adds, per output row, how many input rows of its key met each
-    condition (computed in the same partial/final aggregate).
-    """
-    keys = [key] if isinstance(key, str) else list(key)
-    order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    named = {c: i for i, c in enumerate(order_by) if isinstance(c, str)}
-    # order columns travel once (as _oN); only the other columns are packed as payload
-    rest = [c for c in df.columns if c not in keys and c not in named]
-    packed = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)],
-                      *[F.col(f"`{c}`").alias(f"_v{i}") for i, c in enumerate(rest)])
-    out_cols = {c: F.col(f"_best._v{i}").alias(c) for i, c in enumerate(rest)}
-    out_cols.update({c: F.col(f"_best._o{i}").alias(c) for c, i in named.items() if c in df.columns})
-    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    counts = count_if or {}
-    best = (df.where(has_key).groupBy(*keys)
-            .agg(F.max(packed).alias("_best"), *[F.count_if(c).alias(n) for n, c in counts.items()])
-            .select(*keys, *[out_cols[c] for c in df.columns if c not in keys], *counts))
-    loose = df.where(~has_key).select(*df.columns, *[F.when(c, 1).otherwise(0).cast("long").alias(n)
-                                                     for n, c in counts.items()])
-    return best.unionByName(loose.select(*best.columns)).select(*df.columns, *counts)
-
-
 def union_last_wins(batches: list[DataFrame], key, order_by=()) -> DataFrame:
     """Union of responses; a later batch replaces an earlier one per key."""
     tagged = [b.withColumn("_batch", F.lit(i)) for i, b in enumerate(batches)]
@@ -122,18 +86,17 @@ def write_partitioned_jsonl(txn: DataFrame, base: str, files_per_partition: int
     return base
 
 
-def write_json_array(df: DataFrame, path: str, num_files: int | None = None,
-                     rows_per_file: int = 1_000_000) -> str:
+#: Default number of files of the JSON-array writer.
+ARRAY_FILES = 8
+
+
+def write_json_array(df: DataFrame, path: str, num_files: int = ARRAY_FILES) -> str:
     """One JSON array per output file (the saved-customers format).
 
-    An array file cannot be split when read back (one task per file), so the
-    file count follows the data: ``ceil(rows / rows_per_file)`` unless
-    ``num_files`` is given.  Each task streams its rows: ``[`` before the
-    first element, ``,`` before the others, ``]`` after the last; memory stays
-    at one Arrow batch.
+    An array file cannot be split when read back, so ``num_files`` is the parallelism of writer and
+    reader; large tables pass more.  Each task streams its rows: ``[`` before the first element,
+    ``,`` before the others, ``]`` after the last; memory stays at one Arrow batch.
     """
-    if num_files is None:
-        num_files = max(1, -(-df.count() // rows_per_file))
     lines = df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("value"))
     lines = lines.repartition(num_files)
 
@@ -155,183 +118,8 @@ def write_json_array(df: DataFrame, path: str, num_files: int | None = None,
 
 
 # ---------------------------------------------------------------------------
-# Keyed upsert
+# Table create / drop
 # ---------------------------------------------------------------------------
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.parquet(path)
-
-
-def _partition_filter(partition_cols, values):
-    keys = [F.concat_ws("/", *[F.col(c).cast("string") for c in partition_cols])]
-    wanted = ["/".join(str(v) for v in row) for row in values]
-    return keys[0].isin(wanted)
-
-
-def upsert(spark: SparkSession, target: str, batch: DataFrame, key: str | list = DOC_KEY,
-           order_by=(), partition_cols=PARTITION_COLS, max_partitions: int = 100_000,
-           batch_metrics: dict | None = None, moved_scope=None,
-           cluster_by_partition: bool = False) -> dict:
-    """K2/K6: idempotent keyed upsert; re-running a batch leaves the target equal.
-
-    * the batch wins over the stored row of the same key (later write);
-      inside the batch ``order_by`` (larger = later) plus the other columns
-      decide, so duplicates in one batch have a deterministic winner (D10);
-    * touched partitions = the batch's partitions plus the partitions that
-      still hold one of its keys (a document whose day moved); only those are
-      read (static partition pruning) and rewritten;
-    * the merged rows are written to a staging table in the shared folder
-      (this cuts the lineage: a lost executor recomputes from unchanged
-      inputs), then each touched partition directory is swapped in: the old
-      one moves aside, the staged one moves in, the old one is deleted.
-      Partitions left without documents are deleted.
-    Two Spark jobs per call: the touched-partition lookup and the staging write.
-    The moved-document lookup reads the key and partition columns of the whole
-    target (column-pruned); ``moved_scope`` (a predicate on partition columns,
-    e.g. the last 30 days) limits it to where corrections can land, for
-    tables whose documents only move within a bounded window.
-    ``cluster_by_partition`` gathers each partition's rows into one writer task
-    (one file per partition) — only for partitions of bounded size, such as
-    hash buckets; day partitions keep the parallel write.
-    Returned counts (``rows``, ``rows_in_batch`` before de-duplication,
-    ``rows_from_batch`` after it, and one ``count_if`` per ``batch_metrics``
-    condition over the batch's surviving rows) are observed
-    in the final write stage, which Spark counts once per partition even
-    when executors are lost and stages re-run.
-    """
-    pcols = list(partition_cols)
-    keys = [key] if isinstance(key, str) else list(key)
-    schema = T.StructType([f for f in batch.schema.fields])
-    incoming = batch.withColumn("_src", F.lit(1))
-    touched: list = []
-    exists = path_exists(spark, target)
-    if exists:
-        existing = read_table(spark, target, schema)
-        if pcols:
-            scope = existing if moved_scope is None else existing.where(moved_scope)
-            moved = (scope.select(*keys, *pcols)
-                     .join(batch.select(*keys).distinct(), keys, "left_semi").select(*pcols))
-            touched_df = batch.select(*pcols).unionByName(moved).distinct()
-            touched = [tuple(r) for r in touched_df.limit(max_partitions + 1).collect()]
-            if len(touched) > max_partitions:
-                raise ValueError(f"upsert touches more than {max_partitions} partitions")
-            old = existing.where(_partition_filter(pcols, touched)) if touched else existing.limit(0)
-        else:
-            old = existing
-        incoming = old.withColumn("_src", F.lit(0)).unionByName(incoming)
-    merged = latest_per_key(incoming, keys, ["_src", *order_by],
-                            count_if={"_n_batch": F.col("_src") == 1})
-
-    staging = scratch_path(spark, "upsert-staging")
-    written = Observation(f"upsert_{staging.rsplit('-', 1)[-1]}")
-    from_batch = F.col("_src") == 1
-    metrics = [F.count(F.lit(1)).alias("rows"), F.count_if(from_batch).alias("rows_from_batch"),
-               F.coalesce(F.sum("_n_batch"), F.lit(0)).cast("long").alias("rows_in_batch")]
-    metrics += [F.count_if(from_batch & F.coalesce(cond, F.lit(False))).alias(name)
-                for name, cond in (batch_metrics or {}).items()]
-    if pcols:
-        metrics.append(F.collect_set(F.concat_ws(
-            "/", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in pcols])).alias("parts"))
-    merged = merged.observe(written, *metrics).drop("_src", "_n_batch")
-    if cluster_by_partition and pcols:
-        merged = merged.repartition(*[F.col(c) for c in pcols])
-    writer = merged.write.mode("errorifexists")
-    (writer.partitionBy(*pcols) if pcols else writer).parquet(staging)
-    stats = dict(written.get)
-    counts = {k: v for k, v in stats.items() if k != "parts"}
-
-    if not pcols:
-        _swap(spark, staging, target, exists)
-        return {"staging": staging, "touched_partitions": 0, **counts}
-    staged_parts = set(stats["parts"])
-    # replaced directories are parked under a "_"-prefixed folder of the table,
-    # which Spark's file listing ignores, so readers never see them as partitions
-    parked = f"{target}/_replaced_{uuid.uuid4().hex[:12]}"
-    for part in sorted(staged_parts):
-        _swap(spark, f"{staging}/{part}", f"{target}/{part}", f"{parked}/{part}")
-    for values in touched:
-        part = "/".join(f"{c}={v}" for c, v in zip(pcols, values))
-        if part not in staged_parts:                # every document of it moved elsewhere
-            delete_path(spark, f"{target}/{part}")
-    delete_path(spark, parked)
-    return {"staging": staging, "touched_partitions": len(touched), **counts}
-
-
-def insert_new(spark: SparkSession, target: str, batch: DataFrame, key: str = DOC_KEY,
-               order_by=(), partition_cols=PARTITION_COLS, max_partitions: int = 100_000) -> dict:
-    """Insert-if-absent by key (the redelivery filter of T3 as a batch step).
-
-    Copies inside the batch collapse through the partial aggregate of
-    ``latest_per_key`` (a group of copies holding a third of the rows is
-    reduced inside each task), then keys already stored in the batch's own
-    partitions are dropped (anti join against those partitions only: a
-    redelivered copy carries the same event time, hence the same day), and
-    the rest is appended.  Replaying a batch after a failure finds its rows
-    already stored, so the step is idempotent.
-    """
-    pcols = list(partition_cols)
-    schema = T.StructType([f for f in batch.schema.fields])
-    fresh = latest_per_key(batch, key, list(order_by))
-    if path_exists(spark, target):
-        days = [tuple(r) for r in batch.select(*pcols).distinct().limit(max_partitions + 1).collect()]
-        if len(days) > max_partitions:
-            raise ValueError(f"batch spans more than {max_partitions} partitions")
-        if days:
-            stored = read_table(spark, target, schema).where(_partition_filter(pcols, days)).select(key)
-            fresh = fresh.join(stored, key, "left_anti")
-    added = Observation(f"insert_{uuid.uuid4().hex[:12]}")
-    fresh.observe(added, F.count(F.lit(1)).alias("rows_added")) \
-        .write.mode("append").partitionBy(*pcols).parquet(target)
-    return dict(added.get)
-
-
-def _swap(spark: SparkSession, src: str, dst: str, aside: str | bool) -> None:
-    """Replace directory ``dst`` by ``src``: the old one moves to ``aside`` first
-    (a sibling when ``aside`` is True) and is deleted last."""
-    moved = None
-    if aside and path_exists(spark, dst):
-        moved = aside if isinstance(aside, str) else f"{dst}.__replaced_{uuid.uuid4().hex[:8]}"
-        rename_path(spark, dst, moved)
-    rename_path(spark, src, dst)
-    if moved and not isinstance(aside, str):
-        delete_path(spark, moved)
-
-
-KEY_BUCKET = "key_bucket"
-
-
-def upsert_bucketed(spark: SparkSession, target: str, batch: DataFrame, key: str,
-                    buckets: int | None = None, order_by=(), rows_per_bucket: int = 2_000_000) -> dict:
-    """K6 for a dimension keyed by id: the table is partitioned by a hash bucket of
-    the key, so a load rewrites only the buckets its keys fall in (a 25-item load
-    touches at most 25 of them) instead of the whole table.  Each bucket is
-    written by one task (bounded size: table / buckets), one file per bucket.
-    A key whose bucket changes (a different ``buckets``) is still found by the
-    upsert's moved-key lookup, so the table stays unique.
-    ``buckets=None`` sizes the count from the data: the next power of two of
-    rows / ``rows_per_bucket`` (table rows from parquet footers when it exists,
-    else the batch), so it changes rarely and small tables stay one bucket.
-    """
-    if buckets is None:
-        if path_exists(spark, target):
-            rows = spark.read.parquet(target).count()          # footer metadata, no data pages
-        else:
-            rows = batch.count()
-        need = max(1, -(-int(rows) // rows_per_bucket))
-        buckets = 1 << (need - 1).bit_length()
-    tagged = batch.withColumn(KEY_BUCKET, F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int"))
-    return upsert(spark, target, tagged, key=key, order_by=order_by, partition_cols=(KEY_BUCKET,),
-                  cluster_by_partition=True)
-
-
-def read_bucketed(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
-    """Read a table written by ``upsert_bucketed`` without its bucket column."""
-    full = T.StructType(schema.fields + [T.StructField(KEY_BUCKET, T.IntegerType())])
-    return read_table(spark, target, full).drop(KEY_BUCKET)
-
-
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType, location: str,
                  partition_cols=()) -> bool:
     """K1: create the target with a declared schema if absent; never touch an existing one.
@@ -356,29 +144,27 @@ def drop_table(spark: SparkSession, name: str, purge_location: bool = True) -> b
         location = rows[0]["data_type"] if rows else None
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     if location:
-        delete_path(spark, location)
+        drop_target(spark, location)
     return True
 
 
 # ---------------------------------------------------------------------------
 # Bulk batches, write accounting, retention
 # ---------------------------------------------------------------------------
+#: Default number of id buckets that a partition's documents are numbered in.
+BATCH_BUCKETS = 16
+
+
 def assign_batches(docs: DataFrame, size: int = BULK_BATCH_DOCS, within=PARTITION_COLS,
-                   buckets: int | None = None, key: str = DOC_KEY,
-                   rows_per_group: int = 2_000_000) -> DataFrame:
+                   buckets: int = BATCH_BUCKETS, key: str = DOC_KEY) -> DataFrame:
     """K4: number documents into bulk batches of at most ``size``.
 
-    Numbering needs an order, so it runs inside (partition, md5 bucket of the
-    id) groups.  With ``buckets=None`` the bucket count is derived from the
-    largest partition (one small aggregate first): ceil(max rows /
-    ``rows_per_group``), so a day holding a third of all rows is split into
-    bounded sorts instead of one task sorting it all.
+    Numbering needs an order, so it runs inside (partition, md5 bucket of the id) groups, each sorted
+    by one task: ``buckets`` is the number of tasks a single partition can use.  It is a parameter and
+    does not follow the data, so a document's batch depends on its group only.
     """
     from pyspark.sql import Window
     within = list(within)
-    if buckets is None:
-        largest = docs.groupBy(*within).count().agg(F.max("count")).first()[0] or 0
-        buckets = max(1, -(-int(largest) // rows_per_group))
     w = Window.partitionBy(*within, "bucket").orderBy(key)
     numbered = (docs.select(key, *within, md5_bucket(key, buckets).alias("bucket"))
                 .withColumn("batch_no", F.floor((F.row_number().over(w) - 1) / F.lit(size)).cast("long")))
@@ -396,8 +182,16 @@ def write_with_metrics(docs: DataFrame, write, matched_col: str = "nomeTitularCo
     return dict(obs.get)
 
 
-def retention_tiers(df: DataFrame, as_of: str, partition_cols=PARTITION_COLS) -> DataFrame:
-    """K8: storage tier per date partition by age (90 / 180 / 365 days)."""
+def in_prefix(prefix: str, partition_cols=PARTITION_COLS):
+    """Whether a partition's path (``year=YYYY/month=MM/day=DD``) starts with ``prefix``."""
+    path = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in partition_cols])
+    return path.startswith(F.lit(prefix))
+
+
+def retention_tiers(df: DataFrame, as_of: str, partition_cols=PARTITION_COLS, prefix: str = "") -> DataFrame:
+    """K8: storage tier per date partition by age (90 / 180 / 365 days), for partitions whose path
+    starts with ``prefix``."""
+    df = df.where(in_prefix(prefix, partition_cols)) if prefix else df
     pdate = F.make_date(*[F.col(c).cast("int") for c in partition_cols])
     age = F.datediff(F.lit(as_of).cast("date"), pdate)
     tier = (F.when(age >= RETENTION_DAYS["expire"], "expired")
@@ -409,10 +203,10 @@ def retention_tiers(df: DataFrame, as_of: str, partition_cols=PARTITION_COLS) ->
 
 
 def expire(spark: SparkSession, target: str, as_of: str, schema: T.StructType,
-           partition_cols=PARTITION_COLS) -> list[tuple]:
-    """K8: delete date partitions at least 365 days old; returns the removed keys."""
+           partition_cols=PARTITION_COLS, prefix: str = "") -> list[tuple]:
+    """K8: delete date partitions at least 365 days old below ``prefix``; returns the removed keys."""
     old = retention_tiers(read_table(spark, target, schema).select(*partition_cols), as_of,
-                          partition_cols).where(F.col("tier") == "expired")
+                          partition_cols, prefix).where(F.col("tier") == "expired")
     removed = [tuple(r) for r in old.select(*partition_cols).collect()]   # one row per day
     for part in removed:
         delete_path(spark, target + "/" + "/".join(f"{c}={v}" for c, v in zip(partition_cols, part)))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -10,33 +11,23 @@ from pyspark.sql import functions as F
 from ledgerline.functions import pct_rounded
 from ledgerline.operators.documents import to_document
 from ledgerline.operators.enrich import enrich
-from ledgerline.operators.sinks import upsert
-from ledgerline.schemas import PARTITION_COLS, TXN_RAW_WITH_CORRUPT
-from ledgerline.session import configure, scratch_path, shared_dir
-from ledgerline.sources.json_files import parse_raw, quarantine_reason, read_days
+from ledgerline.operators.sinks import ensure_table, upsert
+from ledgerline.schemas import DOCS_SCHEMA, PARTITION_COLS, TXN_RAW_WITH_CORRUPT
+from ledgerline.session import configure
+from ledgerline.sources.json_files import parsed_once, read_days
 
 
-def moved_window(year: str, month: str, day: str, days: int):
-    """Partition predicate: partitions dated within ``days`` before the given day
-    (pure partition-column expression, so it prunes directories)."""
-    pdate = F.make_date(*[F.col(c).cast("int") for c in PARTITION_COLS])
-    this = F.make_date(F.lit(int(year)), F.lit(int(month)), F.lit(int(day)))
-    return pdate >= F.date_sub(this, days)
-
-
-def run_day(spark: SparkSession, base: str, year: str, month: str, day: str,
-            customers: DataFrame, target: str, quarantine: str | None = None,
-            moved_within_days: int | None = None) -> dict:
+def run_day(spark: SparkSession, base: str, year: str, month: str, day: str, customers: DataFrame,
+            target: str, quarantine: str | None = None, table: str | None = None) -> dict:
     """Process one day of ``base`` into ``target``; returns the run report.
 
     A day without rows stops before touching the target (status ``empty``).
     Bad rows are split off with a reason, never fatal; a failing write fails
-    the job (no swallowed errors, D2/D14).  Counts are observed in the final
-    stages of the quarantine and target writes: nothing is scanned twice for
-    the report, and stages re-run after a lost executor do not inflate them.
-    Quarantined rows go to ``quarantine`` (a scratch folder when not given).
-    ``moved_within_days`` bounds where a document whose event day changed is
-    looked for (default: the whole target, exact but O(table) per run).
+    the job (no swallowed errors, D2/D14).  The day's files are parsed once; counts are observed
+    while quarantine and documents are written, so nothing is scanned twice for the report.
+    Quarantined rows go to ``quarantine`` (default: ``<target>_quarantine``), one folder per day.
+    ``table`` names the target in the catalog: it is created with the declared schema if absent (K1),
+    and its new partitions are registered after the write.
     """
     configure(spark)
     started = dt.datetime.now(dt.timezone.utc)
@@ -46,25 +37,19 @@ def run_day(spark: SparkSession, base: str, year: str, month: str, day: str,
     if raw.isEmpty():
         report.update(started_on=started, completed_on=dt.datetime.now(dt.timezone.utc))
         return report
-    # Parse the day's JSON once: both writes below read this reliable checkpoint
-    # (in spark.checkpoint.dir, lineage cut) instead of parsing the files twice.
-    shared_dir(spark)
-    tagged = raw.withColumn("reason", quarantine_reason()).checkpoint(eager=True)
-    good = parse_raw(tagged.where(F.col("reason").isNull()))
-    bad = tagged.where(F.col("reason").isNotNull())
-    # Quarantined rows are always kept (a dead-letter table); counting them in
-    # that write's final stage keeps the number exact when stages re-run.
-    quarantine = quarantine or scratch_path(spark, f"quarantine-{year}{month}{day}")
-    dead = Observation(f"quarantine_{year}{month}{day}")
-    (bad.observe(dead, F.count(F.lit(1)).alias("rows_quarantined"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")     # this day only
-     .partitionBy(*PARTITION_COLS).json(quarantine))
-    docs = to_document(enrich(good, customers), keep=PARTITION_COLS)
-    # Written / matched / read counts come from the upsert's final write stage.
-    scope = None if moved_within_days is None else moved_window(year, month, day, moved_within_days)
-    stats = upsert(spark, target, docs, order_by=["dataCompletaTransacao", "valorTotalTransacao"],
-                   batch_metrics={"rows_matched": F.col("nomeTitularConta").isNotNull()},
-                   moved_scope=scope)
+    if table is not None:
+        ensure_table(spark, table, DOCS_SCHEMA, target, PARTITION_COLS)
+    quarantine = quarantine or f"{target.rstrip('/')}_quarantine"
+    dead = Observation(f"quarantine_{uuid.uuid4().hex[:12]}")
+    with parsed_once(raw) as (good, bad):
+        (bad.observe(dead, F.count(F.lit(1)).alias("rows_quarantined"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")     # this day only
+         .partitionBy(*PARTITION_COLS).json(quarantine))
+        docs = to_document(enrich(good, customers), keep=PARTITION_COLS)
+        stats = upsert(spark, target, docs, order_by=["dataCompletaTransacao", "valorTotalTransacao"],
+                       batch_metrics={"rows_matched": F.col("nomeTitularConta").isNotNull()})
+    if table is not None:
+        spark.catalog.recoverPartitions(table)
     n_bad = dead.get["rows_quarantined"]
     completed = dt.datetime.now(dt.timezone.utc)
     report.update(status="succeeded", rows_read=stats["rows_in_batch"] + n_bad, rows_quarantined=n_bad,

@@ -9,16 +9,14 @@ from pyspark.sql import types as T
 # ---------------------------------------------------------------------------
 TXN_TIME_PATTERN = "yyyy-MM-dd'T'HH:mm:ss'Z'"          # transaction time text
 INSTANT_PATTERN = "yyyy-MM-dd'T'HH:mm:ss[.SSS]X"        # ISO-8601 instant (birth date)
-REGISTRATION_DATE_PATTERN = "yyyy-MM-dd"
 TRANSACTION_TYPES = ("DEBITO", "CREDITO")
 PRODUCT_TYPES = ("PIX", "TED", "CARTAO")
 LOOKUP_BATCH_KEYS = 100          # keys per dimension lookup request
 ENRICH_CHUNK_ROWS = 1000         # rows per enrichment chunk
 BULK_BATCH_DOCS = 1000           # documents per bulk request
-CUSTOMER_LOAD_BATCH = 25         # items per customer put batch
-AMOUNT_MIN, AMOUNT_MAX = 10.00, 5000.00
+AMOUNT_CENTS = (1_000, 500_000)
 CUSTOMER_AGE_YEARS = (18, 80)
-REGISTRATION_MAX_AGE_DAYS = 1825
+REGISTRATION_AGE_DAYS = (1, 1825)
 RETENTION_DAYS = {"infrequent_access": 90, "archive": 180, "expire": 365}
 DPU_PER_RUN, PRICE_PER_DPU_HOUR = 2, 0.44
 DEFAULT_SEARCH_SIZE = 10
@@ -92,17 +90,18 @@ ENR = T.StructType([
 ])
 ENR_COLS = [f.name for f in ENR.fields]
 DOC_KEY = "codigoLancamento"
+DOCS_SCHEMA = T.StructType(ENR.fields + [T.StructField(c, T.StringType()) for c in ("year", "month", "day")])
 
 # ---------------------------------------------------------------------------
-# Alarm rules: name, statistic, period seconds, comparison, threshold,
-# evaluation periods.  Missing periods never breach.
+# Alarm rules.  Name: metric, statistic, period seconds,
+# comparison, threshold, evaluation periods.  Missing periods never breach.
 # ---------------------------------------------------------------------------
 ALARM_RULES = {
-    "failed_tasks": ("sum", 300, ">", 0.0, 1),
-    "read_throttle": ("sum", 300, ">", 10.0, 2),
-    "write_throttle": ("sum", 300, ">", 10.0, 2),
-    "status_red": ("max", 60, ">=", 1.0, 1),
-    "status_yellow": ("max", 60, ">=", 1.0, 1),
-    "free_space": ("min", 60, "<", 2000.0, 1),
-    "cpu": ("avg", 300, ">", 80.0, 3),
+    "failed_tasks": ("glue.driver.aggregate.numFailedTasks", "sum", 300, ">", 0.0, 1),
+    "read_throttle": ("ReadThrottleEvents", "sum", 300, ">", 10.0, 2),
+    "write_throttle": ("WriteThrottleEvents", "sum", 300, ">", 10.0, 2),
+    "status_red": ("ClusterStatus.red", "max", 60, ">=", 1.0, 1),
+    "status_yellow": ("ClusterStatus.yellow", "max", 60, ">=", 1.0, 1),
+    "free_space": ("FreeStorageSpace", "min", 60, "<", 2000.0, 1),
+    "cpu": ("CPUUtilization", "avg", 300, ">", 80.0, 3),
 }

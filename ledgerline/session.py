@@ -104,12 +104,15 @@ def build_session(master: str = "local[8]", app: str = "ledgerline",
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a fresh local one only when unset."""
+    """The folder in ``spark.checkpoint.dir``, which all executors share.  Where it is unset a local
+    one is made for a local master only; a cluster must name one."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if not current:
         configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
             "spark.checkpoint.dir", None)
+        if not configured and not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="ledgerline-ckpt-"))
         current = sc.getCheckpointDir()
     return current.rstrip("/")
@@ -137,6 +140,25 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(hpath, True))
 
 
+def folder_sizes(spark: SparkSession, pattern: str) -> list[tuple[str, int, int]]:
+    """(path, files, bytes) of every folder that matches a glob pattern; names beginning with ``_`` or
+    ``.`` are not data."""
+    fs, hpath = _fs(spark, pattern)
+    out = []
+    for status in fs.globStatus(hpath) or []:
+        summary = fs.getContentSummary(status.getPath())
+        path = status.getPath().toString()
+        hidden = fs.globStatus(_fs(spark, f"{path}/[_.]*")[1]) or []
+        out.append((path, summary.getFileCount() - len(hidden), summary.getLength() - sum(h.getLen() for h in hidden)))
+    return out
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file."""
+    fs, hpath = _fs(spark, path)
+    fs.createNewFile(hpath)
+
+
 def rename_path(spark: SparkSession, src: str, dst: str) -> None:
     """Move a file or directory (parent folders created); raises when the move fails."""
     fs, hsrc = _fs(spark, src)
