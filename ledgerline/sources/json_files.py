@@ -12,6 +12,7 @@ whole-tree scan lists everything, as a catalog crawler would.
 from __future__ import annotations
 
 import datetime as dt
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from pyspark.sql import types as T
 from ledgerline.functions import parse_ts
 from ledgerline.schemas import (CORRUPT_COL, PARTITION_COLS, TXN_COLS, TXN_RAW,
                                 TXN_RAW_WITH_CORRUPT, TXN_REQUIRED)
-from ledgerline.session import path_exists
+from ledgerline.session import delete_path, folder_sizes, path_exists, scratch_path
 
 
 def read_jsonl(spark: SparkSession, base: str, schema: T.StructType = TXN_RAW) -> DataFrame:
@@ -103,10 +104,27 @@ def split_valid(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     or checkpoint it once.
     """
     tagged = raw.withColumn("reason", quarantine_reason())
-    good = parse_raw(tagged.where(F.col("reason").isNull()),
-                     keep=[c for c in PARTITION_COLS if c in raw.columns])
-    bad = tagged.where(F.col("reason").isNotNull())
-    return good, bad
+    return valid_rows(tagged), tagged.where(F.col("reason").isNotNull())
+
+
+@contextmanager
+def parsed_once(raw: DataFrame):
+    """(good, bad) of raw rows that several writes read: tagged with their reason and written once to
+    the shared folder (the files are parsed once, lost executors take nothing along), deleted at the end."""
+    spark = raw.sparkSession
+    path = scratch_path(spark, "tagged")
+    raw.withColumn("reason", quarantine_reason()).write.parquet(path)
+    tagged = spark.read.schema(T.StructType(raw.schema.fields + [T.StructField("reason", T.StringType())])).parquet(path)
+    try:
+        yield valid_rows(tagged), tagged.where(F.col("reason").isNotNull())
+    finally:
+        delete_path(spark, path)
+
+
+def valid_rows(tagged: DataFrame) -> DataFrame:
+    """Typed good rows of rows tagged with ``reason``."""
+    return parse_raw(tagged.where(F.col("reason").isNull()),
+                     keep=[c for c in PARTITION_COLS if c in tagged.columns])
 
 
 def scan_with_quarantine(spark: SparkSession, base: str, predicate=None):
@@ -121,20 +139,14 @@ def scan_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
-def file_inventory(spark: SparkSession, base: str, schema: T.StructType = TXN_RAW) -> DataFrame:
-    """Files, bytes and lines per partition, from the scan's file metadata.
-
-    Two-level aggregate: per file first (partial aggregation per task), then
-    per partition; no listing on the driver.
-    """
-    pcols = [c for c in PARTITION_COLS if c in schema.fieldNames()]
-    files = (spark.read.schema(schema).json(base)
-             .select(*pcols, F.col("_metadata.file_path").alias("file_path"),
-                     F.col("_metadata.file_size").alias("file_size"))
-             .groupBy(*pcols, "file_path", "file_size").agg(F.count(F.lit(1)).alias("n_lines")))
-    return files.groupBy(*pcols).agg(F.count(F.lit(1)).alias("n_files"),
-                                     F.sum("file_size").alias("n_bytes"),
-                                     F.sum("n_lines").alias("n_lines"))
+def file_inventory(spark: SparkSession, base: str, partition_cols=PARTITION_COLS) -> DataFrame:
+    """Files and bytes per partition, empty files included, from the file system's own summary of
+    each partition's folder (one call per partition; no file is opened)."""
+    rows = []
+    for path, n_files, n_bytes in folder_sizes(spark, base.rstrip("/") + "".join(f"/{c}=*" for c in partition_cols)):
+        values = [part.split("=", 1)[1] for part in path.rsplit("/", len(partition_cols))[1:]]
+        rows.append((*values, n_files, n_bytes))
+    return spark.createDataFrame(rows, ", ".join([*(f"{c} string" for c in partition_cols), "n_files long", "n_bytes long"]))
 
 
 def sample_n(df: DataFrame, n: int, order_by) -> DataFrame:

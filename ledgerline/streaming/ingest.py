@@ -1,11 +1,16 @@
 """Structured Streaming (T1-T4): the batch transforms on arriving files.
 
-* T1 new-file ingestion: file source + ``foreachBatch`` keyed upsert, so a
-  replayed micro-batch rewrites the same documents (exactly-once effect).
-* T2 stream-static enrichment: the same ``enrich`` as the batch job.
-* T3 redelivery suppression: watermark + ``dropDuplicatesWithinWatermark``.
-* T4 tumbling volume: watermark + window aggregate in update mode, merged
-  into the target by (window, type) so state for closed windows is dropped.
+Every stream reads lines with the corrupt-record column and splits them: bad rows (unreadable lines,
+null ids, missing amounts, unreadable times) go to a quarantine folder with their reason, never away.
+Quarantine and side folders are keyed by the micro-batch's number and overwritten, so a replayed
+micro-batch changes nothing.
+
+* T1 new-file ingestion: ``foreachBatch`` keyed upsert.
+* T2 stream-static enrichment: file sink for good rows, a second query for the bad ones.
+* T3 redelivery suppression: insert-if-absent per micro-batch; rows older than the watermark (the
+  greatest event time of earlier micro-batches less the delay) go to a late folder instead.
+* T4 tumbling volume: each micro-batch adds its own partial sums; the windows it touched, however
+  late, are summed again from all partial sums and upserted.
 Checkpoints live in the shared folder the caller passes.
 """
 
@@ -15,17 +20,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.functions import money_sum
 from ledgerline.operators.documents import to_document
 from ledgerline.operators.enrich import enrich
-from ledgerline.operators.sinks import upsert
-from ledgerline.schemas import PARTITION_COLS, TXN_RAW, TXN_RAW_WITH_CORRUPT
-from ledgerline.sources.json_files import parse_raw, split_valid
+from ledgerline.operators.sinks import insert_new, upsert
+from ledgerline.schemas import PARTITION_COLS, TXN_RAW_WITH_CORRUPT
+from ledgerline.session import path_exists
+from ledgerline.sources.json_files import parsed_once, split_valid
 
 DOC_ORDER = ["dataCompletaTransacao", "valorTotalTransacao"]
 
 
-def stream_source(spark: SparkSession, base: str, schema: T.StructType = TXN_RAW,
+def stream_source(spark: SparkSession, base: str, schema: T.StructType = TXN_RAW_WITH_CORRUPT,
                   max_files_per_trigger: int | None = None, archive_dir: str | None = None) -> DataFrame:
     """Streaming read of the JSON Lines tree (partition columns from directory names).
 
@@ -53,38 +58,45 @@ def _run(writer, checkpoint: str, available_now: bool = True):
     return q
 
 
+def _of_epoch(base: str, epoch_id: int) -> str:
+    return f"{base.rstrip('/')}/epoch={epoch_id}"
+
+
+def quarantined(bad: DataFrame, quarantine: str, epoch_id: int) -> None:
+    """Bad rows of one micro-batch; a replay overwrites them."""
+    bad.write.mode("overwrite").json(_of_epoch(quarantine, epoch_id))
+
+
 def stream_ingest(spark: SparkSession, base: str, target: str, checkpoint: str, customers: DataFrame,
-                  quarantine: str | None = None, available_now: bool = True,
-                  max_files_per_trigger: int | None = None, archive_dir: str | None = None):
+                  quarantine: str, available_now: bool = True, max_files_per_trigger: int | None = None,
+                  archive_dir: str | None = None):
     """Run the daily job's transform on every new file batch."""
     raw = stream_source(spark, base, TXN_RAW_WITH_CORRUPT, max_files_per_trigger, archive_dir)
 
     def per_batch(batch: DataFrame, epoch_id: int):
-        batch.persist()
-        try:
-            good, bad = split_valid(batch)
-            if quarantine is not None:
-                bad.write.mode("append").partitionBy(*PARTITION_COLS).json(quarantine)
-            docs = to_document(enrich(good, customers), keep=PARTITION_COLS)
-            upsert(batch.sparkSession, target, docs, order_by=DOC_ORDER)
-        finally:
-            batch.unpersist()
+        with parsed_once(batch) as (good, bad):
+            quarantined(bad, quarantine, epoch_id)
+            upsert(batch.sparkSession, target, to_document(enrich(good, customers), keep=PARTITION_COLS), order_by=DOC_ORDER)
 
     return _run(raw.writeStream.foreachBatch(per_batch), checkpoint, available_now)
 
 
 def stream_enrich(spark: SparkSession, base: str, out: str, checkpoint: str, customers: DataFrame,
-                  available_now: bool = True, salt_buckets: int | None = None):
-    """Stream-static left join into a partitioned parquet file sink.
+                  quarantine: str, available_now: bool = True, salt_buckets: int | None = None,
+                  max_files_per_trigger: int | None = None):
+    """Stream-static left join into a partitioned parquet file sink, and the bad rows into a JSON
+    file sink; both are exactly-once by the sinks' own logs.
 
     Streaming plans run without AQE: for a customer table too large to
     broadcast, pass ``salt_buckets`` so a hot account is spread over tasks.
     """
-    docs = to_document(enrich(parse_raw(stream_source(spark, base)), customers,
-                              salt_buckets=salt_buckets), keep=PARTITION_COLS)
-    writer = (docs.writeStream.format("parquet").outputMode("append").option("path", out)
-              .partitionBy(*PARTITION_COLS))
-    return _run(writer, checkpoint, available_now)
+    good, _ = split_valid(stream_source(spark, base, max_files_per_trigger=max_files_per_trigger))
+    docs = to_document(enrich(good, customers, salt_buckets=salt_buckets), keep=PARTITION_COLS)
+    q = _run(docs.writeStream.format("parquet").outputMode("append").option("path", out)
+             .partitionBy(*PARTITION_COLS), f"{checkpoint}/docs", available_now)
+    _, bad = split_valid(stream_source(spark, base, max_files_per_trigger=max_files_per_trigger))
+    _run(bad.writeStream.format("json").outputMode("append").option("path", quarantine), f"{checkpoint}/bad", available_now)
+    return q
 
 
 def event_time(df: DataFrame, ts: str = "data_completa_transacao") -> DataFrame:
@@ -94,45 +106,86 @@ def event_time(df: DataFrame, ts: str = "data_completa_transacao") -> DataFrame:
 
 def stream_dedupe(df: DataFrame, key: str = "codigo_lancamento", delay: str = "1 hour",
                   ts: str = "data_completa_transacao") -> DataFrame:
-    """Drop redelivered copies of a key seen within the watermark delay."""
+    """T3 on Spark's own state: drop redelivered copies of a key seen within the watermark delay.
+
+    Spark drops rows older than the watermark here without a trace and sends all copies of a key to
+    one task: for sources in event-time order.  ``stream_dedupe_into`` is the form that loses nothing."""
     return (event_time(df, ts).withWatermark("_event_time", delay)
             .dropDuplicatesWithinWatermark([key]).drop("_event_time"))
 
 
-def stream_dedupe_into(spark: SparkSession, base: str, target: str, checkpoint: str,
-                       key: str = "codigo_lancamento", available_now: bool = True,
+def _watermark(spark: SparkSession, side: str, epoch_id: int, delay: str):
+    """Greatest event time of the earlier micro-batches less the delay, or None."""
+    if not path_exists(spark, side):
+        return None
+    seen = spark.read.schema("newest timestamp_ntz, epoch int").parquet(side).where(F.col("epoch") < epoch_id)
+    return seen.agg((F.max("newest") - F.expr(f"INTERVAL {delay}")).alias("w")).head().w
+
+
+def stream_dedupe_into(spark: SparkSession, base: str, target: str, checkpoint: str, quarantine: str,
+                       late: str | None = None, delay: str = "1 hour", key: str = "codigo_lancamento",
+                       ts: str = "data_completa_transacao", available_now: bool = True,
                        max_files_per_trigger: int | None = None):
-    """T3, skew-safe form: per micro-batch, collapse copies map-side and append only
-    ids not yet stored in the batch's day partitions (``insert_new``).  No state
-    store; replayed batches are filtered by the target itself."""
-    from ledgerline.operators.sinks import insert_new
-    raw = stream_source(spark, base, TXN_RAW, max_files_per_trigger)
+    """One row per key.  Per micro-batch, copies collapse before the shuffle and only keys not yet
+    stored in the batch's day partitions are appended (``insert_new``); there is no state store, the
+    target itself tells replays and redeliveries, however late.
+
+    With ``late``, rows older than the watermark are not inserted but written there (every copy, by
+    micro-batch), so kept + late + quarantined rows account for the whole source."""
+    raw = stream_source(spark, base, TXN_RAW_WITH_CORRUPT, max_files_per_trigger)
+    side = f"{checkpoint}/newest"
 
     def per_batch(batch: DataFrame, epoch_id: int):
-        insert_new(batch.sparkSession, target, parse_raw(batch), key=key,
-                   order_by=["data_completa_transacao"])
+        session = batch.sparkSession
+        with parsed_once(batch) as (good, bad):
+            quarantined(bad, quarantine, epoch_id)
+            if late is not None:
+                mark = _watermark(session, side, epoch_id, delay)
+                if mark is not None:
+                    old = F.col(ts) < F.lit(mark).cast("timestamp_ntz")
+                    good.where(old).write.mode("overwrite").parquet(_of_epoch(late, epoch_id))
+                    good = good.where(~old)
+                good.agg(F.max(ts).alias("newest")).write.mode("overwrite").parquet(_of_epoch(side, epoch_id))
+            insert_new(session, target, good, key=key, order_by=[ts])
 
     return _run(raw.writeStream.foreachBatch(per_batch), checkpoint, available_now)
 
 
-def stream_tumbling(df: DataFrame, period: str = "900 seconds", delay: str = "1 hour",
-                    by: str = "tipo_transacao", ts: str = "data_completa_transacao",
-                    value: str = "valor_total_transacao") -> DataFrame:
-    """T4: count and exact sum per type and tumbling window."""
-    agg = (event_time(df, ts).withWatermark("_event_time", delay)
-           .groupBy(F.window("_event_time", period).alias("w"), by)
-           .agg(F.count(F.lit(1)).alias("n_transactions"), money_sum(value).alias("sum_valor")))
-    return agg.select(by, F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                      "n_transactions", "sum_valor")
+def window_sums(txn: DataFrame, period: str = "900 seconds", by: str = "tipo_transacao",
+                ts: str = "data_completa_transacao", value: str = "valor_total_transacao") -> DataFrame:
+    """Count and exact sum per type and tumbling window, with the window's date."""
+    start = F.window(F.col(ts).cast("timestamp"), period).start.cast("timestamp_ntz")
+    sums = txn.groupBy(by, start.alias("window_start")).agg(
+        F.count(F.lit(1)).alias("n_transactions"),
+        F.coalesce(F.sum(F.col(value).cast("decimal(18,2)")), F.lit(0)).cast("decimal(38,2)").alias("cents"))
+    return sums.withColumn("window_date", F.date_format("window_start", "yyyy-MM-dd"))
 
 
-def run_tumbling(agg: DataFrame, target: str, checkpoint: str, keys=("tipo_transacao", "window_start"),
-                 available_now: bool = True):
-    """Update-mode sink: each micro-batch's changed windows replace their stored rows."""
+def stream_tumbling(spark: SparkSession, base: str, target: str, checkpoint: str, quarantine: str,
+                    period: str = "900 seconds", by: str = "tipo_transacao", available_now: bool = True,
+                    max_files_per_trigger: int | None = None):
+    """T4: count and exact sum per type and tumbling window, late rows included.
+
+    A micro-batch's partial sums are stored under its number (a replay overwrites them); the dates it
+    touched are summed over all partial sums and upserted into the target's partitions of those dates."""
+    raw = stream_source(spark, base, TXN_RAW_WITH_CORRUPT, max_files_per_trigger)
+    parts = f"{checkpoint}/partial_sums"
+
     def per_batch(batch: DataFrame, epoch_id: int):
-        upsert(batch.sparkSession, target, batch, key=list(keys), partition_cols=())
+        session = batch.sparkSession
+        with parsed_once(batch) as (good, bad):
+            quarantined(bad, quarantine, epoch_id)
+            own = window_sums(good, period, by)
+            own.write.mode("overwrite").partitionBy("window_date").parquet(_of_epoch(parts, epoch_id))
+        schema = T.StructType(own.schema.fields + [T.StructField("epoch", T.IntegerType())])
+        stored = session.read.schema(schema).option("basePath", parts).parquet(parts)
+        dates = [r[0] for r in stored.where(F.col("epoch") == epoch_id).select("window_date").distinct().collect()]  # days
+        again = stored.where(F.col("window_date").isin(dates) & (F.col("epoch") <= epoch_id) if dates else F.lit(False))
+        sums = again.groupBy(by, "window_start", "window_date").agg(
+            F.sum("n_transactions").alias("n_transactions"), F.sum("cents").cast("double").alias("sum_valor"))
+        upsert(session, target, sums, key=[by, "window_start"], partition_cols=("window_date",))
 
-    return _run(agg.writeStream.outputMode("update").foreachBatch(per_batch), checkpoint, available_now)
+    return _run(raw.writeStream.foreachBatch(per_batch), checkpoint, available_now)
 
 
 def run_append(df: DataFrame, out: str, checkpoint: str, partition_cols=PARTITION_COLS,
