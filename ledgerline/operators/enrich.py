@@ -76,19 +76,23 @@ def referential_check(txn: DataFrame, customer_keys: DataFrame, key: str = CUST_
     ).withColumn("ok", F.col("n_orphan_rows") == 0)
 
 
-def enrichment_report(enriched: DataFrame, by=PARTITION_COLS,
+def enrichment_report(source: DataFrame, enriched: DataFrame, by=PARTITION_COLS,
                       matched_col: str = "nome_titular_conta") -> DataFrame:
-    """A11 per group: read, enriched and matched counts plus both rates (D3).
+    """A11 per group: rows read (counted in the input), rows enriched and matched (counted in the
+    output) and both rates (D3).
 
-    ``throughput_rate`` is the coded rate (enriched / read, 100 unless rows were
-    lost); ``match_rate`` counts rows whose customer was found.
+    ``throughput_rate`` is enriched / read: 100 unless the join lost or doubled rows; ``match_rate``
+    counts rows whose customer was found.  Both sides are aggregated before they meet.
     """
-    g = enriched.groupBy(*by) if by else enriched.groupBy()
-    out = g.agg(F.count(F.lit(1)).alias("rows_read"),
-                F.count(F.lit(1)).alias("rows_enriched"),
-                F.count(matched_col).alias("rows_matched"))
-    return out.select(
-        *by, "rows_read", "rows_enriched", "rows_matched",
+    keys = list(by)
+    read = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_read"))
+    out = enriched.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_enriched"), F.count(matched_col).alias("rows_matched"))
+    none = [F.lit(None).cast("long").alias(c) for c in ("rows_read", "rows_enriched", "rows_matched")]
+    both = read.select(*keys, "rows_read", none[1], none[2]).unionByName(out.select(*keys, none[0], "rows_enriched", "rows_matched"))
+    counted = both.groupBy(*keys).agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c)
+                                        for c in ("rows_read", "rows_enriched", "rows_matched")])
+    return counted.select(
+        *keys, "rows_read", "rows_enriched", "rows_matched",
         pct_rounded("rows_enriched", "rows_read", 2).alias("throughput_rate"),
         pct_rounded("rows_matched", "rows_read", 2).alias("match_rate"),
         F.format_string("%.2f%%", pct_rounded("rows_matched", "rows_read", 2)).alias("match_rate_text"))

@@ -1,42 +1,46 @@
 """Synthetic producers (G1, G2) as distributed jobs.
 
-Single-process generators draw random values in a loop.  Here
-every attribute is arithmetic on a row id, so the output is deterministic,
-reproducible in SQL, and each executor generates its own slice: the id
-DataFrame (e.g. ``spark.range(n)`` or the ids of an existing table) is the
-only input.
+Every attribute is drawn by its own hash of (seed, attribute, row id), so the output is deterministic,
+reproducible in SQL, independent between attributes, and each executor generates its own slice: the
+id DataFrame (e.g. ``spark.range(n)`` or the ids of an existing table) is the only input, plus the
+customer table from which accounts are drawn.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.functions import partition_keys, stable_uuid
-from ledgerline.schemas import CUSTOMER_AGE_YEARS, REGISTRATION_MAX_AGE_DAYS
+from ledgerline.schemas import AMOUNT_CENTS, CUST_KEY, CUSTOMER_AGE_YEARS, REGISTRATION_AGE_DAYS
+from ledgerline.session import scratch_path
 
-# Fixed generator multipliers (odd, coprime with the moduli used below).
-_M_AGE, _M_ZIP, _M_ZIP2, _M_REG = 7919, 104729, 31, 13
-_M_DAY, _M_SEC, _M_ACC, _M_AMT = 7, 104723, 31, 7727
 
+def draw(seed: int, name: str, ids: Column, n: Column | int) -> Column:
+    """Integer in [0, n): 60 bits of the md5 of ``seed:name:id``, modulo n."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:{name}:"), ids.cast("string")).cast("binary"))
+    return F.pmod(F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"), n if isinstance(n, Column) else F.lit(n))
 
-def account_key(idx) -> F.Column:
+
+def account_key(idx) -> Column:
     """Account id of generated customer ``idx``."""
     return stable_uuid(F.concat(F.lit("c"), idx.cast("string")))
 
 
-def gen_customers(ids: DataFrame, as_of: str = "2024-01-31", id_col: str = "id") -> DataFrame:
-    """G1: one raw customer item (CUST_RAW) per id: age 18-80, registration <= 1825 days back."""
+def gen_customers(ids: DataFrame, as_of: str = "2024-01-31", id_col: str = "id", seed: int = 0) -> DataFrame:
+    """G1: one raw customer item (CUST_RAW) per id: a birth date between exactly 80 and exactly 18 years
+    before ``as_of``, registered 1 to 1825 days before it."""
     i = F.col(id_col).cast("long")
-    lo, hi = CUSTOMER_AGE_YEARS
-    age_days = F.lit(lo * 365) + F.pmod(i * _M_AGE, F.lit((hi - lo) * 365))
-    birth = F.date_sub(F.lit(as_of).cast("date"), age_days.cast("int"))
-    zip_code = F.concat(F.lpad(F.pmod(i * _M_ZIP, F.lit(100000)).cast("string"), 5, "0"), F.lit("-"),
-                        F.lpad(F.pmod(i * _M_ZIP2, F.lit(1000)).cast("string"), 3, "0"))
-    created = F.date_sub(F.lit(as_of).cast("date"),
-                         F.pmod(i * _M_REG, F.lit(REGISTRATION_MAX_AGE_DAYS + 1)).cast("int"))
+    today = F.lit(as_of).cast("date")
+    youngest, oldest = (F.add_months(today, -12 * years) for years in CUSTOMER_AGE_YEARS)
+    birth = F.date_add(oldest, draw(seed, "birth", i, F.datediff(youngest, oldest) + 1).cast("int"))
+    first, last = REGISTRATION_AGE_DAYS
+    created = F.date_sub(today, (draw(seed, "created", i, last - first + 1) + first).cast("int"))
+    zip_code = F.concat(F.lpad(draw(seed, "zip", i, 100000).cast("string"), 5, "0"), F.lit("-"),
+                        F.lpad(draw(seed, "zip3", i, 1000).cast("string"), 3, "0"))
     return ids.select(account_key(i).alias("numero_unico_conta"),
                       F.concat(F.lit("Titular "), F.lpad(i.cast("string"), 9, "0")).alias("nome_titular_conta"),
                       F.date_format(birth, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("data_nascimento_titular_conta"),
@@ -44,21 +48,47 @@ def gen_customers(ids: DataFrame, as_of: str = "2024-01-31", id_col: str = "id")
                       F.date_format(created, "yyyy-MM-dd").alias("data_criacao_registro"))
 
 
-def gen_transactions(ids: DataFrame, n_accounts: int, start: str = "2024-01-01",
-                     end: str = "2024-01-31", id_col: str = "id") -> DataFrame:
-    """One transaction per id over [start, end]: uniform day and second, account drawn
-    from the ``n_accounts`` generated customers, amount 10.00-5000.00, type and product."""
+def numbered(df: DataFrame, key: str) -> tuple[DataFrame, int]:
+    """Distinct values of ``key`` with their rank from 0 (column ``_no``), and how many there are.
+
+    Values are range-partitioned and written sorted; the driver adds up one count per partition."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "numbered")
+    rows = df.select(key).where(F.col(key).isNotNull()).distinct().repartitionByRange(key)
+    from pyspark.sql import Window
+    in_part = Window.partitionBy("_part").orderBy(key)
+    rows.withColumn("_part", F.spark_partition_id()).withColumn("_no", F.row_number().over(in_part).cast("long") - 1) \
+        .write.parquet(path)
+    rows = spark.read.schema(T.StructType([df.schema[key], T.StructField("_part", T.IntegerType()),
+                                           T.StructField("_no", T.LongType())])).parquet(path)
+    before, offsets = 0, []
+    for r in rows.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).orderBy("_part").collect():  # a row per partition
+        offsets += [F.lit(r["_part"]), F.lit(before)]
+        before += r["n"]
+    if not before:
+        return rows.select(key, "_no"), 0
+    return rows.select(key, (F.col("_no") + F.create_map(*offsets)[F.col("_part")]).alias("_no")), before
+
+
+def gen_transactions(ids: DataFrame, customers: DataFrame, start: str = "2024-01-01",
+                     end: str = "2024-01-31", id_col: str = "id", seed: int = 0, key: str = CUST_KEY) -> DataFrame:
+    """One transaction per id over [start, end]: uniform day, second, amount 10.00-5000.00, type and
+    product, and an account drawn uniformly from the saved ``customers`` (null when there are none)."""
     n_days = (dt.date.fromisoformat(end) - dt.date.fromisoformat(start)).days + 1
     i = F.col(id_col).cast("long")
-    seconds = F.pmod(i * _M_DAY, F.lit(n_days)) * 86400 + F.pmod(i * _M_SEC, F.lit(86400))
+    accounts, n = numbered(customers, key)
+    seconds = draw(seed, "day", i, n_days) * 86400 + draw(seed, "second", i, 86400)
     ts = F.timestamp_add("SECOND", seconds, F.lit(start).cast("timestamp_ntz"))
-    cents = F.pmod(i * _M_AMT, F.lit(499001)) + 1000
-    tipo = F.when(F.pmod(i, F.lit(2)) == 0, "DEBITO").otherwise("CREDITO")
-    prod = F.pmod(i, F.lit(3))
+    low, high = AMOUNT_CENTS
+    cents = draw(seed, "amount", i, high - low + 1) + low
+    tipo = F.when(draw(seed, "type", i, 2) == 0, "DEBITO").otherwise("CREDITO")
+    prod = draw(seed, "product", i, 3)
     produto = F.when(prod == 0, "PIX").when(prod == 1, "TED").otherwise("CARTAO")
     out = ids.select(stable_uuid(F.concat(F.lit("t"), i.cast("string"))).alias("codigo_lancamento"),
-                     account_key(F.pmod(i * _M_ACC, F.lit(n_accounts))).alias("numero_unico_conta"),
+                     draw(seed, "account", i, max(n, 1)).alias("_no"),
                      (cents.cast("double") / F.lit(100.0)).alias("valor_total_transacao"),
                      ts.alias("data_completa_transacao"), tipo.alias("tipo_transacao"),
                      produto.alias("tipo_produto_transacao"))
-    return out.select("*", *partition_keys("data_completa_transacao"))
+    out = out.join(accounts.withColumnRenamed(key, "numero_unico_conta"), "_no", "left")
+    return out.select("codigo_lancamento", "numero_unico_conta", "valor_total_transacao", "data_completa_transacao",
+                      "tipo_transacao", "tipo_produto_transacao", *partition_keys("data_completa_transacao"))

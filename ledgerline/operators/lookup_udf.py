@@ -17,36 +17,6 @@ from pyspark.sql import types as T
 from ledgerline.schemas import ENRICH_CHUNK_ROWS, LOOKUP_BATCH_KEYS
 
 
-class ParquetKeyFetcher:
-    """``fetch(keys) -> rows`` against a key-value store kept as parquet files.
-
-    Each call reads only matching rows (filter pushed into the parquet reader;
-    row groups whose key range misses are skipped).  Picklable: holds a path.
-    """
-
-    def __init__(self, path: str, key: str, columns):
-        self.path, self.key, self.columns = path, key, list(columns)
-        self._dataset = None
-
-    def _local(self):
-        p = self.path
-        return p[len("file:"):] if p.startswith("file:") else p
-
-    def __getstate__(self):
-        return {"path": self.path, "key": self.key, "columns": self.columns}
-
-    def __setstate__(self, state):
-        self.__dict__.update(state, _dataset=None)
-
-    def __call__(self, keys: list) -> pd.DataFrame:
-        import pyarrow.dataset as ds
-        if self._dataset is None:
-            self._dataset = ds.dataset(self._local(), format="parquet")
-        table = self._dataset.to_table(columns=[self.key, *self.columns],
-                                       filter=ds.field(self.key).isin(keys))
-        return table.to_pandas()
-
-
 def batched_lookup(df: DataFrame, fetch: Callable[[list], pd.DataFrame], key: str, dim_schema: T.StructType,
                    chunk: int = ENRICH_CHUNK_ROWS, batch: int = LOOKUP_BATCH_KEYS) -> DataFrame:
     """B1: left lookup in chunks of ``chunk`` rows, at most ``batch`` distinct keys per call.
@@ -72,16 +42,22 @@ def batched_lookup(df: DataFrame, fetch: Callable[[list], pd.DataFrame], key: st
     return df.mapInPandas(run, out_schema)
 
 
-def write_with(df: DataFrame, send: Callable[[pd.DataFrame], int], size: int = 1000) -> int:
-    """B2: hand rows to ``send`` in batches of at most ``size`` per task; returns rows sent.
+def send_batches(df: DataFrame, send: Callable[[pd.DataFrame], dict], result: str, size: int = 1000) -> DataFrame:
+    """B2: hand rows to ``send`` in batches of at most ``size`` per task; a row of ``result`` (a DDL
+    schema) per batch from what ``send`` returns.
 
     ``send`` must raise on failure: the task then fails and is retried, so a
-    partial write is never reported as success (D14).
+    partial write is never reported as success (D14); it must accept a batch twice.
     """
     def run(batches):
         for pdf in batches:
             for start in range(0, len(pdf), size):
-                yield pd.DataFrame({"sent": [int(send(pdf.iloc[start:start + size]))]})
+                yield pd.DataFrame([send(pdf.iloc[start:start + size])])
 
-    total = df.mapInPandas(run, "sent long").agg(F.sum("sent")).first()[0]
-    return int(total or 0)
+    return df.mapInPandas(run, result)
+
+
+def write_with(df: DataFrame, send: Callable[[pd.DataFrame], int], size: int = 1000) -> int:
+    """B2: ``send_batches`` for a sender that returns how many rows it took; returns their sum."""
+    sent = send_batches(df, lambda part: {"sent": int(send(part))}, "sent long", size)
+    return int(sent.agg(F.sum("sent")).first()[0] or 0)

@@ -1,15 +1,14 @@
 """Operational monitoring over tables.
 
 Metric statistics are tumbling-window aggregates; alarm evaluation works on
-the aggregated buckets (one row per metric and period), so the window
-function that finds runs of breaching periods never sees raw rows.
+the aggregated buckets (one row per metric and period) by aggregation alone.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions import money_avg, money_sum
@@ -60,44 +59,47 @@ def bucket_stats(series: DataFrame, period_s: int) -> DataFrame:
     return _bucketed(series, period_s).agg(*[fn("value").alias(name) for name, fn in _STATS.items()])
 
 
-def evaluate_alarm(series: DataFrame, rule: str, statistic: str, period_s: int, comparison: str,
-                   threshold: float, periods: int) -> DataFrame:
-    """Buckets where the alarm is in ALARM.
+def evaluate_alarm(series: DataFrame, rule: str, metric: str, statistic: str, period_s: int,
+                   comparison: str, threshold: float, periods: int) -> DataFrame:
+    """Buckets where the alarm of one metric is in ALARM.
 
     A bucket alarms when it and the ``periods - 1`` buckets before it all
     breach.  Adjacency is by bucket number, not by row: only breaching
     buckets are kept, so a missing bucket breaks the run (missing data is
     not breaching).
     """
-    return evaluate_rules(series, {rule: (statistic, period_s, comparison, threshold, periods)})
+    return evaluate_rules(series, {rule: (metric, statistic, period_s, comparison, threshold, periods)})
 
 
 def evaluate_rules(series: DataFrame, rules: dict = ALARM_RULES) -> DataFrame:
-    """W2 for a set of rules: one scan and one aggregate per distinct period.
+    """W2 for a set of rules, each on its own metric: one scan and one aggregate per distinct period.
 
-    All rules of a period read the same bucket statistics; ``inline`` turns
-    them into (rule, bucket) rows, and gaps-and-islands on the bucket number
-    (``bucket_no - row_number`` is constant along a run of consecutive
-    breaching buckets) gives each rule its own run length in one window pass.
+    Only the rules' metrics are read.  All rules of a period share the same bucket statistics; a
+    breaching bucket counts towards itself and the buckets after it within the rule's periods, and a
+    bucket that collects as many as the rule asks for alarms.  No group is larger than that number.
     """
     by_period: dict[int, list] = {}
-    for name, (stat, period, cmp, thr, n) in rules.items():
-        by_period.setdefault(period, []).append((name, stat, cmp, thr, n))
+    for name, (metric, stat, period, cmp, thr, n) in rules.items():
+        by_period.setdefault(period, []).append((name, metric, stat, cmp, thr, n))
     out = None
     for period, rs in by_period.items():
+        own = series.where(F.col("metric").isin(sorted({m for _, m, *_ in rs})))
         entries = F.array(*[
             F.struct(F.lit(name).alias("rule"), F.col(stat).cast("double").alias("stat_value"),
-                     _CMP[cmp](F.col(stat), F.lit(thr)).alias("breach"), F.lit(n).alias("periods"))
-            for name, stat, cmp, thr, n in rs])
-        breaching = (bucket_stats(series, period).select("metric", "bucket_start", F.inline(entries))
+                     ((F.col("metric") == metric) & _CMP[cmp](F.col(stat), F.lit(thr))).alias("breach"),
+                     F.lit(n).alias("periods"))
+            for name, metric, stat, cmp, thr, n in rs])
+        breaching = (bucket_stats(own, period).select("metric", "bucket_start", F.inline(entries))
                      .where(F.col("breach"))
                      .withColumn("bucket_no", F.floor(F.unix_seconds(F.col("bucket_start").cast("timestamp"))
                                                       / period).cast("long")))
-        by_rule = Window.partitionBy("rule", "metric").orderBy("bucket_no")
-        island = breaching.withColumn("island", F.col("bucket_no") - F.row_number().over(by_rule))
-        in_run = Window.partitionBy("rule", "metric", "island").orderBy("bucket_no")
-        alarms = (island.withColumn("run", F.row_number().over(in_run))
-                  .where(F.col("run") >= F.col("periods"))
+        counts = breaching.select("rule", "metric", "periods", "bucket_no", F.explode(F.sequence(
+            F.lit(0), F.col("periods") - 1)).alias("ahead"), "bucket_start", "stat_value")
+        itself = F.col("ahead") == 0
+        alarms = (counts.groupBy("rule", "metric", "periods", (F.col("bucket_no") + F.col("ahead")).alias("bucket_no"))
+                  .agg(F.count(F.lit(1)).alias("n"), F.max(F.when(itself, F.col("bucket_start"))).alias("bucket_start"),
+                       F.max(F.when(itself, F.col("stat_value"))).alias("stat_value"))
+                  .where((F.col("n") == F.col("periods")) & F.col("bucket_start").isNotNull())
                   .select("rule", "metric", "bucket_start", "stat_value"))
         out = alarms if out is None else out.unionByName(alarms)
     return out
@@ -127,44 +129,6 @@ def log_scan(logs: DataFrame, contains: str | None = None, since: str | None = N
     return out
 
 
-def run_ledger(txn: DataFrame, job: str = "transaction-enrichment", rows_per_second: int = 40,
-               startup_seconds: int = 60) -> DataFrame:
-    """O1 (derived form): one run record per processed day.
-
-    Modelled runs: the job starts at 02:00 the next day and takes
-    ``startup_seconds + rows / rows_per_second`` (the reference's published
-    40 transactions/s).  A day with more error than purchase transactions
-    gets a failed first attempt (30 s) and a successful retry at 03:00.
-    """
-    stats = txn.groupBy(*PARTITION_COLS).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.col("tipo_transacao") == "error").alias("n_error"),
-        F.count_if(F.col("tipo_transacao") == "purchase").alias("n_purchase"))
-    run_date = F.make_date(*[F.col(c).cast("int") for c in PARTITION_COLS])
-    base = F.date_add(run_date, 1).cast("timestamp_ntz")
-    retried = F.col("n_error") > F.col("n_purchase")
-
-    def record(attempt, state, hour, seconds, rows, error):
-        started = F.timestamp_add("HOUR", F.lit(hour), base) if isinstance(hour, int) else \
-            F.timestamp_add("HOUR", hour, base)
-        return [F.lit(job).alias("job"),
-                F.concat(F.lit("jr_"), *PARTITION_COLS, F.lit("_"), attempt.cast("string")).alias("run_id"),
-                F.date_format(run_date, "yyyy-MM-dd").alias("run_date"), attempt.cast("int").alias("attempt"),
-                F.lit(state).alias("state"),
-                started.alias("started_on"), F.timestamp_add("SECOND", seconds, started).alias("completed_on"),
-                seconds.cast("int").alias("execution_seconds"),
-                (seconds.cast("double") * F.lit(float(DPU_PER_RUN))).alias("dpu_seconds"),
-                rows.cast("long").alias("rows_processed"), error.cast("string").alias("error")]
-
-    ok_seconds = (F.lit(startup_seconds) + F.ceil(F.col("n_rows") / F.lit(rows_per_second))).cast("int")
-    failed = F.when(retried, F.struct(*record(F.lit(1), "FAILED", 2, F.lit(30), F.lit(0),
-                                              F.lit("Task failed"))))
-    ok = F.struct(*record(F.when(retried, 2).otherwise(1), "SUCCEEDED", F.when(retried, 3).otherwise(2),
-                          ok_seconds, F.col("n_rows"), F.lit(None)))
-    # one scan: each day row becomes its attempts (the failed one only when retried)
-    return stats.select(F.inline(F.filter(F.array(failed, ok), lambda r: r.isNotNull())))
-
-
 def record_run(spark: SparkSession, ledger_path: str, report: dict, job: str = "transaction-enrichment"):
     """O1: append one ``run_day`` report to the run-ledger table (parquet, append-only)."""
     def naive_utc(t):
@@ -192,9 +156,10 @@ def recent_runs(runs: DataFrame, n: int = 5) -> DataFrame:
     return runs.orderBy(F.col("started_on").desc(), F.col("run_id").desc()).limit(n)
 
 
-def run_cost(runs: DataFrame, price_per_dpu_hour: float = PRICE_PER_DPU_HOUR) -> DataFrame:
-    """DPU-hours and cost per job and month."""
+def run_cost(runs: DataFrame, price_per_dpu_hour: float = PRICE_PER_DPU_HOUR, dpu: int = DPU_PER_RUN) -> DataFrame:
+    """DPU-hours and cost per job and month of recorded runs."""
+    seconds = F.sum("execution_seconds")
     return (runs.groupBy("job", F.substring("run_date", 1, 7).alias("month"))
-            .agg(F.count(F.lit(1)).alias("n_runs"), F.sum("execution_seconds").alias("total_seconds"),
-                 (F.sum("dpu_seconds") / F.lit(3600.0)).alias("dpu_hours"))
+            .agg(F.count(F.lit(1)).alias("n_runs"), seconds.alias("total_seconds"),
+                 (seconds * F.lit(float(dpu)) / F.lit(3600.0)).alias("dpu_hours"))
             .withColumn("cost_usd", F.col("dpu_hours") * F.lit(float(price_per_dpu_hour))))

@@ -15,11 +15,17 @@ from ledgerline.schemas import (CUST_KEY, DOC_KEY, ENR, PARTITION_COLS, PRODUCT_
                                 TRANSACTION_TYPES)
 
 
+def check_domains(df: DataFrame, allowed: dict[str, tuple]) -> DataFrame:
+    """P10: per column, values outside its allowed set (nulls included) with counts; one scan."""
+    bad = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"),
+                    (~F.coalesce(F.col(c).isin(list(v)), F.lit(False))).alias("bad")) for c, v in allowed.items()]
+    return (df.select(F.inline(F.array(*bad))).where("bad").groupBy("column_name", "value")
+            .agg(F.count(F.lit(1)).alias("n_rows")))
+
+
 def check_domain(df: DataFrame, column: str, allowed) -> DataFrame:
-    """P10: values outside the allowed set (nulls included), with counts."""
-    bad = ~F.coalesce(F.col(column).isin(list(allowed)), F.lit(False))
-    return (df.where(bad).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n_rows"))
-            .select(F.lit(column).alias("column_name"), "value", "n_rows"))
+    """P10 for one column."""
+    return check_domains(df, {column: allowed})
 
 
 def check_volume(txn: DataFrame, min_rows: int = 1000, min_accounts: int = 20,
@@ -39,20 +45,17 @@ def check_layout(txn: DataFrame, ts: str = "data_completa_transacao") -> DataFra
 
 
 def check_schema(df: DataFrame, expected: T.StructType = ENR) -> DataFrame:
-    """Q3: per expected field its type in ``df`` and its non-null count (one scan)."""
+    """Q3: per field, expected or found, its types and its non-null count (one scan).  ``ok`` is false
+    for a missing field (empty actual type), another type, and a field nobody expects (empty expected
+    type)."""
     actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    counts = df.agg(*[F.count(F.col(f.name)).alias(f.name) if f.name in actual else
-                      F.lit(0).cast("long").alias(f.name) for f in expected.fields])
-    entries = []
-    for f in expected.fields:
-        a = actual.get(f.name, "")
-        entries += [F.lit(f.name), F.lit(f.dataType.simpleString()), F.lit(a),
-                    F.lit(a == f.dataType.simpleString()), F.col(f"`{f.name}`")]
-    return counts.select(F.inline(F.array(*[
-        F.struct(entries[i].alias("column_name"), entries[i + 1].alias("expected_type"),
-                 entries[i + 2].alias("actual_type"), entries[i + 3].alias("ok"),
-                 entries[i + 4].alias("n_non_null"))
-        for i in range(0, len(entries), 5)])))
+    wanted = {f.name: f.dataType.simpleString() for f in expected.fields}
+    names = [*wanted, *[n for n in actual if n not in wanted]]
+    counts = df.agg(*[(F.count(F.col(f"`{n}`")) if n in actual else F.lit(0).cast("long")).alias(n) for n in names])
+    rows = [F.struct(F.lit(n).alias("column_name"), F.lit(wanted.get(n, "")).alias("expected_type"),
+                     F.lit(actual.get(n, "")).alias("actual_type"), F.lit(wanted.get(n) == actual.get(n)).alias("ok"),
+                     F.col(f"`{n}`").alias("n_non_null")) for n in names]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def profile(df: DataFrame, key: str = DOC_KEY) -> DataFrame:
@@ -73,25 +76,31 @@ def dq_report(docs: DataFrame, rejected_customers: DataFrame, min_rows: int = 10
     """
     tipo_bad = ~F.coalesce(F.col("tipoTransacao").isin(list(TRANSACTION_TYPES)), F.lit(False))
     prod_bad = ~F.coalesce(F.col("tipoProdutoTransacao").isin(list(PRODUCT_TYPES)), F.lit(False))
-    checks = [  # name, aggregate, comparison, threshold
+    plain = [  # name, aggregate, comparison, threshold: one scan with partial aggregation
         ("volume_rows", F.count(F.lit(1)), ">=", float(min_rows)),
-        ("distinct_accounts", F.count_distinct("numeroUnicoConta"), ">=", float(min_accounts)),
-        ("duplicate_ids", F.count(F.lit(1)) - F.count_distinct(DOC_KEY), "==", 0.0),
         ("null_ids", F.count_if(F.col(DOC_KEY).isNull()), "==", 0.0),
         ("tipo_out_of_domain", F.count_if(tipo_bad), "==", 0.0),
         ("produto_out_of_domain", F.count_if(prod_bad), "==", 0.0),
         ("unmatched_documents", F.count_if(F.col("nomeTitularConta").isNull()), None, None),
     ]
-    wide = docs.agg(*[agg.cast("double").alias(name) for name, agg, _, _ in checks])
+
     def row(name, value, op, thr):   # informational checks carry no threshold / verdict
         status = (F.when(_OPS[op](value, F.lit(thr)), "pass").otherwise("fail") if op else F.lit("info"))
-        return F.struct(F.lit(name).alias("check_name"), value.alias("value"),
+        return F.struct(F.lit(name).alias("check_name"), value.cast("double").alias("value"),
                         F.lit(thr).cast("double").alias("threshold"), status.alias("status"))
 
-    rows = wide.select(F.inline(F.array(*[row(n, F.col(n), op, thr) for n, _, op, thr in checks])))
-    rej = rejected_customers.agg(F.count(F.lit(1)).cast("double").alias("v")).select(
-        F.inline(F.array(row("customers_rejected", F.col("v"), None, None))))
-    return rows.unionByName(rej)
+    def rows(df: DataFrame, checks) -> DataFrame:
+        wide = df.agg(*[agg.alias(name) for name, agg, _, _ in checks])
+        return wide.select(F.inline(F.array(*[row(n, F.col(n), op, thr) for n, _, op, thr in checks])))
+
+    # distinct counts group their one column first: rows are not expanded per distinct column
+    accounts = docs.groupBy("numeroUnicoConta").agg(F.lit(1).alias("_one"))
+    ids = docs.groupBy(DOC_KEY).agg(F.count(F.lit(1)).alias("_n"))
+    extra = F.when(F.col(DOC_KEY).isNull(), F.col("_n")).otherwise(F.col("_n") - 1)
+    return (rows(docs, plain)
+            .unionByName(rows(accounts, [("distinct_accounts", F.count("numeroUnicoConta"), ">=", float(min_accounts))]))
+            .unionByName(rows(ids, [("duplicate_ids", F.coalesce(F.sum(extra), F.lit(0)), "==", 0.0)]))
+            .unionByName(rows(rejected_customers, [("customers_rejected", F.count(F.lit(1)), None, None)])))
 
 
 def reconcile(source: DataFrame, target: DataFrame, key: str, by=PARTITION_COLS) -> DataFrame:

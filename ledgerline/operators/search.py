@@ -9,7 +9,6 @@ they are ordered by document id so pages are deterministic.
 
 from __future__ import annotations
 
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,8 +26,7 @@ def tokens(c) -> Column:
 
 def text_match(field: str, text: str) -> Column:
     """True when the field shares at least one token with ``text``."""
-    words = [w for w in regex.split(TOKEN_SPLIT, text.lower()) if w]
-    return F.arrays_overlap(tokens(field), F.array(*[F.lit(w) for w in words]))
+    return F.arrays_overlap(tokens(field), tokens(F.lit(text)))
 
 
 def search(df: DataFrame, term: dict | None = None, match: dict | None = None,

@@ -8,8 +8,6 @@ precision, hence ``date_trunc('second', ...)`` in the oracles.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import functions as F
 
 from ledgerline.functions import epoch_millis, iso_millis, partition_name, partition_path
@@ -20,8 +18,8 @@ from ledgerline.plans import roles
 from ledgerline.plans.job import report_frame, run_day
 from ledgerline.plans.q_core import enriched
 from ledgerline.plans.registry import register, with_base
-from ledgerline.schemas import CUST_RAW, PARTITION_COLS, TXN
-from ledgerline.session import path_exists, scratch_path
+from ledgerline.schemas import CUST_RAW, DOCS_SCHEMA, PARTITION_COLS, TXN, TXN_RAW_WITH_CORRUPT
+from ledgerline.session import scratch_path, touch
 from ledgerline.sources import json_files as J
 from ledgerline.sources.customers import parse_customers
 
@@ -33,24 +31,11 @@ TXR_COLS = ("codigo_lancamento, numero_unico_conta, valor_total_transacao, data_
             "tipo_transacao, tipo_produto_transacao, year, month, day")
 
 
-_TREES: dict = {}
-
-
 def jsonl_tree(spark, sf_dir, fresh: bool = False) -> str:
-    """Every transaction as date-partitioned JSON Lines; returns the base path.
-
-    The landed files are written once per application and table folder and
-    then shared by the queries that only read them, as a daily job reads files
-    that already arrived; ``fresh`` writes a private tree (writer tests, or
-    queries that append redeliveries to it).
-    """
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    if not fresh and key in _TREES and path_exists(spark, _TREES[key] + "/_SUCCESS"):
-        return _TREES[key]
-    path = write_partitioned_jsonl(roles.transactions(spark, sf_dir), scratch_path(spark, "txn-jsonl"))
+    """The landed tree; ``fresh`` writes a private one (writer tests, or queries that add to it)."""
     if not fresh:
-        _TREES[key] = path
-    return path
+        return roles.landed_tree(spark, sf_dir)
+    return write_partitioned_jsonl(roles.transactions(spark, sf_dir), scratch_path(spark, "txn-jsonl"))
 
 
 @register("day_scan", with_base(f"SELECT {TXR_COLS} FROM txr WHERE year = '2024' AND month = '01' AND day = '15'", TXR_SQL))
@@ -159,24 +144,26 @@ def quarantine_reasons(spark, sf_dir):
     base = scratch_path(spark, "txn-dirty")
     write_jsonl(tx.select(line.alias("value"), "codigo_lancamento", *PARTITION_COLS), base,
                 key="codigo_lancamento")
-    good, bad = J.scan_with_quarantine(spark, base)
-    return (good.select(F.lit("valid").alias("reason"))
-            .unionByName(bad.select("reason"))
-            .groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows")))
+    raw = J.read_jsonl(spark, base, TXN_RAW_WITH_CORRUPT)
+    return (raw.groupBy(F.coalesce(J.quarantine_reason(), F.lit("valid")).alias("reason"))
+            .agg(F.count(F.lit(1)).alias("n_rows")))
 
 
 @register("empty_day", with_base("""
-SELECT '2024' AS year, '03' AS month, '01' AS day,
-       CASE WHEN COUNT(*) = 0 THEN 'empty' ELSE 'succeeded' END AS status,
-       COUNT(*) AS rows_read, COUNT(*) AS rows_written
-FROM tx WHERE year = '2024' AND month = '03' AND day = '01'"""))
+SELECT '2024' AS year, '01' AS month, '15' AS day, 'succeeded' AS status, COUNT(*) AS rows_read,
+       COUNT(*) AS rows_written, COUNT(*) AS rows_stored FROM tx WHERE year = '2024' AND month = '01' AND day = '15'
+UNION ALL SELECT '2024', '03', '01', 'empty', 0, 0, COUNT(*)
+FROM tx WHERE year = '2024' AND month = '01' AND day = '15'"""))
 def empty_day(spark, sf_dir):
-    """The daily job on a day without files: status ``empty``, target untouched."""
-    base = jsonl_tree(spark, sf_dir)
-    target = scratch_path(spark, "docs-target")
-    report = run_day(spark, base, "2024", "03", "01", roles.customers(spark, sf_dir), target)
-    return report_frame(spark, report).select("year", "month", "day", "status", "rows_read",
-                                              "rows_written")
+    """The daily job on a full day and on a day without files: the second leaves the target as it is."""
+    base, target = jsonl_tree(spark, sf_dir, fresh=True), scratch_path(spark, "docs-target")
+    out = None
+    for month, day in (("01", "15"), ("03", "01")):
+        report = report_frame(spark, run_day(spark, base, "2024", month, day, roles.customers(spark, sf_dir), target))
+        stored = spark.read.schema(DOCS_SCHEMA).parquet(target).count()
+        report = report.select("year", "month", "day", "status", "rows_read", "rows_written", F.lit(stored).cast("long").alias("rows_stored"))
+        out = report if out is None else out.unionByName(report)
+    return out
 
 
 @register("table_sample", with_base("SELECT * FROM cust_items ORDER BY numero_unico_conta LIMIT 5"))
@@ -212,7 +199,13 @@ def epoch_and_iso(spark, sf_dir):
                        epoch_millis("dataNascimentoTitularConta").cast("double").alias("nascimento_epoch_ms"))
 
 
-@register("file_inventory")
+@register("file_inventory", with_base("""
+SELECT year, month, day, CAST(CASE WHEN day = '15' THEN 2 ELSE 1 END AS BIGINT) AS n_files, true AS has_bytes
+FROM tx GROUP BY year, month, day"""))
 def file_inventory(spark, sf_dir):
-    """Files, bytes and lines per partition of the written tree (sizes vary: rows-only check)."""
-    return J.file_inventory(spark, jsonl_tree(spark, sf_dir))
+    """Files per partition of a tree with one file a day, and an empty one more on day 15."""
+    base = write_partitioned_jsonl(roles.transactions(spark, sf_dir), scratch_path(spark, "txn-inventory"),
+                                   files_per_partition=1)
+    touch(spark, f"{base}/year=2024/month=01/day=15/empty.json")
+    found = J.file_inventory(spark, base)
+    return found.select("year", "month", "day", "n_files", (F.col("n_bytes") > 0).alias("has_bytes"))

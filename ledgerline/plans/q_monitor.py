@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ledgerline.operators import monitor as M
 from ledgerline.plans import roles
+from ledgerline.plans.job import run_day
 from ledgerline.plans.registry import money_avg_sql, money_sum_sql, register, with_base
 from ledgerline.schemas import ALARM_RULES
+from ledgerline.session import scratch_path
 
 
 def series(spark, sf_dir):
@@ -23,40 +27,42 @@ def metric_stats(spark, sf_dir):
     return M.metric_stats(series(spark, sf_dir), 300)
 
 
-_STAT_SQL = {"sum": money_sum_sql("valor_total_transacao"), "avg": money_avg_sql("valor_total_transacao"),
-             "min": "MIN(valor_total_transacao)", "max": "MAX(valor_total_transacao)"}
+_STAT_SQL = {"sum": money_sum_sql("value"), "avg": money_avg_sql("value"), "min": "MIN(value)", "max": "MAX(value)"}
+
+
+METRIC_SQL = "CASE event_id % 7 " + " ".join(f"WHEN {i} THEN '{r[0]}'" for i, r in enumerate(ALARM_RULES.values())) + " END"
+POINTS_SQL = f"""points AS (SELECT {METRIC_SQL} AS metric, ts,
+  CASE WHEN {METRIC_SQL} = 'ClusterStatus.red' THEN 0.0 ELSE value END AS value FROM events)"""
 
 
 def alarm_sql(rule: str) -> str:
-    stat, period, cmp, thr, n = ALARM_RULES[rule]
+    metric, stat, period, cmp, thr, n = ALARM_RULES[rule]
     return f"""
 SELECT '{rule}' AS rule, metric, bucket_start, stat_value FROM (
   SELECT *, COUNT(*) OVER (PARTITION BY metric ORDER BY bucket_no
                            RANGE BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS run
   FROM (SELECT *, CAST(floor(epoch(bucket_start) / {period}) AS BIGINT) AS bucket_no FROM (
-          SELECT tipo_transacao AS metric,
-                 time_bucket(INTERVAL '{period} seconds', data_completa_transacao) AS bucket_start,
+          SELECT metric, time_bucket(INTERVAL '{period} seconds', ts) AS bucket_start,
                  {_STAT_SQL[stat]} AS stat_value
-          FROM tx GROUP BY ALL) WHERE stat_value {cmp} {thr}))
+          FROM points WHERE metric = '{metric}' GROUP BY ALL) WHERE stat_value {cmp} {thr}))
 WHERE run >= {n}"""
 
 
 def _alarm(rule):
     def build(spark, sf_dir):
-        stat, period, cmp, thr, n = ALARM_RULES[rule]
-        return M.evaluate_alarm(series(spark, sf_dir), rule, stat, period, cmp, thr, n)
+        return M.evaluate_alarm(roles.metric_series(spark, sf_dir), rule, *ALARM_RULES[rule])
     return build
 
 
 for _name, _rule in {"alarm_sum_2of2": "read_throttle", "alarm_avg_3of3": "cpu",
                      "alarm_min": "free_space", "alarm_max": "status_red"}.items():
-    register(_name, with_base(alarm_sql(_rule)))(_alarm(_rule))
+    register(_name, with_base(alarm_sql(_rule), POINTS_SQL))(_alarm(_rule))
 
 
-@register("alarm_rules", with_base("\nUNION ALL\n".join(f"SELECT * FROM ({alarm_sql(r)})" for r in ALARM_RULES)))
+@register("alarm_rules", with_base("\nUNION ALL\n".join(f"SELECT * FROM ({alarm_sql(r)})" for r in ALARM_RULES), POINTS_SQL))
 def alarm_rules(spark, sf_dir):
-    """All seven alarm rules at once."""
-    return M.evaluate_rules(series(spark, sf_dir))
+    """All seven alarm rules at once, each on its own metric."""
+    return M.evaluate_rules(roles.metric_series(spark, sf_dir))
 
 
 LOG_SQL = """logs AS (
@@ -74,57 +80,50 @@ def log_scan(spark, sf_dir):
     return M.log_scan(logs, contains="account 42", since="2024-01-10 00:00:00", n=10)
 
 
-RUNS_SQL = """day_stats AS (
-  SELECT year, month, day, COUNT(*) AS n_rows,
-         COUNT(*) FILTER (WHERE tipo_transacao = 'error') AS n_error,
-         COUNT(*) FILTER (WHERE tipo_transacao = 'purchase') AS n_purchase,
-         make_date(CAST(year AS INTEGER), CAST(month AS INTEGER), CAST(day AS INTEGER)) AS run_date
-  FROM tx GROUP BY year, month, day),
-runs AS (
-  SELECT 'transaction-enrichment' AS job, 'jr_' || year || month || day || '_1' AS run_id,
-         strftime(run_date, '%Y-%m-%d') AS run_date,
-         1 AS attempt, 'FAILED' AS state, CAST(run_date + 1 AS TIMESTAMP) + INTERVAL 2 HOUR AS started_on,
-         CAST(run_date + 1 AS TIMESTAMP) + INTERVAL 2 HOUR + INTERVAL 30 SECOND AS completed_on,
-         30 AS execution_seconds, 60.0::DOUBLE AS dpu_seconds, CAST(0 AS BIGINT) AS rows_processed,
-         'Task failed' AS error
-  FROM day_stats WHERE n_error > n_purchase
-  UNION ALL
-  SELECT 'transaction-enrichment', 'jr_' || year || month || day || '_' || CASE WHEN n_error > n_purchase THEN 2 ELSE 1 END,
-         strftime(run_date, '%Y-%m-%d'), CASE WHEN n_error > n_purchase THEN 2 ELSE 1 END, 'SUCCEEDED',
-         CAST(run_date + 1 AS TIMESTAMP) + to_hours(CASE WHEN n_error > n_purchase THEN 3 ELSE 2 END),
-         CAST(run_date + 1 AS TIMESTAMP) + to_hours(CASE WHEN n_error > n_purchase THEN 3 ELSE 2 END)
-           + to_seconds(CAST(60 + ceil(n_rows / 40) AS BIGINT)),
-         CAST(60 + ceil(n_rows / 40) AS INTEGER), CAST(60 + ceil(n_rows / 40) AS DOUBLE) * 2.0,
-         n_rows, NULL
-  FROM day_stats)"""
+#: Days the job is run for, in this order; the last has no files.
+RUN_DAYS = (("01", "15"), ("01", "16"), ("03", "01"))
+RUNS_SQL = """runs AS (
+  SELECT 'transaction-enrichment' AS job, 'jr_2024' || month || day AS run_id, '2024-' || month || '-' || day AS run_date,
+         CASE WHEN month = '03' THEN 'empty' ELSE 'succeeded' END AS state, no,
+         (SELECT COUNT(*) FROM tx WHERE tx.year = '2024' AND tx.month = d.month AND tx.day = d.day) AS rows_read,
+         (SELECT COUNT("nomeTitularConta") FROM enr WHERE enr.year = '2024' AND enr.month = d.month AND enr.day = d.day) AS rows_matched
+  FROM (VALUES ('01', '15', 1), ('01', '16', 2), ('03', '01', 3)) AS d(month, day, no))"""
 
 
 def runs(spark, sf_dir):
-    return M.run_ledger(roles.transactions(spark, sf_dir))
+    """The ledger that ``record_run`` keeps of real runs of the daily job."""
+    base, target, ledger = roles.landed_tree(spark, sf_dir), scratch_path(spark, "docs-runs"), scratch_path(spark, "ledger")
+    for month, day in RUN_DAYS:
+        M.record_run(spark, ledger, run_day(spark, base, "2024", month, day, roles.customers(spark, sf_dir), target))
+    return spark.read.parquet(ledger)
 
 
-@register("run_ledger", with_base("SELECT * FROM runs", RUNS_SQL))
+@register("run_ledger", with_base("""
+SELECT job, run_id, run_date, state, rows_read, rows_read AS rows_written, rows_matched, CAST(0 AS BIGINT) AS rows_quarantined,
+       true AS timed FROM runs""", RUNS_SQL))
 def run_ledger(spark, sf_dir):
-    """Run records per processed day (modelled at 40 transactions/s)."""
-    return runs(spark, sf_dir)
+    """Records of three runs; their times differ from run to run and are only checked for order."""
+    r = runs(spark, sf_dir)
+    return r.select("job", "run_id", "run_date", "state", "rows_read", "rows_written", "rows_matched", "rows_quarantined",
+                    (F.col("completed_on") >= F.col("started_on")).alias("timed"))
 
 
-@register("latest_run", with_base("""
-SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY job ORDER BY started_on DESC, run_id DESC) AS rn
-FROM runs) WHERE rn = 1""", RUNS_SQL))
+@register("latest_run", with_base("SELECT job, run_id, state, rows_read FROM runs ORDER BY no DESC LIMIT 1", RUNS_SQL))
 def latest_run(spark, sf_dir):
-    return M.latest_run(runs(spark, sf_dir))
+    """The last run of the job and its state."""
+    return M.latest_run(runs(spark, sf_dir)).select("job", "run_id", "state", "rows_read")
 
 
-@register("recent_runs", with_base("SELECT * FROM runs ORDER BY started_on DESC, run_id DESC LIMIT 5", RUNS_SQL))
+@register("recent_runs", with_base("SELECT run_id, state, rows_read FROM runs ORDER BY no DESC LIMIT 2", RUNS_SQL))
 def recent_runs(spark, sf_dir):
-    return M.recent_runs(runs(spark, sf_dir), 5)
+    """The last two runs."""
+    return M.recent_runs(runs(spark, sf_dir), 2).select("run_id", "state", "rows_read")
 
 
 @register("run_cost", with_base("""
-SELECT job, substr(run_date, 1, 7) AS month, COUNT(*) AS n_runs, CAST(SUM(execution_seconds) AS BIGINT) AS total_seconds,
-       SUM(dpu_seconds) / 3600.0 AS dpu_hours, SUM(dpu_seconds) / 3600.0 * 0.44 AS cost_usd
-FROM runs GROUP BY ALL""", RUNS_SQL))
+SELECT job, substr(run_date, 1, 7) AS month, COUNT(*) AS n_runs, true AS priced FROM runs GROUP BY ALL""", RUNS_SQL))
 def run_cost(spark, sf_dir):
-    """DPU-hours and cost per month at 0.44 per DPU-hour."""
-    return M.run_cost(runs(spark, sf_dir))
+    """Runs per month and whether their price is 2 DPU at 0.44 per hour for the recorded seconds."""
+    cost = M.run_cost(runs(spark, sf_dir))
+    priced = F.abs(F.col("cost_usd") - F.col("total_seconds") * 2 / 3600 * 0.44) < 1e-9
+    return cost.select("job", "month", "n_runs", priced.alias("priced"))

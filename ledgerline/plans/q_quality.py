@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ledgerline.operators import enrich as E
 from ledgerline.operators import quality as Q
+from ledgerline.operators.sinks import write_partitioned_jsonl
 from ledgerline.plans import roles
-from ledgerline.plans.q_core import enriched
 from ledgerline.plans.registry import register, with_base
 from ledgerline.schemas import ENR, PRODUCT_TYPES, TRANSACTION_TYPES
+from ledgerline.session import scratch_path
 from ledgerline.sources.customers import load_customers
 from ledgerline.sources.json_files import scan_tree
 
-_SQL_TYPES = {"string": "string", "double": "double", "timestamp_ntz": "timestamp_ntz"}
-
 
 @register("distinct_accounts_per_day", with_base(
     "SELECT year, month, day, COUNT(DISTINCT numero_unico_conta) AS distinct_accounts FROM tx GROUP BY ALL"))
@@ -41,9 +42,8 @@ SELECT 'tipoProdutoTransacao', "tipoProdutoTransacao", COUNT(*) FROM enr
 WHERE "tipoProdutoTransacao" IS NULL OR "tipoProdutoTransacao" NOT IN ({_in(PRODUCT_TYPES)}) GROUP BY ALL"""))
 def domain_violations(spark, sf_dir):
     """Type and product values outside their domains."""
-    docs = enriched(spark, sf_dir)
-    return Q.check_domain(docs, "tipoTransacao", TRANSACTION_TYPES).unionByName(
-        Q.check_domain(docs, "tipoProdutoTransacao", PRODUCT_TYPES))
+    docs = roles.stored_documents(spark, sf_dir)
+    return Q.check_domains(docs, {"tipoTransacao": TRANSACTION_TYPES, "tipoProdutoTransacao": PRODUCT_TYPES})
 
 
 @register("dq_volume", with_base("""
@@ -53,27 +53,37 @@ def dq_volume(spark, sf_dir):
     return Q.check_volume(roles.transactions(spark, sf_dir, with_partitions=False))
 
 
-@register("dq_partition_layout", with_base(
-    "SELECT year, month, day, COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS n_mismatch FROM tx GROUP BY ALL"))
+@register("dq_partition_layout", with_base("""
+SELECT year, month, CASE WHEN CAST(codigo_lancamento AS BIGINT) % 97 = 0 THEN '31' ELSE day END AS day,
+       COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE CAST(codigo_lancamento AS BIGINT) % 97 = 0 AND day <> '31') AS n_mismatch
+FROM tx GROUP BY ALL"""))
 def dq_partition_layout(spark, sf_dir):
-    """Every row sits in the directory of its event date."""
-    from ledgerline.plans.q_files import jsonl_tree
-    return Q.check_layout(scan_tree(spark, jsonl_tree(spark, sf_dir)))
+    """Rows whose directory is not their event date: every 97th id was landed under day 31."""
+    tx = roles.transactions(spark, sf_dir)
+    moved = F.when(F.col("codigo_lancamento").cast("long") % 97 == 0, F.lit("31")).otherwise(F.col("day"))
+    base = write_partitioned_jsonl(tx.withColumn("day", moved), scratch_path(spark, "txn-misplaced"))
+    return Q.check_layout(scan_tree(spark, base))
 
 
 def _schema_sql() -> str:
     parts = []
     for f in ENR.fields:
         t = f.dataType.simpleString()
-        parts.append(f"SELECT '{f.name}' AS column_name, '{t}' AS expected_type, '{t}' AS actual_type, "
-                     f'true AS ok, COUNT("{f.name}") AS n_non_null FROM enr')
+        actual = {"zipCode": "", "valorTotalTransacao": "string"}.get(f.name, t)
+        count = "COUNT(NULL)" if actual == "" else f'COUNT("{f.name}")'
+        parts.append(f"SELECT '{f.name}' AS column_name, '{t}' AS expected_type, '{actual}' AS actual_type, "
+                     f"{str(actual == t).lower()} AS ok, {count} AS n_non_null FROM enr")
+    parts.append("SELECT 'canal', '', 'string', false, COUNT(*) FILTER (WHERE \"tipoTransacao\" = 'error') FROM enr")
     return with_base("\nUNION ALL\n".join(parts))
 
 
 @register("dq_schema", _schema_sql())
 def dq_schema(spark, sf_dir):
-    """The output has exactly the nine fields with their types; non-null counts from the data."""
-    return Q.check_schema(enriched(spark, sf_dir), ENR)
+    """Nine fields are expected; these documents lack one, hold one as text and carry one too many."""
+    docs = roles.stored_documents(spark, sf_dir).drop("zipCode").withColumn(
+        "valorTotalTransacao", F.col("valorTotalTransacao").cast("string")).withColumn(
+        "canal", F.when(F.col("tipoTransacao") == "error", F.lit("app")))
+    return Q.check_schema(docs, ENR)
 
 
 @register("dq_nulls_and_keys", with_base(
@@ -82,7 +92,7 @@ def dq_schema(spark, sf_dir):
     + " FROM enr"))
 def dq_nulls_and_keys(spark, sf_dir):
     """Key uniqueness and per-column null counts."""
-    return Q.profile(enriched(spark, sf_dir))
+    return Q.profile(roles.stored_documents(spark, sf_dir))
 
 
 @register("dq_report", with_base(f"""
@@ -109,4 +119,4 @@ UNION ALL SELECT 'customers_rejected', CAST((SELECT COUNT(*) FROM cust_items) -
 def dq_report(spark, sf_dir):
     """All checks in one table."""
     _, rejected = load_customers(roles.customer_items(spark, sf_dir))
-    return Q.dq_report(enriched(spark, sf_dir), rejected)
+    return Q.dq_report(roles.stored_documents(spark, sf_dir), rejected)

@@ -8,7 +8,6 @@ from ledgerline.functions import currency, money_sum
 from ledgerline.operators import search as S
 from ledgerline.operators import stats as ST
 from ledgerline.plans import roles
-from ledgerline.plans.q_core import enriched
 from ledgerline.plans.registry import (ENR_COLS_SQL, money_avg_sql, money_sum_sql, pct_sql,
                                        register, with_base)
 
@@ -19,14 +18,14 @@ TOKENS_SQL = "regexp_split_to_array(lower(\"nomeTitularConta\"), '[^\\p{L}\\p{N}
 
 @register("count_docs", with_base("SELECT COUNT(*) AS n_docs FROM enr"))
 def count_docs(spark, sf_dir):
-    return S.count_docs(enriched(spark, sf_dir))
+    return S.count_docs(roles.stored_documents(spark, sf_dir))
 
 
 @register("match_all", with_base(
     f'SELECT {ENR_COLS_SQL} FROM enr ORDER BY "codigoLancamento" LIMIT 10'))
 def match_all(spark, sf_dir):
     """First page (10 hits) of all documents, ordered by id."""
-    return S.search(enriched(spark, sf_dir))
+    return S.search(roles.stored_documents(spark, sf_dir))
 
 
 @register("term_filter", with_base(
@@ -34,20 +33,20 @@ def match_all(spark, sf_dir):
     'ORDER BY "codigoLancamento" LIMIT 10'))
 def term_filter(spark, sf_dir):
     """Exact keyword filter, default page size."""
-    return S.search(enriched(spark, sf_dir), term={"tipoProdutoTransacao": "PIX"})
+    return S.search(roles.stored_documents(spark, sf_dir), term={"tipoProdutoTransacao": "PIX"})
 
 
 @register("term_total", with_base(
     "SELECT COUNT(*) AS total FROM enr WHERE \"tipoProdutoTransacao\" = 'PIX'"))
 def term_total(spark, sf_dir):
-    return S.total_hits(enriched(spark, sf_dir), term={"tipoProdutoTransacao": "PIX"})
+    return S.total_hits(roles.stored_documents(spark, sf_dir), term={"tipoProdutoTransacao": "PIX"})
 
 
 @register("source_fields", with_base(
     'SELECT "codigoLancamento", "valorTotalTransacao", "tipoTransacao" FROM enr'))
 def source_fields(spark, sf_dir):
     """``_source`` subset over every document (column pruning reaches the scan)."""
-    return S.search(enriched(spark, sf_dir), fields=["codigoLancamento", "valorTotalTransacao",
+    return S.search(roles.stored_documents(spark, sf_dir), fields=["codigoLancamento", "valorTotalTransacao",
                                                      "tipoTransacao"], size=None)
 
 
@@ -55,7 +54,7 @@ def source_fields(spark, sf_dir):
     f"SELECT {ENR_COLS_SQL} FROM enr WHERE list_has_any({TOKENS_SQL}, {MATCH_WORDS_SQL})"))
 def text_match(spark, sf_dir):
     """Analysed match on the holder name: any shared token."""
-    return S.search(enriched(spark, sf_dir), match={"nomeTitularConta": MATCH_TEXT}, size=None)
+    return S.search(roles.stored_documents(spark, sf_dir), match={"nomeTitularConta": MATCH_TEXT}, size=None)
 
 
 @register("range_filter", with_base(
@@ -66,7 +65,7 @@ def range_filter(spark, sf_dir):
     ts = lambda v: F.lit(v).cast("timestamp_ntz")
     rng = {"valorTotalTransacao": (50.0, 100.0),
            "dataCompletaTransacao": (ts("2024-01-10 00:00:00"), ts("2024-01-20 23:59:59"))}
-    return S.search(enriched(spark, sf_dir), range_=rng, size=None)
+    return S.search(roles.stored_documents(spark, sf_dir), range_=rng, size=None)
 
 
 def _terms_sql(field: str) -> str:
@@ -76,22 +75,22 @@ def _terms_sql(field: str) -> str:
 
 @register("terms_tipo", _terms_sql("tipoTransacao"))
 def terms_tipo(spark, sf_dir):
-    return S.terms_agg(enriched(spark, sf_dir), "tipoTransacao")
+    return S.terms_agg(roles.stored_documents(spark, sf_dir), "tipoTransacao")
 
 
 @register("terms_produto", _terms_sql("tipoProdutoTransacao"))
 def terms_produto(spark, sf_dir):
-    return S.terms_agg(enriched(spark, sf_dir), "tipoProdutoTransacao")
+    return S.terms_agg(roles.stored_documents(spark, sf_dir), "tipoProdutoTransacao")
 
 
 @register("sum_valor", with_base(f'SELECT {money_sum_sql(chr(34) + "valorTotalTransacao" + chr(34))} AS sum_valor FROM enr'))
 def sum_valor(spark, sf_dir):
-    return S.sum_agg(enriched(spark, sf_dir), "valorTotalTransacao", "sum_valor")
+    return S.sum_agg(roles.stored_documents(spark, sf_dir), "valorTotalTransacao", "sum_valor")
 
 
 @register("avg_valor", with_base(f'SELECT {money_avg_sql(chr(34) + "valorTotalTransacao" + chr(34))} AS avg_valor FROM enr'))
 def avg_valor(spark, sf_dir):
-    return S.avg_agg(enriched(spark, sf_dir), "valorTotalTransacao", "avg_valor")
+    return S.avg_agg(roles.stored_documents(spark, sf_dir), "valorTotalTransacao", "avg_valor")
 
 
 @register("stats_grouping_sets", with_base(f"""
@@ -103,7 +102,7 @@ SELECT "tipoTransacao", "tipoProdutoTransacao",
 FROM enr GROUP BY GROUPING SETS (("tipoTransacao"), ("tipoProdutoTransacao"), ())"""))
 def stats_grouping_sets(spark, sf_dir):
     """Two bucket lists plus global sum and average in one scan."""
-    return S.stats(enriched(spark, sf_dir))
+    return S.stats(roles.stored_documents(spark, sf_dir))
 
 
 def _share_sql(field: str) -> str:

@@ -13,11 +13,10 @@ from ledgerline.operators.documents import to_bulk_ndjson
 from ledgerline.plans import roles
 from ledgerline.plans.q_core import enriched
 from ledgerline.plans.registry import ENR_COLS_SQL, money_sum_sql, register, with_base
-from ledgerline.schemas import CUST, ENR, ENR_COLS, PARTITION_COLS
+from ledgerline.schemas import CUST, DOCS_SCHEMA, ENR, ENR_COLS, PARTITION_COLS
 from ledgerline.session import path_exists, scratch_path
 from ledgerline.sources.json_files import scan_tree
 
-DOCS_SCHEMA = T.StructType(ENR.fields + [T.StructField(c, T.StringType()) for c in PARTITION_COLS])
 DOC_ORDER = ["dataCompletaTransacao", "valorTotalTransacao"]
 
 LINEITEM_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"]
@@ -39,7 +38,7 @@ SELECT * EXCLUDE (rn) FROM (
     """ + ", ".join(f"{c} DESC NULLS LAST" for c in LINEITEM_ORDER + LINEITEM_REST) + """) AS rn
   FROM lineitem) WHERE rn = 1""")
 def upsert_dedupe(spark, sf_dir):
-    """Latest line per (order, line number) under a total order (map-side partial max)."""
+    """Latest line per (order, line number) under a total order."""
     li = roles.table(spark, sf_dir, "lineitem")
     return K.latest_per_key(li, ["l_orderkey", "l_linenumber"], LINEITEM_ORDER)
 
@@ -62,6 +61,26 @@ def upsert_rerun(spark, sf_dir):
     return read_docs(spark, target).select(*ENR_COLS)
 
 
+@register("upsert_null_partition", with_base("""
+SELECT codigo_lancamento, day, CASE WHEN day = 'a/b:c' THEN 'x' END AS extra, canal FROM (
+  SELECT codigo_lancamento, CASE WHEN k % 7 = 1 THEN NULL WHEN k % 7 = 2 THEN 'a/b:c' ELSE day END AS day,
+         CASE WHEN k % 7 = 1 THEN 'second' END AS canal
+  FROM (SELECT *, CAST(codigo_lancamento AS BIGINT) AS k FROM tx))"""))
+def upsert_null_partition(spark, sf_dir):
+    """A month loaded, then every 7th document again without a day and with a new column: the other
+    days stay whole, so does a stored column that the second batch lacks, and a day whose value needs
+    escaping in a path."""
+    target = scratch_path(spark, "docs-null-day")
+    tx = roles.transactions(spark, sf_dir).select("codigo_lancamento", *PARTITION_COLS)
+    k = F.col("codigo_lancamento").cast("long") % 7
+    odd = tx.withColumn("day", F.when(k == 2, F.lit("a/b:c")).otherwise(F.col("day")))
+    K.upsert(spark, target, odd.withColumn("extra", F.when(F.col("day") == "a/b:c", F.lit("x"))), key="codigo_lancamento")
+    again = tx.where(k == 1).withColumn("day", F.lit(None).cast("string")).withColumn("canal", F.lit("second"))
+    K.upsert(spark, target, again, key="codigo_lancamento")
+    schema = K.table_schema(spark, target, {})
+    return K.read_table(spark, target, schema).select("codigo_lancamento", "day", "extra", "canal")
+
+
 @register("customer_upsert", with_base("""
 SELECT numero_unico_conta,
        CASE WHEN data_criacao_registro >= '2023-06-01' THEN upper(nome_titular_conta)
@@ -123,13 +142,11 @@ def bulk_ndjson(spark, sf_dir):
 SELECT year, month, day, bucket, batch_no, COUNT(*) AS n_docs FROM (
   SELECT year, month, day, bucket,
          CAST((row_number() OVER (PARTITION BY year, month, day, bucket ORDER BY "codigoLancamento") - 1) // 1000 AS BIGINT) AS batch_no
-  FROM (SELECT *, ('0x' || substr(md5("codigoLancamento"), 1, 8))::BIGINT
-                  % (SELECT GREATEST(1, CAST(ceil(MAX(n) / 2000000.0) AS BIGINT))
-                     FROM (SELECT COUNT(*) AS n FROM enr GROUP BY year, month, day)) AS bucket FROM enr))
+  FROM (SELECT *, ('0x' || substr(md5("codigoLancamento"), 1, 8))::BIGINT % 16 AS bucket FROM enr))
 GROUP BY ALL"""))
 def bulk_batches(spark, sf_dir):
-    """Bulk requests of at most 1000 documents inside (day, id bucket) groups sized from the data."""
-    return K.assign_batches(docs_with_partitions(spark, sf_dir), 1000, PARTITION_COLS)
+    """Bulk requests of at most 1000 documents inside (day, id bucket) groups of the stored documents."""
+    return K.assign_batches(read_docs(spark, roles.stored_target(spark, sf_dir)), 1000, PARTITION_COLS)
 
 
 @register("write_metrics", with_base(f"""
@@ -212,23 +229,12 @@ def retention_expire(spark, sf_dir):
     return read_docs(spark, target).groupBy(*PARTITION_COLS).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-_INDEXED: dict = {}
-
-
 def _indexed_until_28(spark, sf_dir):
-    """Source tree of every day, target indexed for days 1-28 only (built once per
-    application; both reconciliation queries only read it)."""
-    import os
-    from ledgerline.plans.q_files import jsonl_tree
-    source = scan_tree(spark, jsonl_tree(spark, sf_dir))
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    target = _INDEXED.get(key)
-    if target is None or not path_exists(spark, target):
-        target = scratch_path(spark, "docs-reconcile")
-        K.upsert(spark, target, docs_with_partitions(spark, sf_dir, end="2024-01-29 00:00:00"),
-                 order_by=DOC_ORDER)
-        _INDEXED[key] = target
-    return source, read_docs(spark, target)
+    """The landed tree of every day, and a target that lacks the days after the 28th: the missing rows
+    are what the reconciliation has to find."""
+    target = scratch_path(spark, "docs-reconcile")
+    K.upsert(spark, target, docs_with_partitions(spark, sf_dir, end="2024-01-29 00:00:00"), order_by=DOC_ORDER)
+    return scan_tree(spark, roles.landed_tree(spark, sf_dir)), read_docs(spark, target)
 
 
 @register("reconcile_counts", with_base("""

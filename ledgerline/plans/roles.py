@@ -83,3 +83,59 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.sources.customers import load_customers
     valid, _ = load_customers(customer_items(spark, sf_dir))
     return valid
+
+
+def metric_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(metric, ts, value): an event is a point of the alarm rules' metric number event_id mod 7.
+    ``ClusterStatus.red`` is 0 throughout (a rule that must not fire); the others carry the value."""
+    from ledgerline.schemas import ALARM_RULES
+    metrics = [rule[0] for rule in ALARM_RULES.values()]
+    number = F.pmod(F.col("event_id"), F.lit(len(metrics))).cast("int")
+    metric = F.element_at(F.array(*[F.lit(m) for m in metrics]), number + 1)
+    value = F.when(metric == "ClusterStatus.red", F.lit(0.0)).otherwise(F.col("value"))
+    return table(spark, sf_dir, "events").select(metric.alias("metric"), "ts", value.alias("value"))
+
+
+# What a daily system has on disk when a question is asked: files that arrived, documents that were
+# stored.  They are derived from the tables once per application and table folder; ``prepare`` builds
+# them, so that timing a query does not depend on which query ran before.
+_LANDED: dict = {}
+_STORED: dict = {}
+
+
+def landed_tree(spark: SparkSession, sf_dir: str) -> str:
+    """Every transaction as date-partitioned JSON Lines; base path."""
+    from ledgerline.operators.sinks import write_partitioned_jsonl
+    from ledgerline.session import path_exists, scratch_path
+    at = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if at not in _LANDED or not path_exists(spark, _LANDED[at] + "/_SUCCESS"):
+        _LANDED[at] = write_partitioned_jsonl(transactions(spark, sf_dir), scratch_path(spark, "txn-jsonl"))
+    return _LANDED[at]
+
+
+def stored_target(spark: SparkSession, sf_dir: str) -> str:
+    """The enriched documents of every transaction, upserted into a target; its path."""
+    from ledgerline.operators.documents import to_document
+    from ledgerline.operators.enrich import enrich
+    from ledgerline.operators.sinks import upsert
+    from ledgerline.schemas import PARTITION_COLS
+    from ledgerline.session import path_exists, scratch_path
+    at = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if at not in _STORED or not path_exists(spark, _STORED[at]):
+        target = scratch_path(spark, "docs-stored")
+        docs = to_document(enrich(transactions(spark, sf_dir), customers(spark, sf_dir)), keep=PARTITION_COLS)
+        upsert(spark, target, docs, order_by=["dataCompletaTransacao", "valorTotalTransacao"])
+        _STORED[at] = target
+    return _STORED[at]
+
+
+def stored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored documents (nine fields): what search and analytics read; no join in their plans."""
+    from ledgerline.schemas import DOCS_SCHEMA, ENR_COLS
+    return spark.read.schema(DOCS_SCHEMA).parquet(stored_target(spark, sf_dir)).select(*ENR_COLS)
+
+
+def prepare(spark: SparkSession, sf_dir: str) -> None:
+    """Build what the reading queries find on disk."""
+    landed_tree(spark, sf_dir)
+    stored_target(spark, sf_dir)
