@@ -4,7 +4,12 @@
   load-customers  parse customer items, upsert them by key, verify the loaded count
   run-day         the daily job for one year/month/day
   stream          the same transform over every new file (available-now or every 900 s)
-  check           post-run verification: count, one sample, type/product buckets, sum, average
+  check           post-run verification: count, one sample, type/product buckets, sum, average, last run
+  expire          delete date partitions past their retention
+  drop            delete a target
+  reconcile       source rows against stored documents, missing ids
+  alarms          evaluate the alarm rules over a metric table
+  ndjson          stored documents as bulk request bodies
 
 Paths may be any Hadoop URI; scratch and checkpoints default to ``spark.checkpoint.dir``.
 """
@@ -16,20 +21,19 @@ import json
 import sys
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ledgerline.functions import currency, money_avg, money_sum
 from ledgerline.operators import sinks as K
+from ledgerline.operators.documents import write_bulk_ndjson
 from ledgerline.operators.generate import gen_customers, gen_transactions
-from ledgerline.operators.quality import verify_count
-from ledgerline.operators.search import terms_agg
+from ledgerline.operators.monitor import evaluate_rules, latest_run
+from ledgerline.operators.quality import missing_ids, reconcile, verify_count
+from ledgerline.operators.search import stats
+from ledgerline.operators.upsert import DIMENSION_BUCKETS
 from ledgerline.plans.job import run_day
-from ledgerline.schemas import CUST, CUST_RAW, ENR, ENR_COLS, PARTITION_COLS
-from ledgerline.session import build_session, configure, scratch_path
+from ledgerline.schemas import CUST, CUST_RAW, DEFAULT_SEARCH_SIZE, DOCS_SCHEMA, ENR_COLS, PARTITION_COLS
+from ledgerline.session import build_session, configure, path_exists, scratch_path
 from ledgerline.sources.customers import load_customers
-from ledgerline.sources.json_files import scan_array
-
-DOCS_SCHEMA = T.StructType(ENR.fields + [T.StructField(c, T.StringType()) for c in PARTITION_COLS])
+from ledgerline.sources.json_files import scan_array, scan_tree
 
 
 def _customers(spark, path):
@@ -37,9 +41,9 @@ def _customers(spark, path):
 
 
 def cmd_generate(spark, a):
-    cust = gen_customers(spark.range(a.customers))
-    K.write_json_array(cust, a.customers_out)
-    txn = gen_transactions(spark.range(a.transactions), a.customers, a.start, a.end)
+    K.write_json_array(gen_customers(spark.range(a.customers), seed=a.seed), a.customers_out)
+    saved = scan_array(spark, a.customers_out, CUST_RAW)
+    txn = gen_transactions(spark.range(a.transactions), saved, a.start, a.end, seed=a.seed)
     K.write_partitioned_jsonl(txn, a.transactions_out, files_per_partition=a.files_per_partition)
     return {"customers": a.customers, "transactions": a.transactions}
 
@@ -57,7 +61,7 @@ def cmd_load_customers(spark, a):
 
 def cmd_run_day(spark, a):
     report = run_day(spark, a.base, a.year, a.month, a.day, _customers(spark, a.customers), a.target,
-                     a.quarantine, a.moved_within_days)
+                     a.quarantine, a.table)
     if a.ledger:
         from ledgerline.operators.monitor import record_run
         record_run(spark, a.ledger, report)
@@ -67,26 +71,68 @@ def cmd_run_day(spark, a):
 def cmd_stream(spark, a):
     from ledgerline.streaming.ingest import stream_ingest
     q = stream_ingest(spark, a.base, a.target, a.checkpoint or scratch_path(spark, "stream-ckpt"),
-                      _customers(spark, a.customers), a.quarantine, available_now=not a.continuous)
+                      _customers(spark, a.customers), a.quarantine or f"{a.target.rstrip('/')}_quarantine",
+                      available_now=not a.continuous)
     if a.continuous:
         q.awaitTermination()
     return {"status": "done"}
 
 
 def cmd_check(spark, a):
+    """Everything the verification asks of the stored documents from one grouping-sets scan, one sample,
+    and the last run's state where a ledger is given."""
     docs = K.read_table(spark, a.target, DOCS_SCHEMA)
-    total = docs.agg(F.count(F.lit(1)).alias("n"), money_sum("valorTotalTransacao").alias("s"),
-                     money_avg("valorTotalTransacao").alias("m")).first()
+    rows = stats(docs).collect()     # a row per type, per product and one for all
+    total = next((r for r in rows if r["grouping_id"] == 3), None)
     sample = docs.select(*ENR_COLS).orderBy("codigoLancamento").limit(1).collect()
-    out = {"documents": total["n"],
+    buckets = lambda gid, c: [{c: r[c], "doc_count": r["doc_count"]} for r in sorted(
+        (r for r in rows if r["grouping_id"] == gid and r[c] is not None), key=lambda r: (-r["doc_count"], r[c]))][:DEFAULT_SEARCH_SIZE]
+    out = {"documents": total["doc_count"] if total else 0,
            "sample": sample[0].asDict() if sample else None,
-           "total_value": docs.select(currency(money_sum("valorTotalTransacao"))).first()[0],
-           "average_value": round(total["m"] or 0.0, 2),
-           "by_type": [r.asDict() for r in terms_agg(docs, "tipoTransacao").collect()],
-           "by_product": [r.asDict() for r in terms_agg(docs, "tipoProdutoTransacao").collect()]}
+           "total_value": f"R$ {total['sum_valor'] if total else 0:,.2f}",
+           "average_value": round((total["avg_valor"] if total else None) or 0.0, 2),
+           "by_type": buckets(1, "tipoTransacao"), "by_product": buckets(2, "tipoProdutoTransacao")}
+    if a.ledger:
+        last = latest_run(spark.read.parquet(a.ledger)).collect()
+        out["last_run"] = last[0].asDict() if last else None
     return out
 
 
+def cmd_expire(spark, a):
+    removed = K.expire(spark, a.target, a.as_of, DOCS_SCHEMA, prefix=a.prefix)
+    return {"removed": ["/".join(f"{c}={v}" for c, v in zip(PARTITION_COLS, r)) for r in removed]}
+
+
+def cmd_drop(spark, a):
+    existed = path_exists(spark, a.target)
+    if a.table:
+        K.drop_table(spark, a.table)
+    K.drop_target(spark, a.target)
+    return {"existed": existed}
+
+
+def cmd_reconcile(spark, a):
+    target = K.read_table(spark, a.target, DOCS_SCHEMA).withColumnRenamed("codigoLancamento", "codigo_lancamento")
+    source = scan_tree(spark, a.base)
+    if a.missing:
+        missing_ids(source, target, "codigo_lancamento").write.mode("overwrite").json(a.missing)
+    counts = reconcile(source, target, "codigo_lancamento").agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("source_rows", "indexed_docs", "missing_docs")])
+    return counts.first().asDict()
+
+
+def cmd_alarms(spark, a):
+    """Alarms of the rules over a metric table (metric, ts, value), written as JSON; how many there are."""
+    points = spark.read.schema("metric string, ts timestamp_ntz, value double").parquet(a.metrics)
+    evaluate_rules(points).write.mode("overwrite").json(a.out)
+    return {"alarms": spark.read.schema("rule string").json(a.out).count()}
+
+
+def cmd_ndjson(spark, a):
+    write_bulk_ndjson(K.read_table(spark, a.target, DOCS_SCHEMA).select(*ENR_COLS), a.out, a.index)
+    return {"status": "done"}
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="ledgerline")
     p.add_argument("--master", default=None, help="only for local runs; spark-submit sets it")
@@ -99,20 +145,19 @@ def parser() -> argparse.ArgumentParser:
     g.add_argument("--customers-out", required=True)
     g.add_argument("--transactions-out", required=True)
     g.add_argument("--files-per-partition", default=None)
+    g.add_argument("--seed", type=int, default=0)
     lc = sub.add_parser("load-customers")
     lc.add_argument("--items", required=True)
     lc.add_argument("--array", action="store_true", help="items are JSON array files")
     lc.add_argument("--table", required=True)
     lc.add_argument("--rejected", default=None)
-    lc.add_argument("--buckets", type=int, default=None,
-                    help="hash buckets of the customer table (default: sized from the rows)")
+    lc.add_argument("--buckets", type=int, default=DIMENSION_BUCKETS, help="hash partitions of the customer table")
     rd = sub.add_parser("run-day")
     for name in ("--base", "--year", "--month", "--day", "--customers", "--target"):
         rd.add_argument(name, required=True)
     rd.add_argument("--quarantine", default=None)
     rd.add_argument("--ledger", default=None, help="append the run report to this run-ledger table")
-    rd.add_argument("--moved-within-days", type=int, default=None,
-                    help="look for documents whose day changed only this many days back")
+    rd.add_argument("--table", default=None, help="catalog name of the target; created if absent")
     st = sub.add_parser("stream")
     for name in ("--base", "--customers", "--target"):
         st.add_argument(name, required=True)
@@ -121,11 +166,31 @@ def parser() -> argparse.ArgumentParser:
     st.add_argument("--continuous", action="store_true", help="trigger every 900 s instead of available-now")
     ck = sub.add_parser("check")
     ck.add_argument("--target", required=True)
+    ck.add_argument("--ledger", default=None, help="also report the last run of this run-ledger table")
+    ex = sub.add_parser("expire")
+    ex.add_argument("--target", required=True)
+    ex.add_argument("--as-of", required=True)
+    ex.add_argument("--prefix", default="", help="only partitions whose path starts so, e.g. year=2023/")
+    dr = sub.add_parser("drop")
+    dr.add_argument("--target", required=True)
+    dr.add_argument("--table", default=None)
+    rc = sub.add_parser("reconcile")
+    rc.add_argument("--base", required=True)
+    rc.add_argument("--target", required=True)
+    rc.add_argument("--missing", default=None, help="write the missing ids here")
+    al = sub.add_parser("alarms")
+    al.add_argument("--metrics", required=True)
+    al.add_argument("--out", required=True)
+    nd = sub.add_parser("ndjson")
+    nd.add_argument("--target", required=True)
+    nd.add_argument("--out", required=True)
+    nd.add_argument("--index", default="transactions")
     return p
 
 
 COMMANDS = {"generate": cmd_generate, "load-customers": cmd_load_customers, "run-day": cmd_run_day,
-            "stream": cmd_stream, "check": cmd_check}
+            "stream": cmd_stream, "check": cmd_check, "expire": cmd_expire, "drop": cmd_drop,
+            "reconcile": cmd_reconcile, "alarms": cmd_alarms, "ndjson": cmd_ndjson}
 
 
 def main(argv=None, spark=None) -> dict:

@@ -195,8 +195,8 @@ def test_missing_metric_bucket_breaks_the_run(spark):
     pts = [("m", base, 20.0), ("m", base + dt.timedelta(seconds=600), 20.0),       # breach, gap, breach
            ("n", base, 20.0), ("n", base + dt.timedelta(seconds=300), 20.0)]       # two adjacent breaches
     s = spark.createDataFrame(pts, "metric string, ts timestamp_ntz, value double")
-    out = evaluate_alarm(s, "r", "sum", 300, ">", 10.0, 2).collect()
-    assert [(r["metric"], r["bucket_start"]) for r in out] == [("n", base + dt.timedelta(seconds=300))]
+    alarms = lambda metric: [r["bucket_start"] for r in evaluate_alarm(s, "r", metric, "sum", 300, ">", 10.0, 2).collect()]
+    assert alarms("m") == [] and alarms("n") == [base + dt.timedelta(seconds=300)] and alarms("other") == []
 
 
 def test_partitioned_writer_zero_pads(spark, tmp_base):
@@ -254,19 +254,15 @@ def test_record_run_appends_reports(spark, tmp_base):
     assert first["started_on"] == dt.datetime(2024, 1, 16, 2, 0) and first["run_date"] == "2024-01-15"
 
 
-def test_moved_scope_limits_the_search(spark, tmp_base):
+def test_document_moved_far_back_leaves_one_copy(spark, tmp_base):
     a = [("1", "A", 10.0, T15, "DEBITO", "PIX", "2024", "01", "15"),
-         ("2", "A", 11.0, T15 - dt.timedelta(days=10), "DEBITO", "PIX", "2024", "01", "05")]
+         ("2", "A", 11.0, T15, "DEBITO", "PIX", "2023", "12", "26")]
     K.upsert(spark, tmp_base, txn(spark, a), key="codigo_lancamento")
-    t16 = T15 + dt.timedelta(days=1)
-    b = [("1", "A", 10.0, t16, "DEBITO", "PIX", "2024", "01", "16"),
-         ("2", "A", 11.0, t16, "DEBITO", "PIX", "2024", "01", "16")]
-    stats = K.upsert(spark, tmp_base, txn(spark, b), key="codigo_lancamento",
-                     moved_scope=F.col("day") >= "10")            # only days 10+ may hold moved documents
-    assert stats["touched_partitions"] == 2                      # days 16 and 15; day 05 out of scope
-    got = sorted((r["codigo_lancamento"], r["day"]) for r in
-                 K.read_table(spark, tmp_base, txn(spark, b).schema).collect())
-    assert got == [("1", "16"), ("2", "05"), ("2", "16")]
+    b = [("2", "A", 11.0, T15, "DEBITO", "PIX", "2024", "01", "15")]              # 20 days later
+    stats = K.upsert(spark, tmp_base, txn(spark, b), key="codigo_lancamento")
+    got = sorted((r["codigo_lancamento"], r["day"]) for r in K.read_table(spark, tmp_base, txn(spark, b).schema).collect())
+    assert got == [("1", "15"), ("2", "15")] and stats["touched_partitions"] == 2
+    assert not path_exists(spark, f"{tmp_base}/year=2023/month=12/day=26")
 
 
 def test_failed_write_fails_the_job(spark, tmp_base):
@@ -305,19 +301,6 @@ def test_repeated_dimension_key_never_duplicates_transactions(spark):
     assert len(out) == 1 and out[0]["nomeTitularConta"] == "Ana Souza" and out[0]["zipCode"] == "99999-000"
 
 
-def test_run_day_moved_window_prunes(spark, tmp_base):
-    from ledgerline.plans.job import moved_window
-    rows = [("1", "A", 1.0, T15, "DEBITO", "PIX", "2024", "01", "15"),
-            ("2", "A", 1.0, T15, "DEBITO", "PIX", "2024", "01", "02")]
-    K.write_partitioned_jsonl(txn(spark, rows), f"{tmp_base}/t")
-    df = J.read_jsonl(spark, f"{tmp_base}/t").where(moved_window("2024", "01", "16", 7))
-    assert [r["codigo_lancamento"] for r in df.collect()] == ["1"]
-    assert "PartitionFilters" in df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
-    base = write_day(spark, f"{tmp_base}/src", [line("1", "A")])
-    rep = run_day(spark, base, "2024", "01", "15", customers(spark), f"{tmp_base}/target", moved_within_days=30)
-    assert rep["rows_written"] == 1
-
-
 def test_bucketed_customer_load_rewrites_only_touched_buckets(spark, tmp_base):
     valid = customers(spark)
     K.upsert_bucketed(spark, tmp_base, valid, key="numero_unico_conta", buckets=16)
@@ -354,3 +337,157 @@ def test_failing_send_fails_the_write(spark):
         raise ConnectionError("bulk endpoint down")
     with pytest.raises(Exception):
         write_with(spark.range(10), send)
+
+
+def upserted(spark, target, cols):
+    return sorted((tuple(r) for r in spark.read.schema(K.table_schema(spark, target, {})).parquet(target).select(*cols).collect()), key=str)
+
+
+def test_null_and_special_partition_values_leave_the_rest_alone(spark, tmp_base):
+    month = [(str(i), "A", 1.0, T15, "DEBITO", "PIX", "2024", "01", f"{i + 1:02d}") for i in range(10)]
+    K.upsert(spark, tmp_base, txn(spark, month), key="codigo_lancamento")
+    odd = [("x", "A", 1.0, T15, "DEBITO", "PIX", "2024", "01", None), ("y", "A", 1.0, T15, "DEBITO", "PIX", None, None, None),
+           ("z", "A", 1.0, T15, "DEBITO", "PIX", "2024", "01", "a/b:c%d"), ("e", "A", 1.0, T15, "DEBITO", "PIX", "2024", "01", "")]
+    for _ in range(2):
+        K.upsert(spark, tmp_base, txn(spark, odd), key="codigo_lancamento")
+    got = upserted(spark, tmp_base, ["codigo_lancamento", "year", "month", "day"])
+    want = [(r[0], r[6], r[7], r[8] or None) for r in [*month, *odd]]
+    assert got == sorted(want, key=str)
+    back = [("z", "A", 1.0, T15, "DEBITO", "PIX", "2024", "01", "01"), ("y", "A", 1.0, T15, "DEBITO", "PIX", "2024", "01", "01")]
+    K.upsert(spark, tmp_base, txn(spark, back), key="codigo_lancamento")          # both emptied partitions go
+    got = upserted(spark, tmp_base, ["codigo_lancamento", "day"])
+    assert ("z", "01") in got and ("y", "01") in got and len(got) == 14
+    first = f"{tmp_base}-first"
+    K.upsert(spark, first, txn(spark, odd[:2]), key="codigo_lancamento")          # null days on a first load
+    assert len(upserted(spark, first, ["codigo_lancamento"])) == 2
+
+
+def test_null_keys_are_idempotent_and_stored_columns_stay(spark, tmp_base):
+    rows = [(None, "A", 1.0, T15, "DEBITO", "PIX", "2024", "01", "15"), (None, "B", 2.0, T15, "DEBITO", "PIX", "2024", "01", "15"),
+            ("1", "C", 3.0, T15, "DEBITO", "PIX", "2024", "01", "15")]
+    first = txn(spark, rows).withColumn("canal", F.lit("app"))
+    K.upsert(spark, tmp_base, first, key="codigo_lancamento")
+    K.upsert(spark, tmp_base, first, key="codigo_lancamento")
+    assert len(upserted(spark, tmp_base, ["numero_unico_conta"])) == 3
+    new = txn(spark, [("2", "D", 4.0, T15, "DEBITO", "PIX", "2024", "01", "15")])  # lacks ``canal``
+    K.upsert(spark, tmp_base, new.withColumn("loja", F.lit(7)), key="codigo_lancamento")
+    got = upserted(spark, tmp_base, ["codigo_lancamento", "canal", "loja"])
+    assert sorted(got, key=str) == sorted([(None, "app", None), (None, "app", None), ("1", "app", None), ("2", None, 7)], key=str)
+
+
+def test_failure_between_the_steps_is_repaired_by_the_next_upsert(spark, tmp_base, monkeypatch):
+    from ledgerline.operators import upsert as U
+    row = lambda i, v, day: (i, "A", v, T15, "DEBITO", "PIX", "2024", "01", day)
+    K.upsert(spark, tmp_base, txn(spark, [row("1", 1.0, "01"), row("2", 2.0, "02"), row("3", 3.0, "03")]), key="codigo_lancamento")
+    change = txn(spark, [row("1", 10.0, "02"), row("3", 30.0, "03")])
+
+    def broken(*a):
+        raise OSError("lost")
+    monkeypatch.setattr(U, "_apply", broken)
+    with pytest.raises(OSError):
+        K.upsert(spark, tmp_base, change, key="codigo_lancamento")
+    monkeypatch.undo()
+    assert K.recover(spark, tmp_base) and not K.recover(spark, tmp_base)
+    want = [("1", 10.0, "02"), ("2", 2.0, "02"), ("3", 30.0, "03")]
+    assert upserted(spark, tmp_base, ["codigo_lancamento", "valor_total_transacao", "day"]) == want
+
+    real = U.delete_path                                                  # fails after the overwrite, before the note goes
+    monkeypatch.setattr(U, "delete_path", lambda s, p: broken() if p.endswith("pending") else real(s, p))
+    with pytest.raises(OSError):
+        K.upsert(spark, tmp_base, txn(spark, [row("2", 20.0, "02")]), key="codigo_lancamento")
+    monkeypatch.undo()
+    K.upsert(spark, tmp_base, txn(spark, [row("4", 4.0, "04")]), key="codigo_lancamento")
+    assert upserted(spark, tmp_base, ["codigo_lancamento", "valor_total_transacao", "day"]) == [
+        ("1", 10.0, "02"), ("2", 20.0, "02"), ("3", 30.0, "03"), ("4", 4.0, "04")]
+
+
+def test_upsert_reads_only_touched_partitions_and_index_buckets(spark, tmp_base, monkeypatch):
+    from ledgerline.operators import upsert as U
+    rows = [(str(i), "A", 1.0, T15, "DEBITO", "PIX", "2024", "01", f"{i % 28 + 1:02d}") for i in range(280)]
+    K.upsert(spark, tmp_base, txn(spark, rows), key="codigo_lancamento")
+    seen = []
+    real = U._in_partitions
+    monkeypatch.setattr(U, "_in_partitions", lambda t, w, p: seen.append(real(t, w, p)) or seen[-1])
+    K.upsert(spark, tmp_base, txn(spark, rows[:1]), key="codigo_lancamento")
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []," not in plan.split("left_semi")[0][:400]
+    assert {f.split("day=")[1][:2] for f in seen[0].inputFiles() if "day=" in f} >= {"01"}
+
+
+def test_streams_account_for_every_row(spark, tmp_base):
+    from ledgerline.streaming import ingest as ST
+    lines = {"20": [line("1", "A", ts="2024-01-20T10:00:00Z"), '{"codigo', '{"cod'], "05": [line("2", "A", ts="2024-01-05T10:00:00Z")],
+             "06": [line("1", "A", ts="2024-01-20T10:00:00Z"), line(None, "A", ts="2024-01-06T10:00:00Z")]}
+    for day, own in lines.items():
+        write_day(spark, f"{tmp_base}/src", own, day=day)
+    base, cust = f"{tmp_base}/src", customers(spark)
+    ST.stream_ingest(spark, base, f"{tmp_base}/t1", f"{tmp_base}/c1", cust, f"{tmp_base}/q1", max_files_per_trigger=1)
+    assert len(upserted(spark, f"{tmp_base}/t1", ["codigoLancamento"])) == 2
+    bad = lambda p: sorted(r[0] for r in spark.read.schema("reason string").option("recursiveFileLookup", "true").json(p).collect())
+    assert bad(f"{tmp_base}/q1") == ["id", "json", "json"]
+    ST.stream_enrich(spark, base, f"{tmp_base}/t2", f"{tmp_base}/c2", cust, f"{tmp_base}/q2", max_files_per_trigger=1)
+    assert spark.read.parquet(f"{tmp_base}/t2").where("codigoLancamento is null").count() == 0 and bad(f"{tmp_base}/q2") == ["id", "json", "json"]
+    ST.stream_dedupe_into(spark, base, f"{tmp_base}/t3", f"{tmp_base}/c3", f"{tmp_base}/q3", f"{tmp_base}/late", max_files_per_trigger=1)
+    ids = lambda p: [r[0] for r in spark.read.option("recursiveFileLookup", "true").parquet(p).select("codigo_lancamento").collect()]
+    assert set(ids(f"{tmp_base}/t3")) | set(ids(f"{tmp_base}/late")) == {"1", "2"} and len(bad(f"{tmp_base}/q3")) == 3
+    ST.stream_tumbling(spark, base, f"{tmp_base}/t4", f"{tmp_base}/c4", f"{tmp_base}/q4", max_files_per_trigger=1)
+    assert spark.read.parquet(f"{tmp_base}/t4").agg(F.sum("n_transactions")).first()[0] == 3
+
+
+def test_insert_new_counts_rows_without_a_key_and_never_repeats_them(spark, tmp_base):
+    rows = [(None, "A", 1.0, T15, "DEBITO", "PIX", "2024", "01", "15"), ("1", "A", 1.0, T15, "DEBITO", "PIX", "2024", "01", "15")]
+    got = [K.insert_new(spark, tmp_base, txn(spark, rows), key="codigo_lancamento") for _ in range(2)]
+    assert got == [{"rows_added": 1, "rows_without_key": 1}, {"rows_added": 0, "rows_without_key": 1}]
+
+
+@pytest.mark.parametrize("end", ["2024-01-07", "2024-01-28", "2024-01-31"])
+def test_generators_use_every_value(spark, end):
+    from ledgerline.operators.generate import gen_customers, gen_transactions
+    cust = gen_customers(spark.range(31))
+    out = gen_transactions(spark.range(4000), cust, end=end, seed=3)
+    days, accounts, hours = out.agg(F.count_distinct("day"), F.count_distinct("numero_unico_conta"),
+                                    F.count_distinct(F.hour("data_completa_transacao"))).first()
+    assert (days, accounts, hours) == (int(end[-2:]), 31, 24)
+    assert out.join(cust, "numero_unico_conta", "left_anti").count() == 0
+    assert out.exceptAll(gen_transactions(spark.range(4000), cust, end=end, seed=3)).count() == 0
+
+
+def test_generated_customers_have_exact_ages(spark):
+    from ledgerline.operators.generate import gen_customers
+    r = gen_customers(spark.range(20000)).selectExpr(
+        "min(left(data_nascimento_titular_conta, 10)) lo", "max(left(data_nascimento_titular_conta, 10)) hi",
+        "min(datediff('2024-01-31', data_criacao_registro)) a", "max(datediff('2024-01-31', data_criacao_registro)) b").first()
+    assert r.lo >= "1944-01-31" and "2005-12-01" < r.hi <= "2006-01-31" and (r.a, r.b) == (1, 1825)
+
+
+def test_inventory_counts_empty_files(spark, tmp_base):
+    from ledgerline.session import touch
+    write_day(spark, tmp_base, [line("1", "A")])
+    touch(spark, f"{tmp_base}/year=2024/month=01/day=15/none.json")
+    touch(spark, f"{tmp_base}/year=2024/month=01/day=16/none.json")
+    got = sorted((r["day"], r["n_files"], r["n_bytes"] > 0) for r in J.file_inventory(spark, tmp_base).collect())
+    assert got == [("15", 2, True), ("16", 1, False)]
+
+
+def test_schema_check_reports_extra_fields(spark):
+    df = spark.createDataFrame([("1", 2)], "codigoLancamento string, canal int")
+    bad = {r["column_name"]: (r["expected_type"], r["actual_type"]) for r in Q.check_schema(df).collect() if not r["ok"]}
+    assert bad["canal"] == ("", "int") and bad["zipCode"] == ("string", "") and "codigoLancamento" not in bad
+
+
+def test_retention_prefix(spark, tmp_base):
+    rows = [("1", "A", 1.0, T15, "DEBITO", "PIX", "2022", "01", "15"), ("2", "A", 1.0, T15, "DEBITO", "PIX", "2021", "01", "15")]
+    df = txn(spark, rows)
+    df.write.partitionBy(*PARTITION_COLS).parquet(tmp_base)
+    assert K.expire(spark, tmp_base, "2024-01-31", df.schema, prefix="year=2021/") == [("2021", "01", "15")]
+    assert [r[0] for r in K.read_table(spark, tmp_base, df.schema).select("codigo_lancamento").collect()] == ["1"]
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    from types import SimpleNamespace
+
+    from ledgerline.session import shared_dir
+    conf = SimpleNamespace(get=lambda *a: None)
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="spark://host:7077")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(SimpleNamespace(sparkContext=sc, conf=conf))

@@ -25,8 +25,17 @@ def test_day_filter_reaches_parquet_scan(spark):
 
 def test_projection_prunes_columns(spark):
     p = formatted(Q["source_fields"](spark, SF_SMALL))
-    assert "ReadSchema: struct<event_id:bigint,user_id:bigint,event_type:string,value:double>" in p
-    assert "props" not in p.split("ReadSchema")[1] and "c_acctbal" not in p and "c_mktsegment" not in p
+    assert "ReadSchema: struct<codigoLancamento:string,valorTotalTransacao:double,tipoTransacao:string>" in p
+
+
+STORED = ("count_docs match_all term_filter term_total source_fields text_match range_filter terms_tipo terms_produto "
+          "sum_valor avg_valor stats_grouping_sets domain_violations dq_nulls_and_keys bulk_batches").split()
+
+
+def test_search_and_analytics_read_stored_documents_without_a_join(spark):
+    for name in STORED:
+        p = plan(Q[name](spark, SF_SMALL))
+        assert "Join" not in p and "docs-stored" in formatted(Q[name](spark, SF_SMALL)), name
 
 
 def test_day_scan_lists_only_its_directory(spark):
@@ -54,15 +63,17 @@ def test_no_python_on_default_path(spark):
         assert "Python" not in p and "ArrowEval" not in p, name
 
 
-def test_latest_per_key_is_partial_aggregate(spark):
-    p = plan(Q["upsert_dedupe"](spark, SF_SMALL))
-    assert "partial_max" in p
+def test_latest_per_key_scans_once_and_limits_before_the_shuffle(spark):
+    import re
+    for name, scans in (("upsert_dedupe", 1), ("union_last_wins", 3)):
+        p = formatted(Q[name](spark, SF_SMALL))
+        assert len(re.findall(r"\(\d+\) Scan parquet", p)) == scans and "Partial" in p and "WindowGroupLimit" in p, name
 
 
 def test_grouping_sets_single_scan(spark):
     p = formatted(Q["stats_grouping_sets"](spark, SF_SMALL))
     import re
-    assert len(re.findall(r"\(\d+\) Scan parquet", p)) == 2 and "Expand" in p   # events once, customer once
+    assert len(re.findall(r"\(\d+\) Scan parquet", p)) == 1 and "Expand" in p
 
 
 def test_batched_lookup_is_arrow_batched(spark):
