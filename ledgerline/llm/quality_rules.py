@@ -22,7 +22,7 @@ RULES: dict[str, str] = {
     "few_words": "n_words < 50",
     "repeated_windows": "100 * n_repeat_words > 50 * n_words",
     "symbols": "10 * n_symbols > n_words",
-    "duplicate_lines": "n_lines >= 4 and 10 * n_dup_lines > 3 * n_lines",
+    "duplicate_lines": "n_lines >= 4 and 2 * n_dup_lines > n_lines",
     "word_length": "word_chars < 2 * n_words or word_chars > 16 * n_words",
     "capitals": "5 * n_capitals > 2 * word_chars",
 }
@@ -132,7 +132,7 @@ m AS (SELECT w.r, doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, '
 b AS (SELECT *, (CASE WHEN n_words < 50 THEN 1 ELSE 0 END
         + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
         + CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END
-        + CASE WHEN n_lines >= 4 AND 10 * n_dup_lines > 3 * n_lines THEN 8 ELSE 0 END
+        + CASE WHEN n_lines >= 4 AND 2 * n_dup_lines > n_lines THEN 8 ELSE 0 END
         + CASE WHEN word_chars < 2 * n_words OR word_chars > 16 * n_words THEN 16 ELSE 0 END
         + CASE WHEN 5 * n_capitals > 2 * word_chars THEN 32 ELSE 0 END)::BIGINT AS failed_bits FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
