@@ -67,7 +67,7 @@ TXR_ENR_SQL = f"""SELECT "codigoLancamento", "numeroUnicoConta", "valorTotalTran
 
 
 #: Files per micro-batch: the trees of these queries arrive in several, days out of order.
-FILES = 7
+FILES = 12
 #: Ids whose line was cut off when it was written, and rows that are left.
 BAD_SQL = "CAST(\"codigoLancamento\" AS BIGINT) % 97 = 0"
 BAD_TX_SQL = "CAST(codigo_lancamento AS BIGINT) % 97 = 0"
