@@ -27,7 +27,7 @@ from .common import Memory, text_map
 from .merge_rounds import PairTable, merge
 
 MARK = "▁"
-REMEMBER = 200_000
+REMEMBER = 500_000
 SEGMENT = re.compile(r"\n[^ \n]*| *[^ \n]+| +").findall
 
 
@@ -57,7 +57,7 @@ class Codec:
         self.letters = {p: i for p, i in normal.items() if len(p) == 1}
         if any("\n" in p for p in normal):
             raise ValueError("a piece holds a line break")
-        self.ids, self.texts = Memory(REMEMBER), Memory(REMEMBER)
+        self.known = Memory(REMEMBER)
 
     @staticmethod
     def words(text: str) -> list[str]:
@@ -105,12 +105,19 @@ class Codec:
     def encode_all(self, texts: list[str]) -> tuple[list[int], list[str], list[str]]:
         """Of each text the number of ids, the ids in decimal joined by commas, and the decoded text."""
         cut = [self.words(t) for t in texts]
-        keys = set().union(*cut)
-        ids = self.ids.fill(keys, lambda new: [",".join([self.decimal[x] for x in i]) for i in self.encode_words(new)])
-        said = self.texts.fill(keys, lambda new: [self.decode(list(map(int, ids[w].split(",")))) for w in new])
-        lists = [",".join(map(ids.__getitem__, w)) for w in cut]
-        return ([i.count(",") + 1 if i else 0 for i in lists], lists,
-                ["".join(map(said.__getitem__, w))[1:] for w in cut])
+        known = self.known.fill(set().union(*cut), self._made)
+        n, ids, said = [], [], []
+        for words in cut:
+            got = [known[w] for w in words]
+            listed = ",".join([g[0] for g in got])
+            ids.append(listed)
+            n.append(listed.count(",") + 1 if listed else 0)
+            said.append("".join([g[1] for g in got])[1:])
+        return n, ids, said
+
+    def _made(self, words: list[str]) -> list[tuple[str, str]]:
+        """Ids in decimal and decoded text of each word."""
+        return [(",".join([self.decimal[x] for x in i]), self.decode(i)) for i in self.encode_words(words)]
 
 
 @lru_cache(maxsize=2)
