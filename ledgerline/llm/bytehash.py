@@ -25,7 +25,7 @@ def _powers(size: int, base: int) -> np.ndarray:
 
 def powers(n: int, base: int = BASE) -> np.ndarray:
     """base^0 .. base^(n-1); sizes are rounded up so that few tables are built."""
-    return _powers(1 << max(n, 1 << 16).bit_length(), base)[:n]
+    return _powers(max(1, -(-n // (1 << 18))) << 18, base)[:n]
 
 
 def inverse_powers(n: int) -> np.ndarray:

@@ -44,7 +44,7 @@ from .common import slices, stored, utf8
 from .suffix_sort import Suffixes
 
 WINDOW, ANCHOR, HOT = 100, 32, 4096
-CHUNK_BYTES, BUCKET_BYTES = 2 << 20, 8 << 20
+CHUNK_BYTES, BUCKET_BYTES = 1 << 20, 8 << 20
 VALUE2 = np.random.default_rng(977).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 SHARED, MIXED, CROWDED = 1, 2, 3
 NULL_ID = -(1 << 63)
@@ -93,7 +93,6 @@ class Chunk:
         """lo, hi (first and last window), at (anchor), a, c, c2 (hashes of anchor and of the segment)."""
         raw, width = self.raw, WINDOW - ANCHOR + 1
         self.hash = bytehash.PrefixHash(raw)
-        self.hash2 = bytehash.PrefixHash(raw, VALUE2)
         gram = bytehash.mix(self.hash.fixed(ANCHOR))
         windows = max(0, len(gram) - width + 1)
         inside = np.zeros(windows + 1, np.int8)
@@ -115,13 +114,14 @@ class Chunk:
         ahead = np.minimum.accumulate(blocks, axis=1).ravel()[width - 1:width - 1 + windows]
         behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()[:windows]
         anchor = (np.minimum(ahead, behind) & low32).astype(np.int64)[start]
+        del packed, padded, blocks, ahead, behind
         new = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (start[1:] != start[:-1] + 1)])
         self.lo, self.hi = start[new], start[np.r_[new[1:] - 1, len(start) - 1]]
         self.at = anchor[new]
         self.a = gram[self.at]
         offset = (self.at - self.lo).astype(np.uint64) * np.uint64(0x9E37) + (self.hi - self.lo).astype(np.uint64)
         self.c = bytehash.mix(self.hash.of(self.lo, self.hi + WINDOW) + offset)
-        self.c2 = bytehash.mix(self.hash2.of(self.lo, self.hi + WINDOW) + offset)
+        self.c2 = bytehash.mix(bytehash.PrefixHash(raw, VALUE2).of(self.lo, self.hi + WINDOW) + offset)
 
     def doc(self, places: np.ndarray) -> np.ndarray:
         return self.ids[np.searchsorted(self.rows, places, side="right") - 1]
@@ -138,7 +138,10 @@ class Chunk:
         seg = np.sort(self.first[kind == CROWDED])
         size = self.hi[seg] - self.lo[seg] + 1
         start = np.repeat(self.lo[seg], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-        h, h2 = (bytehash.mix(x.of(start, start + WINDOW)) for x in (self.hash, self.hash2))
+        if not len(start):
+            return start, self.a[:0], self.a[:0], np.zeros(0, bool)
+        h = bytehash.mix(self.hash.of(start, start + WINDOW))
+        h2 = bytehash.mix(bytehash.PrefixHash(self.raw, VALUE2).of(start, start + WINDOW))
         order = np.lexsort((start, h2, h))
         again = np.zeros(len(start), bool)
         again[order[1:]] = (h[order][1:] == h[order][:-1]) & (h2[order][1:] == h2[order][:-1])
