@@ -2,22 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions import money_avg, money_sum, partition_path, pct_rounded, pct_text
 from ledgerline.schemas import PARTITION_COLS
 
-# A window over the whole (already aggregated) result: its input is one row
-# per distinct value of a bounded-domain field, never the raw rows.
-def _all() -> Window:
-    return Window.partitionBy()
-
-
 def share(df: DataFrame, field: str) -> DataFrame:
-    """Count and percent of total per value (1 decimal, half-up) plus ``%`` text."""
+    """Count and percent of total per value (1 decimal, half-up) plus ``%`` text.
+
+    The total is a scalar subquery over the same counts (their shuffle is reused), so no task holds
+    all groups however many values the field has."""
     counts = df.groupBy(field).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(_all())
+    total = counts.agg(F.sum("n")).scalar()
     pct = pct_rounded(F.col("n"), total, 1)
     return counts.select(field, "n", pct.alias("pct"), pct_text(pct).alias("pct_text"))
 
@@ -32,6 +29,7 @@ def totals(df: DataFrame, value: str = "valor_total_transacao") -> DataFrame:
 def partition_counts(df: DataFrame, cols=PARTITION_COLS) -> DataFrame:
     """Rows per date partition in key order, with the partition path and count of partitions."""
     counts = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_rows"))
+    n_partitions = counts.agg(F.count(F.lit(1))).scalar()
     return (counts.select(*cols, partition_path(*cols).alias("partition_path"), "n_rows",
-                          F.count(F.lit(1)).over(_all()).alias("n_partitions"))
+                          n_partitions.alias("n_partitions"))
             .orderBy(*cols))
