@@ -153,15 +153,16 @@ def _keyed(df: DataFrame, free: list[int], bits: int, names: tuple[str, str], ke
         "fp", *keep, F.col("x.p").alias(names[0]), F.col("x.k").alias(names[1]))
 
 
-def candidates(distinct: DataFrame, hot: int = HOT) -> DataFrame:
-    """fp with the group (p, k, p2, k2) it is compared in; hot groups are dealt again."""
+def candidates(distinct: DataFrame, hot: int = HOT) -> tuple[DataFrame, str]:
+    """fp with the group (p, k, p2, k2) it is compared in; hot groups are dealt again.  And the place of
+    the table of group sizes that this reads."""
     first = _keyed(distinct, [0, 16, 32, 48], 16, ("p", "k"), ())
-    sizes, _ = stored(first.groupBy("p", "k").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "simhash-groups")
+    sizes, path = stored(first.groupBy("p", "k").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "simhash-groups")
     again = sizes.where(F.col("n") > hot).select("p", "k")
     some = first.join(sizes.where(F.col("n") <= hot).select("p", "k"), ["p", "k"]).select(
         "fp", "p", "k", F.lit(0).alias("p2"), F.lit(0).cast("long").alias("k2"))
     if again.isEmpty():
-        return some
+        return some, path
     parts = [some]
     dense = first.join(again, ["p", "k"])
     for n, used in enumerate(combinations([0, 16, 32, 48], 2)):
@@ -171,15 +172,17 @@ def candidates(distinct: DataFrame, hot: int = HOT) -> DataFrame:
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out
+    return out, path
 
 
-def links(distinct: DataFrame, radius: int = RADIUS, hot: int = HOT) -> DataFrame:
-    """Distinct (u, v), u > v, fingerprints; connected exactly as all pairs within the radius are."""
+def links(distinct: DataFrame, radius: int = RADIUS, hot: int = HOT) -> tuple[DataFrame, str]:
+    """Distinct (u, v), u > v, fingerprints, written; connected exactly as all pairs within the radius
+    are.  And their place."""
     if radius != 2:
         raise ValueError("the block rule (two of four blocks equal) is for a radius of 2")
     group = ["p", "k", "p2", "k2"]
-    dealt = candidates(distinct, hot).repartition(*group).sortWithinPartitions(*group, "fp")
+    found, sizes = candidates(distinct, hot)
+    dealt = found.repartition(*group).sortWithinPartitions(*group, "fp")
 
     def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
@@ -211,16 +214,18 @@ def links(distinct: DataFrame, radius: int = RADIUS, hot: int = HOT) -> DataFram
         u, v = np.concatenate(us).view(np.int64), np.concatenate(vs).view(np.int64)
         return pd.DataFrame({"u": np.maximum(u, v), "v": np.minimum(u, v)})
 
-    return dealt.mapInPandas(each, "u long, v long").distinct()
+    out = stored(dealt.mapInPandas(each, "u long, v long").distinct(), "simhash-edges")
+    drop_stored(distinct.sparkSession, sizes)
+    return out
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(u, v): every linked node but the smallest of its component, with that smallest node.
+def components(edges: DataFrame, path: str) -> tuple[DataFrame, str]:
+    """(u, v): every linked node but the smallest of its component, with that smallest node.  Takes and
+    gives a written table and its place; the tables of the rounds are deleted.
 
     Large-star and small-star steps alternate until every node points at a node that points nowhere.
     The least neighbours are written before they are joined, so a hub's many edges can be split."""
     spark = edges.sparkSession
-    edges, path = stored(edges, "simhash-edges")
     while True:
         old = path
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -233,18 +238,19 @@ def components(edges: DataFrame) -> DataFrame:
         drop_stored(spark, old, least_at, large_at, low_at)
         deeper = edges.join(edges.select(F.col("u").alias("v")), "v", "left_semi")
         if deeper.isEmpty():
-            return edges
+            return edges, path
 
 
 def groups(prints: DataFrame, radius: int = RADIUS, hot: int = HOT) -> DataFrame:
     """(fp, root, component_id) of every distinct fingerprint of ``prints`` (doc_id, fp)."""
-    distinct, _ = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
-    stars = components(links(distinct.select("fp"), radius, hot))
+    distinct, distinct_at = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
+    stars, stars_at = components(*links(distinct.select("fp"), radius, hot))
     member = distinct.join(stars.withColumnRenamed("u", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("v", "fp").alias("root"))
-    member, _ = stored(member, "simhash-member")
-    least, _ = stored(member.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-component")
+    member, member_at = stored(member, "simhash-member")
+    least, least_at = stored(member.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-component")
     out, _ = stored(member.join(least, "root").select("fp", "root", "component_id"), "simhash-groups")
+    drop_stored(prints.sparkSession, distinct_at, stars_at, member_at, least_at)
     return out
 
 
