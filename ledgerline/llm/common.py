@@ -21,7 +21,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Session settings of the operators; Arrow batches are bounded by rows and by bytes."""
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 * BYTES_AT_ONCE))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_AT_ONCE))
     return spark
 
 
