@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.schemas import DOC_KEY, PARTITION_COLS
-from ledgerline.session import delete_path, path_exists, rename_path, scratch_path
+from ledgerline.session import delete_path, path_exists, read_text, rename_path, scratch_path, write_text
 
 #: Hash buckets of a key index; a table keeps the number it was created with.
 KEY_BUCKETS = 16
@@ -71,13 +71,12 @@ def side_dir(target: str) -> str:
 
 
 def _note(spark: SparkSession, path: str, value: dict) -> None:
-    spark.createDataFrame([(json.dumps(value),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    write_text(spark, path, json.dumps(value))
 
 
 def _noted(spark: SparkSession, path: str) -> dict | None:
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        return None
-    return json.loads(spark.read.text(path).head()[0])
+    text = read_text(spark, path)
+    return None if text is None else json.loads(text)
 
 
 def table_schema(spark: SparkSession, target: str, partition_cols: dict[str, T.DataType]) -> T.StructType | None:

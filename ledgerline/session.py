@@ -140,6 +140,30 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(hpath, True))
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, complete or absent: written beside its place, then moved there."""
+    fs, hpath = _fs(spark, path)
+    _, part = _fs(spark, f"{path}.{uuid.uuid4().hex[:12]}")
+    stream = fs.create(part, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    fs.delete(hpath, False)
+    if not fs.rename(part, hpath):
+        raise OSError(f"rename failed: {part} -> {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Content of a small file, None where there is none."""
+    fs, hpath = _fs(spark, path)
+    if not fs.exists(hpath):
+        return None
+    stream = fs.open(hpath)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def folder_sizes(spark: SparkSession, pattern: str) -> list[tuple[str, int, int]]:
     """(path, files, bytes) of every folder that matches a glob pattern; names beginning with ``_`` or
     ``.`` are not data."""
