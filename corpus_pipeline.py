@@ -39,9 +39,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that occur earlier; n_chars follows the text."""
+    """Documents without the passages that occur earlier; n_chars follows the text."""
     prepare(spark)
-    out = substring_dedup.dedup(_packed(docs))
+    out = substring_dedup.dedup(_packed(docs), rule=substring_dedup.passages_of)
     text = F.col("_kept_text")
     changed = {"text": text}
     if "n_chars" in docs.columns:

@@ -8,6 +8,12 @@ together are still shorter than that: chance repeats of short lines are not copi
 and null or empty texts have no units.  Rows repeated with the same id and text are one document
 and are treated alike.  Kept text is the original with the removed lines cut out; removed units
 carry their original character offsets.
+
+The pipeline's stage takes ``passages_of`` instead: a unit is a run of non-blank lines with ``min_words``
+words or ``min_words * WORD_CHARS`` characters together, and all its lines go where it occurred before.
+Of every line the shortest such runs that start and that end with it are hashed, so each line of a
+repeated passage of that size goes, whatever the length of its lines and with or without spaces.  A
+smaller document is one unit, so a copy of any document is emptied.
 """
 
 from __future__ import annotations
@@ -21,6 +27,8 @@ from pyspark.sql import functions as F
 from .common import stored, text_key, text_map
 
 MIN_WORDS = 8
+#: Characters without white space that count as much as a word (scripts without spaces, long tokens).
+WORD_CHARS = 5
 REMOVED = "array<struct<unit:int,start:int,stop:int,first_doc_id:bigint,first_unit:int>>"
 
 
@@ -38,26 +46,67 @@ def units_of(text: str, min_words: int = MIN_WORDS):
         before = words
 
 
-def cut(text: str, removed) -> str:
-    """The text's lines without the removed ones."""
-    gone = {r["unit"] for r in removed}
-    return "\n".join(line for number, line in enumerate(text.split("\n")) if number not in gone)
+def passages_of(text: str, min_words: int = MIN_WORDS):
+    """(first line's number, start, stop, digest) of the runs of lines that can be removed together."""
+    lines, at, words, chars = [], 0, [0], [0]
+    for number, line in enumerate(text.split("\n")):
+        own = line.lower().split()
+        if own:
+            lines.append((number, at, at + len(line), " ".join(own)))
+            words.append(words[-1] + len(own))
+            chars.append(chars[-1] + sum(map(len, own)))
+        at += len(line) + 1
+
+    def enough(a: int, b: int) -> bool:
+        return words[b] - words[a] >= min_words or chars[b] - chars[a] >= min_words * WORD_CHARS
+
+    def unit(a: int, b: int, kind: bytes = b""):
+        whole = "\n".join(x[3] for x in lines[a:b]).encode()
+        return lines[a][0], lines[a][1], lines[b - 1][2], hashlib.blake2b(whole, digest_size=16, person=kind).digest()
+
+    if lines and not enough(0, len(lines)):
+        yield unit(0, len(lines), b"document")
+        return
+    runs, stop, start = set(), 0, 0
+    for n in range(len(lines)):
+        while stop < len(lines) and not enough(n, stop):
+            stop += 1
+        if enough(n, stop):
+            runs.add((n, stop))
+        while enough(start + 1, n + 1):
+            start += 1
+        if enough(start, n + 1):
+            runs.add((start, n + 1))
+    for a, b in sorted(runs):
+        yield unit(a, b)
 
 
-def units(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def cut(text: str, removed) -> str:
+    """The text without the non-blank lines inside the removed units."""
+    spans, kept, at, end, n = sorted((r["start"], r["stop"]) for r in removed), [], 0, -1, 0
+    for line in text.split("\n"):
+        while n < len(spans) and spans[n][0] <= at:
+            end, n = max(end, spans[n][1]), n + 1
+        if at + len(line) > end or not line.strip():
+            kept.append(line)
+        at += len(line) + 1
+    return "\n".join(kept)
+
+
+def units(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, rule=units_of) -> DataFrame:
     """One row per removable unit with its digest."""
 
     def setup():
-        return lambda texts: [[[(n, a, b, d) for n, a, b, d in units_of(t, min_words)] for t in texts]]
+        return lambda texts: [[[(n, a, b, d) for n, a, b, d in rule(t, min_words)] for t in texts]]
 
     rows = docs.select(F.col(key).cast("long").alias("id"), text_key(F.col(text)).alias("tk"), F.col(text).alias("t"))
     return text_map(rows, "t", {"u": "units"}, setup, carry=["id", "tk"]).select("id", "tk", F.inline("u"))
 
 
 def repeated_units(docs: DataFrame, key: str = "doc_id", text: str = "text",
-                   min_words: int = MIN_WORDS) -> DataFrame:
+                   min_words: int = MIN_WORDS, rule=units_of) -> DataFrame:
     """Per document with something to remove: id, tk, removed (units with offsets and first place)."""
-    found = units(docs, key, text, min_words)
+    found = units(docs, key, text, min_words, rule)
     place = F.struct("id", "tk", "unit")
     first = (found.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
              .where(~F.col("first").eqNullSafe(F.col("last"))).select("digest", "first"))
@@ -68,9 +117,9 @@ def repeated_units(docs: DataFrame, key: str = "doc_id", text: str = "text",
     return (gone.groupBy("id", "tk").agg(F.sort_array(F.collect_set(unit)).alias("removed")))
 
 
-def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, rule=units_of) -> DataFrame:
     """Every row of ``docs`` with all its columns, then _removed (units) and _kept_text."""
-    gone = repeated_units(docs, key, text, min_words).withColumnsRenamed({"id": "_id", "tk": "_tk", "removed": "_removed"})
+    gone = repeated_units(docs, key, text, min_words, rule).withColumnsRenamed({"id": "_id", "tk": "_tk", "removed": "_removed"})
     joined = (docs.withColumn("_row_tk", text_key(F.col(text)))
               .join(gone, F.col(key).cast("long").eqNullSafe(F.col("_id")) & (F.col("_row_tk") == F.col("_tk")), "left")
               .drop("_id", "_tk", "_row_tk")
