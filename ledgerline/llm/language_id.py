@@ -9,9 +9,11 @@ Symbols are the UTF-8 bytes of the lower-cased text with every run of ASCII non-
 Texts are parsed whole, in blocks of ``BLOCK`` symbols that start a phrase of their own, so that many
 blocks step through the automata together and a very long text does not lengthen the walk.
 
-Samples: about ``SAMPLE_DOCS`` documents per language chosen by a hash of the row, none longer than
-``LONGEST`` characters, whole texts until ``SAMPLE_SYMBOLS`` symbols are held (documented bounds of
-what the driver learns from).  A language all of whose documents are longer gives its shortest one.
+Samples: the different texts of a language (copies count once) of at most ``LONGEST`` characters, by
+ascending hash, whole texts until ``SAMPLE_SYMBOLS`` symbols are held (documented bounds of what the
+driver learns from).  About ``SAMPLE_DOCS`` texts, or as many as have twice these symbols, are fetched
+at first, and four times as many while a language with more texts is short.  One still short of symbols
+adds its shortest longer text.
 Null languages teach nothing.  Null texts and texts without a letter are ``und`` with score 0, as is
 everything when no language was learned.  The score is second / (first + second) cost, 1 when one
 language is known.  Rows are independent; ids may repeat or be null.
@@ -19,6 +21,7 @@ language is known.  Rows are independent; ids may repeat or be null.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -157,26 +160,28 @@ def samples(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str
     """Sample texts of each language as symbols."""
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(
         F.col(lang).alias("lang"), F.col(text).alias("t"), text_key(F.col(text)).alias("h"))
-    fits = F.length("t") <= LONGEST
-    counts = {r["lang"]: r for r in rows.groupBy("lang").agg(
-        F.count(F.when(fits, 1)).alias("n"), F.min(F.length("t")).alias("shortest")).collect()}  # a row per language
-    if not counts:
-        return {}
+    fits, size = F.length("t") <= LONGEST, F.col("size")
+    texts = rows.groupBy("lang", "h").agg(F.min(F.length("t")).alias("size"))  # copies count once
+    known = {r["lang"]: r for r in texts.groupBy("lang").agg(
+        F.count(F.when(size <= LONGEST, 1)).alias("n"), F.avg(F.when(size <= LONGEST, size)).alias("mean"),
+        F.min(F.when(size > LONGEST, size)).alias("longer")).collect()}  # a row per language
+    out: dict[str, list[np.ndarray]] = {l: [] for l in known}
+    short = lambda l: sum(map(len, out[l])) < SAMPLE_SYMBOLS
     parts = 1 << 30
-    most = {l: min(parts, -(-SAMPLE_DOCS * parts // r.n)) for l, r in counts.items() if r.n}
-    chosen = F.lit(False)
-    if most:
+    most = {l: min(parts, math.ceil(max(SAMPLE_DOCS, 2 * SAMPLE_SYMBOLS / r.mean) * parts / r.n)) for l, r in known.items() if r.n}
+    while most:
         share = F.create_map(*[F.lit(x) for pair in most.items() for x in pair])
-        chosen = fits & (F.pmod("h", F.lit(parts)) < F.coalesce(share[F.col("lang")], F.lit(0)))
-    long = [l for l, r in counts.items() if not r.n]
-    for l in long:
-        chosen = chosen | ((F.col("lang") == l) & (F.length("t") == counts[l].shortest))
-    out: dict[str, list[np.ndarray]] = {}
-    size: dict[str, int] = {}
-    for r in rows.where(chosen).groupBy("lang", "h").agg(F.min("t").alias("t")).orderBy("lang", "h").collect():
-        if size.get(r["lang"], 0) < SAMPLE_SYMBOLS:
-            out.setdefault(r["lang"], []).append(symbols(r.t))
-            size[r["lang"]] = size.get(r["lang"], 0) + len(out[r["lang"]][-1])
+        chosen = rows.where(fits & (F.pmod("h", F.lit(parts)) < F.coalesce(share[F.col("lang")], F.lit(0))))
+        out.update({l: [] for l in most})
+        for r in sorted(chosen.groupBy("lang", "h").agg(F.min("t").alias("t")).collect(), key=lambda r: (r.h % parts, r.h)):
+            if short(r["lang"]):
+                out[r["lang"]].append(symbols(r.t))
+        most = {l: min(parts, 4 * m) for l, m in most.items() if m < parts and short(l)}
+    longer = {l: r.longer for l, r in known.items() if r.longer and short(l)}
+    if longer:
+        size = F.create_map(*[F.lit(x) for pair in longer.items() for x in pair])[F.col("lang")]
+        for r in rows.where(F.length("t") == size).groupBy("lang").agg(F.min(F.struct("h", "t")).alias("x")).collect():
+            out[r["lang"]].append(symbols(r.x.t))
     return out
 
 

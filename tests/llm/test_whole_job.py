@@ -5,7 +5,7 @@ import random
 import numpy as np
 
 import corpus_pipeline as cp
-from ledgerline.llm import substring_dedup
+from ledgerline.llm import language_id, substring_dedup
 from ledgerline.llm.common import prepare
 
 rng = random.Random(5)
@@ -43,3 +43,17 @@ def test_passages_cover_every_repeat_of_that_size():
             other = "\n".join([say(9, "xyz"), *part, say(9, "xyz")])
             removed = [{"start": a, "stop": b} for _, a, b, d in substring_dedup.passages_of(other) if d in whole]
             assert [x for x in substring_dedup.cut(other, removed).split("\n")[1:-1] if x] == []
+
+
+def test_languages_of_many_copies_and_short_texts_are_learned(spark):
+    prepare(spark)
+    copies, own, tiny = [say(30, "klmno") for _ in range(3)], [say(30, "abcde") for _ in range(200)], [say(2, "vwxyz") for _ in range(400)]
+    rows = [(t, "copied") for t in copies for _ in range(1500)] + [(t, "own") for t in own] + [(t, "tiny") for t in tiny]
+    rows += [("pq " * 9000 + str(n), "long") for n in range(3)] + [("pq", "long")] + [(copies[0], None), ("12 !", "none")]
+    df = spark.createDataFrame(rows, "text string, lang string")
+    got = language_id.samples(df)
+    held = {l: sorted(x.tobytes() for x in v) for l, v in got.items()}
+    want = lambda texts: sorted(language_id.symbols(t).tobytes() for t in set(texts))
+    assert set(held) == {"copied", "own", "tiny", "long"}
+    assert held["copied"] == want(copies) and held["tiny"] == want(tiny) and held["own"] == want(own)
+    assert len(held["long"]) == 2 and sum(map(len, held["long"])) > language_id.LONGEST
