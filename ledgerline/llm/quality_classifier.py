@@ -6,8 +6,8 @@ and n-grams of two to six over the marks "this word equals the word before" / "i
 of a place is log((1 + good documents with it) / (1 + all good)) less the same of the bad, counted over
 every labelled training document (partial counts per task, then a sum per place).  Scaled vectors have
 length one.  The hinge loss is minimised by dual coordinate descent on a sample of about ``FIT_ROWS``
-labelled documents, taken by a hash of the row (documented bound of the driver's work); both classes
-weigh the same.  The score is the logistic of the margin.
+labelled documents, half of each class or all of a smaller one, taken by a hash of the row (documented
+bound of the driver's work); both classes weigh the same.  The score is the logistic of the margin.
 
 Learned from rows with one non-null label 0 or 1; an id with both labels is left out; a null id has
 none.  A null or empty text has no n-grams: its score is that of the bias.  With one class only, the
@@ -120,11 +120,13 @@ def ratios(train: DataFrame) -> tuple[np.ndarray, int, int]:
     return (share[1] - share[0]) * (n.min() > 0), int(n[0]), int(n[1])
 
 
-def sample(train: DataFrame, rows: int, of: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """Places and labels (+1, -1) of about ``rows`` labelled documents, chosen by a hash of the row."""
+def sample(train: DataFrame, rows: int, bad: int, good: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Places and labels (+1, -1) of about ``rows`` labelled documents, chosen by a hash of the row: half of
+    each class, or all of a smaller class and the rest of the other."""
     parts = 1 << 20
-    some = train.where(F.pmod(text_key(F.concat_ws("/", F.col("id").cast("string"), "t")), F.lit(parts)) < F.lit(
-        min(parts, -(-rows * parts // max(of, 1))))).groupBy("id").agg(F.min("t").alias("t"), F.first("good").alias("good"))
+    want = {False: min(bad, max(rows // 2, rows - good)), True: min(good, max(rows // 2, rows - bad))}
+    most = {False: min(parts, -(-want[False] * parts // bad)), True: min(parts, -(-want[True] * parts // good))}
+    place = F.pmod(text_key(F.concat_ws("/", F.col("id").cast("string"), "t")), F.lit(parts))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,10 +137,18 @@ def sample(train: DataFrame, rows: int, of: int) -> tuple[list[np.ndarray], np.n
                     [part.column(names.index("id")).cast(pa.string()), pa.array(packed, pa.binary()),
                      part.column(names.index("good"))], names=["id", "f", "good"])
 
-    got = some.mapInArrow(each, T.StructType().add("id", "string").add("f", "binary").add("good", "boolean")).toArrow()
+    while True:
+        # the larger bound again by itself, so that it is applied before texts move to the labels
+        some = train.where(place < max(most.values())).where(place < F.when(F.col("good"), most[True]).otherwise(
+            most[False])).groupBy("id").agg(F.min("t").alias("t"), F.first("good").alias("good"))
+        got = some.mapInArrow(each, T.StructType().add("id", "string").add("f", "binary").add("good", "boolean")).toArrow()
+        packed, label = got.column("f").to_pylist(), got.column("good").to_pylist()
+        few = [g for g in most if most[g] < parts and label.count(g) < want[g] / 2]  # rows repeated very often
+        if not few:
+            break
+        most.update({g: min(parts, 4 * most[g]) for g in few})
     order = np.argsort(np.array(got.column("id").to_pylist(), object)) if got.num_rows else []
-    packed, good = got.column("f").to_pylist(), got.column("good").to_pylist()
-    return [np.frombuffer(packed[i], np.int32) for i in order], np.array([1 if good[i] else -1 for i in order])
+    return [np.frombuffer(packed[i], np.int32) for i in order], np.array([1 if label[i] else -1 for i in order])
 
 
 def descend(found: list[np.ndarray], label: np.ndarray, ratio: np.ndarray, epochs: int = EPOCHS,
@@ -169,7 +179,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     ratio, bad, good = ratios(train)
     if not bad or not good:
         return Model(np.zeros(PLACES), np.zeros(PLACES), float(good > 0) - float(bad > 0))
-    weight, bias = descend(*sample(train, rows, bad + good), ratio)
+    weight, bias = descend(*sample(train, rows, bad, good), ratio)
     return Model(ratio * weight, ratio * ratio, bias)
 
 

@@ -3,9 +3,10 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
-from ledgerline.llm import language_id, substring_dedup
+from ledgerline.llm import language_id, quality_classifier, substring_dedup
 from ledgerline.llm.common import prepare
 
 rng = random.Random(5)
@@ -57,3 +58,16 @@ def test_languages_of_many_copies_and_short_texts_are_learned(spark):
     assert set(held) == {"copied", "own", "tiny", "long"}
     assert held["copied"] == want(copies) and held["tiny"] == want(tiny) and held["own"] == want(own)
     assert len(held["long"]) == 2 and sum(map(len, held["long"])) > language_id.LONGEST
+
+
+def test_a_rare_class_is_fitted(spark):
+    prepare(spark)
+    rng.seed(0)  # no rare row among the sixty chosen from all rows together
+    rows = [(i, say(20, "abcd"), 1) for i in range(3000)] + [(3000 + i, say(20, "wxyz"), 0) for i in range(4)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int")
+    new = spark.createDataFrame([(1, say(20, "wxyz")), (2, say(20, "abcd"))], "doc_id long, text string")
+    for flip in (False, True):
+        model = quality_classifier.fit(docs, labels.withColumn("quality", 1 - F.col("quality")) if flip else labels, rows=60)
+        got = {r.doc_id: r._score >= 0.5 for r in quality_classifier.score(new, model).collect()}
+        assert got == {1: flip, 2: not flip}
