@@ -10,8 +10,8 @@ shingle stands), then the hashes of all its words, then a comparison of the byte
 The benchmark is the bounded side: it is cut into blocks of at most about ``BLOCK_BYTES`` of text,
 each block is broadcast alone, and with more than one block the documents with their marks so far
 are written between blocks.  Documents are never shuffled.  Null or empty texts have no words; items
-without words have no windows; null item ids count for hits but are not listed; repeated items and
-documents are handled row by row; all input columns can be carried along.
+without words have no windows; null item ids count for hits but are not listed; repeated items
+count once; documents are handled row by row; all input columns can be carried along.
 """
 
 from __future__ import annotations
@@ -196,7 +196,7 @@ def _pass(docs: DataFrame, text: str, index: Index, last: bool) -> DataFrame:
 def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW,
                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Every row of ``docs`` with all its columns and _n_words, _n_hit, _n_items, _items_sha256."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()  # repeats add nothing
     total = items.agg(F.sum(F.octet_length("text")).alias("n")).head().n or 0
     blocks = -(-total // block_bytes) or 1
     for block in range(blocks):

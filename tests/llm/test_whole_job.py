@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
-from ledgerline.llm import language_id, quality_classifier, substring_dedup
+from ledgerline.llm import decontaminate, language_id, quality_classifier, substring_dedup
 from ledgerline.llm.common import prepare
 
 rng = random.Random(5)
@@ -71,3 +71,17 @@ def test_a_rare_class_is_fitted(spark):
         model = quality_classifier.fit(docs, labels.withColumn("quality", 1 - F.col("quality")) if flip else labels, rows=60)
         got = {r.doc_id: r._score >= 0.5 for r in quality_classifier.score(new, model).collect()}
         assert got == {1: flip, 2: not flip}
+
+
+def test_repeated_benchmark_rows_do_not_fill_a_block(spark, monkeypatch):
+    prepare(spark)
+    line, sizes, build = say(12), [], decontaminate.Index.__init__
+
+    def counted(self, items, window):
+        sizes.append(sum(len(t or "") for _, t in items))
+        build(self, items, window)
+    monkeypatch.setattr(decontaminate.Index, "__init__", counted)
+    bench = spark.createDataFrame([(1, line)] * 400 + [(2, line), (3, say(15)), (4, None), (4, None)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, say(5) + " " + line), (2, say(30))], "doc_id long, text string")
+    got = {r.doc_id: (r._n_hit, r._n_items) for r in decontaminate.contamination(docs, bench, block_bytes=1000).collect()}
+    assert got == {1: (12, 2), 2: (0, 0)} and sum(sizes) < 1000
