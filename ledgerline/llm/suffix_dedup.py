@@ -368,8 +368,14 @@ def _among(h: np.ndarray, h2: np.ndarray, p: np.ndarray, p2: np.ndarray) -> np.n
     """Which pairs (h, h2) are among the pairs (p, p2)."""
     if not len(p):
         return np.zeros(len(h), bool)
-    both = np.r_[p, h] * np.uint64(3) + bytehash.mix(np.r_[p2, h2])
-    return np.isin(both[len(p):], both[:len(p)])
+    a, b = np.r_[p, h], np.r_[p2, h2]
+    order = np.lexsort((b, a))
+    pair = np.cumsum(np.r_[False, (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])])
+    held = np.zeros(pair[-1] + 1, bool)
+    held[pair[order < len(p)]] = True
+    out = np.empty(len(a), bool)
+    out[order] = held[pair]
+    return out[len(p):]
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", hot: int = HOT, chunk_bytes: int = CHUNK_BYTES,

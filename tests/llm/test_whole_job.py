@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
-from ledgerline.llm import decontaminate, language_id, quality_classifier, substring_dedup
+from ledgerline.llm import decontaminate, language_id, quality_classifier, substring_dedup, suffix_dedup
 from ledgerline.llm.common import prepare
 
 rng = random.Random(5)
@@ -85,3 +85,17 @@ def test_repeated_benchmark_rows_do_not_fill_a_block(spark, monkeypatch):
     docs = spark.createDataFrame([(1, say(5) + " " + line), (2, say(30))], "doc_id long, text string")
     got = {r.doc_id: (r._n_hit, r._n_items) for r in decontaminate.contamination(docs, bench, block_bytes=1000).collect()}
     assert got == {1: (12, 2), 2: (0, 0)} and sum(sizes) < 1000
+
+
+def test_pairs_of_hashes_are_compared_as_pairs():
+    gen = np.random.default_rng(1)
+    h, h2 = (gen.integers(0, 6, 300, dtype=np.uint64) for _ in range(2))
+    p, p2 = (gen.integers(0, 6, 20, dtype=np.uint64) for _ in range(2))
+    held = set(zip(p.tolist(), p2.tolist()))
+    assert suffix_dedup._among(h, h2, p, p2).tolist() == [x in held for x in zip(h.tolist(), h2.tolist())]
+    assert not suffix_dedup._among(h, h2, p[:0], p2[:0]).any() and not len(suffix_dedup._among(h[:0], h2[:0], p, p2))
+    # pairs that one folded 64-bit value cannot tell apart
+    a, b, c = (np.array([x], np.uint64) for x in (5, 6, 9))
+    third = np.array([pow(3, -1, 1 << 64)], np.uint64)
+    other = a + (suffix_dedup.bytehash.mix(b) - suffix_dedup.bytehash.mix(c)) * third
+    assert not suffix_dedup._among(other, c, a, b).any()
