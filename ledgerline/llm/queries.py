@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, decontaminate, language_id, quality_classifier, quality_rules, sentencepiece_codec, simhash_dedup, substring_dedup, suffix_dedup, token_counts
+from . import (chat_format, decontaminate, language_id, quality_classifier, quality_rules, sentencepiece_codec, simhash_dedup,
+               substring_dedup, suffix_dedup, superminhash_dedup, token_counts)
 from .common import prepare, table
 
 WORD_BPE, PIECE_BPE = "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -52,6 +53,7 @@ def queries() -> dict[str, Builder]:
         "op8_benchmark_decontamination": _op8,
         "op9_chat_formatting": _over("conversations", chat_format.op9),
         "op10_simhash_near_dedup": _over("documents", simhash_dedup.op10),
+        "op13_minhash_near_dedup": _over("documents", superminhash_dedup.op13),
     }
 
 
@@ -59,7 +61,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_substring_dedup": substring_dedup.ORACLE,
         "op5_quality_rules": quality_rules.ORACLE,
-        "op8_benchmark_decontamination": _op8,
         "op8_benchmark_decontamination": decontaminate.ORACLE,
         "op9_chat_formatting": chat_format.ORACLE,
     }
