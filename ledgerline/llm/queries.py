@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (chat_format, decontaminate, language_id, quality_classifier, quality_rules, sentencepiece_codec, simhash_dedup,
+from . import (chat_format, decontaminate, hard_negatives, language_id, quality_classifier, quality_rules, sentencepiece_codec, simhash_dedup,
                substring_dedup, suffix_dedup, superminhash_dedup, token_counts)
 from .common import prepare, table
 
@@ -53,6 +53,7 @@ def queries() -> dict[str, Builder]:
         "op8_benchmark_decontamination": _op8,
         "op9_chat_formatting": _over("conversations", chat_format.op9),
         "op10_simhash_near_dedup": _over("documents", simhash_dedup.op10),
+        "op12_hard_negatives": _over("embeddings", hard_negatives.op12),
         "op13_minhash_near_dedup": _over("documents", superminhash_dedup.op13),
     }
 
@@ -63,4 +64,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_quality_rules": quality_rules.ORACLE,
         "op8_benchmark_decontamination": decontaminate.ORACLE,
         "op9_chat_formatting": chat_format.ORACLE,
+        "op12_hard_negatives": hard_negatives.ORACLE,
     }
