@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (chat_format, decontaminate, hard_negatives, language_id, quality_classifier, quality_rules, sentencepiece_codec, simhash_dedup,
-               substring_dedup, suffix_dedup, superminhash_dedup, token_counts)
+from . import (chat_format, conversation_repair, decontaminate, hard_negatives, language_id, quality_classifier,
+               quality_rules, sentencepiece_codec, simhash_dedup, substring_dedup, suffix_dedup, superminhash_dedup, token_counts)
 from .common import prepare, table
 
 WORD_BPE, PIECE_BPE = "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -53,6 +53,7 @@ def queries() -> dict[str, Builder]:
         "op8_benchmark_decontamination": _op8,
         "op9_chat_formatting": _over("conversations", chat_format.op9),
         "op10_simhash_near_dedup": _over("documents", simhash_dedup.op10),
+        "op11_conversation_repair": _over("conversations", conversation_repair.op11),
         "op12_hard_negatives": _over("embeddings", hard_negatives.op12),
         "op13_minhash_near_dedup": _over("documents", superminhash_dedup.op13),
     }
