@@ -52,6 +52,24 @@ def drop_stored(spark: SparkSession, *paths: str) -> None:
         delete_path(spark, path)
 
 
+def fresh(df: DataFrame, *wanted: str) -> list[str]:
+    """Names like the wanted ones that no column of ``df`` has (whatever the case)."""
+    there, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in there:
+            name = f"_{name}"
+        there.add(name.lower())
+        out.append(name)
+    return out
+
+
+def refuse(df: DataFrame, *made: str) -> None:
+    """Raise where the input has a column that a function adds."""
+    clash = sorted({c for c in df.columns if c.lower() in {m.lower() for m in made}})
+    if clash:
+        raise ValueError(f"the input already has the column(s) that this adds: {', '.join(clash)}; rename or drop them")
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets of an Arrow string column (null: empty); no copy of the bytes."""
     column = column.cast(pa.large_string()) if not pa.types.is_large_string(column.type) else column
@@ -77,9 +95,6 @@ def slices(batch: pa.RecordBatch, text: str, most: int = BYTES_AT_ONCE):
 
 ARROW = {"long": (T.LongType(), pa.int64()), "int": (T.IntegerType(), pa.int32()), "double": (T.DoubleType(), pa.float64()),
          "string": (T.StringType(), pa.string()), "boolean": (T.BooleanType(), pa.bool_()),
-         "units": (T.ArrayType(T.StructType([T.StructField("unit", T.IntegerType()), T.StructField("start", T.IntegerType()),
-                                             T.StructField("stop", T.IntegerType()), T.StructField("digest", T.BinaryType())])),
-                   pa.list_(pa.struct([("unit", pa.int32()), ("start", pa.int32()), ("stop", pa.int32()), ("digest", pa.binary())]))),
          "ints": (T.ArrayType(T.IntegerType()), pa.list_(pa.int32()))}
 
 
@@ -102,6 +117,7 @@ def text_map(docs: DataFrame, text: str, made: dict[str, str], setup: Callable[[
 
     ``setup`` runs once per task and gives a function from texts to one sequence per new column."""
     carry = list(docs.columns if carry is None else carry)
+    refuse(docs.select(*[f"`{c}`" for c in carry]), *made)
     schema = T.StructType([docs.schema[c] for c in carry])
     for name, kind in made.items():
         schema = schema.add(name, ARROW[kind][0])
