@@ -30,7 +30,46 @@ REMEMBER = 300_000
 #: White space of the pattern's \\s; Python's own splitting also cuts at the four separators 1C to 1F.
 SPACE, CONTROL = regex.compile(r"\s+"), regex.compile(r"[\x1c-\x1f]")
 #: Lower case of letters that this Python's tables lack, and of the one whose lower case it varies.
-LOWER_FIRST = {0x03A3: 0x03C3, 0xA7CB: 0x0264, 0xA7DC: 0x019B}
+LOWER_FIRST = {0x03A3: 0x03C3, 0xA7CB: 0x0264, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DC: 0x019B}
+
+#: Letters and numbers that Unicode has had since version 17 or later and that the vocabulary's
+#: library (version 16) takes for neither.
+NEWER = """
+    0558 058B-058C 088F 0C5C 0CDC 208F 209D-209F A7CE-A7CF A7D2 A7D4 A7DD A7E2 A7F1 AB6C-AB6D 107BB-107BF 10940-10959
+    10EC5-10EC7 10ED9-10EEE 11B0A 11DB0-11DDB 11DE0-11DE9 11DF1 1246F 12475-1247F 12550-12686 16EA0-16EB8 16EBB-16ED3
+    16FF2-16FF6 187F8-187FF 18CD6-18CDA 18D09-18D20 18D80-18DF2 18E00-19191 191A0-191D2 1B123-1B128 1B168 1D6A6
+    1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96 1DFCD-1DFFF 1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED 1E6F0-1E6F4
+    1E6FE-1E6FF 2B73A-2B73F 2B81E 2CEA2-2CEAD 323B0-33479 3D000-3FC3F
+"""
+
+#: Marks that the library's normal form (Unicode 9) takes for letters that nothing joins or passes.
+STARTERS = """
+    07FD 0898-089F 08CA-08D3 09FE 0C3C 0D3B-0D3C 0EBA 1715 1ABF-1ACE 1DF6-1DFA A82C 10D24-10D27 10EAB-10EAC
+    10EFD-10EFF 10F46-10F50 10F82-10F85 11070 1133B 1145E 11839-1183A 11930 1193D-1193E 11943 119E0 11A34 11A47 11A99
+    11D42 11D44-11D45 11D97 11F41-11F42 16FF0-16FF1 1E08F 1E130-1E136 1E2AE 1E2EC-1E2EF 1E4EC-1E4EF
+"""
+
+
+def _listed(ranges: str) -> str:
+    """The inside of a character class."""
+    return "".join("-".join(f"\\U{int(end, 16):08x}" for end in ends.split("-")) for ends in ranges.split())
+
+
+SEPARATE = regex.compile(f"([{_listed(STARTERS)}])")
+
+
+def composed(text: str) -> str:
+    """Normal form C as the library makes it."""
+    if not SEPARATE.search(text):
+        return unicodedata.normalize("NFC", text)
+    return "".join(unicodedata.normalize("NFC", part) for part in SEPARATE.split(text))
+
+
+def library_classes(pattern: str) -> str:
+    """The pattern with ``\\p{L}`` and ``\\p{N}`` as the library knows them."""
+    for kind in ("L", "N"):
+        pattern = pattern.replace(f"\\p{{{kind}}}", f"[\\p{{{kind}}}--[{_listed(NEWER)}]]")
+    return pattern
 
 
 def byte_letters() -> dict[int, str]:
@@ -54,7 +93,7 @@ class Vocabulary:
         self.pairs = PairTable([ids[a] for a, _ in pairs], [ids[b] for _, b in pairs],
                                [ids[a + b] for a, b in pairs], range(len(pairs)))
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.pattern = regex.compile(split["pattern"]["Regex"])
+        self.pattern = regex.compile(library_classes(split["pattern"]["Regex"]), regex.V1)
         special = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
         self.known = Memory(REMEMBER)
@@ -73,7 +112,7 @@ class Vocabulary:
         out: list[str] = []
         for part in parts:
             if not part.isascii():
-                part = unicodedata.normalize("NFC", part).translate(LOWER_FIRST)
+                part = composed(part).translate(LOWER_FIRST)
             out += self.pattern.findall(part.lower())
         return out, found
 
