@@ -6,8 +6,9 @@ and n-grams of two to six over the marks "this word equals the word before" / "i
 of a place is log((1 + good documents with it) / (1 + all good)) less the same of the bad, counted over
 every labelled training document (partial counts per task, then a sum per place).  Scaled vectors have
 length one.  The hinge loss is minimised by dual coordinate descent on a sample of about ``FIT_ROWS``
-labelled documents, half of each class or all of a smaller one, taken by a hash of the row (documented
-bound of the driver's work); both classes weigh the same.  The score is the logistic of the margin.
+different labelled texts and at most ``FIT_PLACES`` places, half of each class or all of a smaller one,
+taken by a hash of the text (documented bounds of the driver's work and memory); both classes weigh the
+same.  The score is the logistic of the margin.
 
 Learned from rows with one non-null label 0 or 1; an id with both labels is left out; a null id has
 none.  A null or empty text has no n-grams: its score is that of the bias.  With one class only, the
@@ -21,16 +22,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from . import bytehash
-from .common import crc_mod, slices, text_key, utf8
+from .common import crc_mod, drop_stored, refuse, slices, stored, text_key, utf8
 
 BITS = 17
 PLACES = 1 << BITS
 FIT_ROWS, EPOCHS, COST, STEEPNESS, SEED = 3000, 12, 4.0, 3.0, 7
+#: Places of the fitting sample together: 12 bytes each on the driver.
+FIT_PLACES = 8 << 20
 AT_ONCE = 1 << 20
 NOT_SPACE = np.ones(256, bool)
 NOT_SPACE[[32, *range(9, 14)]] = False
@@ -120,34 +122,46 @@ def ratios(train: DataFrame) -> tuple[np.ndarray, int, int]:
     return (share[1] - share[0]) * (n.min() > 0), int(n[0]), int(n[1])
 
 
-def sample(train: DataFrame, rows: int, bad: int, good: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """Places and labels (+1, -1) of about ``rows`` labelled documents, chosen by a hash of the row: half of
-    each class, or all of a smaller class and the rest of the other."""
+def sample(train: DataFrame, rows: int, bad: int, good: int, most_places: int = FIT_PLACES) -> tuple[list[np.ndarray], np.ndarray]:
+    """Places and labels (+1, -1) of about ``rows`` different labelled texts, chosen and ordered by a hash of the
+    text alone: half of each class, or all of a smaller class and the rest of the other; the same share of each
+    class, the smaller hashes, where these have more than ``most_places`` places together."""
     parts = 1 << 20
     want = {False: min(bad, max(rows // 2, rows - good)), True: min(good, max(rows // 2, rows - bad))}
     most = {False: min(parts, -(-want[False] * parts // bad)), True: min(parts, -(-want[True] * parts // good))}
-    place = F.pmod(text_key(F.concat_ws("/", F.col("id").cast("string"), "t")), F.lit(parts))
+    train = train.select(text_key(F.col("t")).alias("key"), "t", "good")
+    place = F.pmod(F.col("key"), F.lit(parts))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "t", AT_ONCE):
-                names = part.schema.names
-                packed = [f.astype(np.int32).tobytes() for f in features(part.column(names.index("t")))]
+                found = [f.astype(np.int32) for f in features(part.column(2))]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(names.index("id")).cast(pa.string()), pa.array(packed, pa.binary()),
-                     part.column(names.index("good"))], names=["id", "f", "good"])
+                    [part.column(0), part.column(1), pa.array([f.tobytes() for f in found], pa.binary()),
+                     pa.array([len(f) for f in found], pa.int64())], names=["key", "good", "f", "n"])
 
     while True:
         # the larger bound again by itself, so that it is applied before texts move to the labels
         some = train.where(place < max(most.values())).where(place < F.when(F.col("good"), most[True]).otherwise(
-            most[False])).groupBy("id").agg(F.min("t").alias("t"), F.first("good").alias("good"))
-        got = some.mapInArrow(each, T.StructType().add("id", "string").add("f", "binary").add("good", "boolean")).toArrow()
-        packed, label = got.column("f").to_pylist(), got.column("good").to_pylist()
-        few = [g for g in most if most[g] < parts and label.count(g) < want[g] / 2]  # rows repeated very often
+            most[False])).groupBy("key", "good").agg(F.min("t").alias("t"))
+        some, at = stored(some.select("key", "good", "t").mapInArrow(each, "key long, good boolean, f binary, n long"), "fit-sample")
+        count = {r.good: (r.rows, r.n) for r in some.groupBy("good").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n")).collect()}
+        # rows repeated very often leave few different texts
+        few = [g for g in most if most[g] < parts and count.get(g, (0, 0))[0] < want[g] / 2]
         if not few:
             break
+        drop_stored(train.sparkSession, at)
         most.update({g: min(parts, 4 * most[g]) for g in few})
-    order = np.argsort(np.array(got.column("id").to_pylist(), object)) if got.num_rows else []
+    total = sum(n for _, n in count.values())
+    if total > most_places:
+        share = {g: int(n * most_places / total) for g, (_, n) in count.items()}
+        order = Window.partitionBy("good").orderBy(place, "key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        some = some.withColumn("so_far", F.sum("n").over(order)).where(  # the first text of a class in any case
+            (F.col("so_far") <= F.when(F.col("good"), share.get(True, 0)).otherwise(share.get(False, 0))) | (F.col("so_far") == F.col("n")))
+    got = some.select("key", "good", "f").toArrow()
+    packed, label = got.column("f").to_pylist(), got.column("good").to_pylist()
+    drop_stored(train.sparkSession, at)
+    order = np.lexsort((np.array(label, bool), got.column("key").to_numpy())) if got.num_rows else []
     return [np.frombuffer(packed[i], np.int32) for i in order], np.array([1 if label[i] else -1 for i in order])
 
 
@@ -183,22 +197,18 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     return Model(ratio * weight, ratio * ratio, bias)
 
 
-def score(docs: DataFrame, model: Model, text: str = "text", carry=None) -> DataFrame:
-    """Carried columns (default all), then _score."""
-    carry = list(docs.columns if carry is None else carry)
+def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """Every row of ``docs`` with all its columns, then _score; only the text goes to Python."""
+    refuse(docs, "_score")
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2^17 places, whatever the input
 
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def each(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = shared.value
-        for batch in batches:
-            for part in slices(batch, text, AT_ONCE):
-                names = part.schema.names
-                made = [logistic(own.margin(f)) for f in features(part.column(names.index(text)))]
-                yield pa.RecordBatch.from_arrays([*[part.column(names.index(c)) for c in carry], pa.array(made, pa.float64())],
-                                                 names=[*carry, "_score"])
+        for texts in arrays:
+            batch = pa.RecordBatch.from_arrays([texts], names=["t"])
+            yield pa.array([logistic(own.margin(f)) for part in slices(batch, "t", AT_ONCE) for f in features(part.column(0))], pa.float64())
 
-    schema = T.StructType([docs.schema[c] for c in carry]).add("_score", T.DoubleType())
-    return docs.select(*dict.fromkeys([*carry, text])).mapInArrow(each, schema)
+    return docs.withColumn("_score", F.arrow_udf(each, "double")(F.col(text)))
 
 
 def held_out(doc_id):
@@ -208,6 +218,6 @@ def held_out(doc_id):
 def op3(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Row per document: doc_id, held_out, score, predicted; learned from rows that are not held out."""
     model = fit(docs.where(~held_out(F.col("doc_id"))), labels)
-    out = score(docs.select("doc_id", "text"), model, carry=["doc_id"])
+    out = score(docs.select("doc_id", "text"), model)
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("_score").alias("score"),
                       (F.col("_score") >= 0.5).cast("int").alias("predicted"))
