@@ -2,7 +2,7 @@
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame that is written and read again as the next
 one's ``docs``.  All but the last return the columns of their input, extra ones included; an input
-column never clashes with an operator's, since rows travel as one struct.  Null or empty texts pass the
+column never clashes with an operator's, since the others travel as one struct.  Null or empty texts pass the
 stages by the operators' rules: no n-grams (judged by the classifier's bias), fingerprint zero (one row
 of that group stays), nothing to remove, no benchmark words, no tokens.  Empty tables stay empty.
 """
@@ -18,43 +18,50 @@ from ledgerline.llm.queries import PIECE_BPE, tokenizer
 
 
 def _packed(docs: DataFrame) -> DataFrame:
-    """The whole row as one struct beside the two columns that operators read."""
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text")
+    """doc_id, text and the other columns as one struct; only texts go to Python."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(*rest, F.lit(0).alias("_")).alias("rest"))
+
+
+def _unpacked(rows: DataFrame, docs: DataFrame, **changed) -> DataFrame:
+    """The columns of ``docs`` again, some of them changed."""
+    own = lambda c: F.col(c) if c in ("doc_id", "text") else F.col(f"rest.`{c}`")
+    return rows.select(*[changed.get(c, own(c)).alias(c) for c in docs.columns])
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts; it learns from labelled rows that are not held out."""
     prepare(spark)
     model = quality_classifier.fit(docs.where(~quality_classifier.held_out(F.col("doc_id"))), table(spark, sf_dir, "labels"))
-    return quality_classifier.score(_packed(docs), model, carry=["row"]).where("_score >= 0.5").select("row.*")
+    return _unpacked(quality_classifier.score(_packed(docs), model).where("_score >= 0.5"), docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component: the smallest id (exact repeats of its row go too)."""
     prepare(spark)
     keep, _ = stored(simhash_dedup.keepers(simhash_dedup.near_duplicates(docs)), "pipeline-keepers")
-    rows = _packed(docs).select("row", F.col("doc_id").cast("long").alias("id"), text_key(F.col("text")).alias("key"))
+    rows = _packed(docs).withColumns({"id": F.col("doc_id").cast("long"), "key": text_key(F.col("text"))})
     same = rows["id"].eqNullSafe(keep["doc_id"]) & (rows["key"] == keep["tk"])
-    return rows.join(keep, same, "left_semi").dropDuplicates(["id", "key"]).select("row.*")
+    return _unpacked(rows.join(keep, same, "left_semi").dropDuplicates(["id", "key"]), docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that occur earlier; n_chars follows the text."""
     prepare(spark)
-    out = substring_dedup.dedup(_packed(docs), rule=substring_dedup.passages_of)
+    out = substring_dedup.dedup(_packed(docs))
     text = F.col("_kept_text")
     changed = {"text": text}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        changed["n_chars"] = F.when(F.size("_removed") > 0, F.char_length(text).cast(kind)).otherwise(F.col("row.n_chars"))
-    return out.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+        changed["n_chars"] = F.when(F.size("_removed") > 0, F.char_length(text).cast(kind)).otherwise(F.col("rest.n_chars"))
+    return _unpacked(out, docs, **changed)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
     prepare(spark)
     out = decontaminate.contamination(_packed(docs), table(spark, sf_dir, "benchmark"))
-    return out.where("_n_hit = 0").select("row.*")
+    return _unpacked(out.where("_n_hit = 0"), docs)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
