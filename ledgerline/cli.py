@@ -99,7 +99,7 @@ def cmd_check(spark, a):
 
 
 def cmd_expire(spark, a):
-    removed = K.expire(spark, a.target, a.as_of, DOCS_SCHEMA, prefix=a.prefix)
+    removed = K.expire(spark, a.target, a.as_of, prefix=a.prefix)
     return {"removed": ["/".join(f"{c}={v}" for c, v in zip(PARTITION_COLS, r)) for r in removed]}
 
 

@@ -3,7 +3,9 @@ the latest row per key (W1) are in ``operators/upsert.py`` and re-exported here.
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -13,9 +15,9 @@ from pyspark.sql import types as T
 from ledgerline.functions import md5_bucket, money_sum, time_text
 from ledgerline.schemas import (BULK_BATCH_DOCS, DOC_KEY, PARTITION_COLS, RETENTION_DAYS,
                                 TXN_COLS)
-from ledgerline.operators.upsert import (drop_target, insert_new, latest_per_key, read_bucketed, read_table,  # noqa: F401
-                                         recover, table_schema, upsert, upsert_bucketed)
-from ledgerline.session import delete_path
+from ledgerline.operators.upsert import (COMMIT, compact, delete_keys, drop_partitions, drop_target,  # noqa: F401
+                                         insert_new, latest_per_key, read_bucketed, read_table, recover, snapshot,
+                                         table_schema, upsert, upsert_bucketed)
 
 
 # ---------------------------------------------------------------------------
@@ -134,6 +136,39 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType, location:
     return True
 
 
+#: Folder, always empty, that a log table's catalog entry names; its partitions lie elsewhere.
+CATALOG = "/_catalog"
+
+
+def catalog_location(target: str) -> str:
+    return target.rstrip("/") + CATALOG
+
+
+def register_partitions(spark: SparkSession, name: str, target: str) -> list[str]:
+    """Point the catalog's partitions at the folders that the newest commit of a log table wrote, and drop
+    those it emptied; nothing else is listed or changed.  The catalog shows the base (call ``compact`` before)."""
+    snap = snapshot(spark, target)
+    spec = lambda place: ", ".join(_partition_value(part) for part in place.split("/"))
+    live = {f.partition("/")[2]: f for f in snap.base}
+    new = [p for p, f in live.items() if f.startswith(f"{COMMIT}={snap.version:08d}-")]
+    for place in new:
+        location = f"{target.rstrip('/')}/data/{live[place]}".replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({spec(place)}) LOCATION '{location}'")
+        spark.sql(f"ALTER TABLE {name} PARTITION ({spec(place)}) SET LOCATION '{location}'")
+    for place in {f.partition("/")[2] for f in snap.garbage} - {""} - set(live):
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec(place)})")
+    spark.catalog.refreshTable(name)
+    return sorted(new)
+
+
+def _partition_value(part: str) -> str:
+    column, _, value = part.partition("=")
+    if value == "__HIVE_DEFAULT_PARTITION__":
+        return f"`{column}` = NULL"
+    text = unquote(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"`{column}` = '{text}'"
+
+
 def drop_table(spark: SparkSession, name: str, purge_location: bool = True) -> bool:
     """K7: delete the target (catalog entry and, for our external tables, its files)."""
     if not spark.catalog.tableExists(name):
@@ -144,7 +179,7 @@ def drop_table(spark: SparkSession, name: str, purge_location: bool = True) -> b
         location = rows[0]["data_type"] if rows else None
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     if location:
-        drop_target(spark, location)
+        drop_target(spark, location.removesuffix(CATALOG))
     return True
 
 
@@ -202,12 +237,17 @@ def retention_tiers(df: DataFrame, as_of: str, partition_cols=PARTITION_COLS, pr
             .select(*partition_cols, age.alias("age_days"), tier.alias("tier"), "n_rows"))
 
 
-def expire(spark: SparkSession, target: str, as_of: str, schema: T.StructType,
-           partition_cols=PARTITION_COLS, prefix: str = "") -> list[tuple]:
-    """K8: delete date partitions at least 365 days old below ``prefix``; returns the removed keys."""
-    old = retention_tiers(read_table(spark, target, schema).select(*partition_cols), as_of,
-                          partition_cols, prefix).where(F.col("tier") == "expired")
-    removed = [tuple(r) for r in old.select(*partition_cols).collect()]   # one row per day
-    for part in removed:
-        delete_path(spark, target + "/" + "/".join(f"{c}={v}" for c, v in zip(partition_cols, part)))
-    return removed
+def expire(spark: SparkSession, target: str, as_of: str, partition_cols=PARTITION_COLS, prefix: str = "") -> list[tuple]:
+    """K8: delete date partitions at least 365 days old below ``prefix``; returns the removed keys.
+
+    Partitions are told by their folders' names; no row is read.  A folder that names no date stays."""
+    day = dt.date.fromisoformat(as_of)
+
+    def old(folder: str) -> bool:
+        try:
+            age = (day - dt.date(*(int(part.split("=", 1)[1]) for part in folder.split("/")))).days
+        except (ValueError, TypeError):
+            return False
+        return age >= RETENTION_DAYS["expire"] and folder.startswith(prefix)
+
+    return [tuple(part.split("=", 1)[1] for part in folder.split("/")) for folder in drop_partitions(spark, target, old)]

@@ -1,48 +1,64 @@
-"""Keyed upsert into a partitioned parquet table (K2, K6) and insert-if-absent.
-
-Parquet has no MERGE.  One upsert
-
-1. writes the de-duplicated batch once to the shared folder (whatever produced it runs once);
-2. finds the partitions to rewrite: the batch's own, and those that hold one of its keys by the
-   table's key index, of which only the buckets of the batch's keys are read;
-3. writes the new content of exactly those partitions (stored rows without a batch key, and the
-   batch) next to the batch;
-4. notes that as pending, then has Spark overwrite those partitions dynamically from it.
-
-A failure before the note leaves the table as it was; after it, the next upsert (or ``recover``)
-repeats step 4 from the complete staged content.  Null, empty (stored as null) and special partition
-values go through Spark's own partition naming.  Stored columns that a batch lacks stay, null in its
-rows; new columns are added.
-
-Beside the table ``<parent>/_upsert_<name>`` holds its schema, the note and the key index: one row per
-key and partition that ever held it, in ``key_buckets`` hash buckets (fixed when the table is first
-loaded; thousands for large tables).
+"""Keyed upsert into a log-structured table (K2, K6) and insert-if-absent.
+
+Parquet has no MERGE.  A table here is a folder of commits that are never changed, and a log:
+
+* ``<table>/data/commit=<number>-<random>/<partitions>/*.parquet``: rows of one commit.  Base commits hold
+  one row per key; delta commits hold an upserted batch, or the keys of deleted rows (``_gone``).
+* ``<table>/_log/<number>.json``: what is live as of a commit: base folders, delta commits, schema, keys.
+  Notes are written beside their place and moved there; old ones stay for a while, so losing the newest
+  leaves the table as it was one commit earlier.
+* ``<table>/_blooms/commit=<...>``: a Bloom filter of the keys of every base file.
+
+An upsert writes its batch as a delta and a note, nothing else: its cost is the batch, whatever the table
+holds.  A reader takes the newest delta row of a key, and the base rows whose keys are in no delta; a table
+without deltas is a plain scan.  Every ``COMPACT_AFTER`` deltas, or when they hold a large share of the
+rows, ``compact`` folds them into the base: it opens only the base files whose filters may hold one of the
+keys, and rewrites the partitions that hold them or receive rows.
+
+Commits are numbered; a writer claims its number by creating a file that must not exist yet, so of two
+writers one is refused.  A claim without a note is dead after ``LEASE_SECONDS``.  A failure before the note
+leaves the table as it was.  Null, empty (stored as null) and special partition values go through Spark's own
+naming.  Stored columns that a batch lacks stay, null in its rows; new columns are added.
 """
 
 from __future__ import annotations
 
 import json
+import time
 import uuid
+from collections.abc import Iterator
+from dataclasses import asdict, dataclass, field
 from functools import reduce
 from urllib.parse import unquote
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.schemas import DOC_KEY, PARTITION_COLS
-from ledgerline.session import delete_path, path_exists, read_text, rename_path, scratch_path, write_text
-
-#: Hash buckets of a key index; a table keeps the number it was created with.
-KEY_BUCKETS = 16
+from ledgerline.session import (claim_file, delete_path, list_folder, path_exists, read_text, scratch_path, write_text)
+
+#: Deltas before a compaction; or rows in deltas, if they are also more than one in ... of the base's.
+COMPACT_AFTER, COMPACT_ROWS, COMPACT_SHARE = 8, 1_000_000, 4
+#: Seconds after which a claimed commit without a note is taken for dead; notes that are kept.
+LEASE_SECONDS, KEPT_NOTES = 600, 20
+#: Bits and hash functions of a Bloom filter per key; keys looked up in all filters at once (8 bytes each).
+BLOOM_BITS, BLOOM_HASHES, KEYS_AT_ONCE = 10, 7, 2_000_000
 #: Partition values up to which the rewritten partitions are also named in the scan's filter; beyond
 #: it the join alone selects them (the result is the same).
 NAMED_PARTITIONS = 5_000
-KEY_BUCKET = "key_bucket"
+GONE, COMMIT = "_gone", "commit"
+BUCKET = "key_bucket_of"
 #: Default number of hash partitions of a table keyed by id (K6).
 DIMENSION_BUCKETS = 64
 
 
+class ConcurrentWriter(RuntimeError):
+    """Another writer has claimed the next commit."""
+
+
 def latest_per_key(df: DataFrame, key, order_by) -> DataFrame:
     """One row per key, the one with the greatest ``order_by`` tuple (nulls lowest).
 
@@ -56,75 +72,175 @@ def latest_per_key(df: DataFrame, key, order_by) -> DataFrame:
     named = {c for c in order_by if isinstance(c, str)}
     rest = [F.col(f"`{c}`") for c in df.columns if c not in keys and c not in named]
     nameless = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    content = F.when(nameless, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])).otherwise(0)
-    by_key = Window.partitionBy(*keys, content).orderBy(*[c.desc_nulls_last() for c in [*order, *rest]])
+    content = [F.when(nameless, F.col(f"`{c}`")) for c in df.columns if c not in keys]
+    by_key = Window.partitionBy(*keys, *content).orderBy(*[c.desc_nulls_last() for c in [*order, *rest]])
     ranked = df.withColumn("_rank", F.row_number().over(by_key)) if order or rest else df.distinct().withColumn("_rank", F.lit(1))
     return ranked.where(F.col("_rank") == 1).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 # ---------------------------------------------------------------------------
-# The table's side folder
+# The log
 # ---------------------------------------------------------------------------
-def side_dir(target: str) -> str:
-    parent, name = target.rstrip("/").rsplit("/", 1)
-    return f"{parent}/_upsert_{name}"
+@dataclass
+class Snapshot:
+    """What is live as of one commit; folders are relative to the table's ``data``."""
 
+    version: int = 0
+    schema: dict = field(default_factory=dict)
+    keys: list = field(default_factory=list)
+    partition_cols: list = field(default_factory=list)
+    base: list = field(default_factory=list)
+    deltas: list = field(default_factory=list)
+    base_rows: int = 0
+    delta_rows: int = 0
+    nameless: int = 0  # delta rows without a key
+    garbage: list = field(default_factory=list)  # folders out of use since the last compaction
 
-def _note(spark: SparkSession, path: str, value: dict) -> None:
-    write_text(spark, path, json.dumps(value))
+    @property
+    def fields(self) -> T.StructType:
+        return T.StructType.fromJson(self.schema)
 
 
-def _noted(spark: SparkSession, path: str) -> dict | None:
-    text = read_text(spark, path)
-    return None if text is None else json.loads(text)
+def _log(target: str) -> str:
+    return f"{target.rstrip('/')}/_log"
 
 
-def table_schema(spark: SparkSession, target: str, partition_cols: dict[str, T.DataType]) -> T.StructType | None:
-    """Schema of the stored table: noted by the last upsert, else from the files (all footers)."""
-    if not path_exists(spark, target):
-        return None
-    noted = _noted(spark, f"{side_dir(target)}/meta")
-    if noted:
-        return T.StructType.fromJson(noted["schema"])
-    found = spark.read.option("mergeSchema", True).parquet(target).schema
-    return T.StructType([T.StructField(f.name, partition_cols.get(f.name, f.dataType)) for f in found.fields])
+def _data(target: str) -> str:
+    return f"{target.rstrip('/')}/data"
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.parquet(path)
+def is_log_table(spark: SparkSession, target: str) -> bool:
+    return path_exists(spark, _log(target))
+
+
+def snapshot(spark: SparkSession, target: str) -> Snapshot | None:
+    """The newest readable note; None where there is no table."""
+    if not is_log_table(spark, target):
+        if {n for n, _ in list_folder(spark, target)} - {"_catalog"}:
+            raise ValueError(f"{target} exists but was not written by an upsert, or its log is lost")
+        return None
+    names = sorted((n for n, _ in list_folder(spark, _log(target)) if n.endswith(".json")), reverse=True)
+    for name in names:
+        text = read_text(spark, f"{_log(target)}/{name}")
+        try:
+            return Snapshot(**json.loads(text))
+        except (TypeError, ValueError):
+            continue
+    if path_exists(spark, _data(target)):
+        raise ValueError(f"the log of {target} is lost")
+    return None
+
+
+def _claim(spark: SparkSession, target: str, version: int) -> None:
+    """Take a commit's number, or refuse; a dead writer's claim is taken over."""
+    path = f"{_log(target)}/{version:08d}.claim"
+    if claim_file(spark, path):
+        return
+    ages = {n: time.time() - at for n, at in list_folder(spark, _log(target))}
+    if f"{version:08d}.json" not in ages and ages.get(f"{version:08d}.claim", 0) > LEASE_SECONDS:
+        delete_path(spark, path)
+        if claim_file(spark, path):
+            return
+    raise ConcurrentWriter(f"commit {version} of {target} belongs to another writer")
+
+
+def _commit(spark: SparkSession, target: str, snap: Snapshot) -> None:
+    _claim(spark, target, snap.version)
+    write_text(spark, f"{_log(target)}/{snap.version:08d}.json", json.dumps(asdict(snap)))
+    for name, _ in list_folder(spark, _log(target)):
+        if name[:8].isdigit() and int(name[:8]) <= snap.version - KEPT_NOTES:
+            delete_path(spark, f"{_log(target)}/{name}")
 
 
 def recover(spark: SparkSession, target: str) -> bool:
-    """Finish an upsert that was interrupted after its content was complete; True if there was one."""
-    noted = _noted(spark, f"{side_dir(target)}/pending")
-    if noted is None:
+    """Remove what interrupted writers left: dead claims and folders that no kept note names."""
+    snap = snapshot(spark, target)
+    if snap is None:
         return False
-    _apply(spark, target, noted)
-    return True
+    notes = {n for n, _ in list_folder(spark, _log(target))}
+    named = set()
+    for name in notes:
+        if name.endswith(".json"):
+            known = Snapshot(**json.loads(read_text(spark, f"{_log(target)}/{name}")))
+            named |= {f.split("/")[0] for f in [*known.base, *known.deltas, *known.garbage]}
+    left = [f"{_log(target)}/{n}" for n, at in list_folder(spark, _log(target))
+            if n.endswith(".claim") and n.replace(".claim", ".json") not in notes and time.time() - at > LEASE_SECONDS]
+    left += [f"{_data(target)}/{n}" for n, at in list_folder(spark, _data(target))
+             if n.startswith(f"{COMMIT}=") and n not in named and time.time() - at > LEASE_SECONDS]
+    for path in left:
+        delete_path(spark, path)
+    return bool(left)
 
 
-def _apply(spark: SparkSession, target: str, note: dict) -> None:
-    """Step 4, repeatable: the staged content replaces its partitions, emptied partitions go."""
-    staging, pcols = note["staging"], note["partition_cols"]
-    schema = T.StructType.fromJson(note["schema"])
-    if path_exists(spark, f"{staging}/merged"):
-        if not path_exists(spark, target):
-            rename_path(spark, f"{staging}/merged", target)
-        else:
-            merged = read_table(spark, f"{staging}/merged", schema)
-            writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            (writer.partitionBy(*pcols) if pcols else writer).parquet(target)
-    for folder in note["emptied"]:
-        delete_path(spark, folder)
-    delete_path(spark, f"{side_dir(target)}/pending")
-    delete_path(spark, staging)
+def table_schema(spark: SparkSession, target: str, partition_cols: dict[str, T.DataType]) -> T.StructType | None:
+    """Schema of a stored table: noted by the last upsert, else from the files (all footers)."""
+    if not path_exists(spark, target):
+        return None
+    if is_log_table(spark, target):
+        snap = snapshot(spark, target)
+        return snap.fields if snap else None
+    found = spark.read.option("mergeSchema", True).parquet(target).schema
+    return T.StructType([T.StructField(f.name, partition_cols.get(f.name, f.dataType)) for f in found.fields])
 
 
 # ---------------------------------------------------------------------------
-# Upsert
+# Reading
+# ---------------------------------------------------------------------------
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A table of upserts as of its newest commit, or a plain parquet folder."""
+    snap = snapshot(spark, path) if is_log_table(spark, path) else None
+    if snap is None:
+        reader = spark.read
+        return (reader.schema(schema) if schema is not None else reader).parquet(path)
+    rows = resolved(spark, path, snap)
+    return rows if schema is None else _aligned(rows, schema)
+
+
+def _folders(spark: SparkSession, target: str, folders: list, schema: T.StructType) -> DataFrame:
+    """Rows of some folders, with their commit's number."""
+    full = T.StructType([*schema.fields, T.StructField(COMMIT, T.StringType())])
+    if not folders:
+        return spark.createDataFrame([], full)
+    base = _data(target)
+    return spark.read.schema(full).option("basePath", base).parquet(*[f"{base}/{f}" for f in folders])
+
+
+def _newest(spark: SparkSession, target: str, snap: Snapshot) -> DataFrame:
+    """The latest delta row per key, ``_gone`` included."""
+    schema = T.StructType([T.StructField(GONE, T.BooleanType()), *snap.fields.fields])
+    rows = _folders(spark, target, snap.deltas, schema)
+    if len(snap.deltas) == 1:
+        return rows.drop(COMMIT)
+    number = F.split(COMMIT, "-")[0].cast("long")
+    named = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in snap.keys])
+    ordered = rows.withColumn(COMMIT, F.when(named, number))  # rows without a key: equal ones of two deltas are one
+    return latest_per_key(ordered, snap.keys, [COMMIT]).drop(COMMIT)
+
+
+def _without(rows: DataFrame, newest: DataFrame, snap: Snapshot) -> DataFrame:
+    """Base rows whose key, or without a key whose whole content, is in no delta."""
+    nameless = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in snap.keys])
+    names = [f.name for f in snap.fields.fields]
+    own = newest.select(*snap.keys).where(~nameless)
+    rows = rows.join(own, snap.keys, "left_anti")
+    if not snap.nameless:
+        return rows
+    copies = newest.where(nameless).select(*names)
+    return rows.join(copies, _same(rows, copies, names), "left_anti")
+
+
+def resolved(spark: SparkSession, target: str, snap: Snapshot) -> DataFrame:
+    """All live rows: a plain scan where there are no deltas."""
+    names = [F.col(f"`{f.name}`") for f in snap.fields.fields]
+    base = _folders(spark, target, snap.base, snap.fields).select(*names)
+    if not snap.deltas:
+        return base
+    newest = _newest(spark, target, snap)
+    return _without(base, newest, snap).select(*names).unionByName(newest.where(~F.col(GONE)).select(*names))
+
+
+# ---------------------------------------------------------------------------
+# Helpers
 # ---------------------------------------------------------------------------
 def _same(left: DataFrame, right: DataFrame, cols) -> Column:
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
@@ -143,10 +259,6 @@ def _in_partitions(table: DataFrame, wanted: DataFrame, pcols) -> DataFrame:
     return table.join(wanted, _same(table, wanted, pcols), "left_semi")
 
 
-def _key_bucket(keys, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
-
-
 def _aligned(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The columns of ``schema`` in its order and types; missing ones are null."""
     return df.select(*[(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
@@ -161,107 +273,224 @@ def _union_schema(stored: T.StructType | None, batch: T.StructType, pcols) -> T.
     return T.StructType([f for n, f in fields.items() if n not in pcols] + [fields[c] for c in pcols])
 
 
+def _written(spark: SparkSession, target: str, rows: DataFrame, version: int, pcols, cluster: bool) -> str:
+    """Write one commit's rows; its folder."""
+    folder = f"{COMMIT}={version:08d}-{uuid.uuid4().hex[:8]}"
+    if cluster and pcols:
+        rows = rows.repartition(*[F.col(c) for c in pcols])
+    writer = rows.write
+    (writer.partitionBy(*pcols) if pcols else writer).parquet(f"{_data(target)}/{folder}")
+    return folder
+
+
+def _places(spark: SparkSession, target: str, folder: str, schema: T.StructType) -> list[str]:
+    """The partition folders of a commit, relative to ``data`` (one row per partition on the driver)."""
+    rows = _folders(spark, target, [folder], schema)
+    place = F.regexp_extract(F.col("_metadata.file_path"), f"/({folder}[^?]*)/[^/]*$", 1)
+    return sorted(unquote(r[0]) for r in rows.select(place).distinct().collect())
+
+
+# ---------------------------------------------------------------------------
+# Bloom filters of base files
+# ---------------------------------------------------------------------------
+def _bit_places(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Hash functions x keys: the bits of each key."""
+    one, two = hashes & np.uint64(0xFFFFFFFF), (hashes >> np.uint64(32)) | np.uint64(1)
+    return (one + np.arange(BLOOM_HASHES, dtype=np.uint64)[:, None] * two) % np.uint64(bits)
+
+
+def bloom_filter(hashes: np.ndarray) -> bytes:
+    bits = max(64, -(-len(hashes) * BLOOM_BITS // 64) * 64)
+    out = np.zeros(bits, bool)
+    out[_bit_places(hashes, bits)] = True
+    return np.packbits(out).tobytes()
+
+
+def may_hold(bloom: bytes, hashes: np.ndarray) -> bool:
+    """Whether one of the keys may be in the filter's file."""
+    held = np.unpackbits(np.frombuffer(bloom, np.uint8)).astype(bool)
+    return bool(held[_bit_places(hashes, len(held))].all(0).any())
+
+
+def _write_blooms(spark: SparkSession, target: str, folder: str, snap: Snapshot) -> None:
+    rows = _folders(spark, target, [folder], snap.fields).select(
+        F.regexp_extract(F.col("_metadata.file_path"), f"/({folder}.*)$", 1).alias("file"), F.xxhash64(*snap.keys).alias("h"))
+
+    def build(group: pd.DataFrame) -> pd.DataFrame:  # one file's keys
+        hashes = group["h"].to_numpy(np.int64).view(np.uint64)
+        return pd.DataFrame({"file": [group["file"].iloc[0]], "keys": [len(group)], "bits": [bloom_filter(hashes)]})
+
+    rows.groupBy("file").applyInPandas(build, "file string, keys long, bits binary").write.parquet(
+        f"{target.rstrip('/')}/_blooms/{folder}")
+
+
+def files_with(spark: SparkSession, target: str, snap: Snapshot, keys: DataFrame) -> list[str]:
+    """Live base files (relative to ``data``) whose filter may hold one of the keys.
+
+    Keys are looked up in blocks of about ``KEYS_AT_ONCE``, each sent to the tasks by itself."""
+    commits = sorted({f.split("/")[0] for f in snap.base})
+    if not commits:
+        return []
+    blooms = spark.read.schema("file string, bits binary").parquet(*[f"{target.rstrip('/')}/_blooms/{c}" for c in commits])
+    hashes = keys.select(F.xxhash64(*snap.keys).alias("h")).distinct()
+    hashes.write.parquet(staged := scratch_path(spark, "upsert-keys"))
+    hashes = spark.read.schema("h long").parquet(staged)
+    blocks = max(1, -(-hashes.count() // KEYS_AT_ONCE))
+    live, found = set(snap.base), set()
+    for block in range(blocks):
+        own = hashes.where(F.pmod("h", F.lit(blocks)) == block).toArrow().column(0).to_numpy().view(np.uint64)
+        shared = spark.sparkContext.broadcast(own)
+
+        def test(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for f in frames:
+                yield f.loc[[may_hold(b, shared.value) for b in f["bits"]], ["file"]]
+
+        found |= {unquote(r[0]) for r in blooms.mapInPandas(test, "file string").collect()}
+        shared.unpersist()
+    delete_path(spark, staged)
+    return sorted(f for f in found if f.rsplit("/", 1)[0] in live)
+
+
+# ---------------------------------------------------------------------------
+# Upsert
+# ---------------------------------------------------------------------------
 def upsert(spark: SparkSession, target: str, batch: DataFrame, key: str | list = DOC_KEY, order_by=(),
-           partition_cols=PARTITION_COLS, batch_metrics: dict | None = None,
-           cluster_by_partition: bool = False, key_buckets: int = KEY_BUCKETS) -> dict:
+           partition_cols=PARTITION_COLS, batch_metrics: dict | None = None, cluster_by_partition: bool = False,
+           compact_after: int = COMPACT_AFTER) -> dict:
     """K2/K6: idempotent keyed upsert; running a batch again leaves the table equal.
 
     The batch wins over the stored row of its key, wherever that lies; inside the batch ``order_by``
     (larger = later) and then the other columns decide.  Rows with a null key are identified by their
-    whole content.  Cost: the batch, the touched partitions, and the touched buckets of the key index
-    (keys and partition values only); other partitions are not read.
-    ``cluster_by_partition`` writes each partition from one task, for partitions of bounded size.
-    Returns ``rows`` (of the rewritten partitions), ``rows_in_batch``, ``rows_from_batch`` (after
-    de-duplication), ``touched_partitions`` and a count per ``batch_metrics`` condition over the
-    de-duplicated batch, all observed while the data is written.
+    whole content.  Only the batch is written; the table is not read, but for the compaction that follows
+    every ``compact_after`` deltas.  ``cluster_by_partition`` writes each partition from one task, for
+    partitions of bounded size.  Returns ``rows_in_batch``, ``rows_from_batch`` (after de-duplication),
+    ``touched_partitions`` (that the batch's rows are in), ``compacted``, and a count per ``batch_metrics``
+    condition over the de-duplicated batch, all observed while the data is written.
     """
     pcols, keys = list(partition_cols), [key] if isinstance(key, str) else list(key)
-    recover(spark, target)
-    side, staging = side_dir(target), scratch_path(spark, "upsert-staging")
     for c in pcols:
         if isinstance(batch.schema[c].dataType, T.StringType):
             batch = batch.withColumn(c, F.when(F.col(c) != "", F.col(c)))
-    stored_schema = table_schema(spark, target, {c: batch.schema[c].dataType for c in pcols})
-    schema = _union_schema(stored_schema, batch.schema, pcols)
+    old = snapshot(spark, target)
+    if old is not None and (old.keys, old.partition_cols) != (keys, pcols):
+        raise ValueError(f"{target} is kept by {old.keys} in partitions of {old.partition_cols}")
+    schema = _union_schema(old.fields if old else None, batch.schema, pcols)
 
     came, kept = Observation(f"came_{uuid.uuid4().hex[:12]}"), Observation(f"kept_{uuid.uuid4().hex[:12]}")
-    counted = [F.count(F.lit(1)).alias("rows_from_batch")]
+    nameless = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    counted = [F.count(F.lit(1)).alias("rows_from_batch"), F.count_if(nameless).alias("nameless")]
     counted += [F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in (batch_metrics or {}).items()]
     latest = latest_per_key(batch.observe(came, F.count(F.lit(1)).alias("rows_in_batch")), keys, order_by)
-    _aligned(latest.observe(kept, *counted), schema).write.parquet(f"{staging}/batch")
-    fresh = read_table(spark, f"{staging}/batch", schema)
+    rows = _aligned(latest.observe(kept, *counted), schema)
+    first = old is None or not (old.base or old.deltas)
+    snap = old or Snapshot()
+    snap.version, snap.schema, snap.keys, snap.partition_cols = snap.version + 1, json.loads(schema.json()), keys, pcols
+    folder = _written(spark, target, rows if first else rows.withColumn(GONE, F.lit(False)), snap.version, pcols, cluster_by_partition)
     stats = {**dict(came.get), **dict(kept.get)}
-
-    meta = _noted(spark, f"{side}/meta") or {}
-    buckets = meta.get("key_buckets", key_buckets)
-    emptied: list[str] = []
-    touched_n = 0
-    if stored_schema is None:
-        merged = fresh
-        if pcols:
-            places = fresh.select(*keys, *pcols).distinct()
-    else:
-        table = read_table(spark, target, stored_schema)
-        if pcols:
-            own = fresh.select(*keys).distinct().withColumn(KEY_BUCKET, _key_bucket(keys, buckets))
-            index = _index(spark, side, table, keys, pcols, buckets)
-            used = [r[0] for r in own.select(KEY_BUCKET).distinct().collect()]  # at most ``buckets``
-            index = index.where(F.col(KEY_BUCKET).isin(used) if used else F.lit(False))
-            held = index.join(own, _same(index, own, [*keys, KEY_BUCKET]), "left_semi").select(*keys, *pcols)
-            held.write.parquet(f"{staging}/held")
-            held = read_table(spark, f"{staging}/held", held.schema)
-            fresh.select(*pcols).unionByName(held.select(*pcols)).distinct().write.parquet(f"{staging}/touched")
-            touched = read_table(spark, f"{staging}/touched", fresh.select(*pcols).schema)
-            touched_n = touched.count()
-            old = _in_partitions(table, touched, pcols)
-            places = fresh.select(*keys, *pcols).distinct()
-            places = places.join(held, _same(places, held, [*keys, *pcols]), "left_anti")
-        else:
-            old = table
-        nameless = reduce(lambda a, b: a | b, [fresh[k].isNull() for k in keys])
-        old = _aligned(old, schema)
-        stays = old.join(fresh.select(*keys).where(~nameless), keys, "left_anti")
-        copies = fresh.where(nameless)
-        stays = stays.join(copies, _same(stays, copies, schema.fieldNames()), "left_anti")
-        merged = stays.unionByName(fresh)
+    without_key = stats.pop("nameless")
+    places = _places(spark, target, folder, schema) if stats["rows_from_batch"] else []
+    if first:
+        snap.base, snap.base_rows = places, stats["rows_from_batch"]
+        if places:
+            _write_blooms(spark, target, folder, snap)
+    elif places:
+        snap.deltas, snap.delta_rows = [*snap.deltas, folder], snap.delta_rows + stats["rows_from_batch"]
+        snap.nameless += without_key
+    _commit(spark, target, snap)
+    compacted = compact(spark, target, compact_after, cluster_by_partition)
+    return {"touched_partitions": len(places), "compacted": compacted, **stats}
+
+
+def delete_keys(spark: SparkSession, target: str, keys: DataFrame) -> None:
+    """Delete rows by key: a delta that holds only the keys, marked as gone."""
+    snap = snapshot(spark, target)
+    rows = _aligned(keys.select(*snap.keys).distinct(), snap.fields).withColumn(GONE, F.lit(True))
+    snap.version += 1
+    snap.deltas = [*snap.deltas, _written(spark, target, rows, snap.version, snap.partition_cols, False)]
+    _commit(spark, target, snap)
+
+
+def compact(spark: SparkSession, target: str, after: int = 1, cluster_by_partition: bool = False) -> bool:
+    """Fold the deltas into the base where there are ``after`` of them or they hold many rows; whether it did.
+
+    Rewritten are the base folders that hold one of the deltas' keys (only files whose Bloom filter may hold
+    one are opened to find them) and those of the partitions that receive rows; the others stay as they are."""
+    snap = snapshot(spark, target)
+    if snap is None or not snap.deltas:
+        return False
+    if len(snap.deltas) < after and not (snap.delta_rows > COMPACT_ROWS and snap.delta_rows * COMPACT_SHARE > snap.base_rows):
+        return False
+    schema, pcols = snap.fields, snap.partition_cols
+    _newest(spark, target, snap).write.parquet(staging := scratch_path(spark, "upsert-newest"))
+    newest = spark.read.schema(T.StructType([T.StructField(GONE, T.BooleanType()), *schema.fields])).parquet(staging)
+    maybe = files_with(spark, target, snap, newest)
+    held = _folders(spark, target, maybe, schema)
+    place = F.regexp_extract(F.col("_metadata.file_path"), f"/({COMMIT}=.*)/[^/]*$", 1)
+    own = newest.select(*snap.keys).distinct()
+    holding = {unquote(r[0]) for r in held.select(*snap.keys, place.alias("_place")).join(
+        own, _same(held, own, snap.keys), "left_semi").select("_place").distinct().collect()} if maybe else set()
+    receiving = {p.partition("/")[2] for d in snap.deltas for p in _places(spark, target, d, schema)}
+    replaced = [f for f in snap.base if f in holding or f.partition("/")[2] in receiving]
+    names = [f.name for f in schema.fields]
+    stays = _without(_folders(spark, target, replaced, schema).select(*names), newest, snap).select(*names)
     done = Observation(f"done_{uuid.uuid4().hex[:12]}")
-    merged = merged.observe(done, F.count(F.lit(1)).alias("rows"))
-    if cluster_by_partition and pcols:
-        merged = merged.repartition(*[F.col(c) for c in pcols])
-    writer = merged.write
-    (writer.partitionBy(*pcols) if pcols else writer).parquet(f"{staging}/merged")
-    stats.update(dict(done.get))
-
-    if pcols:
-        if stored_schema is not None:
-            left = read_table(spark, f"{staging}/merged", schema).select(*pcols).distinct()
-            gone = touched.join(left, _same(touched, left, pcols), "left_anti")
-            if not gone.isEmpty():
-                files = _in_partitions(table.select(*pcols, F.col("_metadata.file_path").alias("_file")), gone, pcols)
-                folder = F.regexp_replace("_file", "/[^/]*$", "")
-                emptied = [unquote(r[0]) for r in files.select(folder).distinct().collect()]
-        places.withColumn(KEY_BUCKET, _key_bucket(keys, buckets)).repartition(KEY_BUCKET).write.mode("append") \
-            .partitionBy(KEY_BUCKET).parquet(f"{side}/keys")
-    _note(spark, f"{side}/meta", {"schema": json.loads(schema.json()), "key_buckets": buckets})
-    note = {"staging": staging, "partition_cols": pcols, "schema": json.loads(schema.json()), "emptied": emptied}
-    _note(spark, f"{side}/pending", note)
-    _apply(spark, target, note)
-    return {"touched_partitions": touched_n, **stats}
-
-
-def _index(spark: SparkSession, side: str, table: DataFrame, keys, pcols, buckets: int) -> DataFrame:
-    """The key index; built from the table once where that was written by other means."""
-    own = T.StructType([table.schema[c] for c in [*keys, *pcols]] + [T.StructField(KEY_BUCKET, T.IntegerType())])
-    if not path_exists(spark, f"{side}/keys/_SUCCESS"):
-        places = table.select(*keys, *pcols).distinct().withColumn(KEY_BUCKET, _key_bucket(keys, buckets))
-        places.repartition(KEY_BUCKET).write.mode("overwrite").partitionBy(KEY_BUCKET).parquet(f"{side}/keys")
-    return read_table(spark, f"{side}/keys", own)
+    merged = stays.unionByName(newest.where(~F.col(GONE)).select(*names)).observe(done, F.count(F.lit(1)).alias("rows"))
+    snap.version += 1
+    before = _count(spark, target, replaced, schema)
+    folder = _written(spark, target, merged, snap.version, pcols, cluster_by_partition)
+    old = snap.garbage
+    snap.garbage = [*snap.deltas, *replaced]
+    snap.base = [f for f in snap.base if f not in set(replaced)]
+    snap.base_rows += done.get["rows"] - before
+    if done.get["rows"]:
+        snap.base += _places(spark, target, folder, schema)
+        _write_blooms(spark, target, folder, snap)
+    snap.deltas, snap.delta_rows, snap.nameless = [], 0, 0
+    _commit(spark, target, snap)
+    for path in old:  # out of use for a whole cycle, so no reader has them open
+        delete_path(spark, f"{_data(target)}/{path}")
+    delete_path(spark, staging)
+    return True
+
+
+def _count(spark: SparkSession, target: str, folders: list, schema: T.StructType) -> int:
+    """Rows of some folders, from the files' footers."""
+    return _folders(spark, target, folders, schema).count() if folders else 0
+
+
+def drop_partitions(spark: SparkSession, target: str, old) -> list[str]:
+    """Take the partitions out for which ``old`` (of the partition folder's text) holds, by their names alone."""
+    if is_log_table(spark, target):
+        compact(spark, target)
+        snap = snapshot(spark, target)
+        gone = [f for f in snap.base if old(f.partition("/")[2])]
+        if gone:
+            snap.version += 1
+            snap.base_rows -= _count(spark, target, gone, snap.fields)
+            snap.base = [f for f in snap.base if f not in set(gone)]
+            _commit(spark, target, snap)
+            for f in gone:
+                delete_path(spark, f"{_data(target)}/{f}")
+        return sorted({f.partition("/")[2] for f in gone})
+    found = [p for p in partition_folders(spark, target) if old(p)]
+    for p in found:
+        delete_path(spark, f"{target.rstrip('/')}/{p}")
+    return found
+
+
+def partition_folders(spark: SparkSession, base: str) -> list[str]:
+    """Partition folders below a plain table, relative, by listing the folders (no file is opened)."""
+    out, level = [], [""]
+    while level:
+        below = {p: [n for n, _ in list_folder(spark, f"{base.rstrip('/')}/{p}") if "=" in n and n[0] not in "_."] for p in level}
+        out += [p for p, names in below.items() if p and not names]
+        level = [f"{p}/{n}".lstrip("/") for p, names in below.items() for n in names]
+    return sorted(out)
 
 
 def drop_target(spark: SparkSession, target: str) -> None:
-    """Delete a table's files and its side folder."""
+    """Delete a table's files and its log."""
     delete_path(spark, target)
-    delete_path(spark, side_dir(target))
 
 
 def insert_new(spark: SparkSession, target: str, batch: DataFrame, key: str = DOC_KEY, order_by=(),
@@ -293,16 +522,14 @@ def insert_new(spark: SparkSession, target: str, batch: DataFrame, key: str = DO
 
 def upsert_bucketed(spark: SparkSession, target: str, batch: DataFrame, key: str,
                     buckets: int = DIMENSION_BUCKETS, order_by=()) -> dict:
-    """K6 for a dimension keyed by id: the table is partitioned by a hash bucket of the key, so a load
-    rewrites only the buckets its keys fall in.  Each bucket is written by one task, one file per
-    bucket; ``buckets`` is a choice of the table's owner (table bytes / wanted file size).  A key whose
-    bucket changes with another ``buckets`` is still found through the key index."""
-    tagged = batch.withColumn(KEY_BUCKET + "_of", F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int"))
-    return upsert(spark, target, tagged, key=key, order_by=order_by, partition_cols=(KEY_BUCKET + "_of",),
-                  cluster_by_partition=True)
+    """K6 for a dimension keyed by id: the table is partitioned by a hash bucket of the key, so a compaction
+    rewrites only the buckets that keys fall in.  Each bucket is written by one task; ``buckets`` is a choice
+    of the table's owner (table bytes / wanted file size), and a key whose bucket changes with another
+    ``buckets`` is still found by its key."""
+    tagged = batch.withColumn(BUCKET, F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int"))
+    return upsert(spark, target, tagged, key=key, order_by=order_by, partition_cols=(BUCKET,), cluster_by_partition=True)
 
 
 def read_bucketed(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
     """Read a table written by ``upsert_bucketed`` without its bucket column."""
-    full = T.StructType(schema.fields + [T.StructField(KEY_BUCKET + "_of", T.IntegerType())])
-    return read_table(spark, target, full).drop(KEY_BUCKET + "_of")
+    return read_table(spark, target, schema)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions import pct_rounded
 from ledgerline.operators.documents import to_document
 from ledgerline.operators.enrich import enrich
-from ledgerline.operators.sinks import ensure_table, upsert
+from ledgerline.operators.sinks import catalog_location, compact, ensure_table, register_partitions, upsert
 from ledgerline.schemas import DOCS_SCHEMA, PARTITION_COLS, TXN_RAW_WITH_CORRUPT
 from ledgerline.session import configure
 from ledgerline.sources.json_files import parsed_once, read_days
@@ -26,8 +26,8 @@ def run_day(spark: SparkSession, base: str, year: str, month: str, day: str, cus
     the job (no swallowed errors, D2/D14).  The day's files are parsed once; counts are observed
     while quarantine and documents are written, so nothing is scanned twice for the report.
     Quarantined rows go to ``quarantine`` (default: ``<target>_quarantine``), one folder per day.
-    ``table`` names the target in the catalog: it is created with the declared schema if absent (K1),
-    and its new partitions are registered after the write.
+    ``table`` names the target in the catalog: it is created with the declared schema if absent (K1);
+    the day's delta is folded into the base and the partitions that this wrote are registered.
     """
     configure(spark)
     started = dt.datetime.now(dt.timezone.utc)
@@ -38,7 +38,7 @@ def run_day(spark: SparkSession, base: str, year: str, month: str, day: str, cus
         report.update(started_on=started, completed_on=dt.datetime.now(dt.timezone.utc))
         return report
     if table is not None:
-        ensure_table(spark, table, DOCS_SCHEMA, target, PARTITION_COLS)
+        ensure_table(spark, table, DOCS_SCHEMA, catalog_location(target), PARTITION_COLS)
     quarantine = quarantine or f"{target.rstrip('/')}_quarantine"
     dead = Observation(f"quarantine_{uuid.uuid4().hex[:12]}")
     with parsed_once(raw) as (good, bad):
@@ -49,7 +49,8 @@ def run_day(spark: SparkSession, base: str, year: str, month: str, day: str, cus
         stats = upsert(spark, target, docs, order_by=["dataCompletaTransacao", "valorTotalTransacao"],
                        batch_metrics={"rows_matched": F.col("nomeTitularConta").isNotNull()})
     if table is not None:
-        spark.catalog.recoverPartitions(table)
+        compact(spark, target)
+        register_partitions(spark, table, target)
     n_bad = dead.get["rows_quarantined"]
     completed = dt.datetime.now(dt.timezone.utc)
     report.update(status="succeeded", rows_read=stats["rows_in_batch"] + n_bad, rows_quarantined=n_bad,

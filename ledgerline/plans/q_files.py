@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions import epoch_millis, iso_millis, partition_name, partition_path
 from ledgerline.operators import stats as ST
 from ledgerline.operators.documents import camelize, enforce
-from ledgerline.operators.sinks import txn_line, write_json_array, write_jsonl, write_partitioned_jsonl
+from ledgerline.operators.sinks import read_table, txn_line, write_json_array, write_jsonl, write_partitioned_jsonl
 from ledgerline.plans import roles
 from ledgerline.plans.job import report_frame, run_day
 from ledgerline.plans.q_core import enriched
@@ -160,7 +160,7 @@ def empty_day(spark, sf_dir):
     out = None
     for month, day in (("01", "15"), ("03", "01")):
         report = report_frame(spark, run_day(spark, base, "2024", month, day, roles.customers(spark, sf_dir), target))
-        stored = spark.read.schema(DOCS_SCHEMA).parquet(target).count()
+        stored = read_table(spark, target, DOCS_SCHEMA).count()
         report = report.select("year", "month", "day", "status", "rows_read", "rows_written", F.lit(stored).cast("long").alias("rows_stored"))
         out = report if out is None else out.unionByName(report)
     return out

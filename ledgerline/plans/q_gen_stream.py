@@ -148,7 +148,7 @@ def stream_tumbling(spark, sf_dir):
     """15-minute count and volume per type over several micro-batches, days out of order."""
     base, target, bad = dirty_tree(spark, sf_dir), scratch_path(spark, "stream-windows"), scratch_path(spark, "stream-bad")
     ST.stream_tumbling(spark, base, target, scratch_path(spark, "ckpt"), bad, max_files_per_trigger=FILES)
-    return with_quarantined(spark, spark.read.parquet(target).drop("window_date"), bad)
+    return with_quarantined(spark, read_table(spark, target).drop("window_date"), bad)
 
 
 class RuleFetch:

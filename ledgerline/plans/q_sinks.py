@@ -225,7 +225,7 @@ def retention_expire(spark, sf_dir):
     """Partitions 365+ days old (as of 2025-01-20) deleted; what remains per day."""
     target = scratch_path(spark, "docs-retention")
     docs_with_partitions(spark, sf_dir).write.partitionBy(*PARTITION_COLS).parquet(target)
-    K.expire(spark, target, AS_OF_EXPIRE, DOCS_SCHEMA)
+    K.expire(spark, target, AS_OF_EXPIRE)
     return read_docs(spark, target).groupBy(*PARTITION_COLS).agg(F.count(F.lit(1)).alias("n_rows"))
 
 

@@ -131,8 +131,9 @@ def stored_target(spark: SparkSession, sf_dir: str) -> str:
 
 def stored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored documents (nine fields): what search and analytics read; no join in their plans."""
+    from ledgerline.operators.sinks import read_table
     from ledgerline.schemas import DOCS_SCHEMA, ENR_COLS
-    return spark.read.schema(DOCS_SCHEMA).parquet(stored_target(spark, sf_dir)).select(*ENR_COLS)
+    return read_table(spark, stored_target(spark, sf_dir), DOCS_SCHEMA).select(*ENR_COLS)
 
 
 def prepare(spark: SparkSession, sf_dir: str) -> None:

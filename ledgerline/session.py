@@ -140,6 +140,21 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(hpath, True))
 
 
+def list_folder(spark: SparkSession, path: str) -> list[tuple[str, float]]:
+    """(name, time of change in seconds) of what a folder holds; nothing where it does not exist."""
+    fs, hpath = _fs(spark, path)
+    if not fs.exists(hpath):
+        return []
+    return [(s.getPath().getName(), s.getModificationTime() / 1000) for s in fs.listStatus(hpath)]
+
+
+def claim_file(spark: SparkSession, path: str) -> bool:
+    """Create an empty file that must not exist; False where it does."""
+    fs, hpath = _fs(spark, path)
+    fs.mkdirs(hpath.getParent())
+    return bool(fs.createNewFile(hpath))
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small file, complete or absent: written beside its place, then moved there."""
     fs, hpath = _fs(spark, path)

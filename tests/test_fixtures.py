@@ -86,11 +86,11 @@ def test_duplicate_id_latest_wins_and_rerun_is_identical(spark, tmp_base):
     docs = to_document(enrich(txn(spark, rows), customers(spark)), keep=PARTITION_COLS)
     order = ["dataCompletaTransacao", "valorTotalTransacao"]
     K.upsert(spark, tmp_base, docs, order_by=order)
-    first = sorted(map(tuple, spark.read.parquet(tmp_base).collect()))
+    first = sorted(map(tuple, K.read_table(spark, tmp_base).collect()))
     K.upsert(spark, tmp_base, docs, order_by=order)
-    second = sorted(map(tuple, spark.read.parquet(tmp_base).collect()))
+    second = sorted(map(tuple, K.read_table(spark, tmp_base).collect()))
     assert first == second
-    got = dict(spark.read.parquet(tmp_base).select("codigoLancamento", "valorTotalTransacao").collect())
+    got = dict(K.read_table(spark, tmp_base).select("codigoLancamento", "valorTotalTransacao").collect())
     assert got == {"1": 20.0, "2": 30.0}
 
 
@@ -106,7 +106,10 @@ def test_moved_day_rewrites_old_partition(spark, tmp_base):
     out = K.read_table(spark, tmp_base, txn(spark, b).schema)
     got = sorted((r["codigo_lancamento"], r["day"]) for r in out.collect())
     assert got == [("1", "16"), ("2", "15"), ("3", "16")]
-    assert not path_exists(spark, f"{tmp_base}/year=2024/month=01/day=14")
+    assert K.compact(spark, tmp_base) and not K.compact(spark, tmp_base)
+    got = sorted((r["codigo_lancamento"], r["day"]) for r in K.read_table(spark, tmp_base, txn(spark, b).schema).collect())
+    assert got == [("1", "16"), ("2", "15"), ("3", "16")]
+    assert not any("day=14" in f for f in K.read_table(spark, tmp_base).inputFiles())
 
 
 def test_quarantine_reasons_and_integer_amount(spark, tmp_base):
@@ -159,7 +162,7 @@ def test_missing_day_is_empty_and_target_untouched(spark, tmp_base):
     assert report["status"] == "empty" and not path_exists(spark, target)
     report = run_day(spark, base, "2024", "01", "15", customers(spark), target)
     assert report["status"] == "succeeded" and report["rows_written"] == 1 and report["rows_matched"] == 1
-    assert spark.read.parquet(target).count() == 1
+    assert K.read_table(spark, target).count() == 1
 
 
 def test_run_day_quarantines_and_counts(spark, tmp_base):
@@ -261,8 +264,8 @@ def test_document_moved_far_back_leaves_one_copy(spark, tmp_base):
     b = [("2", "A", 11.0, T15, "DEBITO", "PIX", "2024", "01", "15")]              # 20 days later
     stats = K.upsert(spark, tmp_base, txn(spark, b), key="codigo_lancamento")
     got = sorted((r["codigo_lancamento"], r["day"]) for r in K.read_table(spark, tmp_base, txn(spark, b).schema).collect())
-    assert got == [("1", "15"), ("2", "15")] and stats["touched_partitions"] == 2
-    assert not path_exists(spark, f"{tmp_base}/year=2023/month=12/day=26")
+    assert got == [("1", "15"), ("2", "15")] and stats["touched_partitions"] == 1
+    assert K.compact(spark, tmp_base) and not any("day=26" in f for f in K.read_table(spark, tmp_base).inputFiles())
 
 
 def test_failed_write_fails_the_job(spark, tmp_base):
@@ -340,7 +343,7 @@ def test_failing_send_fails_the_write(spark):
 
 
 def upserted(spark, target, cols):
-    return sorted((tuple(r) for r in spark.read.schema(K.table_schema(spark, target, {})).parquet(target).select(*cols).collect()), key=str)
+    return sorted((tuple(r) for r in K.read_table(spark, target).select(*cols).collect()), key=str)
 
 
 def test_null_and_special_partition_values_leave_the_rest_alone(spark, tmp_base):
@@ -375,43 +378,124 @@ def test_null_keys_are_idempotent_and_stored_columns_stay(spark, tmp_base):
     assert sorted(got, key=str) == sorted([(None, "app", None), (None, "app", None), ("1", "app", None), ("2", None, 7)], key=str)
 
 
-def test_failure_between_the_steps_is_repaired_by_the_next_upsert(spark, tmp_base, monkeypatch):
+def _row(i, v, day):
+    return (i, "A", v, T15, "DEBITO", "PIX", "2024", "01", day)
+
+
+def test_a_failure_before_the_note_leaves_the_table(spark, tmp_base, monkeypatch):
     from ledgerline.operators import upsert as U
-    row = lambda i, v, day: (i, "A", v, T15, "DEBITO", "PIX", "2024", "01", day)
-    K.upsert(spark, tmp_base, txn(spark, [row("1", 1.0, "01"), row("2", 2.0, "02"), row("3", 3.0, "03")]), key="codigo_lancamento")
-    change = txn(spark, [row("1", 10.0, "02"), row("3", 30.0, "03")])
+    K.upsert(spark, tmp_base, txn(spark, [_row("1", 1.0, "01"), _row("2", 2.0, "02"), _row("3", 3.0, "03")]), key="codigo_lancamento")
+    change = txn(spark, [_row("1", 10.0, "02"), _row("3", 30.0, "03")])
+    cols = ["codigo_lancamento", "valor_total_transacao", "day"]
 
     def broken(*a):
         raise OSError("lost")
-    monkeypatch.setattr(U, "_apply", broken)
-    with pytest.raises(OSError):
+    for step, call in (("_commit", K.upsert), ("write_text", K.upsert)):
+        monkeypatch.setattr(U, step, broken)
+        with pytest.raises(OSError):
+            call(spark, tmp_base, change, key="codigo_lancamento")
+        monkeypatch.undo()
+        assert upserted(spark, tmp_base, cols) == [("1", 1.0, "01"), ("2", 2.0, "02"), ("3", 3.0, "03")]
+    with pytest.raises(U.ConcurrentWriter):                               # the second failure left its claim
         K.upsert(spark, tmp_base, change, key="codigo_lancamento")
-    monkeypatch.undo()
-    assert K.recover(spark, tmp_base) and not K.recover(spark, tmp_base)
-    want = [("1", 10.0, "02"), ("2", 2.0, "02"), ("3", 30.0, "03")]
-    assert upserted(spark, tmp_base, ["codigo_lancamento", "valor_total_transacao", "day"]) == want
-
-    real = U.delete_path                                                  # fails after the overwrite, before the note goes
-    monkeypatch.setattr(U, "delete_path", lambda s, p: broken() if p.endswith("pending") else real(s, p))
-    with pytest.raises(OSError):
-        K.upsert(spark, tmp_base, txn(spark, [row("2", 20.0, "02")]), key="codigo_lancamento")
-    monkeypatch.undo()
-    K.upsert(spark, tmp_base, txn(spark, [row("4", 4.0, "04")]), key="codigo_lancamento")
-    assert upserted(spark, tmp_base, ["codigo_lancamento", "valor_total_transacao", "day"]) == [
-        ("1", 10.0, "02"), ("2", 20.0, "02"), ("3", 30.0, "03"), ("4", 4.0, "04")]
-
-
-def test_upsert_reads_only_touched_partitions_and_index_buckets(spark, tmp_base, monkeypatch):
+    monkeypatch.setattr(U, "LEASE_SECONDS", -1)                           # ... which is dead after the lease
+    K.upsert(spark, tmp_base, change, key="codigo_lancamento")
+    assert upserted(spark, tmp_base, cols) == [("1", 10.0, "02"), ("2", 2.0, "02"), ("3", 30.0, "03")]
+    assert K.recover(spark, tmp_base) and not K.recover(spark, tmp_base)  # folders of the failed writers go
+    assert upserted(spark, tmp_base, cols) == [("1", 10.0, "02"), ("2", 2.0, "02"), ("3", 30.0, "03")]
+
+
+def test_two_writers_one_is_refused(spark, tmp_base, monkeypatch):
     from ledgerline.operators import upsert as U
-    rows = [(str(i), "A", 1.0, T15, "DEBITO", "PIX", "2024", "01", f"{i % 28 + 1:02d}") for i in range(280)]
+    K.upsert(spark, tmp_base, txn(spark, [_row("1", 1.0, "01")]), key="codigo_lancamento")
+    real = U._commit
+
+    def late(session, target, snap):                                      # the other writer commits first
+        monkeypatch.setattr(U, "_commit", real)
+        K.upsert(session, target, txn(session, [_row("2", 2.0, "02")]), key="codigo_lancamento")
+        real(session, target, snap)
+    monkeypatch.setattr(U, "_commit", late)
+    with pytest.raises(U.ConcurrentWriter):
+        K.upsert(spark, tmp_base, txn(spark, [_row("3", 3.0, "03")]), key="codigo_lancamento")
+    assert upserted(spark, tmp_base, ["codigo_lancamento"]) == [("1",), ("2",)]
+
+
+def test_a_lost_note_loses_one_commit_only(spark, tmp_base):
+    """Twelve keys, one per partition: without the newest note the table is as it was before that commit."""
+    from ledgerline.operators import upsert as U
+    twelve = [_row(str(i), 1.0, f"{i + 1:02d}") for i in range(12)]
+    K.upsert(spark, tmp_base, txn(spark, twelve), key="codigo_lancamento")
+    K.upsert(spark, tmp_base, txn(spark, [_row(str(i), 2.0, f"{i + 1:02d}") for i in range(6)]), key="codigo_lancamento")
+    U.delete_path(spark, f"{tmp_base}/_log/{U.snapshot(spark, tmp_base).version:08d}.json")
+    assert len(upserted(spark, tmp_base, ["codigo_lancamento"])) == 12
+    for name, _ in U.list_folder(spark, f"{tmp_base}/_log"):
+        if name.endswith(".claim"):
+            U.delete_path(spark, f"{tmp_base}/_log/{name}")
+    for _ in range(2):
+        K.upsert(spark, tmp_base, txn(spark, [_row(str(i), 3.0, f"{i + 2:02d}") for i in range(12)]), key="codigo_lancamento")
+        assert upserted(spark, tmp_base, ["valor_total_transacao"]) == [(3.0,)] * 12
+    U.delete_path(spark, f"{tmp_base}/_log")
+    with pytest.raises(ValueError, match="log"):
+        K.upsert(spark, tmp_base, txn(spark, twelve), key="codigo_lancamento")
+
+
+def test_an_upsert_writes_its_own_rows_and_opens_no_stored_file(spark, tmp_base):
+    from ledgerline.operators import upsert as U
+    rows = [_row(str(i), 1.0, f"{i % 28 + 1:02d}") for i in range(280)]
     K.upsert(spark, tmp_base, txn(spark, rows), key="codigo_lancamento")
-    seen = []
-    real = U._in_partitions
-    monkeypatch.setattr(U, "_in_partitions", lambda t, w, p: seen.append(real(t, w, p)) or seen[-1])
-    K.upsert(spark, tmp_base, txn(spark, rows[:1]), key="codigo_lancamento")
-    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "PartitionFilters: []," not in plan.split("left_semi")[0][:400]
-    assert {f.split("day=")[1][:2] for f in seen[0].inputFiles() if "day=" in f} >= {"01"}
+    before = set(K.read_table(spark, tmp_base).inputFiles())
+    K.upsert(spark, tmp_base, txn(spark, [_row("1", 5.0, "02"), _row("x", 6.0, "03")]), key="codigo_lancamento")
+    snap = U.snapshot(spark, tmp_base)
+    new = U._folders(spark, tmp_base, snap.deltas, snap.fields)
+    assert new.count() == 2 and before <= set(K.read_table(spark, tmp_base).inputFiles()) and len(snap.base) == 28
+    assert K.compact(spark, tmp_base)
+    after = set(K.read_table(spark, tmp_base).inputFiles())
+    kept = {f.split("day=")[1][:2] for f in before & after}
+    assert kept == {f"{d:02d}" for d in range(1, 29)} - {"02", "03"}       # only the two days were rewritten
+    assert K.read_table(spark, tmp_base).count() == 281
+
+
+def test_compaction_opens_only_files_that_may_hold_its_keys(spark, tmp_base):
+    from ledgerline.operators import upsert as U
+    rows = [_row(f"k{i}", 1.0, f"{i % 28 + 1:02d}") for i in range(2800)]
+    K.upsert(spark, tmp_base, txn(spark, rows), key="codigo_lancamento", partition_cols=PARTITION_COLS, cluster_by_partition=True)
+    snap = U.snapshot(spark, tmp_base)
+    moved = txn(spark, [_row("k0", 2.0, "28"), _row("k1", 2.0, "28")])
+    opened = {f.split("day=")[1][:2] for f in U.files_with(spark, tmp_base, snap, moved)}
+    assert {"01", "02"} <= opened and len(opened) <= 5                    # 28 files, 1 % false positives each
+    hashes = moved.select(F.xxhash64("codigo_lancamento")).toPandas().iloc[:, 0].to_numpy().view("uint64")
+    assert U.may_hold(U.bloom_filter(hashes), hashes[:1])
+
+
+def test_upserts_equal_a_plain_dictionary(spark, tmp_base):
+    """Batches with moves, repeats, deletions and compactions against a dictionary."""
+    import random
+    rng, want = random.Random(4), {}
+    for n in range(7):
+        batch = [_row(str(rng.randrange(40)), float(n * 100 + k), f"{rng.randrange(1, 6):02d}") for k in range(12)]
+        K.upsert(spark, tmp_base, txn(spark, batch), key="codigo_lancamento", order_by=["valor_total_transacao"], compact_after=3)
+        for r in batch:
+            want[r[0]] = (r[0], r[2], r[8])
+        if n in (2, 5):
+            gone = [str(k) for k in range(n, 40, 7)]
+            K.delete_keys(spark, tmp_base, spark.createDataFrame([(k,) for k in gone], "codigo_lancamento string"))
+            want = {k: v for k, v in want.items() if k not in gone}
+        assert upserted(spark, tmp_base, ["codigo_lancamento", "valor_total_transacao", "day"]) == sorted(want.values(), key=str)
+    K.compact(spark, tmp_base)
+    assert upserted(spark, tmp_base, ["codigo_lancamento", "valor_total_transacao", "day"]) == sorted(want.values(), key=str)
+
+
+def test_only_new_partitions_are_registered(spark, tmp_base):
+    import uuid
+    base = write_day(spark, f"{tmp_base}/src", [line("1", "A"), line("2", "A")])
+    write_day(spark, base, [line("3", "A", ts="2024-01-16T10:00:00Z"), line("2", "A", ts="2024-01-16T10:00:00Z")], day="16")
+    target, name = f"{tmp_base}/docs", f"docs_{uuid.uuid4().hex[:8]}"
+    for day in ("15", "16"):
+        run_day(spark, base, "2024", "01", day, customers(spark), target, table=name)
+        stored = sorted(map(tuple, spark.table(name).select("codigoLancamento", "day").collect()))
+        assert stored == sorted(map(tuple, K.read_table(spark, target).select("codigoLancamento", "day").collect()))
+    assert stored == [("1", "15"), ("2", "16"), ("3", "16")]
+    assert K.drop_table(spark, name) and not path_exists(spark, f"{target}/data")
 
 
 def test_streams_account_for_every_row(spark, tmp_base):
@@ -431,7 +515,7 @@ def test_streams_account_for_every_row(spark, tmp_base):
     ids = lambda p: [r[0] for r in spark.read.option("recursiveFileLookup", "true").parquet(p).select("codigo_lancamento").collect()]
     assert set(ids(f"{tmp_base}/t3")) | set(ids(f"{tmp_base}/late")) == {"1", "2"} and len(bad(f"{tmp_base}/q3")) == 3
     ST.stream_tumbling(spark, base, f"{tmp_base}/t4", f"{tmp_base}/c4", f"{tmp_base}/q4", max_files_per_trigger=1)
-    assert spark.read.parquet(f"{tmp_base}/t4").agg(F.sum("n_transactions")).first()[0] == 3
+    assert K.read_table(spark, f"{tmp_base}/t4").agg(F.sum("n_transactions")).first()[0] == 3
 
 
 def test_insert_new_counts_rows_without_a_key_and_never_repeats_them(spark, tmp_base):
@@ -479,7 +563,7 @@ def test_retention_prefix(spark, tmp_base):
     rows = [("1", "A", 1.0, T15, "DEBITO", "PIX", "2022", "01", "15"), ("2", "A", 1.0, T15, "DEBITO", "PIX", "2021", "01", "15")]
     df = txn(spark, rows)
     df.write.partitionBy(*PARTITION_COLS).parquet(tmp_base)
-    assert K.expire(spark, tmp_base, "2024-01-31", df.schema, prefix="year=2021/") == [("2021", "01", "15")]
+    assert K.expire(spark, tmp_base, "2024-01-31", prefix="year=2021/") == [("2021", "01", "15")]
     assert [r[0] for r in K.read_table(spark, tmp_base, df.schema).select("codigo_lancamento").collect()] == ["1"]
 
 

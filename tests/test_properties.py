@@ -94,7 +94,7 @@ def test_stream_equals_batch(spark):
     target = scratch_path(spark, "prop-stream-target")
     ST.stream_ingest(spark, base, target, scratch_path(spark, "prop-ckpt"), dim(spark),
                      scratch_path(spark, "prop-bad"), max_files_per_trigger=2)
-    streamed = sorted(map(tuple, spark.read.parquet(target).drop(*PARTITION_COLS).collect()), key=str)
+    streamed = sorted(map(tuple, K.read_table(spark, target).drop(*PARTITION_COLS).collect()), key=str)
     batch = sorted(map(tuple, to_document(enrich(scan_tree(spark, base), dim(spark))).collect()), key=str)
     assert streamed == batch
 
@@ -107,7 +107,7 @@ def test_stream_archives_processed_files(spark):
     archive, target = scratch_path(spark, "prop-archive"), scratch_path(spark, "prop-archive-target")
     ST.stream_ingest(spark, base, target, scratch_path(spark, "prop-ckpt"), dim(spark),
                      scratch_path(spark, "prop-bad"), archive_dir=archive, max_files_per_trigger=4)
-    assert spark.read.parquet(target).count() == 12
+    assert K.read_table(spark, target).count() == 12
     local = lambda p: p[len("file:"):] if p.startswith("file:") else p
     # files of a batch are archived when the next batch commits: all but the last batch's
     assert len(glob.glob(local(archive) + "/**/*.txt", recursive=True)) >= 4
