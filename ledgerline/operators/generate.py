@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,23 +51,21 @@ def gen_customers(ids: DataFrame, as_of: str = "2024-01-31", id_col: str = "id",
 def numbered(df: DataFrame, key: str) -> tuple[DataFrame, int]:
     """Distinct values of ``key`` with their rank from 0 (column ``_no``), and how many there are.
 
-    Values are range-partitioned and written sorted; the driver adds up one count per partition."""
+    Values are range-partitioned and numbered inside each partition; the counts before a partition, one row
+    each, are joined."""
     spark = df.sparkSession
     path = scratch_path(spark, "numbered")
     rows = df.select(key).where(F.col(key).isNotNull()).distinct().repartitionByRange(key)
-    from pyspark.sql import Window
     in_part = Window.partitionBy("_part").orderBy(key)
     rows.withColumn("_part", F.spark_partition_id()).withColumn("_no", F.row_number().over(in_part).cast("long") - 1) \
         .write.parquet(path)
     rows = spark.read.schema(T.StructType([df.schema[key], T.StructField("_part", T.IntegerType()),
                                            T.StructField("_no", T.LongType())])).parquet(path)
-    before, offsets = 0, []
-    for r in rows.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).orderBy("_part").collect():  # a row per partition
-        offsets += [F.lit(r["_part"]), F.lit(before)]
-        before += r["n"]
-    if not before:
-        return rows.select(key, "_no"), 0
-    return rows.select(key, (F.col("_no") + F.create_map(*offsets)[F.col("_part")]).alias("_no")), before
+    sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    total = sizes.agg(F.sum("_n")).first()[0] or 0
+    return rows.join(offsets, "_part").select(key, (F.col("_no") + F.col("_before")).alias("_no")), total
 
 
 def gen_transactions(ids: DataFrame, customers: DataFrame, start: str = "2024-01-01",

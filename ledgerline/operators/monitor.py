@@ -129,21 +129,22 @@ def log_scan(logs: DataFrame, contains: str | None = None, since: str | None = N
     return out
 
 
-def record_run(spark: SparkSession, ledger_path: str, report: dict, job: str = "transaction-enrichment"):
-    """O1: append one ``run_day`` report to the run-ledger table (parquet, append-only)."""
-    def naive_utc(t):
-        return None if t is None else t.astimezone(dt.timezone.utc).replace(tzinfo=None)
-    started, completed = naive_utc(report.get("started_on")), naive_utc(report.get("completed_on"))
-    row = (job, f"jr_{report['year']}{report['month']}{report['day']}",
-           f"{report['year']}-{report['month']}-{report['day']}", report["status"], started, completed,
-           float(report.get("seconds", 0.0)), int(report.get("rows_read", 0)),
-           int(report.get("rows_written", 0)), int(report.get("rows_matched", 0)),
-           int(report.get("rows_quarantined", 0)))
-    spark.createDataFrame([row], "job string, run_id string, run_date string, state string, "
-                                 "started_on timestamp_ntz, completed_on timestamp_ntz, "
-                                 "execution_seconds double, rows_read long, rows_written long, "
-                                 "rows_matched long, rows_quarantined long") \
-        .write.mode("append").parquet(ledger_path)
+LEDGER = ("job string, run_id string, run_date string, state string, started_on timestamp_ntz, completed_on timestamp_ntz, "
+          "execution_seconds double, rows_read long, rows_written long, rows_matched long, rows_quarantined long")
+
+
+def record_runs(spark: SparkSession, ledger_path: str, reports: list[dict], job: str = "transaction-enrichment") -> None:
+    """O1: append ``run_day`` or ``run_days`` reports to the run ledger (parquet, append-only)."""
+    naive_utc = lambda t: None if t is None else t.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    rows = [(job, f"jr_{r['year']}{r['month']}{r['day']}", f"{r['year']}-{r['month']}-{r['day']}", r["status"],
+             naive_utc(r.get("started_on")), naive_utc(r.get("completed_on")), float(r.get("seconds", 0.0)),
+             *(int(r.get(c, 0)) for c in ("rows_read", "rows_written", "rows_matched", "rows_quarantined"))) for r in reports]
+    spark.createDataFrame(rows, LEDGER).coalesce(1).write.mode("append").parquet(ledger_path)
+
+
+def record_run(spark: SparkSession, ledger_path: str, report: dict, job: str = "transaction-enrichment") -> None:
+    """O1: append one report."""
+    record_runs(spark, ledger_path, [report], job)
 
 
 def latest_run(runs: DataFrame, key: str = "job") -> DataFrame:

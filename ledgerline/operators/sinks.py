@@ -16,8 +16,8 @@ from ledgerline.functions import md5_bucket, money_sum, time_text
 from ledgerline.schemas import (BULK_BATCH_DOCS, DOC_KEY, PARTITION_COLS, RETENTION_DAYS,
                                 TXN_COLS)
 from ledgerline.operators.upsert import (COMMIT, compact, delete_keys, drop_partitions, drop_target,  # noqa: F401
-                                         insert_new, latest_per_key, read_bucketed, read_table, recover, snapshot,
-                                         table_schema, upsert, upsert_bucketed)
+                                         insert_new, latest_per_key, read_bucketed, read_commit, read_table, recover,
+                                         snapshot, table_schema, upsert, upsert_bucketed)
 
 
 # ---------------------------------------------------------------------------

@@ -186,9 +186,19 @@ def table_schema(spark: SparkSession, target: str, partition_cols: dict[str, T.D
 # ---------------------------------------------------------------------------
 # Reading
 # ---------------------------------------------------------------------------
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A table of upserts as of its newest commit, or a plain parquet folder."""
+def read_commit(spark: SparkSession, path: str, commit: str, schema: T.StructType) -> DataFrame:
+    """The rows that one upsert wrote."""
+    return _folders(spark, path, [commit], schema)
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None, only=None) -> DataFrame:
+    """A table of upserts as of its newest commit, or a plain parquet folder.
+
+    With ``only`` (of a partition folder's text) other base folders are not even listed; what deltas hold is
+    read in any case, so callers filter the rows as well."""
     snap = snapshot(spark, path) if is_log_table(spark, path) else None
+    if snap is not None and only is not None:
+        snap.base = [f for f in snap.base if only(unquote(f.partition("/")[2]))]
     if snap is None:
         reader = spark.read
         return (reader.schema(schema) if schema is not None else reader).parquet(path)
@@ -364,7 +374,7 @@ def upsert(spark: SparkSession, target: str, batch: DataFrame, key: str | list =
     whole content.  Only the batch is written; the table is not read, but for the compaction that follows
     every ``compact_after`` deltas.  ``cluster_by_partition`` writes each partition from one task, for
     partitions of bounded size.  Returns ``rows_in_batch``, ``rows_from_batch`` (after de-duplication),
-    ``touched_partitions`` (that the batch's rows are in), ``compacted``, and a count per ``batch_metrics``
+    ``touched_partitions`` (that the batch's rows are in), ``compacted``, ``commit``, and a count per ``batch_metrics``
     condition over the de-duplicated batch, all observed while the data is written.
     """
     pcols, keys = list(partition_cols), [key] if isinstance(key, str) else list(key)
@@ -398,7 +408,7 @@ def upsert(spark: SparkSession, target: str, batch: DataFrame, key: str | list =
         snap.nameless += without_key
     _commit(spark, target, snap)
     compacted = compact(spark, target, compact_after, cluster_by_partition)
-    return {"touched_partitions": len(places), "compacted": compacted, **stats}
+    return {"touched_partitions": len(places), "compacted": compacted, "commit": folder, **stats}
 
 
 def delete_keys(spark: SparkSession, target: str, keys: DataFrame) -> None:

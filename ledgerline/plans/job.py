@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions import pct_rounded
 from ledgerline.operators.documents import to_document
 from ledgerline.operators.enrich import enrich
-from ledgerline.operators.sinks import catalog_location, compact, ensure_table, register_partitions, upsert
+from ledgerline.operators.sinks import catalog_location, compact, ensure_table, read_commit, register_partitions, upsert
 from ledgerline.schemas import DOCS_SCHEMA, PARTITION_COLS, TXN_RAW_WITH_CORRUPT
 from ledgerline.session import configure
 from ledgerline.sources.json_files import parsed_once, read_days
@@ -60,6 +60,39 @@ def run_day(spark: SparkSession, base: str, year: str, month: str, day: str, cus
     return report
 
 
+def run_days(spark: SparkSession, base: str, days, customers: DataFrame, target: str, quarantine: str | None = None) -> list[dict]:
+    """Process many days (year, month, day) of ``base`` in one pass: one parse, one enrichment, one upsert.
+
+    Returns a report per day, as ``run_day`` does; days without rows are ``empty``.  A day's ``seconds`` are
+    its rows' share of the pass (equal shares where no day has rows)."""
+    configure(spark)
+    started = dt.datetime.now(dt.timezone.utc)
+    quarantine = quarantine or f"{target.rstrip('/')}_quarantine"
+    read, stored = {}, {}
+    with parsed_once(read_days(spark, base, days, TXN_RAW_WITH_CORRUPT)) as (good, bad):
+        per_day = lambda df, *more: {tuple(r)[:3]: tuple(r)[3:] for r in df.groupBy(*PARTITION_COLS).agg(
+            F.count(F.lit(1)).alias("n"), *more).collect()}  # a row per day
+        wrong = per_day(bad)
+        if wrong:
+            (bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITION_COLS).json(quarantine))
+        read = per_day(good)
+        if read:
+            docs = to_document(enrich(good, customers), keep=PARTITION_COLS)
+            stats = upsert(spark, target, docs, order_by=["dataCompletaTransacao", "valorTotalTransacao"])
+            stored = per_day(read_commit(spark, target, stats["commit"], DOCS_SCHEMA), F.count("nomeTitularConta").alias("matched"))
+    completed = dt.datetime.now(dt.timezone.utc)
+    seconds, total = (completed - started).total_seconds(), sum(n for (n,) in read.values())
+    out = []
+    for day in days:
+        n, n_bad = read.get(day, (0,))[0], wrong.get(day, (0,))[0]
+        written, matched = stored.get(day, (0, 0))
+        out.append({"year": day[0], "month": day[1], "day": day[2], "status": "succeeded" if n + n_bad else "empty",
+                    "rows_read": n + n_bad, "rows_written": written, "rows_matched": matched, "rows_quarantined": n_bad,
+                    "quarantine": quarantine, "started_on": started, "completed_on": completed,
+                    "seconds": seconds * (n / total if total else 1 / len(days))})
+    return out
+
+
 def report_frame(spark: SparkSession, report: dict) -> DataFrame:
     """One-row DataFrame of a run report (the run ledger's input)."""
     cols = ["year", "month", "day", "status", "rows_read", "rows_written", "rows_matched",

@@ -22,6 +22,7 @@ from ledgerline.schemas import CUST_RAW, DOCS_SCHEMA, PARTITION_COLS, TXN, TXN_R
 from ledgerline.session import scratch_path, touch
 from ledgerline.sources import json_files as J
 from ledgerline.sources.customers import parse_customers
+from ledgerline.sources.inventory import file_inventory as file_inventory_of
 
 TXR_SQL = """txr AS (
   SELECT codigo_lancamento, numero_unico_conta, valor_total_transacao,
@@ -207,5 +208,5 @@ def file_inventory(spark, sf_dir):
     base = write_partitioned_jsonl(roles.transactions(spark, sf_dir), scratch_path(spark, "txn-inventory"),
                                    files_per_partition=1)
     touch(spark, f"{base}/year=2024/month=01/day=15/empty.json")
-    found = J.file_inventory(spark, base)
+    found = file_inventory_of(spark, base)
     return found.select("year", "month", "day", "n_files", (F.col("n_bytes") > 0).alias("has_bytes"))

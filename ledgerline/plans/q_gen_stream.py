@@ -107,7 +107,7 @@ def stream_ingest(spark, sf_dir):
 
 @register("stream_enrich", with_base(_counted_sql(TXR_ENR_SQL + f" WHERE NOT {BAD_SQL}")))
 def stream_enrich(spark, sf_dir):
-    """Stream-static enrichment into a parquet file sink, bad lines into another."""
+    """Stream-static enrichment by micro-batch, bad lines apart, one query."""
     base, out, bad = dirty_tree(spark, sf_dir), scratch_path(spark, "stream-docs"), scratch_path(spark, "stream-bad")
     ST.stream_enrich(spark, base, out, scratch_path(spark, "ckpt"), roles.customers(spark, sf_dir), bad,
                      max_files_per_trigger=FILES)
@@ -148,7 +148,7 @@ def stream_tumbling(spark, sf_dir):
     """15-minute count and volume per type over several micro-batches, days out of order."""
     base, target, bad = dirty_tree(spark, sf_dir), scratch_path(spark, "stream-windows"), scratch_path(spark, "stream-bad")
     ST.stream_tumbling(spark, base, target, scratch_path(spark, "ckpt"), bad, max_files_per_trigger=FILES)
-    return with_quarantined(spark, read_table(spark, target).drop("window_date"), bad)
+    return with_quarantined(spark, ST.window_totals(spark, target), bad)
 
 
 class RuleFetch:

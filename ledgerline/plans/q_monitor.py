@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerline.operators import monitor as M
+from ledgerline.operators.upsert import partition_folders
 from ledgerline.plans import roles
-from ledgerline.plans.job import run_day
+from ledgerline.plans.job import run_days
 from ledgerline.plans.registry import money_avg_sql, money_sum_sql, register, with_base
 from ledgerline.schemas import ALARM_RULES
-from ledgerline.session import scratch_path
+from ledgerline.session import path_exists, scratch_path
 
 
 def series(spark, sf_dir):
@@ -80,44 +81,47 @@ def log_scan(spark, sf_dir):
     return M.log_scan(logs, contains="account 42", since="2024-01-10 00:00:00", n=10)
 
 
-#: Days the job is run for, in this order; the last has no files.
-RUN_DAYS = (("01", "15"), ("01", "16"), ("03", "01"))
+#: A day without files, run after all others.
+EMPTY_DAY = ("2024", "03", "01")
 RUNS_SQL = """runs AS (
-  SELECT 'transaction-enrichment' AS job, 'jr_2024' || month || day AS run_id, '2024-' || month || '-' || day AS run_date,
-         CASE WHEN month = '03' THEN 'empty' ELSE 'succeeded' END AS state, no,
-         (SELECT COUNT(*) FROM tx WHERE tx.year = '2024' AND tx.month = d.month AND tx.day = d.day) AS rows_read,
-         (SELECT COUNT("nomeTitularConta") FROM enr WHERE enr.year = '2024' AND enr.month = d.month AND enr.day = d.day) AS rows_matched
-  FROM (VALUES ('01', '15', 1), ('01', '16', 2), ('03', '01', 3)) AS d(month, day, no))"""
+  SELECT 'transaction-enrichment' AS job, 'jr_' || year || month || day AS run_id, year || '-' || month || '-' || day AS run_date,
+         'succeeded' AS state, COUNT(*) AS rows_read, COUNT("nomeTitularConta") AS rows_matched FROM enr GROUP BY year, month, day
+  UNION ALL SELECT 'transaction-enrichment', 'jr_20240301', '2024-03-01', 'empty', 0, 0)"""
+_LEDGERS: dict = {}
 
 
 def runs(spark, sf_dir):
-    """The ledger that ``record_run`` keeps of real runs of the daily job."""
-    base, target, ledger = roles.landed_tree(spark, sf_dir), scratch_path(spark, "docs-runs"), scratch_path(spark, "ledger")
-    for month, day in RUN_DAYS:
-        M.record_run(spark, ledger, run_day(spark, base, "2024", month, day, roles.customers(spark, sf_dir), target))
-    return spark.read.parquet(ledger)
+    """The ledger of the job's runs for every day of the landed tree and a day without files (built once per
+    application and table folder)."""
+    at = (spark.sparkContext.applicationId, roles.version(spark, sf_dir))
+    if at not in _LEDGERS or not path_exists(spark, _LEDGERS[at]):
+        base, target, ledger = roles.landed_tree(spark, sf_dir), scratch_path(spark, "docs-runs"), scratch_path(spark, "ledger")
+        days = [tuple(part.split("=", 1)[1] for part in p.split("/")) for p in partition_folders(spark, base)]
+        M.record_runs(spark, ledger, run_days(spark, base, [*days, EMPTY_DAY], roles.customers(spark, sf_dir), target))
+        _LEDGERS[at] = ledger
+    return spark.read.schema(M.LEDGER).parquet(_LEDGERS[at])
 
 
 @register("run_ledger", with_base("""
 SELECT job, run_id, run_date, state, rows_read, rows_read AS rows_written, rows_matched, CAST(0 AS BIGINT) AS rows_quarantined,
        true AS timed FROM runs""", RUNS_SQL))
 def run_ledger(spark, sf_dir):
-    """Records of three runs; their times differ from run to run and are only checked for order."""
+    """A record per day of the tree; times differ from run to run and are only checked for order."""
     r = runs(spark, sf_dir)
     return r.select("job", "run_id", "run_date", "state", "rows_read", "rows_written", "rows_matched", "rows_quarantined",
                     (F.col("completed_on") >= F.col("started_on")).alias("timed"))
 
 
-@register("latest_run", with_base("SELECT job, run_id, state, rows_read FROM runs ORDER BY no DESC LIMIT 1", RUNS_SQL))
+@register("latest_run", with_base("SELECT job, run_id, state, rows_read FROM runs ORDER BY run_id DESC LIMIT 1", RUNS_SQL))
 def latest_run(spark, sf_dir):
     """The last run of the job and its state."""
     return M.latest_run(runs(spark, sf_dir)).select("job", "run_id", "state", "rows_read")
 
 
-@register("recent_runs", with_base("SELECT run_id, state, rows_read FROM runs ORDER BY no DESC LIMIT 2", RUNS_SQL))
+@register("recent_runs", with_base("SELECT run_id, state, rows_read FROM runs ORDER BY run_id DESC LIMIT 5", RUNS_SQL))
 def recent_runs(spark, sf_dir):
-    """The last two runs."""
-    return M.recent_runs(runs(spark, sf_dir), 2).select("run_id", "state", "rows_read")
+    """The last five runs."""
+    return M.recent_runs(runs(spark, sf_dir), 5).select("run_id", "state", "rows_read")
 
 
 @register("run_cost", with_base("""

@@ -103,11 +103,17 @@ _LANDED: dict = {}
 _STORED: dict = {}
 
 
+def version(spark: SparkSession, sf_dir: str) -> tuple:
+    """A table folder and the times of its tables: what is derived from them is not used for rewritten ones."""
+    from ledgerline.session import list_folder
+    return (sf_dir.rstrip("/"), *sorted(list_folder(spark, sf_dir)))
+
+
 def landed_tree(spark: SparkSession, sf_dir: str) -> str:
     """Every transaction as date-partitioned JSON Lines; base path."""
     from ledgerline.operators.sinks import write_partitioned_jsonl
     from ledgerline.session import path_exists, scratch_path
-    at = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    at = (spark.sparkContext.applicationId, version(spark, sf_dir))
     if at not in _LANDED or not path_exists(spark, _LANDED[at] + "/_SUCCESS"):
         _LANDED[at] = write_partitioned_jsonl(transactions(spark, sf_dir), scratch_path(spark, "txn-jsonl"))
     return _LANDED[at]
@@ -120,7 +126,7 @@ def stored_target(spark: SparkSession, sf_dir: str) -> str:
     from ledgerline.operators.sinks import upsert
     from ledgerline.schemas import PARTITION_COLS
     from ledgerline.session import path_exists, scratch_path
-    at = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    at = (spark.sparkContext.applicationId, version(spark, sf_dir))
     if at not in _STORED or not path_exists(spark, _STORED[at]):
         target = scratch_path(spark, "docs-stored")
         docs = to_document(enrich(transactions(spark, sf_dir), customers(spark, sf_dir)), keep=PARTITION_COLS)

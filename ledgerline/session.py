@@ -179,17 +179,11 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def folder_sizes(spark: SparkSession, pattern: str) -> list[tuple[str, int, int]]:
-    """(path, files, bytes) of every folder that matches a glob pattern; names beginning with ``_`` or
-    ``.`` are not data."""
-    fs, hpath = _fs(spark, pattern)
-    out = []
-    for status in fs.globStatus(hpath) or []:
-        summary = fs.getContentSummary(status.getPath())
-        path = status.getPath().toString()
-        hidden = fs.globStatus(_fs(spark, f"{path}/[_.]*")[1]) or []
-        out.append((path, summary.getFileCount() - len(hidden), summary.getLength() - sum(h.getLen() for h in hidden)))
-    return out
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as executors have to name it."""
+    fs, hpath = _fs(spark, path)
+    text = fs.makeQualified(hpath).toString()
+    return "file://" + text[len("file:"):] if text.startswith("file:/") and not text.startswith("file://") else text
 
 
 def touch(spark: SparkSession, path: str) -> None:

@@ -6,11 +6,10 @@ Quarantine and side folders are keyed by the micro-batch's number and overwritte
 micro-batch changes nothing.
 
 * T1 new-file ingestion: ``foreachBatch`` keyed upsert.
-* T2 stream-static enrichment: file sink for good rows, a second query for the bad ones.
+* T2 stream-static enrichment: good and bad rows by micro-batch, one query.
 * T3 redelivery suppression: insert-if-absent per micro-batch; rows older than the watermark (the
   greatest event time of earlier micro-batches less the delay) go to a late folder instead.
-* T4 tumbling volume: each micro-batch adds its own partial sums; the windows it touched, however
-  late, are summed again from all partial sums and upserted.
+* T4 tumbling volume: a micro-batch's sums are added to the stored windows of its dates.
 Checkpoints live in the shared folder the caller passes.
 """
 
@@ -22,10 +21,11 @@ from pyspark.sql import types as T
 
 from ledgerline.operators.documents import to_document
 from ledgerline.operators.enrich import enrich
-from ledgerline.operators.sinks import insert_new, upsert
+from ledgerline.operators.sinks import insert_new, read_table, upsert
+from ledgerline.operators.upsert import is_log_table
 from ledgerline.schemas import PARTITION_COLS, TXN_RAW_WITH_CORRUPT
-from ledgerline.session import path_exists
-from ledgerline.sources.json_files import parsed_once, split_valid
+from ledgerline.session import delete_path, list_folder, read_text, scratch_path, write_text
+from ledgerline.sources.json_files import parsed_once
 
 DOC_ORDER = ["dataCompletaTransacao", "valorTotalTransacao"]
 
@@ -82,44 +82,38 @@ def stream_ingest(spark: SparkSession, base: str, target: str, checkpoint: str,
 
 
 def stream_enrich(spark: SparkSession, base: str, out: str, checkpoint: str, customers: DataFrame,
-                  quarantine: str, available_now: bool = True, salt_buckets: int | None = None,
-                  max_files_per_trigger: int | None = None):
-    """Stream-static left join into a partitioned parquet file sink, and the bad rows into a JSON
-    file sink; both are exactly-once by the sinks' own logs.
+                  quarantine: str, available_now: bool = True, max_files_per_trigger: int | None = None):
+    """Stream-static left join.  One query and one parse: good rows go to ``out``, bad ones to the
+    quarantine, both by the micro-batch's number (a replay overwrites them), under one trigger and one handle.
 
-    Streaming plans run without AQE: for a customer table too large to
-    broadcast, pass ``salt_buckets`` so a hot account is spread over tasks.
-    """
-    good, _ = split_valid(stream_source(spark, base, max_files_per_trigger=max_files_per_trigger))
-    docs = to_document(enrich(good, customers, salt_buckets=salt_buckets), keep=PARTITION_COLS)
-    q = _run(docs.writeStream.format("parquet").outputMode("append").option("path", out)
-             .partitionBy(*PARTITION_COLS), f"{checkpoint}/docs", available_now)
-    _, bad = split_valid(stream_source(spark, base, max_files_per_trigger=max_files_per_trigger))
-    _run(bad.writeStream.format("json").outputMode("append").option("path", quarantine), f"{checkpoint}/bad", available_now)
-    return q
+    A micro-batch is an ordinary DataFrame, so a customer table too large to broadcast is joined by
+    sort-merge, and AQE splits a hot account."""
+    raw = stream_source(spark, base, max_files_per_trigger=max_files_per_trigger)
 
+    def per_batch(batch: DataFrame, epoch_id: int):
+        with parsed_once(batch) as (good, bad):
+            quarantined(bad, quarantine, epoch_id)
+            docs = to_document(enrich(good, customers), keep=PARTITION_COLS)
+            docs.write.mode("overwrite").partitionBy(*PARTITION_COLS).parquet(_of_epoch(out, epoch_id))
 
-def event_time(df: DataFrame, ts: str = "data_completa_transacao") -> DataFrame:
-    """Watermarks need TIMESTAMP (not NTZ): add the UTC instant as ``_event_time``."""
-    return df.withColumn("_event_time", F.col(ts).cast("timestamp"))
+    return _run(raw.writeStream.foreachBatch(per_batch), checkpoint, available_now)
 
 
-def stream_dedupe(df: DataFrame, key: str = "codigo_lancamento", delay: str = "1 hour",
-                  ts: str = "data_completa_transacao") -> DataFrame:
-    """T3 on Spark's own state: drop redelivered copies of a key seen within the watermark delay.
+#: Notes of the greatest event time that are kept; only the last one before a micro-batch is read.
+KEPT_MARKS = 3
 
-    Spark drops rows older than the watermark here without a trace and sends all copies of a key to
-    one task: for sources in event-time order.  ``stream_dedupe_into`` is the form that loses nothing."""
-    return (event_time(df, ts).withWatermark("_event_time", delay)
-            .dropDuplicatesWithinWatermark([key]).drop("_event_time"))
 
+def _watermark(spark: SparkSession, side: str, epoch_id: int) -> str | None:
+    """Greatest event time of the earlier micro-batches (ISO text), from the last of their notes."""
+    earlier = [int(n) for n, _ in list_folder(spark, side) if n.isdigit() and int(n) < epoch_id]
+    return read_text(spark, f"{side}/{max(earlier)}") if earlier else None
 
-def _watermark(spark: SparkSession, side: str, epoch_id: int, delay: str):
-    """Greatest event time of the earlier micro-batches less the delay, or None."""
-    if not path_exists(spark, side):
-        return None
-    seen = spark.read.schema("newest timestamp_ntz, epoch int").parquet(side).where(F.col("epoch") < epoch_id)
-    return seen.agg((F.max("newest") - F.expr(f"INTERVAL {delay}")).alias("w")).head().w
+
+def _mark(spark: SparkSession, side: str, epoch_id: int, newest: str) -> None:
+    write_text(spark, f"{side}/{epoch_id}", newest)
+    for name, _ in list_folder(spark, side):
+        if name.isdigit() and int(name) <= epoch_id - KEPT_MARKS:
+            delete_path(spark, f"{side}/{name}")
 
 
 def stream_dedupe_into(spark: SparkSession, base: str, target: str, checkpoint: str, quarantine: str,
@@ -131,7 +125,8 @@ def stream_dedupe_into(spark: SparkSession, base: str, target: str, checkpoint:
     target itself tells replays and redeliveries, however late.
 
     With ``late``, rows older than the watermark are not inserted but written there (every copy, by
-    micro-batch), so kept + late + quarantined rows account for the whole source."""
+    micro-batch), so kept + late + quarantined rows account for the whole source.  The watermark is kept in
+    one small note per micro-batch, of which the last few stay."""
     raw = stream_source(spark, base, TXN_RAW_WITH_CORRUPT, max_files_per_trigger)
     side = f"{checkpoint}/newest"
 
@@ -140,12 +135,14 @@ def stream_dedupe_into(spark: SparkSession, base: str, target: str, checkpoint:
         with parsed_once(batch) as (good, bad):
             quarantined(bad, quarantine, epoch_id)
             if late is not None:
-                mark = _watermark(session, side, epoch_id, delay)
-                if mark is not None:
-                    old = F.col(ts) < F.lit(mark).cast("timestamp_ntz")
+                before = _watermark(session, side, epoch_id)
+                own = good.agg(F.max(ts).cast("string")).first()[0]
+                if before:
+                    old = F.col(ts) < F.lit(before).cast("timestamp_ntz") - F.expr(f"INTERVAL {delay}")
                     good.where(old).write.mode("overwrite").parquet(_of_epoch(late, epoch_id))
                     good = good.where(~old)
-                good.agg(F.max(ts).alias("newest")).write.mode("overwrite").parquet(_of_epoch(side, epoch_id))
+                if own or before:
+                    _mark(session, side, epoch_id, max(own or "", before or ""))
             insert_new(session, target, good, key=key, order_by=[ts])
 
     return _run(raw.writeStream.foreachBatch(per_batch), checkpoint, available_now)
@@ -153,9 +150,9 @@ def stream_dedupe_into(spark: SparkSession, base: str, target: str, checkpoint:
 
 def window_sums(txn: DataFrame, period: str = "900 seconds", by: str = "tipo_transacao",
                 ts: str = "data_completa_transacao", value: str = "valor_total_transacao") -> DataFrame:
-    """Count and exact sum per type and tumbling window, with the window's date."""
+    """Count and exact sum per type (none: the empty text) and tumbling window, with the window's date."""
     start = F.window(F.col(ts).cast("timestamp"), period).start.cast("timestamp_ntz")
-    sums = txn.groupBy(by, start.alias("window_start")).agg(
+    sums = txn.groupBy(F.coalesce(by, F.lit("")).alias(by), start.alias("window_start")).agg(
         F.count(F.lit(1)).alias("n_transactions"),
         F.coalesce(F.sum(F.col(value).cast("decimal(18,2)")), F.lit(0)).cast("decimal(38,2)").alias("cents"))
     return sums.withColumn("window_date", F.date_format("window_start", "yyyy-MM-dd"))
@@ -164,30 +161,55 @@ def window_sums(txn: DataFrame, period: str = "900 seconds", by: str = "tipo_tra
 def stream_tumbling(spark: SparkSession, base: str, target: str, checkpoint: str, quarantine: str,
                     period: str = "900 seconds", by: str = "tipo_transacao", available_now: bool = True,
                     max_files_per_trigger: int | None = None):
-    """T4: count and exact sum per type and tumbling window, late rows included.
+    """T4: count and exact sum per type and tumbling window, late rows included; read with ``window_totals``.
 
-    A micro-batch's partial sums are stored under its number (a replay overwrites them); the dates it
-    touched are summed over all partial sums and upserted into the target's partitions of those dates."""
+    The view is maintained incrementally: a micro-batch's sums are added to the stored windows of the dates it
+    touched and upserted.  A window keeps its state before the micro-batch that changed it last, so a replay
+    of that one adds to the state before it instead of counting twice.  Only the folders of the touched dates
+    are listed and read, whatever the history holds."""
     raw = stream_source(spark, base, TXN_RAW_WITH_CORRUPT, max_files_per_trigger)
-    parts = f"{checkpoint}/partial_sums"
+    keys = [by, "window_start"]
 
     def per_batch(batch: DataFrame, epoch_id: int):
         session = batch.sparkSession
         with parsed_once(batch) as (good, bad):
             quarantined(bad, quarantine, epoch_id)
-            own = window_sums(good, period, by)
-            own.write.mode("overwrite").partitionBy("window_date").parquet(_of_epoch(parts, epoch_id))
-        schema = T.StructType(own.schema.fields + [T.StructField("epoch", T.IntegerType())])
-        stored = session.read.schema(schema).option("basePath", parts).parquet(parts)
-        dates = [r[0] for r in stored.where(F.col("epoch") == epoch_id).select("window_date").distinct().collect()]  # days
-        again = stored.where(F.col("window_date").isin(dates) & (F.col("epoch") <= epoch_id) if dates else F.lit(False))
-        sums = again.groupBy(by, "window_start", "window_date").agg(
-            F.sum("n_transactions").alias("n_transactions"), F.sum("cents").cast("double").alias("sum_valor"))
-        upsert(session, target, sums, key=[by, "window_start"], partition_cols=("window_date",))
+            window_sums(good, period, by).write.parquet(own_at := scratch_path(session, "window-sums"))
+        own = session.read.parquet(own_at)
+        dates = {r[0] for r in own.select("window_date").distinct().collect()}  # days
+        old = stored_windows(session, target, own, dates)
+        again = F.col("epoch") == epoch_id
+        base_of = lambda c: F.coalesce(F.when(again, F.col(f"{c}_before")).otherwise(F.col(f"{c}_now")), F.lit(0))
+        state = old.select(*keys, *[base_of(c).alias(f"{c}_old") for c in ("n", "cents")])
+        total = lambda c, kind: (F.col(c) + F.coalesce(f"{c}_old", F.lit(0))).cast(kind)
+        merged = own.withColumnRenamed("n_transactions", "n").join(state, keys, "left").select(
+            *keys, "window_date", total("n", "long").alias("n_now"), total("cents", "decimal(38,2)").alias("cents_now"),
+            F.coalesce("n_old", F.lit(0)).cast("long").alias("n_before"), F.coalesce("cents_old", F.lit(0)).cast("decimal(38,2)").alias("cents_before"),
+            F.lit(epoch_id).cast("long").alias("epoch"))
+        upsert(session, target, merged, key=keys, partition_cols=("window_date",))
+        delete_path(session, own_at)
 
     return _run(raw.writeStream.foreachBatch(per_batch), checkpoint, available_now)
 
 
+def stored_windows(spark: SparkSession, target: str, own: DataFrame, dates: set) -> DataFrame:
+    """The stored windows of some dates; other dates' folders are not listed."""
+    by, start = own.columns[0], own.schema["window_start"]
+    schema = T.StructType([own.schema[by], start, T.StructField("n_now", T.LongType()), T.StructField("cents_now", T.DecimalType(38, 2)),
+                           T.StructField("n_before", T.LongType()), T.StructField("cents_before", T.DecimalType(38, 2)),
+                           T.StructField("epoch", T.LongType()), T.StructField("window_date", T.StringType())])
+    if not is_log_table(spark, target):
+        return spark.createDataFrame([], schema)
+    folders = {f"window_date={d}" for d in dates}
+    return read_table(spark, target, schema, only=folders.__contains__).where(F.col("window_date").isin(sorted(dates)))
+
+
+def window_totals(spark: SparkSession, target: str) -> DataFrame:
+    """The windows of ``stream_tumbling``: type, window_start, n_transactions, sum_valor."""
+    rows = read_table(spark, target)
+    return rows.select(rows.columns[0], "window_start", F.col("n_now").alias("n_transactions"), F.col("cents_now").cast("double").alias("sum_valor"))
+
+
 def run_append(df: DataFrame, out: str, checkpoint: str, partition_cols=PARTITION_COLS,
                available_now: bool = True):
     writer = df.writeStream.format("parquet").outputMode("append").option("path", out)

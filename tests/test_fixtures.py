@@ -16,6 +16,7 @@ from ledgerline.schemas import CUST_RAW, ENR, PARTITION_COLS, TXN, TXN_RAW
 from ledgerline.session import path_exists
 from ledgerline.sources import json_files as J
 from ledgerline.sources.customers import load_customers
+from ledgerline.sources.inventory import file_inventory
 
 import pytest
 
@@ -515,7 +516,7 @@ def test_streams_account_for_every_row(spark, tmp_base):
     ids = lambda p: [r[0] for r in spark.read.option("recursiveFileLookup", "true").parquet(p).select("codigo_lancamento").collect()]
     assert set(ids(f"{tmp_base}/t3")) | set(ids(f"{tmp_base}/late")) == {"1", "2"} and len(bad(f"{tmp_base}/q3")) == 3
     ST.stream_tumbling(spark, base, f"{tmp_base}/t4", f"{tmp_base}/c4", f"{tmp_base}/q4", max_files_per_trigger=1)
-    assert K.read_table(spark, f"{tmp_base}/t4").agg(F.sum("n_transactions")).first()[0] == 3
+    assert ST.window_totals(spark, f"{tmp_base}/t4").agg(F.sum("n_transactions")).first()[0] == 3
 
 
 def test_insert_new_counts_rows_without_a_key_and_never_repeats_them(spark, tmp_base):
@@ -549,8 +550,11 @@ def test_inventory_counts_empty_files(spark, tmp_base):
     write_day(spark, tmp_base, [line("1", "A")])
     touch(spark, f"{tmp_base}/year=2024/month=01/day=15/none.json")
     touch(spark, f"{tmp_base}/year=2024/month=01/day=16/none.json")
-    got = sorted((r["day"], r["n_files"], r["n_bytes"] > 0) for r in J.file_inventory(spark, tmp_base).collect())
-    assert got == [("15", 2, True), ("16", 1, False)]
+    touch(spark, f"{tmp_base}/year=2024/month=01/day=16/nested/more.json")
+    touch(spark, f"{tmp_base}/year=2024/month=01/day=16/_hidden/no.json")
+    got = sorted((r["day"], r["n_files"], r["n_bytes"] > 0) for r in file_inventory(spark, tmp_base).collect())
+    assert got == [("15", 2, True), ("16", 2, False)]
+    assert file_inventory(spark, f"{tmp_base}/year=2024").count() == 0                       # no partition below
 
 
 def test_schema_check_reports_extra_fields(spark):
@@ -575,3 +579,71 @@ def test_a_cluster_must_name_its_shared_folder():
     sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="spark://host:7077")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(SimpleNamespace(sparkContext=sc, conf=conf))
+
+
+def test_days_in_one_pass_equal_days_one_by_one(spark, tmp_base):
+    from ledgerline.plans.job import run_days
+    base = f"{tmp_base}/src"
+    for day, own in {"15": [line("1", "A"), line("1", "A"), "{bad"], "16": [line("2", "Z", ts="2024-01-16T10:00:00Z")], "17": ["{bad"]}.items():
+        write_day(spark, base, own, day=day)
+    days = [("2024", "01", d) for d in ("15", "16", "17", "18")]
+    whole = run_days(spark, base, days, customers(spark), f"{tmp_base}/all")
+    single = [run_day(spark, base, *d, customers(spark), f"{tmp_base}/each") for d in days]
+    fields = ("day", "status", "rows_read", "rows_written", "rows_matched", "rows_quarantined")
+    assert [[r[c] for c in fields] for r in whole] == [[r[c] for c in fields] for r in single]
+    stored = lambda p: sorted(map(tuple, K.read_table(spark, f"{tmp_base}/{p}").collect()))
+    assert stored("all") == stored("each") and abs(sum(r["seconds"] for r in whole)) > 0
+
+
+def test_staged_writes_deliver_once(spark, tmp_base):
+    from ledgerline.operators.lookup_udf import FolderSink, StagedWriter, write_staged
+    from ledgerline.session import qualified
+    uri = qualified(spark, tmp_base)
+    rows = lambda: sorted(r[0] for r in spark.read.schema("id long").json(tmp_base).collect())
+    write_staged(spark.range(2500).repartition(4), FolderSink(uri), size=300)
+    assert rows() == list(range(2500))
+
+    bad = spark.range(2500, 2600).repartition(2).select(F.expr("if(id = 2599, assert_true(false), null)").alias("x"), "id").select("id", "x")
+    with pytest.raises(Exception):
+        write_staged(bad, FolderSink(uri), size=10)                       # aborted: nothing of it is seen
+    assert rows() == list(range(2500))
+
+    sink = FolderSink(uri)
+    writer, part = StagedWriter(sink, 2), [__import__("pyspark").sql.Row(id=n) for n in range(3000, 3005)]
+
+    def fails():
+        yield from part[:3]
+        raise OSError("lost")
+    with pytest.raises(OSError):
+        writer.write(fails())                                              # an attempt that staged two rows
+    writer.commit([writer.write(iter(part)), None])
+    assert rows() == [*range(2500), *range(3000, 3005)] and sink.recover() == 0
+
+
+def test_window_sums_survive_replays_and_read_only_their_dates(spark, tmp_base, monkeypatch):
+    from ledgerline.operators import upsert as U
+    from ledgerline.streaming import ingest as ST
+    for n in range(4):
+        write_day(spark, f"{tmp_base}/src", [line(f"{n}{k}", "A", 1.5, ts=f"2024-01-0{n + 1}T10:00:00Z") for k in range(3)], day=f"0{n + 1}")
+    listed, real, fails = [], U._folders, {"at": 2}
+
+    def folders(session, target, names, schema):
+        listed.append([f for f in names if f.count("/")])
+        return real(session, target, names, schema)
+    upsert = ST.upsert
+
+    def once(session, target, *a, **k):                                    # the third micro-batch fails after its upsert
+        out = upsert(session, target, *a, **k)
+        fails["at"] -= 1
+        if fails["at"] == -1:
+            raise OSError("lost")
+        return out
+    monkeypatch.setattr(ST, "upsert", once)
+    monkeypatch.setattr(U, "_folders", folders)
+    run = lambda: ST.stream_tumbling(spark, f"{tmp_base}/src", f"{tmp_base}/t", f"{tmp_base}/c", f"{tmp_base}/q", max_files_per_trigger=1)
+    with pytest.raises(Exception):
+        run()
+    run()
+    got = [(r.n_transactions, r.sum_valor) for r in ST.window_totals(spark, f"{tmp_base}/t").collect()]
+    assert got == [(3, 4.5)] * 4
+    assert max(map(len, listed)) <= 4

@@ -98,7 +98,7 @@ def test_salted_stream_enrich(spark, tmp_base):
         .withColumn("day", F.lit("15"))
     K.write_partitioned_jsonl(rows, f"{tmp_base}/src")
     stream_enrich(spark, f"{tmp_base}/src", f"{tmp_base}/out", scratch_path(spark, "ckpt"), dim(spark),
-                  f"{tmp_base}/bad", salt_buckets=4)
+                  f"{tmp_base}/bad")
     out = spark.read.parquet(f"{tmp_base}/out")
     assert out.count() == 2000 and out.where("nomeTitularConta IS NULL").count() == 0
 
