@@ -13,12 +13,14 @@ Candidates: distinct sets only (exact copies are one).  A signature is cut into
 ``PLACES / BANDS`` places; sets with an equal band share a bucket.  A pair at the threshold shares none
 with probability (1 - 0.8^4)^32 = 5e-8.
 
-Verification, without all pairs of a bucket: in each round the first few sets of a bucket (leaders, one in
-the first round, eight times as many in each next one) are compared with the bucket's sets of other
-components and then leave the bucket; a bucket is done when its sets are of one component.  So every pair
-of a bucket is compared or already connected, whatever the bucket's size.  Pairs whose signatures agree in
-under half of the places cannot be links but with probability 1e-12 and are dropped; the others are
-confirmed on their full sets.  Components: star contraction of the links found in the round.
+Verification, without all pairs of a bucket: the set with the most company over all bands leads a bucket
+(of near copies this is their original, so a group has one leader in all its bands).  Every set of a bucket
+is compared with the leader on full sets, and their symmetric difference is kept.  Links give first
+components.  What is left are pairs with a set that is not in its leader's component (outer): outer sets are
+compared with all sets of their leader's group, in blocks, through the differences from the leader, since
+|x - y| follows from these and what they share.  Each pair of a bucket is so compared or connected already;
+pairs are never rows, and of the links found one per pair of components is returned.  No size of a bucket
+changes the result.  Components: star contraction.
 
 ``component_id`` is the smallest doc_id reachable, nulls aside (null where all are null).  A null id is a
 document like any other; ids repeated with other texts are separate documents, and rows repeated are equal.
@@ -32,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bytehash
@@ -42,8 +44,8 @@ from .simhash_dedup import components
 SHINGLE, PLACES, BANDS = 4, 128, 32
 #: Links have PERCENT * union <= 100 * intersection.
 PERCENT = 80
-#: Leaders a bucket has more of in each round than in the one before.
-FACTOR = 8
+#: Differing shingles of the outer sets, and of the sets they are compared with, that meet at once.
+BLOCK, CHUNK = 1 << 18, 1 << 21
 AT_ONCE = 1 << 20
 NOT_SPACE = np.ones(256, bool)
 NOT_SPACE[[32, *range(9, 14)]] = False
@@ -117,7 +119,7 @@ def name_of(found: np.ndarray) -> bytes:
 
 
 def prints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """Per row: doc_id, tk, n (size of the set), sid (its name), sig (a byte per place), keys (of the bands)."""
+    """Per row: doc_id, tk, n (size of the set), sid (its name), keys (of the bands)."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), text_key(F.col(text)).alias("tk"), F.col(text).alias("t"))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,17 +127,15 @@ def prints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: in
             for part in slices(batch, "t", AT_ONCE):
                 sets = shingle_sets(part.column(2), shingle)
                 some = [s for s in sets if len(s)]
-                full = signatures(some)
-                sig, keys = iter(full.astype(np.uint8)), iter(band_keys(full).view(np.int64))
-                sigs = [next(sig).tobytes() if len(s) else None for s in sets]
+                keys = iter(band_keys(signatures(some)).view(np.int64))
                 bands = [next(keys) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([name_of(s) if len(s) else None for s in sets], pa.binary()),
-                     pa.array(sigs, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                    names=["doc_id", "tk", "n", "sid", "sig", "keys"])
+                     pa.array(bands, pa.list_(pa.int64()))],
+                    names=["doc_id", "tk", "n", "sid", "keys"])
 
-    return rows.mapInArrow(each, "doc_id long, tk long, n long, sid binary, sig binary, keys array<long>")
+    return rows.mapInArrow(each, "doc_id long, tk long, n long, sid binary, keys array<long>")
 
 
 def full_sets(docs: DataFrame, places: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
@@ -153,111 +153,137 @@ def full_sets(docs: DataFrame, places: DataFrame, key: str = "doc_id", text: str
     return here.select("t").mapInArrow(each, "sid binary, hashes binary").dropDuplicates(["sid"])
 
 
-def _kept_pairs(pairs: DataFrame, one: str, two: str, good) -> DataFrame:
-    """(a, b) of the pairs whose two binary columns ``good`` accepts."""
+def _differences(pairs: DataFrame) -> DataFrame:
+    """(hub, sid, n_hub, n, diff, size, linked) of pairs with both full sets: diff is their symmetric difference."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (one, two))
-            kept = pa.array([good(p, q) for p, q in zip(x, y)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(kept)
+            held = ([np.frombuffer(v, np.uint64) for v in batch.column(k).to_pylist()] for k in (2, 3))
+            diff, sizes = [], []
+            for x, y in zip(*held):
+                both = np.concatenate([x, y])
+                both.sort()
+                alone = np.ones(len(both) + 1, bool)
+                alone[1:-1] = both[1:] != both[:-1]
+                diff.append(both[alone[1:] & alone[:-1]])
+                sizes.append((len(x), len(y)))
+            n_hub, n = np.array(sizes, np.int64).reshape(-1, 2).T
+            size = np.array([len(d) for d in diff], np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(n_hub), pa.array(n), pa.array([d.tobytes() for d in diff], pa.binary()),
+                 pa.array(size), pa.array(links(size, n_hub + n))], names=["hub", "sid", "n_hub", "n", "diff", "size", "linked"])
+
+    return pairs.select("hub", "sid", "hashes_hub", "hashes").mapInArrow(
+        each, "hub binary, sid binary, n_hub long, n long, diff binary, size long, linked boolean")
+
+
+def links(apart, sizes):
+    """PERCENT * union <= 100 * intersection, by the symmetric difference and the sum of both sizes."""
+    return (100 + PERCENT) * apart <= (100 - PERCENT) * sizes
+
+
+def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    return np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
+
+
+def compared(group: pa.Table) -> list[tuple[bytes, bytes]]:
+    """Distinct pairs of labels that a link between an outer set and another set of the group joins."""
+    outer = np.asarray(group.column("outer"))
+    diff = [np.frombuffer(d, np.uint64) for d in group.column("diff").to_pylist()]
+    n, label = group.column("n").to_numpy(), group.column("label").to_pylist()
+    code = {x: k for k, x in enumerate(sorted(set(label)))}
+    names, label = list(code), np.array([code[x] for x in label])
+    inside = np.flatnonzero(~outer)
+    size = np.array([len(diff[k]) for k in inside])
+    element = np.concatenate([diff[k] for k in inside]) if len(inside) else np.zeros(0, np.uint64)
+    order = np.argsort(element, kind="stable")
+    element, owner = element[order], np.repeat(np.arange(len(inside)), size)[order]
+    found = set()
+    for y in np.flatnonzero(outer):
+        first, last = np.searchsorted(element, diff[y]), np.searchsorted(element, diff[y], side="right")
+        common = np.bincount(owner[_ranges(first, last - first)], minlength=len(inside))
+        good = links(size + len(diff[y]) - 2 * common, n[inside] + n[y]) & (label[inside] != label[y])
+        found.update((int(label[y]), int(x)) for x in np.unique(label[inside][good]))
+    return [(names[y], names[x]) for y, x in found]
+
+
+def _outer_links(star: DataFrame, label: DataFrame) -> DataFrame:
+    """Distinct (a, b) labels joined by links between sets of one hub's group, neither of them the hub.
+
+    A set whose label is the hub's is inner, the others are outer; only pairs with an outer set can join
+    labels.  Outer sets (by blocks) meet all sets of the group (by chunks) as differences from the hub."""
+    named = lambda c: F.coalesce(f"l_{c}", c)
+    light = star.select("hub", "sid", "size")
+    for c in ("sid", "hub"):
+        light = light.join(label.select(F.col("u").alias(c), F.col("v").alias(f"l_{c}")).hint("merge"), c, "left")
+    light = light.select("hub", "sid", "size", named("sid").alias("label"), (named("sid") != named("hub")).alias("outer"))
+    light, light_at = stored(light, "minhash-light")
+    outside = F.when(F.col("outer"), F.col("size")).otherwise(0)
+    bound = lambda total, most: F.ceil((total + 1) / most).cast("int")
+    open_ = light.groupBy("hub").agg(F.count(F.lit(1)).alias("sets"), F.sum("size").alias("all"), F.sum(outside).alias("out"),
+                                     F.count_if("outer").alias("outers")).where("outers > 0 and sets > 1")
+    open_ = open_.select("hub", bound(F.col("out"), BLOCK).alias("blocks"), bound(F.col("all"), CHUNK).alias("chunks"))
+    rows = light.drop("size").join(open_.hint("merge"), "hub").join(star.select("hub", "sid", "n", "diff").hint("merge"), ["hub", "sid"])
+    spread_ = lambda count, seed: F.pmod(F.xxhash64("sid", F.lit(seed)), F.col(count)).cast("int")
+    every = lambda count: F.sequence(F.lit(0), F.col(count) - 1)
+    inside = rows.select("hub", F.explode(every("blocks")).alias("block"), spread_("chunks", 1).alias("chunk"), "label", "n", "diff", F.lit(False).alias("outer"))
+    around = rows.where("outer").select("hub", spread_("blocks", 2).alias("block"), F.explode(every("chunks")).alias("chunk"), "label", "n", "diff", "outer")
+    key = ["hub", "block", "chunk"]
+    dealt = inside.unionByName(around).repartition(*key).sortWithinPartitions(*key)
 
-    return pairs.select("a", "b", one, two).mapInArrow(each, "a binary, b binary")
-
-
-def alike(one: bytes, two: bytes) -> bool:
-    """Signatures that agree in half of their places."""
-    x, y = np.frombuffer(one, np.uint8), np.frombuffer(two, np.uint8)
-    return 2 * int((x == y).sum()) >= len(x)
-
-
-def linked(one: bytes, two: bytes) -> bool:
-    """Full sets that link."""
-    x, y = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return 100 * both >= PERCENT * (len(x) + len(y) - both)
-
-
-def _with(pairs: DataFrame, values: DataFrame, column: str) -> DataFrame:
-    """The pairs with a column of both members."""
-    for side in ("a", "b"):
-        own = values.select(F.col("sid").alias(side), F.col(column).alias(f"{column}_{side}"))
-        pairs = pairs.join(own.hint("merge"), side)
-    return pairs
-
-
-def _closest(most: int, leaders: DataFrame, members: DataFrame) -> DataFrame:
-    """Distinct pairs of a bucket's leaders and its members of other components, sizes permitting."""
-    x, y = leaders.where(F.col("at") <= most).alias("x"), members.alias("y")
-    fits = (100 * F.least("x.n", "y.n") >= PERCENT * F.greatest("x.n", "y.n")) & (F.col("x.label") != F.col("y.label"))
-    return x.join(y.hint("merge"), ["band", "bucket"]).where(fits).select(
-        F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b")).distinct()
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, now = [], None
+        for batch in batches:
+            keys = list(zip(*(batch.column(k).to_pylist() for k in key)))
+            start = 0
+            for n in range(1, len(keys) + 1):
+                if n == len(keys) or keys[n] != keys[start]:
+                    if held and now != keys[start]:
+                        yield made(held)
+                        held = []
+                    now = keys[start]
+                    held.append(batch.slice(start, n - start))
+                    start = n
+        if held:
+            yield made(held)
+
+    def made(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        pairs = compared(pa.Table.from_batches(held))
+        return pa.RecordBatch.from_arrays([pa.array([max(p) for p in pairs], pa.binary()), pa.array([min(p) for p in pairs], pa.binary())],
+                                          names=["u", "v"])
+
+    out, _ = stored(dealt.mapInArrow(each, "u binary, v binary").distinct(), "minhash-outer")
+    drop_stored(star.sparkSession, light_at)
+    return out
 
 
 def groups(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(sid, label) of every set that links with another: the label is the least sid of its component."""
     spark = docs.sparkSession
-    place = F.struct("doc_id", "tk")
     sets, sets_at = stored(found.where("n > 0").groupBy("sid").agg(
-        F.min(place).alias("place"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("keys").alias("keys")), "minhash-sets")
-    dealt = sets.select("sid", "n", F.posexplode("keys").alias("band", "bucket"))
+        F.min(F.struct("doc_id", "tk")).alias("place"), F.first("keys").alias("keys")), "minhash-sets")
+    dealt = sets.select("sid", F.posexplode("keys").alias("band", "bucket"))
     shared, shared_at = stored(dealt.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "minhash-buckets")
-    members, members_at = stored(dealt.join(shared.drop("size"), ["band", "bucket"]).withColumn("label", F.col("sid")), "minhash-members")
-    need = sets.join(members.select("sid").distinct(), "sid", "left_semi")
+    members, members_at = stored(dealt.join(shared.hint("merge"), ["band", "bucket"]), "minhash-members")
+    # the set with the most company leads a bucket: the original of a group of near copies, the same in all bands
+    company = members.groupBy("sid").agg(F.sum("size").alias("company"))
+    leader = members.join(company.hint("merge"), "sid").groupBy("band", "bucket").agg(F.max(F.struct("company", "sid")).alias("hub"))
+    pairs = members.join(leader.hint("merge"), ["band", "bucket"]).where("sid <> hub.sid").select(F.col("hub.sid").alias("hub"), "sid").distinct()
+    pairs, pairs_at = stored(pairs, "minhash-pairs")
+    need = sets.join(members.select("sid").distinct().hint("merge"), "sid", "left_semi")
     hashes, hashes_at = stored(full_sets(docs, need.select(F.col("place.doc_id").alias("id"), F.col("place.tk").alias("at")),
                                          key, text, shingle), "minhash-hashes")
-    labels, done, most, old = None, None, 1, [shared_at, members_at]
-    while True:
-        count = members.groupBy("band", "bucket", "label").agg(F.count(F.lit(1)).alias("own"))
-        open_ = count.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("parts")).where("parts > 1").select("band", "bucket")
-        left, left_at = stored(members.join(open_, ["band", "bucket"]).join(count, ["band", "bucket", "label"]), "minhash-open")
-        drop_stored(spark, *old)
-        if left.isEmpty():
-            drop_stored(spark, left_at)
-            break
-        first = F.row_number().over(Window.partitionBy("band", "bucket").orderBy("own", "sid"))  # small components lead
-        leaders, leaders_at = stored(left.withColumn("at", first).where(F.col("at") <= most), "minhash-leaders")
-        pairs = _closest(most, leaders, left)
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        near, near_at = stored(_kept_pairs(_with(pairs, sets, "sig"), "sig_a", "sig_b", alike), "minhash-pairs")
-        links, links_at = stored(_kept_pairs(_with(near, hashes, "hashes"), "hashes_a", "hashes_b", linked), "minhash-links")
-        done = near if done is None else done.unionAll(near)
-        rest = left.join(leaders.select("band", "bucket", "sid"), ["band", "bucket", "sid"], "left_anti").drop("own")
-        if not links.isEmpty():
-            labels, rest = _joined(links, labels, rest)
-        members, members_at = stored(rest, "minhash-members")
-        old, most = [left_at, leaders_at, links_at, members_at], most * FACTOR
-    drop_stored(spark, hashes_at)
-    if labels is None:
-        return sets.select("sid", F.col("sid").alias("label")).limit(0)
-    return labels
-
-
-def _joined(links: DataFrame, labels: DataFrame | None, members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Labels after the links: components of the links' components so far."""
-    if labels is None:
-        edges = links.select(F.col("b").alias("u"), F.col("a").alias("v"))
-    else:
-        own = lambda side: labels.select(F.col("sid").alias(side), F.col("label").alias(f"l{side}"))
-        pairs = links.join(own("a"), "a", "left").join(own("b"), "b", "left").select(
-            F.coalesce("la", "a").alias("p"), F.coalesce("lb", "b").alias("q"))
-        edges = pairs.where("p <> q").select(F.greatest("p", "q").alias("u"), F.least("p", "q").alias("v"))
-    edges, at = stored(edges.distinct(), "minhash-edges")
-    if edges.isEmpty():
-        return labels, members
-    moved, _ = components(edges, at)
-    moved = moved.select(F.col("u").alias("label"), F.col("v").alias("to"))
-    if labels is None:
-        labels = moved.select(F.col("label").alias("sid"), F.col("to").alias("label")).unionAll(
-            moved.select(F.col("to").alias("sid"), F.col("to").alias("label")).distinct())
-    else:
-        fresh = links.select(F.col("a").alias("sid")).unionAll(links.select(F.col("b").alias("sid"))).distinct().join(labels, "sid", "left_anti")
-        every = labels.unionAll(fresh.select("sid", F.col("sid").alias("label")))
-        labels = every.join(moved, "label", "left").select("sid", F.coalesce("to", "label").alias("label"))
-    labels, _ = stored(labels, "minhash-labels")
-    return labels, members.join(moved, "label", "left").select(
-        "band", "bucket", "sid", "n", F.coalesce("to", "label").alias("label"))
+    full = pairs.join(hashes.hint("merge"), "sid").join(
+        hashes.select(F.col("sid").alias("hub"), F.col("hashes").alias("hashes_hub")).hint("merge"), "hub")
+    star, star_at = stored(_differences(full), "minhash-star")
+    drop_stored(spark, sets_at, shared_at, members_at, pairs_at, hashes_at)
+    edges = star.where("linked").select(F.greatest("hub", "sid").alias("u"), F.least("hub", "sid").alias("v")).distinct()
+    label, label_at = components(*stored(edges, "minhash-edges"))
+    more = _outer_links(star, label)
+    both, both_at = components(*stored(label.unionAll(more), "minhash-edges"))
+    out, _ = stored(both.unionAll(both.select(F.col("v").alias("u"), "v").distinct()).select(F.col("u").alias("sid"), F.col("v").alias("label")), "minhash-labels")
+    drop_stored(spark, star_at, label_at, both_at)
+    return out
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
