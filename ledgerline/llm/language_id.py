@@ -87,36 +87,50 @@ def _split(after, link, length, at: int, symbol: int, to: int) -> int:
 
 @dataclass
 class Model:
+    """All automata in flat arrays.  A state is a few words of 64 bits, one bit per class of symbols that leads
+    on; the states reached stand in the order of these bits, so a transition is found by counting bits."""
+
     names: list[str]
     phrase_cost: np.ndarray
-    classes: np.ndarray  # symbol -> class; class 0 is in no sample
-    width: int
-    root: np.ndarray  # first place of each language's table
-    table: np.ndarray  # place + class -> (place of the next state) * 4 + phrases ended
+    classes: np.ndarray  # language, symbol -> class; class 0 is in no sample
+    root: np.ndarray  # first place of each language
+    first: np.ndarray  # language, class -> place from the root (the root where there is none)
+    mask: np.ndarray  # place + class // 64 -> classes that lead on
+    edge: np.ndarray  # the same -> their first entry in ``to``
+    to: np.ndarray  # places reached
 
     @classmethod
     def learn(cls, samples: dict[str, list[np.ndarray]]) -> "Model":
         names = sorted(samples)
-        seen = np.unique(np.concatenate([x for v in samples.values() for x in v])) if names else np.zeros(0, np.uint8)
-        classes = np.zeros(256, np.int64)
-        classes[seen] = np.arange(1, len(seen) + 1)
-        width, tables, root, base = len(seen) + 1, [], [], 0
-        for name in names:
-            after = automaton([classes[x].tolist() for x in samples[name]])
-            first = np.full(width, base * 4 + 1)  # an unknown symbol: a phrase, then the root again
-            for symbol, to in after[0].items():
-                first[symbol] = (base + to * width) * 4
-            table = np.tile(first + 1, (len(after), 1))  # no transition: a phrase ends, the next one starts
-            table[0] = first
-            state = np.repeat(np.arange(len(after)), [len(a) for a in after])
-            symbol = np.array([s for a in after for s in a], np.int64)
-            table[state, symbol] = (base + np.array([t for a in after for t in a.values()], np.int64) * width) * 4
-            tables.append(table.ravel())
-            root.append(base)
-            base += table.size
-        flat = np.concatenate(tables) if tables else np.zeros(0, np.int64)
+        classes = np.zeros((len(names), 256), np.uint8)
+        root, first = np.zeros(len(names), np.int64), np.zeros((len(names), 257), np.int32)
+        masks, edges, reached, base, count = [np.zeros(1, np.uint64)], [np.zeros(1, np.int32)], [], 1, 0
+        for k, name in enumerate(names):
+            seen = np.unique(np.concatenate(samples[name]))
+            classes[k, seen] = np.arange(1, len(seen) + 1)
+            words = len(seen) // 64 + 1
+            after = automaton([classes[k][x].tolist() for x in samples[name]])
+            state = np.repeat(np.arange(len(after)), [len(x) for x in after])
+            symbol = np.array([c for x in after for c in x], np.int64)
+            to = np.array([t for x in after for t in x.values()], np.int64)
+            order = np.lexsort((symbol, state))
+            state, symbol, to = state[order], symbol[order], (base + to[order] * words).astype(np.int32)
+            word = state * words + (symbol >> 6)
+            mask = np.zeros(len(after) * words, np.uint64)
+            np.bitwise_or.at(mask, word, np.uint64(1) << (symbol & 63).astype(np.uint64))
+            masks.append(mask)
+            edges.append((count + np.searchsorted(word, np.arange(len(mask)))).astype(np.int32))
+            reached.append(to)
+            root[k], first[k] = base, base
+            first[k, symbol[state == 0]] = to[state == 0]
+            base, count = base + len(mask), count + len(to)
         cost = np.array([np.log2(1 + sum(map(len, samples[n]))) for n in names])
-        return cls(names, cost, classes, width, np.array(root, np.int64), flat.astype(np.int32 if 4 * base < 2**31 else np.int64))
+        return cls(names, cost, classes, root, first, np.concatenate(masks), np.concatenate(edges),
+                   np.concatenate([*reached, np.zeros(1, np.int32)]))
+
+    def size(self) -> int:
+        """Bytes held."""
+        return sum(x.nbytes for x in (self.classes, self.first, self.mask, self.edge, self.to))
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """Phrases of each text (rows) in each language (columns)."""
@@ -124,7 +138,7 @@ class Model:
         sizes = np.array([len(t) for t in texts])
         if not len(self.names) or not sizes.sum():
             return out
-        flat = self.classes[np.concatenate(texts)].astype(self.table.dtype)
+        flat = np.concatenate(texts)
         blocks = -(-sizes // BLOCK)
         row = np.repeat(np.arange(len(texts)), blocks)
         number = np.arange(len(row)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
@@ -133,15 +147,23 @@ class Model:
         order = np.argsort(-size, kind="stable")
         row, start, size = row[order], start[order], size[order]
         active = np.searchsorted(-size, -np.arange(size[0]), side="left")  # blocks longer than each step
-        place = np.repeat(self.root.astype(self.table.dtype)[:, None], len(row), 1)
-        ended = np.zeros(place.shape, np.int32)
-        for step in range(int(size[0])):
-            n = active[step]
-            to = self.table[place[:, :n] + flat[start[:n] + step]]
-            ended[:, :n] += (to & 3).astype(np.int32)
-            place[:, :n] = to >> 2
-        ended += place != self.root[:, None]  # the phrase that the block's end cuts
-        np.add.at(out, row, ended.T)
+        for k, root in enumerate(self.root):
+            classes, first, unknown = self.classes[k], self.first[k], self.first[k] == root
+            place, ended = np.full(len(row), root, np.int32), np.zeros(len(row), np.int32)
+            for step in range(int(size[0])):
+                n = active[step]
+                c = classes[flat[start[:n] + step]]
+                here = place[:n]
+                word = here + (c >> 6)
+                mask, bit = self.mask[word], np.uint64(1) << (c & 63).astype(np.uint64)
+                on = (mask & bit) != 0
+                ahead = self.to[self.edge[word] + np.bitwise_count(mask & (bit - np.uint64(1)))]
+                # no transition: a phrase ends and the next one starts; a symbol the sample lacks is one
+                ended[:n] += ~on & (here != root)
+                ended[:n] += ~on & unknown[c]
+                place[:n] = np.where(on, ahead, first[c])
+            ended += place != root  # the phrase that the block's end cuts
+            np.add.at(out[:, k], row, ended)
         return out
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:

@@ -31,6 +31,19 @@ def test_phrases_equal_brute_force():
             assert got[i, k] == sum(parse(raw[a:a + li.BLOCK], own) for a in range(0, len(raw), li.BLOCK)), (t[:20], name)
 
 
+def test_a_language_takes_under_two_megabytes():
+    rng = random.Random(8)
+    word = lambda a: "".join(rng.choice(a) for _ in range(rng.randint(1, 8)))
+    samples = {}
+    for n, a in enumerate(("abcdefghijklmnopqrstuvwxyzäöüß", "абвгдежзийклмнопрстуфхцчшщъыьэюя", "".join(map(chr, range(0x4E00, 0x4F00))))):
+        text = li.symbols(" ".join(word(a) for _ in range(12_000)))
+        samples[f"l{n}"] = [text[:li.SAMPLE_SYMBOLS]]
+    model = li.Model.learn(samples)
+    assert model.size() / len(samples) < 2e6
+    texts = [v[0][:3000] for v in samples.values()]
+    assert (model.phrases(texts).argmin(1) == np.arange(3)).all()
+
+
 def test_query_learns_and_covers_odd_rows(spark):
     prepare(spark)
     rng = random.Random(3)
