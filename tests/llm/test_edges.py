@@ -254,6 +254,26 @@ def test_op9(spark):
     assert [r.conv_id for r in chat_format.op9(df.limit(0)).collect()] == [-1]
 
 
+def test_op9_other_templates(spark):
+    inst = (("literal", "[INST] "), ("role", ""), ("literal", ": "), ("text", ""), ("literal", " [/INST]"))
+    open_end = (("literal", "=> "), ("role", ""), ("literal", "\n"), ("text", ""))
+    said = ["[INST] x [/INST]", "a: b [/INST", "\\c\\d\\b", "=> user\n=", " [INST", "", "[/INST] ", "x\\"]
+    rows = [(c, n, said[(c + n) % 8] if n % 3 else "assistant", said[(c * 3 + n) % 8]) for c in range(8) for n in range(6)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for template in (chat_format.TEMPLATE, inst, open_end):
+        for r in chat_format.read_back(chat_format.format_chat(df, template), template).collect():
+            own = [x for x in rows if x[0] == r.conv_id]
+            assert [(t.role, t.text) for t in r.turns] == [x[2:] for x in own]
+            assert r.loss_text == "".join(x[3] for x in own if x[2] == "assistant")
+            assert r.formatted.count(template[0][1]) == 6
+    for bad in ((("role", ""), ("text", "")), (("literal", "aba"), ("role", ""), ("literal", "ab"), ("text", "")),
+                (("literal", "<"), ("role", ""), ("text", ""))):
+        with pytest.raises(ValueError):
+            chat_format.Template(bad)
+    lone = spark.createDataFrame([(None, 1, "user", "a"), (None, 2, "user", "b")], "conv_id long, turn long, role string, text string")
+    assert sorted(r.n_turns for r in chat_format.op9(lone).collect()) == [1, 1, 2]
+
+
 def test_pipeline_stages_equal_brute_force(spark, docs, labels, benchmark, tmp_path):
     from tests.llm.test_simhash import brute
     sf = f"file://{tmp_path}"
