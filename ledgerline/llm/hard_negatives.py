@@ -81,7 +81,9 @@ class Packed:
         self.least, self.low = int(rows.min(initial=0)), low
         most = self.width * (int(rows.max(initial=0)) - self.least) * (high - low)
         self.field = max(1, most.bit_length())
-        wide = self.field > 64 or rows.dtype == object or max(abs(low), abs(high)) >= 1 << 48
+        size = max(abs(self.least), abs(int(rows.max(initial=0)))) * max(abs(low), abs(high)) * self.width
+        wide = self.field > 64 or rows.dtype == object or size > int(LONG.max)
+        rows = rows.astype(object) if wide else rows
         self.kind = object if wide else np.uint64
         self.per = 16 if wide else 64 // self.field
         biased = np.zeros((-(-self.n // self.per) * self.per, self.width), self.kind)
@@ -94,6 +96,7 @@ class Packed:
 
     def scores(self, anchors: np.ndarray) -> np.ndarray:
         """Anchors x candidates: the inner products."""
+        anchors = anchors.astype(object) if self.kind is object else anchors
         biased = (anchors - self.low).astype(self.kind)
         sums = np.zeros((len(anchors), self.words.shape[1]), self.kind)
         for k in range(self.width):
