@@ -28,6 +28,11 @@ def powers(n: int, base: int = BASE) -> np.ndarray:
     return _powers(max(1, -(-n // (1 << 18))) << 18, base)[:n]
 
 
+def forget() -> None:
+    """Give the tables of powers up (they are built again when needed)."""
+    _powers.cache_clear()
+
+
 def inverse_powers(n: int) -> np.ndarray:
     return powers(n, pow(BASE, -1, 1 << 64))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -12,6 +14,8 @@ from pyspark.sql import types as T
 
 from ledgerline.session import configure, delete_path, scratch_path
 
+from . import bytehash
+
 #: Rows of one Arrow batch sent to a Python worker, and the bytes the workers handle at once.
 ROWS_PER_BATCH = 2000
 BYTES_AT_ONCE = 8 << 20
@@ -52,6 +56,26 @@ def drop_stored(spark: SparkSession, *paths: str) -> None:
         delete_path(spark, path)
 
 
+_HELD: dict = {}
+
+
+def held(name: str, make: Callable[[], object]) -> object:
+    """What a worker keeps between the tasks of one operator.  Workers outlive a stage, so what another
+    operator kept goes first, and its memory back to the system."""
+    if name not in _HELD:
+        if _HELD:
+            _HELD.clear()
+            bytehash.forget()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):
+                pass  # another C library: it keeps freed memory for later use
+        _HELD[name] = make()
+    return _HELD[name]
+
+
 def fresh(df: DataFrame, *wanted: str) -> list[str]:
     """Names like the wanted ones that no column of ``df`` has (whatever the case)."""
     there, out = {c.lower() for c in df.columns}, []
@@ -119,8 +143,8 @@ def text_map(docs: DataFrame, text: str, made: dict[str, str], setup: Callable[[
     carry = list(docs.columns if carry is None else carry)
     refuse(docs.select(*[f"`{c}`" for c in carry]), *made)
     schema = T.StructType([docs.schema[c] for c in carry])
-    for name, kind in made.items():
-        schema = schema.add(name, ARROW[kind][0])
+    for column, kind in made.items():
+        schema = schema.add(column, ARROW[kind][0])
     kinds = [ARROW[kind][1] for kind in made.values()]
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

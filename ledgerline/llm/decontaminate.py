@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytehash
-from .common import fresh, refuse, slices, stored, utf8
+from .common import fresh, held, refuse, slices, stored, utf8
 
 WINDOW = 10
 BLOCK_BYTES = 4 << 20
@@ -138,6 +138,7 @@ def counted(docs: DataFrame, text: str, keys: np.ndarray, alone: bool) -> np.nda
     shared = docs.sparkSession.sparkContext.broadcast(keys)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("decontaminate", dict)
         look = bytehash.Lookup(shared.value)
         total = np.zeros(len(look.keys), np.int64)
         for batch in batches:
@@ -220,6 +221,7 @@ def _marker(shared, last: bool):
                                            pa.array([len(x) for x in items], pa.int64()), pa.array(listed, pa.string())], RESULTS)
 
     def each(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        held("decontaminate", dict)
         index = shared.value
         look = bytehash.Lookup(index.shingle)
         for columns in batches:

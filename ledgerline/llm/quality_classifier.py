@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bytehash
-from .common import crc_mod, drop_stored, refuse, slices, stored, text_key, utf8
+from .common import crc_mod, drop_stored, held, refuse, slices, stored, text_key, utf8
 
 BITS = 17
 PLACES = 1 << BITS
@@ -101,6 +101,7 @@ def ratios(train: DataFrame) -> tuple[np.ndarray, int, int]:
     """Log-count ratio of every place over all labelled documents, and the documents of each class."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("quality", dict)
         count = np.zeros((2, PLACES + 1), np.int64)  # the last place counts documents
         for batch in batches:
             for part in slices(batch, "t", AT_ONCE):
@@ -203,6 +204,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2^17 places, whatever the input
 
     def each(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        held("quality", dict)
         own = shared.value
         for texts in arrays:
             batch = pa.RecordBatch.from_arrays([texts], names=["t"])

@@ -16,14 +16,13 @@ from __future__ import annotations
 
 import hashlib
 import re
-from functools import lru_cache
 
 import numpy as np
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memory, text_map
+from .common import Memory, held, text_map
 from .merge_rounds import PairTable, merge
 
 MARK = "▁"
@@ -120,25 +119,26 @@ class Codec:
         return [(",".join([self.decimal[x] for x in i]), self.decode(i)) for i in self.encode_words(words)]
 
 
-@lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
-    return Codec(path)
+    return held(f"_ids {path}", lambda: Codec(path))
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", carry=None, full: bool = False) -> DataFrame:
-    """Carried columns (default all), then _n_tokens, _ids_sha256, _decoded_sha256; with ``full`` also
+def encode(docs: DataFrame, path: str, text: str = "text", carry=None, ids: bool = False, decoded: bool = False) -> DataFrame:
+    """Carried columns (default all), then _n_tokens, _ids_sha256, _decoded_sha256; on request also
     _ids (the ids) and _decoded (the text decoded from them)."""
     sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
     made = {"_n_tokens": "long", "_ids_sha256": "string", "_decoded_sha256": "string"}
-    made |= {"_ids": "ints", "_decoded": "string"} if full else {}
+    made |= {"_ids": "ints"} if ids else {}
+    made |= {"_decoded": "string"} if decoded else {}
 
     def setup():
         own = codec(path)
 
         def columns(texts: list[str]):
-            n, ids, decoded = own.encode_all(texts)
-            out = [n, map(sha, ids), map(sha, decoded)]
-            return [*out, [[int(x) for x in i.split(",")] if i else [] for i in ids], decoded] if full else out
+            n, listed, said = own.encode_all(texts)
+            out = [n, map(sha, listed), map(sha, said)]
+            out += [[np.array(i.split(","), np.int32) if i else [] for i in listed]] if ids else []
+            return [*out, said] if decoded else out
         return columns
 
     return text_map(docs, text, made, setup, carry)

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_stored, stored, text_key, text_map
+from .common import drop_stored, held, stored, text_key, text_map
 
 SHINGLE, RADIUS, HOT, SEED = 3, 2, 1024, 42
 LANES = np.uint64(0x0101010101010101)
@@ -63,6 +63,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shing
     """doc_id, tk (text key), fp (the 64 bits as a signed long) of every row."""
 
     def setup():
+        held("simhash", dict)
         return lambda texts: [np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)]
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), text_key(F.col(text)).alias("tk"), F.col(text).alias("t"))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytehash
-from .common import fresh, refuse, slices, stored, text_key, utf8
+from .common import fresh, held, refuse, slices, stored, text_key, utf8
 
 MIN_WORDS, MIN_BYTES, LONG_WORD = 25, 180, 14
 AT_ONCE = 2 << 20
@@ -93,6 +93,7 @@ def units(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     rows = docs.select(F.col(key).cast("long").alias("id"), text_key(F.col(text)).alias("tk"), F.col(text).alias("t"))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("substring", dict)
         for batch in batches:
             for part in slices(batch, "t", AT_ONCE):
                 found = Units(part.column(2))
@@ -158,6 +159,7 @@ def cut_texts(texts: pa.Array, gone: pa.Array) -> pa.Array:
 
 
 def cut_all(pairs: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    held("substring", dict)
     for texts, gone in pairs:
         batch = pa.RecordBatch.from_arrays([texts, gone], names=["t", "g"])
         parts = [cut_texts(p.column(0), p.column(1)) for p in slices(batch, "t", AT_ONCE)]

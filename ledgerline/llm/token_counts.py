@@ -15,14 +15,13 @@ from __future__ import annotations
 
 import json
 import unicodedata
-from functools import lru_cache
 
 import numpy as np
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memory, text_map
+from .common import Memory, held, text_map
 from .merge_rounds import PairTable, merge
 
 LIMIT = 2048
@@ -142,9 +141,8 @@ class Vocabulary:
         return [sum(map(counts.__getitem__, w)) for w in cut]
 
 
-@lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
-    return Vocabulary(path)
+    return held(f"_n_tokens {path}", lambda: Vocabulary(path))
 
 
 def token_counts(docs: DataFrame, path: str, text: str = "text", carry=None) -> DataFrame:
