@@ -67,7 +67,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids, ids_sha256, decoded_sha256."""
     prepare(spark)
-    out = sentencepiece_codec.encode(docs.select("doc_id", "text"), tokenizer(PIECE_BPE), carry=["doc_id"], full=True)
+    out = sentencepiece_codec.encode(docs.select("doc_id", "text"), tokenizer(PIECE_BPE), carry=["doc_id"], ids=True)
     return out.select("doc_id", F.col("_n_tokens").alias("n_tokens"), F.col("_ids").alias("ids"),
                       F.col("_ids_sha256").alias("ids_sha256"), F.col("_decoded_sha256").alias("decoded_sha256"))
 
