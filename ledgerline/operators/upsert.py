@@ -72,7 +72,8 @@ def latest_per_key(df: DataFrame, key, order_by) -> DataFrame:
     named = {c for c in order_by if isinstance(c, str)}
     rest = [F.col(f"`{c}`") for c in df.columns if c not in keys and c not in named]
     nameless = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    content = [F.when(nameless, F.col(f"`{c}`")) for c in df.columns if c not in keys]
+    others = [F.col(f"`{c}`") for c in df.columns if c not in keys]
+    content = [F.when(nameless, F.struct(*others))] if others else []
     by_key = Window.partitionBy(*keys, *content).orderBy(*[c.desc_nulls_last() for c in [*order, *rest]])
     ranked = df.withColumn("_rank", F.row_number().over(by_key)) if order or rest else df.distinct().withColumn("_rank", F.lit(1))
     return ranked.where(F.col("_rank") == 1).select(*[F.col(f"`{c}`") for c in df.columns])

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from ledgerline.operators import quality as Q
 from ledgerline.operators import sinks as K
 from ledgerline.operators.documents import to_bulk_ndjson
+from ledgerline.operators.summaries import missing_by_digest
 from ledgerline.plans import roles
 from ledgerline.plans.q_core import enriched
 from ledgerline.plans.registry import ENR_COLS_SQL, money_sum_sql, register, with_base
@@ -252,10 +253,9 @@ def reconcile_counts(spark, sf_dir):
 @register("reconcile_missing", with_base(
     "SELECT codigo_lancamento, year, month, day FROM tx WHERE day > '28'"))
 def reconcile_missing(spark, sf_dir):
-    """Source ids that never reached the target."""
+    """Source ids that never reached the target; days with equal digests are not read again."""
     source, target = _indexed_until_28(spark, sf_dir)
-    return Q.missing_ids(source, target.withColumnRenamed("codigoLancamento", "codigo_lancamento"),
-                         "codigo_lancamento")
+    return missing_by_digest(source, target.withColumnRenamed("codigoLancamento", "codigo_lancamento"), "codigo_lancamento")
 
 
 @register("verify_count", with_base("""

@@ -114,4 +114,4 @@ def oracle_sql() -> dict[str, str]:
 def _load_all() -> None:
     # Importing the modules registers their queries.
     from ledgerline.plans import (q_core, q_files, q_gen_stream, q_monitor, q_quality,  # noqa: F401
-                                  q_search, q_sinks)
+                                  q_search, q_sinks, q_summaries)

@@ -647,3 +647,67 @@ def test_window_sums_survive_replays_and_read_only_their_dates(spark, tmp_base,
     got = [(r.n_transactions, r.sum_valor) for r in ST.window_totals(spark, f"{tmp_base}/t").collect()]
     assert got == [(3, 4.5)] * 4
     assert max(map(len, listed)) <= 4
+
+
+def test_rollup_follows_upserts_and_lost_writers(spark, tmp_base, monkeypatch):
+    import random
+    from ledgerline.operators import summaries as S
+    rng, want = random.Random(3), {}
+    target, rollup, by = f"{tmp_base}/docs", f"{tmp_base}/rollup", ["day", "tipo_transacao"]
+    opts = {"by": by, "amount": "valor_total_transacao", "key": "codigo_lancamento", "order_by": ["valor_total_transacao"]}
+    real = S.finish
+    for n in range(5):
+        rows = [(str(rng.randrange(25)), "A", float(n * 100 + k) + 0.25, T15, rng.choice(["DEBITO", "CREDITO"]), "PIX", "2024", "01",
+                 f"{rng.randrange(1, 4):02d}") for k in range(10)]
+        calls = []
+        if n == 3:                                                         # the writer is lost after its commit
+
+            def lost(*a):
+                calls.append(a)
+                if len(calls) == 2:
+                    raise OSError("lost")
+                return real(*a)
+            monkeypatch.setattr(S, "finish", lost)
+            with pytest.raises(OSError):
+                S.upsert_with_rollup(spark, target, rollup, txn(spark, rows), compact_after=3, **opts)
+            monkeypatch.undo()
+        else:
+            S.upsert_with_rollup(spark, target, rollup, txn(spark, rows), compact_after=3, **opts)
+        for r in rows:
+            want[r[0]] = r
+        got = {(r.day, r.tipo_transacao): (r.n, float(r.cents)) for r in S.rolled_up(spark, target, rollup, by).collect()} if n != 3 else None
+        if n != 3:
+            full = {}
+            for r in want.values():
+                c, t = full.get((r[8], r[4]), (0, 0.0))
+                full[r[8], r[4]] = (c + 1, t + r[2])
+            assert got == full
+
+
+def test_digests_name_only_what_differs(spark, tmp_base):
+    from ledgerline.operators import summaries as S
+    rows = [(str(k), "A", 1.0, T15, "DEBITO", "PIX", "2024", f"{k % 3 + 1:02d}", f"{k % 5 + 1:02d}") for k in range(60)]
+    txn(spark, rows).write.partitionBy(*PARTITION_COLS).parquet(f"{tmp_base}/s")
+    source, same = K.read_table(spark, f"{tmp_base}/s", txn(spark, rows).schema), txn(spark, rows[::-1])
+    dig = lambda df: S.digests(df, "codigo_lancamento")
+    assert S.differing(dig(source), dig(same)).count() == 0 and S.missing_by_digest(source, same, "codigo_lancamento").count() == 0
+    swapped = txn(spark, [r if r[0] != "7" else ("77", *r[1:]) for r in rows])      # as many rows, one other id
+    nodes = sorted((r.level, r.month, r.day, r.differing_below) for r in S.differing(dig(source), dig(swapped)).collect())
+    assert nodes == [(0, None, None, 1), (1, None, None, 1), (2, "02", None, 1), (3, "02", "03", 1)]
+    missing = S.missing_by_digest(source, swapped, "codigo_lancamento")
+    assert [r[0] for r in missing.collect()] == ["7"]
+    plan = missing._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "(month#" in plan and "<=> 02)" in plan
+
+
+def test_sketches_over_ranges(spark, tmp_base):
+    from ledgerline.operators import summaries as S
+    rows = [(str(k), f"acct{(k * 7) % 900}" if k % 11 else None, 1.0, T15, "DEBITO", "PIX", "2024", "01", f"{k % 9 + 1:02d}") for k in range(4000)]
+    S.store_sketches(txn(spark, rows), f"{tmp_base}/sk")
+    day = lambda d: dt.date(2024, 1, d)
+    asked = [(day(1), day(9)), (day(3), day(4)), (day(5), day(5)), (day(20), day(21))]
+    got = {(r.start, r.stop): r.distinct_keys for r in S.distinct_over(spark, f"{tmp_base}/sk", spark.createDataFrame(asked, "start date, stop date")).collect()}
+    for a, b in asked[:3]:
+        exact = len({r[1] for r in rows if r[1] and a.day <= int(r[8]) <= b.day})
+        assert abs(got[a, b] - exact) <= 0.03 * exact
+    assert asked[3] not in got
