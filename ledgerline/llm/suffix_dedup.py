@@ -20,7 +20,8 @@ a segment (about 35 of them).  The steps, each over the whole corpus:
 An anchor with more than ``HOT`` different segments (the edge of a passage in very many documents) would
 gather without bound; its windows are sent one by one instead, by two independent 64-bit hashes, each
 chunk's equal ones as one, so that no group exceeds the number of chunks.  Whole equal segments of
-different chunks are told by the same two hashes (128 bits), all other equalities by bytes.
+different chunks are told by the same two hashes (128 bits), all other equalities by bytes: those of a
+chunk are compared with the first of their class, sorted suffixes with their neighbours.
 
 Null texts are empty; a null doc_id sorts first; rows that repeat an id are documents of their own, the
 one packed earlier counts as the smaller.  Every row of the input gives one row.
@@ -44,7 +45,7 @@ from .common import slices, stored, utf8
 from .suffix_sort import Suffixes
 
 WINDOW, ANCHOR, HOT = 100, 32, 4096
-CHUNK_BYTES, BUCKET_BYTES = 1 << 20, 8 << 20
+CHUNK_BYTES, BUCKET_BYTES, ANCHOR_BYTES = 1 << 20, 8 << 20, 32 << 20
 VALUE2 = np.random.default_rng(977).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 SHARED, MIXED, CROWDED = 1, 2, 3
 NULL_ID = -(1 << 63)
@@ -79,16 +80,34 @@ class Chunk:
         self.rows = np.r_[0, np.asarray(ends, np.int64)]
         self.ids = np.array([NULL_ID if i is None or i != i else int(i) for i in ids], np.int64)
         self._segments()
-        order = np.lexsort((np.arange(len(self.a)), self.c2, self.c, self.a))
-        a, c, c2 = self.a[order], self.c[order], self.c2[order]
-        new_a = np.r_[True, a[1:] != a[:-1]] if len(a) else np.zeros(0, bool)
-        new = new_a | np.r_[True, (c[1:] != c[:-1]) | (c2[1:] != c2[:-1])] if len(a) else new_a
+        while True:
+            order = np.lexsort((np.arange(len(self.a)), self.c2, self.c, self.a))
+            a, c, c2 = self.a[order], self.c[order], self.c2[order]
+            new_a = np.r_[True, a[1:] != a[:-1]] if len(a) else np.zeros(0, bool)
+            new = new_a | np.r_[True, (c[1:] != c[:-1]) | (c2[1:] != c2[:-1])] if len(a) else new_a
+            false = self._deceived(order[~new], order[new][np.cumsum(new)[~new] - 1])
+            if not len(false):
+                break
+            self.c2[false] = bytehash.mix(self.c2[false] + np.arange(1, len(false) + 1, dtype=np.uint64))
         self.first = order[new]  # first segment of each class, by anchor
         self.later = order[~new]
         self.anchors = a[new_a]
         self.class_of_anchor = np.searchsorted(np.flatnonzero(new), np.flatnonzero(new_a))  # first class of each anchor
         self.classes = np.diff(np.r_[self.class_of_anchor, len(self.first)])
 
+    def _deceived(self, later: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Those of the later segments whose bytes are not those of the first one of their class."""
+        size = self.hi[later] - self.lo[later] + WINDOW
+        wrong = size != self.hi[first] - self.lo[first] + WINDOW
+        out = [later[wrong]]
+        later, first, size = later[~wrong], first[~wrong], size[~wrong]
+        for at in range(0, len(later), 1 << 14):  # some two million bytes at once
+            n, x, y = (v[at:at + (1 << 14)] for v in (size, self.lo[later], self.lo[first]))
+            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            differ = self.raw[np.repeat(x, n) + step] != self.raw[np.repeat(y, n) + step]
+            out.append(later[at:at + (1 << 14)][np.logical_or.reduceat(differ, np.cumsum(n) - n)])
+        return np.concatenate(out)
+
     def _segments(self) -> None:
         """lo, hi (first and last window), at (anchor), a, c, c2 (hashes of anchor and of the segment)."""
         raw, width = self.raw, WINDOW - ANCHOR + 1
@@ -296,11 +315,21 @@ def mixed(own: pd.DataFrame, a: np.ndarray, rank: np.ndarray) -> np.ndarray:
     order = np.lexsort((rank[seg], before, a[seg]))
     seg, before, start = seg[order], before[order], start[order]
     group = np.cumsum(np.r_[False, (a[seg][1:] != a[seg][:-1]) | (before[1:] != before[:-1])])
-    order, cls = Suffixes(raw, WINDOW).classes(start, group)
+    suffixes = Suffixes(raw, WINDOW)
+    # a window whose hash no other of its group has is equal to none: only the others are sorted
+    hashes = suffixes.windows(start)
+    order = np.lexsort((hashes, group))
+    same = (group[order][1:] == group[order][:-1]) & (hashes[order][1:] == hashes[order][:-1])
+    alone = np.ones(len(order), bool)
+    alone[order[1:][same]] = alone[order[:-1][same]] = False
+    seg, before, start, group = seg[~alone], before[~alone], start[~alone], group[~alone]
+    bits = np.zeros((len(a), 104), np.uint8)
+    if not len(seg):
+        return np.packbits(bits, axis=1)
+    order, cls = suffixes.classes(start, group)
     seg, before = seg[order], before[order]
     least = np.minimum.reduceat(rank[seg], np.flatnonzero(np.r_[True, cls[1:] != cls[:-1]]))[cls]
     gone = rank[seg] > least
-    bits = np.zeros((len(a), 104), np.uint8)
     bits[seg[gone], before[gone]] = 1
     return np.packbits(bits, axis=1)
 
@@ -379,12 +408,12 @@ def _among(h: np.ndarray, h2: np.ndarray, p: np.ndarray, p2: np.ndarray) -> np.n
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", hot: int = HOT, chunk_bytes: int = CHUNK_BYTES,
-          bucket_bytes: int = BUCKET_BYTES, full: bool = False) -> DataFrame:
+          bucket_bytes: int = BUCKET_BYTES, full: bool = False, anchor_bytes: int = ANCHOR_BYTES) -> DataFrame:
     """Per document what goes (see ``results``)."""
     chunks, _ = stored(pack(docs, key, text, chunk_bytes), "suffix-chunks")
     total = chunks.agg(F.sum("size").alias("n")).head().n or 0
     buckets = -(-total // bucket_bytes) or 1
-    first, _ = stored(repeated(anchors(chunks, buckets), hot), "suffix-anchors")
+    first, _ = stored(repeated(anchors(chunks, -(-total // anchor_bytes) or 1), hot), "suffix-anchors")
     second = later(candidates(chunks, first, buckets))
     answers, _ = stored(second, "suffix-answers")
     return results(chunks, first.unionByName(answers), full)

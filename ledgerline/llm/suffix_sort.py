@@ -22,6 +22,10 @@ class Suffixes:
         self.sums = bytehash.PrefixHash(raw, value).sums
         self.back = bytehash.inverse_powers(len(self.sums))
 
+    def windows(self, starts: np.ndarray) -> np.ndarray:
+        """Hash of the whole suffix at each start."""
+        return (self.sums[starts + self.depth] - self.sums[starts]) * self.back[starts]
+
     def extension(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Length of the longest common extension of each pair of suffixes, at most the depth."""
         same = np.zeros(len(i), np.int64)
