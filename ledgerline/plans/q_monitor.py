@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ledgerline.operators import monitor as M
@@ -11,6 +13,7 @@ from ledgerline.plans.job import run_days
 from ledgerline.plans.registry import money_avg_sql, money_sum_sql, register, with_base
 from ledgerline.schemas import ALARM_RULES
 from ledgerline.session import path_exists, scratch_path
+from ledgerline.streaming import alarms as A
 
 
 def series(spark, sf_dir):
@@ -66,6 +69,33 @@ def alarm_rules(spark, sf_dir):
     return M.evaluate_rules(roles.metric_series(spark, sf_dir))
 
 
+def transition_sql(rule: str) -> str:
+    """First bucket of every run of alarmed buckets, and the bucket after its last."""
+    period = ALARM_RULES[rule][2]
+    return f"""
+SELECT rule, metric, state, to_timestamp(no * {period})::TIMESTAMP AS bucket_start FROM (
+  SELECT rule, metric, unnest(['ALARM', 'OK']) AS state, unnest([min(no), max(no) + 1]) AS no FROM (
+    SELECT *, no - row_number() OVER (ORDER BY no) AS island FROM (
+      SELECT rule, metric, CAST(floor(epoch(bucket_start) / {period}) AS BIGINT) AS no FROM ({alarm_sql(rule)}))) GROUP BY rule, metric, island)"""
+
+
+@register("stream_alarms", with_base("\nUNION ALL\n".join(f"SELECT * FROM ({transition_sql(r)})" for r in ALARM_RULES), POINTS_SQL))
+def stream_alarms(spark, sf_dir):
+    """Transitions of the seven rules over the month's points, arriving in order in several micro-batches."""
+    points, base = roles.metric_series(spark, sf_dir), scratch_path(spark, "points")
+    schema = "metric string, ts timestamp_ntz, value double"
+    own = points.where(F.col("metric").isin(sorted({m for m, *_ in ALARM_RULES.values()}))).select("metric", "ts", "value")
+    for first, last in (("00", "09"), ("10", "19"), ("20", "31")):
+        own.where(F.date_format("ts", "dd").between(first, last)).write.mode("append").parquet(base)
+    end = own.agg(F.max("ts") + F.expr("INTERVAL 1 DAY")).first()[0]
+    for minutes in (0, 10):  # points of no rule that move the watermark behind the last period
+        spark.createDataFrame([("clock", end + dt.timedelta(minutes=minutes), 0.0)], schema).coalesce(1).write.mode("append").parquet(base)
+    out = scratch_path(spark, "transitions")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 8).parquet(base)
+    A.stream_alarms(spark, stream, out, scratch_path(spark, "ckpt"))
+    return A.transitions(spark, out).select("rule", "metric", "state", F.col("bucket_start").cast("timestamp_ntz").alias("bucket_start"))
+
+
 LOG_SQL = """logs AS (
   SELECT data_completa_transacao AS ts, 'jr_' || year || month || day AS run_id,
          'ERROR transaction ' || codigo_lancamento || ' account ' || numero_unico_conta AS message

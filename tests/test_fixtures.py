@@ -711,3 +711,21 @@ def test_sketches_over_ranges(spark, tmp_base):
         exact = len({r[1] for r in rows if r[1] and a.day <= int(r[8]) <= b.day})
         assert abs(got[a, b] - exact) <= 0.03 * exact
     assert asked[3] not in got
+
+
+def test_alarm_transitions_over_restarts(spark, tmp_base):
+    """Micro-batches, a restart between them, a period without points and a late point."""
+    from ledgerline.streaming import alarms as A
+    rules = {"high": ("m", "avg", 60, ">", 10.0, 2), "any": ("m", "max", 60, ">=", 50.0, 1)}
+    t0 = dt.datetime(2024, 1, 1)
+    point = lambda minute, v, metric="m": (metric, t0 + dt.timedelta(minutes=minute, seconds=5), float(v))
+    parts = [[point(0, 20), point(1, 20), point(1, 2), point(2, 30)], [point(3, 60), point(5, 70), point(6, 11), point(4, 1, "other")],
+             [point(2, 1), point(7, 1), point(9, 90), point(30, 0, "clock")]]
+    out, stream = f"{tmp_base}/out", f"{tmp_base}/points"
+    for own in parts:
+        spark.createDataFrame(own, "metric string, ts timestamp_ntz, value double").coalesce(1).write.mode("append").parquet(stream)
+        source = spark.readStream.schema("metric string, ts timestamp_ntz, value double").parquet(stream)
+        A.stream_alarms(spark, source, out, f"{tmp_base}/c", rules, delay="1 minute")
+    got = sorted((r.rule, (r.bucket_start - t0).seconds // 60, r.state) for r in A.transitions(spark, out).collect())
+    assert got == [("any", 3, "ALARM"), ("any", 4, "OK"), ("any", 5, "ALARM"), ("any", 6, "OK"), ("any", 9, "ALARM"), ("any", 10, "OK"),
+                   ("high", 1, "ALARM"), ("high", 4, "OK"), ("high", 6, "ALARM"), ("high", 7, "OK")]
