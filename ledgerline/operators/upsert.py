@@ -7,7 +7,7 @@ Parquet has no MERGE.  A table here is a folder of commits that are never change
 * ``<table>/_log/<number>.json``: what is live as of a commit: base folders, delta commits, schema, keys.
   Notes are written beside their place and moved there; old ones stay for a while, so losing the newest
   leaves the table as it was one commit earlier.
-* ``<table>/_blooms/commit=<...>``: a Bloom filter of the keys of every base file.
+* ``<table>/_blooms/commit=<...>``: a Bloom filter of the keys of every base file, made when first needed.
 
 An upsert writes its batch as a delta and a note, nothing else: its cost is the batch, whatever the table
 holds.  A reader takes the newest delta row of a key, and the base rows whose keys are in no delta; a table
@@ -331,7 +331,7 @@ def _write_blooms(spark: SparkSession, target: str, folder: str, snap: Snapshot)
         hashes = group["h"].to_numpy(np.int64).view(np.uint64)
         return pd.DataFrame({"file": [group["file"].iloc[0]], "keys": [len(group)], "bits": [bloom_filter(hashes)]})
 
-    rows.groupBy("file").applyInPandas(build, "file string, keys long, bits binary").write.parquet(
+    rows.groupBy("file").applyInPandas(build, "file string, keys long, bits binary").write.mode("overwrite").parquet(
         f"{target.rstrip('/')}/_blooms/{folder}")
 
 
@@ -342,6 +342,9 @@ def files_with(spark: SparkSession, target: str, snap: Snapshot, keys: DataFrame
     commits = sorted({f.split("/")[0] for f in snap.base})
     if not commits:
         return []
+    for commit in commits:  # a base commit's filters are made when they are first asked for
+        if not path_exists(spark, f"{target.rstrip('/')}/_blooms/{commit}/_SUCCESS"):
+            _write_blooms(spark, target, commit, snap)
     blooms = spark.read.schema("file string, bits binary").parquet(*[f"{target.rstrip('/')}/_blooms/{c}" for c in commits])
     hashes = keys.select(F.xxhash64(*snap.keys).alias("h")).distinct()
     hashes.write.parquet(staged := scratch_path(spark, "upsert-keys"))
@@ -402,8 +405,6 @@ def upsert(spark: SparkSession, target: str, batch: DataFrame, key: str | list =
     places = _places(spark, target, folder, schema) if stats["rows_from_batch"] else []
     if first:
         snap.base, snap.base_rows = places, stats["rows_from_batch"]
-        if places:
-            _write_blooms(spark, target, folder, snap)
     elif places:
         snap.deltas, snap.delta_rows = [*snap.deltas, folder], snap.delta_rows + stats["rows_from_batch"]
         snap.nameless += without_key
@@ -455,7 +456,6 @@ def compact(spark: SparkSession, target: str, after: int = 1, cluster_by_partiti
     snap.base_rows += done.get["rows"] - before
     if done.get["rows"]:
         snap.base += _places(spark, target, folder, schema)
-        _write_blooms(spark, target, folder, snap)
     snap.deltas, snap.delta_rows, snap.nameless = [], 0, 0
     _commit(spark, target, snap)
     for path in old:  # out of use for a whole cycle, so no reader has them open
