@@ -9,9 +9,11 @@ the delay find their period closed and change nothing.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -122,6 +124,8 @@ def stream_alarms(spark: SparkSession, points: DataFrame, out: str, checkpoint:
                   available_now: bool = True):
     """Transitions of all rules over a streaming DataFrame (metric, ts, value), written to ``out`` by micro-batch."""
     rules = ALARM_RULES if rules is None else rules
+    # the process that opens the state on the driver does not have the package on its path
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     sums = partial_sums(points, rules).withWatermark("at", delay)
     changes = sums.groupBy("rule").transformWithStateInPandas(AlarmMachine(rules), TRANSITION, "Append", "EventTime")
