@@ -7,7 +7,7 @@ Parquet has no MERGE.  A table here is a folder of commits that are never change
 * ``<table>/_log/<number>.json``: what is live as of a commit: base folders, delta commits, schema, keys.
   Notes are written beside their place and moved there; old ones stay for a while, so losing the newest
   leaves the table as it was one commit earlier.
-* ``<table>/_blooms/commit=<...>``: a Bloom filter of the keys of every base file, made when first needed.
+* ``<table>/_blooms/commit=<...>``: Bloom filters of the keys of every base file, made when first needed.
 
 An upsert writes its batch as a delta and a note, nothing else: its cost is the batch, whatever the table
 holds.  A reader takes the newest delta row of a key, and the base rows whose keys are in no delta; a table
@@ -33,6 +33,8 @@ from urllib.parse import unquote
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,8 +46,11 @@ from ledgerline.session import (claim_file, delete_path, list_folder, path_exist
 COMPACT_AFTER, COMPACT_ROWS, COMPACT_SHARE = 8, 1_000_000, 4
 #: Seconds after which a claimed commit without a note is taken for dead; notes that are kept.
 LEASE_SECONDS, KEPT_NOTES = 600, 20
-#: Bits and hash functions of a Bloom filter per key; keys looked up in all filters at once (8 bytes each).
-BLOOM_BITS, BLOOM_HASHES, KEYS_AT_ONCE = 10, 7, 2_000_000
+#: Bits and hash functions of a Bloom filter per key; keys of one filter (a larger file has several).
+BLOOM_BITS, BLOOM_HASHES, BLOOM_KEYS = 10, 7, 500_000
+BLOOM_SCHEMA = pa.schema([("file", pa.string()), ("keys", pa.int64()), ("bits", pa.binary())])
+#: Keys sent to all filters at once (8 bytes each); keys that a filter is asked for before the answers are looked at.
+KEYS_AT_ONCE, PROBE_KEYS = 1_000_000, 4_096
 #: Partition values up to which the rewritten partitions are also named in the scan's filter; beyond
 #: it the join alone selects them (the result is the same).
 NAMED_PARTITIONS = 5_000
@@ -304,34 +309,59 @@ def _places(spark: SparkSession, target: str, folder: str, schema: T.StructType)
 # ---------------------------------------------------------------------------
 # Bloom filters of base files
 # ---------------------------------------------------------------------------
-def _bit_places(hashes: np.ndarray, bits: int) -> np.ndarray:
-    """Hash functions x keys: the bits of each key."""
+def _bit_places(hashes: np.ndarray, bits: int, first: int = 0) -> Iterator[np.ndarray]:
+    """The bit of each key, hash function by hash function."""
     one, two = hashes & np.uint64(0xFFFFFFFF), (hashes >> np.uint64(32)) | np.uint64(1)
-    return (one + np.arange(BLOOM_HASHES, dtype=np.uint64)[:, None] * two) % np.uint64(bits)
+    for k in range(first, BLOOM_HASHES):
+        yield (one + np.uint64(k) * two) % np.uint64(bits)
 
 
 def bloom_filter(hashes: np.ndarray) -> bytes:
     bits = max(64, -(-len(hashes) * BLOOM_BITS // 64) * 64)
     out = np.zeros(bits, bool)
-    out[_bit_places(hashes, bits)] = True
+    for places in _bit_places(hashes, bits):
+        out[places] = True
     return np.packbits(out).tobytes()
 
 
 def may_hold(bloom: bytes, hashes: np.ndarray) -> bool:
-    """Whether one of the keys may be in the filter's file."""
-    held = np.unpackbits(np.frombuffer(bloom, np.uint8)).astype(bool)
-    return bool(held[_bit_places(hashes, len(held))].all(0).any())
+    """Whether one of the keys may be in the filter's file; keys are tried ``PROBE_KEYS`` at a time, until one may be."""
+    packed = np.frombuffer(bloom, np.uint8)
+    for start in range(0, len(hashes), PROBE_KEYS):
+        left = hashes[start:start + PROBE_KEYS]
+        for k in range(BLOOM_HASHES):  # only keys whose bits were set so far are tried further
+            places = next(_bit_places(left, 8 * len(packed), k))
+            left = left[(packed[places >> np.uint64(3)] << (places & np.uint64(7)).astype(np.uint8)) & 128 > 0]
+        if len(left):
+            return True
+    return False
+
+
+def _filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Filters of (file, h) rows, which a task reads file after file; one for every ``BLOOM_KEYS`` rows of a file or so."""
+    file, held, rows = None, [], 0
+
+    def filled() -> Iterator[pa.RecordBatch]:
+        if rows:
+            bits = bloom_filter(np.concatenate(held).view(np.uint64))
+            yield pa.RecordBatch.from_pydict({"file": [file], "keys": [rows], "bits": [bits]}, BLOOM_SCHEMA)
+
+    for batch in batches:
+        runs, hashes, start = pc.run_end_encode(batch.column("file")), batch.column("h").to_numpy(), 0
+        for name, stop in zip(runs.values.to_pylist(), runs.run_ends.to_pylist()):
+            if name != file or rows >= BLOOM_KEYS:
+                yield from filled()
+                file, held, rows = name, [], 0
+            held.append(hashes[start:stop].copy())
+            rows, start = rows + stop - start, stop
+    yield from filled()
 
 
 def _write_blooms(spark: SparkSession, target: str, folder: str, snap: Snapshot) -> None:
-    rows = _folders(spark, target, [folder], snap.fields).select(
-        F.regexp_extract(F.col("_metadata.file_path"), f"/({folder}.*)$", 1).alias("file"), F.xxhash64(*snap.keys).alias("h"))
-
-    def build(group: pd.DataFrame) -> pd.DataFrame:  # one file's keys
-        hashes = group["h"].to_numpy(np.int64).view(np.uint64)
-        return pd.DataFrame({"file": [group["file"].iloc[0]], "keys": [len(group)], "bits": [bloom_filter(hashes)]})
-
-    rows.groupBy("file").applyInPandas(build, "file string, keys long, bits binary").write.mode("overwrite").parquet(
+    """Filters of a commit's files: no shuffle, and no task holds more of a file than one filter's keys."""
+    rows = _folders(spark, target, [folder], snap.fields).select(F.col("_metadata.file_path").alias("file"), F.xxhash64(*snap.keys).alias("h"))
+    filters = rows.mapInArrow(_filters, "file string, keys long, bits binary")
+    filters.withColumn("file", F.regexp_extract("file", f"/({folder}.*)$", 1)).write.mode("overwrite").parquet(
         f"{target.rstrip('/')}/_blooms/{folder}")
 
 
