@@ -6,6 +6,7 @@ import tracemalloc
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from ledgerline.operators import upsert as U
 
@@ -40,3 +41,21 @@ def test_a_large_file_has_several_filters(monkeypatch):
     assert max(map(max, counts.values())) <= 1500 and len(counts["a"]) >= 3
     for name, key in zip(files[::50], hashes[::50].view(np.uint64)):
         assert any(U.may_hold(r["bits"], key[None]) for r in found if r["file"] == name)
+
+
+def test_keys_are_sent_until_every_file_is_decided(spark, tmp_base, monkeypatch):
+    """A batch that touches every file is decided by its first keys, not sent whole; a key in no early block is still found."""
+    monkeypatch.setattr(U, "KEYS_AT_ONCE", 100)
+    monkeypatch.setattr(U, "BLOOM_KEYS", 300)
+    rows = spark.range(4000).select(F.col("id").cast("string").alias("k"), F.pmod("id", F.lit(4)).cast("string").alias("p"))
+    U.upsert(spark, tmp_base, rows, key="k", partition_cols=("p",), cluster_by_partition=True)
+    snap = U.snapshot(spark, tmp_base)
+    sent, send = [], spark.sparkContext.broadcast
+    monkeypatch.setattr(spark.sparkContext, "broadcast", lambda v: sent.append(1) or send(v))
+    assert len(U.files_with(spark, tmp_base, snap, rows.select("k"))) == 4
+    assert len(sent) <= 3                                                 # before: 40 blocks
+    monkeypatch.setattr(U, "KEYS_AT_ONCE", 1)
+    for p in range(4):  # foreign keys are told apart, own ones are found whatever their block
+        own = spark.createDataFrame([(f"{4 * i + p}",) for i in range(3)], "k string")
+        assert any(f"/p={p}/" in f for f in U.files_with(spark, tmp_base, snap, own))
+    assert len(U.files_with(spark, tmp_base, snap, spark.createDataFrame([("none",)], "k string"))) <= 2
